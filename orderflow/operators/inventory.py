@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 
 from orderflow.functions.expressions import interval_micros, micros
 from orderflow.operators.sessions import sessionize
+from orderflow.session import materialize
 
 
 def join_stock(orders: DataFrame, inventory: DataFrame, key: str = "product") -> DataFrame:
@@ -176,13 +177,21 @@ def _chain(key: str):
 
 def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: str = "seq",
                   qty: str = "quantity", stock: str = "stock", hot_rows: int = 2_000_000,
-                  split: str = "1 day", domain_limit: int = 100_000) -> DataFrame:
+                  split: str = "1 day", domain_limit: int = 100_000,
+                  materialize_input: bool = True) -> DataFrame:
     """Greedy reservation fold over ``rows`` (orders already joined with their stock).
 
     Returns ``rows`` plus ``validationResult`` (PASS/FAIL) and ``reserved``
-    (the product's reservation after this order).
+    (the product's reservation after this order).  The input is read by the
+    key statistics and by the fold; unless it is a plain scan it is written
+    once to the shared checkpoint folder (``materialize_input``) so its
+    lineage is not computed twice.  The key statistics (one row per key) are
+    checkpointed too, and the hot / all-pass paths are planned only when
+    some key needs them.
     """
     split_us = interval_micros(split)
+    if materialize_input:
+        rows = materialize(rows, "fold-input")
     stats = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("__n"), F.sum(qty).alias("__demand"), F.min(qty).alias("__qmin"),
         F.min(stock).alias("__smin"), F.max(stock).alias("__smax"))
@@ -192,33 +201,46 @@ def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: st
         ((F.col("__n") > hot_rows) & (F.col("__qmin") >= 0) & (F.col("__smin") >= 0)
          & (F.col("__smax") <= domain_limit)).alias("__hot"),
         F.greatest(F.col("__smax"), F.lit(0)).alias("__dom"))
+    stats = materialize(stats, "fold-key-stats")
+    kinds = stats.agg(F.count(F.when(F.col("__allpass"), 1)).alias("easy"),
+                      F.count(F.when(~F.col("__allpass") & F.col("__hot"), 1)).alias("hot"),
+                      F.count(F.when(~F.col("__allpass"), 1)).alias("hard")).collect()[0]
     tagged = rows.join(stats, on=key, how="inner")
 
     # all-pass keys: reserved is the running demand (bucketed scan, hot-key safe)
-    easy = tagged.where("__allpass").drop("__allpass", "__hot", "__dom")
-    easy = sessionize(easy, key, ts, [seq], "36500 days", {"reserved": F.col(qty).cast("bigint")},
-                      split=split, prefix="__sess_")
-    easy = easy.drop("__sess_start").withColumn("validationResult", F.lit("PASS"))
+    easy = None
+    if kinds["easy"]:
+        easy = tagged.where("__allpass").drop("__allpass", "__hot", "__dom")
+        easy = sessionize(easy, key, ts, [seq], "36500 days", {"reserved": F.col(qty).cast("bigint")},
+                          split=split, prefix="__sess_")
+        easy = easy.drop("__sess_start").withColumn("validationResult", F.lit("PASS"))
 
     hard = tagged.where(~F.col("__allpass")).withColumn("__t", micros(ts))
     hard = hard.withColumn(
         "__seg", F.when(F.col("__hot"), F.floor(F.col("__t") / F.lit(split_us))).otherwise(F.lit(0))
         .cast("bigint"))
     sort_cols = [key, "__seg", "__t", seq]
-    hot = hard.where("__hot").select(key, "__seg", "__t", seq, qty, stock, "__dom")
-    table_schema = T.StructType([rows.schema[key], T.StructField("__seg", T.LongType()),
-                                 T.StructField("__table", T.ArrayType(T.LongType()))])
-    tables = (hot.repartition(key, "__seg").sortWithinPartitions(*sort_cols)
-              .mapInPandas(_transfer_tables(key, qty, stock), table_schema))
-    starts = tables.groupBy(key).applyInPandas(
-        _chain(key), T.StructType([rows.schema[key], T.StructField("__seg", T.LongType()),
-                                   T.StructField("__rin", T.LongType())]))
-    hard = hard.drop("__allpass", "__hot", "__dom").join(starts, on=[key, "__seg"], how="left")
-    hard = hard.withColumn("__rin", F.coalesce(F.col("__rin"), F.lit(0).cast("bigint")))
+    if kinds["hot"]:
+        hot = hard.where("__hot").select(key, "__seg", "__t", seq, qty, stock, "__dom")
+        table_schema = T.StructType([rows.schema[key], T.StructField("__seg", T.LongType()),
+                                     T.StructField("__table", T.ArrayType(T.LongType()))])
+        tables = (hot.repartition(key, "__seg").sortWithinPartitions(*sort_cols)
+                  .mapInPandas(_transfer_tables(key, qty, stock), table_schema))
+        starts = tables.groupBy(key).applyInPandas(
+            _chain(key), T.StructType([rows.schema[key], T.StructField("__seg", T.LongType()),
+                                       T.StructField("__rin", T.LongType())]))
+        hard = hard.drop("__allpass", "__hot", "__dom").join(starts, on=[key, "__seg"], how="left")
+        hard = hard.withColumn("__rin", F.coalesce(F.col("__rin"), F.lit(0).cast("bigint")))
+    else:
+        hard = hard.drop("__allpass", "__hot", "__dom").withColumn("__rin", F.lit(0).cast("bigint"))
     out_cols = [c for c in hard.columns if c not in ("__seg", "__rin", "__t")]
     out_schema = T.StructType([hard.schema[c] for c in out_cols] + FOLD_FIELDS)
     folded = (hard.repartition(key, "__seg").sortWithinPartitions(*sort_cols)
               .mapInPandas(_fold_partition(key, qty, stock), out_schema))
+    if easy is None:
+        return folded
+    if not kinds["hard"]:
+        return easy.select(*folded.columns)
     return folded.unionByName(easy.select(*folded.columns))
 
 

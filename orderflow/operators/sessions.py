@@ -67,6 +67,7 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, order: Sequence
     w_bucket = Window.partitionBy(*keys, _B).orderBy(*ordering)
     prev = F.lag(_T).over(w_bucket)
     base = base.withColumn(_NEW, F.when(prev.isNull() | (F.col(_T) - prev > gap_us), 1).otherwise(0))
+    base = base.withColumn("__is_last", F.lead(_T).over(w_bucket).isNull())
     base = base.withColumn(_LSID, F.sum(_NEW).over(w_bucket.rowsBetween(Window.unboundedPreceding, 0)))
     w_sess = (Window.partitionBy(*keys, _B, _LSID).orderBy(*ordering)
               .rowsBetween(Window.unboundedPreceding, 0))
@@ -74,12 +75,14 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, order: Sequence
     for name in measures:
         base = base.withColumn(f"__lrun_{name}", F.sum(f"__m_{name}").over(w_sess))
 
-    # 2. one summary row per (key, bucket)
-    last_key = F.struct(*ordering)
+    # 2. one summary row per (key, bucket); the bucket's last row (marked by
+    # ``lead`` in the same window) carries the open session's start and sums,
+    # so the summary is a plain hash aggregate
+    last = F.col("__is_last")
     summ_aggs = [F.min(_T).alias("__first_t"), F.max(_T).alias("__last_t"),
                  F.max(_LSID).alias("__nsess"),
-                 F.max_by("__lstart", last_key).alias("__last_start")]
-    summ_aggs += [F.max_by(f"__lrun_{n}", last_key).alias(f"__last_{n}") for n in measures]
+                 F.max(F.when(last, F.col("__lstart"))).alias("__last_start")]
+    summ_aggs += [F.max(F.when(last, F.col(f"__lrun_{n}"))).alias(f"__last_{n}") for n in measures]
     summary = base.groupBy(*keys, _B).agg(*summ_aggs)
 
     # 3. chains of connected single-session buckets

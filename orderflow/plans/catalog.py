@@ -18,6 +18,7 @@ from orderflow.plans import sql as sqlplan
 from orderflow.sinks import files as sinks
 from orderflow.sources import fixtures as fx
 from orderflow.sources import readers
+from orderflow.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 ORDER_COLS = verdicts.ORDER_COLUMNS
@@ -37,9 +38,13 @@ def own_verdicts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def order_outcomes(spark: SparkSession, d: str) -> DataFrame:
-    """Flagship: submitted orders -> three validators -> aggregator -> VALIDATED / FAILED."""
+    """Flagship: submitted orders -> three validators -> aggregator -> VALIDATED / FAILED.
+
+    The verdict channel is written once (as the validators' shared topic is)
+    and read by both aggregator branches.
+    """
     orders = fx.orders(spark, d)
-    v = own_verdicts(spark, d)
+    v = materialize(own_verdicts(spark, d), "order-validations")
     counts = verdicts.pass_counts(v)
     ok = verdicts.orders_validated(counts, orders)
     bad = verdicts.orders_failed(v, orders)

@@ -88,3 +88,16 @@ def ensure_local_dir(path: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
+
+    A lineage cut for an intermediate that several branches read (each branch
+    would otherwise recompute it): the table survives executor loss, and the
+    re-read gets column pruning and filter pushdown.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
