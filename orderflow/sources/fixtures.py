@@ -36,9 +36,9 @@ def plus_seconds(ts: Column, secs: Column) -> Column:
     return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
     """One CREATED order per event; customer = user, product by id."""
-    e = table(spark, sf_dir, "events")
+    e = src if src is not None else table(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").cast("string").alias("id"),
         F.col("user_id").alias("customerId"),
@@ -51,9 +51,9 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payments(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
     """Payments from -120 s to +120 s around their order; every tenth unpaid."""
-    e = table(spark, sf_dir, "events").where(F.col("event_id") % 10 != 9)
+    e = (src if src is not None else table(spark, sf_dir, "events")).where(F.col("event_id") % 10 != 9)
     shift = (F.col("event_id") * 37) % 241 - 120
     return e.select(
         F.concat(F.lit("P"), F.col("event_id").cast("string")).alias("id"),
@@ -82,14 +82,14 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_orders(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
     """Demand at scale: one order per line item, product = part key.
 
     Arrival order per product is (ship date, order key, line number); the
     line number is below 8, so ``seq = orderkey * 8 + linenumber`` keeps
     that order in a single column.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = src if src is not None else table(spark, sf_dir, "lineitem")
     return li.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
                     F.col("l_partkey").cast("string")).alias("id"),
@@ -117,9 +117,9 @@ def inventory_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def validations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def validations(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
     """Verdicts independent of the checks: three consecutive events judge one order."""
-    e = table(spark, sf_dir, "events")
+    e = src if src is not None else table(spark, sf_dir, "events")
     m = F.col("event_id") % 3
     check = (F.when(m == 0, "ORDER_DETAILS_CHECK").when(m == 1, "FRAUD_CHECK")
              .otherwise("INVENTORY_CHECK"))
@@ -132,9 +132,9 @@ def validations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def validated_orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def validated_orders_source(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
     """The CREATED orders the ``validations`` adapter refers to (id = event_id / 3)."""
-    e = table(spark, sf_dir, "events").where(F.col("event_id") % 3 == 0)
+    e = (src if src is not None else table(spark, sf_dir, "events")).where(F.col("event_id") % 3 == 0)
     return e.select(
         (F.col("event_id") / 3).cast("bigint").cast("string").alias("id"),
         F.col("user_id").alias("customerId"),
@@ -147,9 +147,9 @@ def validated_orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_states(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
     """Order state records for the latest-value view."""
-    o = table(spark, sf_dir, "orders")
+    o = src if src is not None else table(spark, sf_dir, "orders")
     st = F.col("o_orderstatus")
     return o.select(
         F.col("o_orderkey").cast("string").alias("id"),
