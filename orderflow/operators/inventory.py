@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.functions.expressions import interval_micros, micros
+from orderflow.functions.joins import replicated
 from orderflow.operators.sessions import sessionize
 from orderflow.session import materialize
 
@@ -99,34 +100,47 @@ FOLD_FIELDS = [T.StructField("validationResult", T.StringType()),
                T.StructField("reserved", T.LongType())]
 
 
+def _segment_starts(keys: np.ndarray, segs: np.ndarray) -> np.ndarray:
+    """True where a row starts a new (key, segment) run (rows are sorted by both)."""
+    start = np.ones(len(keys), dtype=bool)
+    if len(keys) > 1:
+        start[1:] = (keys[1:] != keys[:-1]) | (segs[1:] != segs[:-1])
+    return start
+
+
 def _fold_partition(key: str, qty: str, stock: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur = None
+        last = None  # (key, segment) of the previous batch's last row
         reserved = 0
         for pdf in batches:
             n = len(pdf)
+            if n == 0:
+                continue
             keys = pdf[key].to_numpy()
             segs = pdf["__seg"].to_numpy()
-            starts = pdf["__rin"].to_numpy()
-            q = pdf[qty].fillna(0).to_numpy(dtype=np.int64)
-            s = pdf[stock].to_numpy()
-            verdict = np.empty(n, dtype=object)
-            res = np.empty(n, dtype=np.int64)
+            starts = _segment_starts(keys, segs)
+            if last is not None and (keys[0], segs[0]) == last:
+                starts[0] = False  # the run continues across Arrow batches
+            last = (keys[-1], segs[-1])
+            new = starts.tolist()
+            rin = pdf["__rin"].to_numpy(dtype=np.int64).tolist()
+            q = pdf[qty].fillna(0).to_numpy(dtype=np.int64).tolist()
+            st = pdf[stock].astype("float64").to_numpy()
+            ok_stock = (~np.isnan(st)).tolist()
+            s = np.nan_to_num(st).astype(np.int64).tolist()
+            passed = [False] * n
+            res = [0] * n
             for i in range(n):
-                k = (keys[i], segs[i])
-                if k != cur:
-                    cur = k
-                    reserved = int(starts[i])
-                si = s[i]
-                if si is not None and si == si and si - reserved - q[i] >= 0:
-                    reserved += int(q[i])
-                    verdict[i] = "PASS"
-                else:
-                    verdict[i] = "FAIL"
+                if new[i]:
+                    reserved = rin[i]
+                qi = q[i]
+                if ok_stock[i] and s[i] - reserved - qi >= 0:
+                    reserved += qi
+                    passed[i] = True
                 res[i] = reserved
             out = pdf.drop(columns=["__seg", "__rin", "__t"])
-            out["validationResult"] = verdict
-            out["reserved"] = res
+            out["validationResult"] = np.where(np.asarray(passed), "PASS", "FAIL")
+            out["reserved"] = np.asarray(res, dtype=np.int64)
             yield out
     return run
 
@@ -205,7 +219,9 @@ def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: st
     kinds = stats.agg(F.count(F.when(F.col("__allpass"), 1)).alias("easy"),
                       F.count(F.when(~F.col("__allpass") & F.col("__hot"), 1)).alias("hot"),
                       F.count(F.when(~F.col("__allpass"), 1)).alias("hard")).collect()[0]
-    tagged = rows.join(stats, on=key, how="inner")
+    # one row per key: broadcast when its measured size allows, so the rows
+    # are shuffled once (by key and segment) instead of twice
+    tagged = rows.join(replicated(stats), on=key, how="inner")
 
     # all-pass keys: reserved is the running demand (bucketed scan, hot-key safe)
     easy = None
