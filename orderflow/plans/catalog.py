@@ -132,6 +132,8 @@ QUERIES: dict[str, Query] = {
         .cast("bigint").alias("reserved"),
         F.count(F.when(F.col("validationResult") == "PASS", 1)).alias("passed"),
         F.count(F.when(F.col("validationResult") == "FAIL", 1)).alias("failed")),
+    "reserved_stock_state": lambda s, d: inventory.reserve_stock(_line_stock(s, d))
+        .groupBy("product").agg(F.max("reserved").alias("reserved")),
     "stuck_orders": lambda s, d: reports.stuck_orders(fx.orders(s, d), fx.inventory_changes(s, d)),
     "validations_union": own_verdicts,
     "validation_pass_counts": lambda s, d: verdicts.pass_counts(fx.validations(s, d)),

@@ -281,6 +281,8 @@ SELECT product, MAX(stock) AS stock,
   COUNT(*) FILTER (WHERE validationResult = 'PASS') AS passed,
   COUNT(*) FILTER (WHERE validationResult = 'FAIL') AS failed
 FROM fold GROUP BY product"""
+    q["reserved_stock_state"] = f"""WITH RECURSIVE {LINES}, {PINV}, {LINE_STOCK}, {fold_cte('lstock')}
+SELECT product, MAX(reserved) AS reserved FROM fold GROUP BY product"""
     q["stuck_orders"] = f"""WITH {ORD}, {INVCH}
 SELECT o.id, o.customerId, o.product, o.quantity, o.ts FROM ord o
 WHERE o.state = 'CREATED'

@@ -28,6 +28,7 @@ from orderflow.functions.expressions import from_cents
 from orderflow.functions.joins import replicated, within
 from orderflow.operators import checks, enrich, reports
 from orderflow.session import scratch_path
+from orderflow.sinks import files as sinks
 from orderflow.sources import fixtures as fx
 from orderflow.sources.readers import stream_table
 from orderflow.streaming import stateful
@@ -83,23 +84,46 @@ def drop_sentinel(df: DataFrame, ts_col: str = "ts") -> DataFrame:
     return df.where(F.col(ts_col) < F.timestamp_micros(F.lit(SENTINEL_US)))
 
 
+LAST_RUN: dict[str, object] = {}
+
+
+def observed(df: DataFrame, stage: str) -> DataFrame:
+    """Count the rows passing a stage without touching them (read from query progress)."""
+    return df.observe(stage, F.count(F.lit(1)).alias("rows"))
+
+
 def run_available_now(df: DataFrame, name: str, mode: str = "append",
                       foreach: Callable[[DataFrame, int], None] | None = None,
-                      path: str | None = None) -> str:
-    """Run a streaming DataFrame to the end of its input; return the sink path."""
+                      path: str | None = None, checkpoint: str | None = None) -> str:
+    """Run a streaming DataFrame to the end of its input; return the sink path.
+
+    The checkpoint and the sink's metadata log make the run exactly-once and
+    resumable; the last run's checkpoint and progress are kept in ``LAST_RUN``.
+    """
     spark = df.sparkSession
     out = path or scratch_path(spark, name)
-    ck = scratch_path(spark, f"{name}-checkpoint")
-    w = (df.writeStream.outputMode(mode).option("checkpointLocation", ck)
-         .trigger(availableNow=True))
+    ck = checkpoint or scratch_path(spark, f"{name}-checkpoint")
+    w = (observed(df, f"{name}-out").writeStream.outputMode(mode)
+         .option("checkpointLocation", ck).trigger(availableNow=True))
     if foreach is not None:
         q = w.foreachBatch(foreach).start()
     else:
         q = w.format("parquet").option("path", out).start()
     q.awaitTermination()
+    LAST_RUN.update(name=name, checkpoint=ck, path=out, progress=q.recentProgress)
     return out
 
 
+def observed_rows(progress, stage: str) -> int:
+    """Total rows a stage observed over the progress reports of a run."""
+    n = 0
+    for p in progress or []:
+        m = (p.observedMetrics or {}).get(stage)
+        if m is not None:
+            n += int(m["rows"])
+    return n
+
+
 def _overwrite_to(path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
@@ -147,7 +171,8 @@ def stream_inventory_check(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_validation_pass_counts(spark: SparkSession, d: str,
                                   gap: str = S.VALIDATION_SESSION_GAP,
-                                  n_rules: int = S.NUMBER_OF_RULES) -> DataFrame:
+                                  n_rules: int = S.NUMBER_OF_RULES,
+                                  out_path: str | None = None) -> DataFrame:
     v = fx.validations(spark, d, src=table_stream(spark, d, "events", sentinel=True))
     v = drop_sentinel(v.withWatermark("ts", "0 seconds"))
     is_pass = F.col("validationResult") == "PASS"
@@ -158,7 +183,7 @@ def stream_validation_pass_counts(spark: SparkSession, d: str,
         F.array_sort(F.collect_list(F.when(is_pass, F.col("ts")))).alias("__pass_ts"))
     g = g.select("orderId", F.col("w.start").alias("session_start"), "session_end", "verdicts",
                  "passes", F.get(F.col("__pass_ts"), n_rules - 1).alias("reach_ts"))
-    return spark.read.parquet(run_available_now(g, "s-pass-counts"))
+    return spark.read.parquet(run_available_now(g, "s-pass-counts", path=out_path))
 
 
 def stream_orders_failed(spark: SparkSession, d: str,
@@ -222,6 +247,69 @@ def stream_topic_sample(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(run_available_now(o.limit(5), "s-sample"))
 
 
+def stream_orders_validated(spark: SparkSession, d: str,
+                            n_rules: int = S.NUMBER_OF_RULES) -> DataFrame:
+    """Closed verdict sessions (stream) ⋈ the created-orders table (static), interval filter.
+
+    Joining the session stream against the orders table keeps one stateful
+    operator (the session window) in the query; the join-back is stateless.
+    """
+    counts_path = scratch_path(spark, "s-validated-counts")
+    counts = stream_validation_pass_counts(spark, d, out_path=counts_path)
+    orders = fx.validated_orders_source(spark, d)
+    from orderflow.operators.verdicts import orders_validated
+    return orders_validated(counts, orders, n_rules)
+
+
+def stream_notifications(spark: SparkSession, d: str) -> DataFrame:
+    """Orders ⋈ payments (±1 min, stream-stream) ⋈ customers -> one notice per tuple.
+
+    The side effect runs in an idempotent ``foreachBatch``: a replayed batch
+    id is skipped, so each notice is recorded once.
+    """
+    o = fx.orders(spark, d, src=table_stream(spark, d, "events")).withWatermark("ts", "5 minutes")
+    p = fx.payments(spark, d, src=table_stream(spark, d, "events")).withWatermark("ts", "5 minutes")
+    n = enrich.notifications(enrich.orders_payments(o, p), fx.customers(spark, d))
+    path = scratch_path(spark, "s-notifications")
+    run_available_now(n, "s-notifications", foreach=sinks.idempotent_batches(path))
+    return sinks.read_idempotent(spark, path)
+
+
+def stream_search_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Every order event appended to a JSON document index (one document per event)."""
+    o = fx.orders(spark, d, src=table_stream(spark, d, "events"))
+    docs = reports.search_documents(o)
+    path = scratch_path(spark, "s-documents")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.document_index(batch, f"{path}/batch_id={batch_id}")
+
+    run_available_now(docs, "s-documents", foreach=write)
+    schema = "id string, customerId long, state string, product string, quantity int, price int"
+    return (spark.read.text(f"{path}/batch_id=*")
+            .select(F.from_json("value", schema).alias("d")).select("d.*"))
+
+
+def stream_fraud_orders_sql(window: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The SQL views over a *streaming* orders view: the tumbling table as a continuous query."""
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        from orderflow.plans import sql as sqlplan
+        o = fx.orders(spark, d, src=table_stream(spark, d, "events", sentinel=True))
+        o = drop_sentinel(o.withWatermark("ts", "0 seconds"))
+        views = sqlplan.register_views(spark, o, fx.customers(spark, d), window=window)
+        t = views[sqlplan.FRAUD_ORDER_TABLE]
+        return spark.read.parquet(run_available_now(t, "s-fraud-sql"))
+    return q
+
+
+def stream_reserved_stock_state(spark: SparkSession, d: str) -> DataFrame:
+    """Reserved stock per product read back from the reservation query's state store."""
+    stream_inventory_check(spark, d)
+    st = spark.read.format("statestore").load(str(LAST_RUN["checkpoint"]))
+    return st.select(F.col("key.product").alias("product"),
+                     F.col("value.groupState.reserved").alias("reserved"))
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_details_check": stream_details_check,
     "stream_fraud_session_totals": stream_fraud_session_totals,
@@ -235,8 +323,21 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_fraud_orders_tumbling_1h": stream_fraud_orders_tumbling("1 hour"),
     "stream_orders_latest": stream_orders_latest,
     "stream_topic_sample": stream_topic_sample,
+    "stream_orders_validated": stream_orders_validated,
+    "stream_notifications": stream_notifications,
+    "stream_search_documents": stream_search_documents,
+    "stream_fraud_orders_sql_1d": stream_fraud_orders_sql("1 day"),
+    "stream_reserved_stock_state": stream_reserved_stock_state,
 }
 
+
+def _order_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    from orderflow.streaming.dataflow import stream_order_outcomes
+    return stream_order_outcomes(spark, d)
+
+
+STREAM_QUERIES["stream_order_outcomes"] = _order_outcomes
+
 # streaming twin -> batch query whose oracle SQL it must match
 ORACLE_OF = {
     "stream_details_check": "details_check",
@@ -251,4 +352,10 @@ ORACLE_OF = {
     "stream_fraud_orders_tumbling_1h": "fraud_orders_tumbling_1h",
     "stream_orders_latest": "orders_latest",
     "stream_topic_sample": "topic_sample",
+    "stream_orders_validated": "orders_validated",
+    "stream_notifications": "notifications",
+    "stream_search_documents": "search_documents",
+    "stream_fraud_orders_sql_1d": "fraud_orders_tumbling_1d",
+    "stream_reserved_stock_state": "reserved_stock_state",
+    "stream_order_outcomes": "order_outcomes",
 }
