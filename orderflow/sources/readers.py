@@ -134,3 +134,10 @@ class HighWaterMark:
 
 def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
+
+
+def with_position(df: DataFrame) -> DataFrame:
+    """Expose where each record came from (file and its modification time), as a
+    consumer record exposes topic/partition/offset; ``seq`` stays the order."""
+    return df.select("*", F.col("_metadata.file_path").alias("source_file"),
+                     F.col("_metadata.file_modification_time").alias("source_time"))
