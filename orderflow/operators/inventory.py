@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from orderflow.functions.expressions import interval_micros, micros
 from orderflow.functions.joins import replicated
 from orderflow.operators.sessions import sessionize
-from orderflow.session import materialize
+from orderflow.session import has_shuffle, materialize
 
 
 def join_stock(orders: DataFrame, inventory: DataFrame, key: str = "product") -> DataFrame:
@@ -192,18 +192,20 @@ def _chain(key: str):
 def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: str = "seq",
                   qty: str = "quantity", stock: str = "stock", hot_rows: int = 2_000_000,
                   split: str = "1 day", domain_limit: int = 100_000,
-                  materialize_input: bool = True) -> DataFrame:
+                  materialize_input: bool | None = None) -> DataFrame:
     """Greedy reservation fold over ``rows`` (orders already joined with their stock).
 
     Returns ``rows`` plus ``validationResult`` (PASS/FAIL) and ``reserved``
     (the product's reservation after this order).  The input is read by the
-    key statistics and by the fold; unless it is a plain scan it is written
-    once to the shared checkpoint folder (``materialize_input``) so its
-    lineage is not computed twice.  The key statistics (one row per key) are
+    key statistics and by the fold; when computing it needs a shuffle it is
+    written once to the shared checkpoint folder (``materialize_input``,
+    decided from the plan when None) so its lineage is not computed twice.  The key statistics (one row per key) are
     checkpointed too, and the hot / all-pass paths are planned only when
     some key needs them.
     """
     split_us = interval_micros(split)
+    if materialize_input is None:
+        materialize_input = has_shuffle(rows)
     if materialize_input:
         rows = materialize(rows, "fold-input")
     stats = rows.groupBy(key).agg(

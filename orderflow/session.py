@@ -101,3 +101,20 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def has_shuffle(df) -> bool:
+    """True when computing ``df`` needs a shuffle (an Exchange other than a broadcast).
+
+    Used to decide whether an intermediate read by several branches is worth
+    writing once: re-reading a plain scan is cheaper than writing and reading it.
+    """
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    except Exception:
+        return True
+    for line in plan.splitlines():
+        s = line.strip().lstrip("+-:! ")
+        if s.startswith("Exchange ") or s.startswith("ShuffleQueryStage"):
+            return True
+    return False
