@@ -319,6 +319,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_orders_failed": stream_orders_failed,
     "stream_orders_payments": stream_orders_payments,
     "stream_orders_by_level": stream_orders_by_level,
+    "stream_fraud_orders_tumbling": stream_fraud_orders_tumbling(S.FRAUD_TUMBLING_WINDOW),
     "stream_fraud_orders_tumbling_1d": stream_fraud_orders_tumbling("1 day"),
     "stream_fraud_orders_tumbling_1h": stream_fraud_orders_tumbling("1 hour"),
     "stream_orders_latest": stream_orders_latest,
@@ -348,6 +349,7 @@ ORACLE_OF = {
     "stream_orders_failed": "orders_failed",
     "stream_orders_payments": "orders_payments",
     "stream_orders_by_level": "orders_by_level",
+    "stream_fraud_orders_tumbling": "fraud_orders_tumbling",
     "stream_fraud_orders_tumbling_1d": "fraud_orders_tumbling_1d",
     "stream_fraud_orders_tumbling_1h": "fraud_orders_tumbling_1h",
     "stream_orders_latest": "orders_latest",

@@ -92,3 +92,10 @@ def test_line_fold_reserves_expected_units(spark):
     out = inventory.reserve_stock(rows)
     reserved = out.where("validationResult = 'PASS'").agg(F.sum("quantity")).collect()[0][0]
     assert reserved == 933928
+
+
+def test_negative_quantity_frees_stock_in_sequential_path(spark):
+    # stock 10; quantities -3, 12, 2 -> PASS (reserved -3), PASS (9), FAIL (9)
+    out = inventory.reserve_stock(_rows(spark, 10, [-3, 12, 2]), hot_rows=0, materialize_input=False)
+    got = {r["id"]: (r["validationResult"], r["reserved"]) for r in out.collect()}
+    assert got == {"o0": ("PASS", -3), "o1": ("PASS", 9), "o2": ("FAIL", 9)}
