@@ -46,7 +46,7 @@ def details_check(orders: DataFrame) -> DataFrame:
 
 
 def fraud_session_totals(orders: DataFrame, gap: str = S.FRAUD_SESSION_GAP,
-                         split: str = "1 hour") -> DataFrame:
+                         split: str | None = None) -> DataFrame:
     """Per-customer session running total of ``quantity * price``.
 
     One row per created order: the session it falls in and the session
@@ -64,7 +64,7 @@ def fraud_session_totals(orders: DataFrame, gap: str = S.FRAUD_SESSION_GAP,
 
 
 def fraud_check(orders: DataFrame, limit: float = S.FRAUD_LIMIT, gap: str = S.FRAUD_SESSION_GAP,
-                split: str = "1 hour") -> DataFrame:
+                split: str | None = None) -> DataFrame:
     """FAIL when the running session total is at or above ``limit``, else PASS."""
     t = fraud_session_totals(orders, gap, split)
     v = t.select(F.col("id"), F.col("ts"), F.col("seq"),

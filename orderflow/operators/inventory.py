@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from orderflow.functions.expressions import interval_micros, micros
 from orderflow.functions.joins import replicated
-from orderflow.operators.sessions import sessionize
+from orderflow.operators.sessions import bucket_width, sessionize
 from orderflow.session import has_shuffle, materialize
 
 
@@ -50,7 +50,7 @@ def join_stock(orders: DataFrame, inventory: DataFrame, key: str = "product") ->
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: str, ts: str = "ts", seq: str = "seq",
-              values: tuple[str, ...] = ("stock",), split: str = "1 day",
+              values: tuple[str, ...] = ("stock",), split: str | None = None,
               how: str = "inner") -> DataFrame:
     """For each left row, the latest right row of the same ``by`` with ``right.ts <= left.ts``.
 
@@ -58,11 +58,12 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, ts: str = "ts", seq: s
     row at exactly the left row's time is visible to it.  Like
     :func:`orderflow.operators.sessions.sessionize`, rows are partitioned by
     ``(by, time bucket)`` and the last value of earlier buckets is carried in
-    through a per-bucket summary, so a hot key is not one task.
+    through a per-bucket summary, so a hot key is not one task (by default
+    only hot keys are split, see :func:`orderflow.operators.sessions.bucket_width`;
+    ``split`` forces one fixed width).
     ``how='inner'`` drops left rows with no earlier right row, ``'left'``
     keeps them with nulls.
     """
-    split_us = interval_micros(split)
     val = F.struct(*[F.col(v) for v in values])
     lcols = [c for c in left.columns]
     l = left.select(F.col(by).alias("__by"), micros(ts).alias("__t"), F.lit(1).alias("__kind"),
@@ -73,7 +74,12 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, ts: str = "ts", seq: s
                      F.col(seq).alias("__s"),
                      F.lit(None).cast(left.select(F.struct(*lcols)).schema[0].dataType).alias("__row"),
                      val.alias("__val"))
-    u = l.unionByName(r).withColumn("__b", F.floor(F.col("__t") / F.lit(split_us)).cast("bigint"))
+    u = l.unionByName(r)
+    if split is None:
+        u, width = bucket_width(u, ["__by"], "__t")
+    else:
+        width = F.lit(interval_micros(split))
+    u = u.withColumn("__b", F.floor(F.col("__t") / width).cast("bigint"))
     order = [F.col("__t"), F.col("__kind"), F.col("__s")]
     w = (Window.partitionBy("__by", "__b").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, 0))
@@ -191,7 +197,7 @@ def _chain(key: str):
 
 def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: str = "seq",
                   qty: str = "quantity", stock: str = "stock", hot_rows: int = 2_000_000,
-                  split: str = "1 day", domain_limit: int = 100_000,
+                  split: str | None = None, domain_limit: int = 100_000,
                   materialize_input: bool | None = None) -> DataFrame:
     """Greedy reservation fold over ``rows`` (orders already joined with their stock).
 
@@ -203,20 +209,26 @@ def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: st
     checkpointed too, and the hot / all-pass paths are planned only when
     some key needs them.
     """
-    split_us = interval_micros(split)
     if materialize_input is None:
         materialize_input = has_shuffle(rows)
     if materialize_input:
         rows = materialize(rows, "fold-input")
     stats = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("__n"), F.sum(qty).alias("__demand"), F.min(qty).alias("__qmin"),
-        F.min(stock).alias("__smin"), F.max(stock).alias("__smax"))
+        F.min(stock).alias("__smin"), F.max(stock).alias("__smax"),
+        F.min(micros(ts)).alias("__t0"), F.max(micros(ts)).alias("__t1"))
+    # hot keys are cut into time segments of about ``hot_rows`` rows each
+    # (or of the fixed width ``split`` when given)
+    seg_width = (F.lit(interval_micros(split)) if split is not None else
+                 F.least(F.greatest(F.lit(1e6), (F.col("__t1") - F.col("__t0") + 1).cast("double")
+                                    * float(hot_rows) / F.col("__n")), F.lit(1e17)).cast("bigint"))
     stats = stats.select(
         key,
         ((F.col("__qmin") >= 0) & (F.col("__demand") <= F.col("__smin"))).alias("__allpass"),
         ((F.col("__n") > hot_rows) & (F.col("__qmin") >= 0) & (F.col("__smin") >= 0)
          & (F.col("__smax") <= domain_limit)).alias("__hot"),
-        F.greatest(F.col("__smax"), F.lit(0)).alias("__dom"))
+        F.greatest(F.col("__smax"), F.lit(0)).alias("__dom"),
+        seg_width.alias("__w"))
     stats = materialize(stats, "fold-key-stats")
     kinds = stats.agg(F.count(F.when(F.col("__allpass"), 1)).alias("easy"),
                       F.count(F.when(~F.col("__allpass") & F.col("__hot"), 1)).alias("hot"),
@@ -228,14 +240,14 @@ def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: st
     # all-pass keys: reserved is the running demand (bucketed scan, hot-key safe)
     easy = None
     if kinds["easy"]:
-        easy = tagged.where("__allpass").drop("__allpass", "__hot", "__dom")
+        easy = tagged.where("__allpass").drop("__allpass", "__hot", "__dom", "__w")
         easy = sessionize(easy, key, ts, [seq], "36500 days", {"reserved": F.col(qty).cast("bigint")},
                           split=split, prefix="__sess_")
         easy = easy.drop("__sess_start").withColumn("validationResult", F.lit("PASS"))
 
     hard = tagged.where(~F.col("__allpass")).withColumn("__t", micros(ts))
     hard = hard.withColumn(
-        "__seg", F.when(F.col("__hot"), F.floor(F.col("__t") / F.lit(split_us))).otherwise(F.lit(0))
+        "__seg", F.when(F.col("__hot"), F.floor(F.col("__t") / F.col("__w"))).otherwise(F.lit(0))
         .cast("bigint"))
     sort_cols = [key, "__seg", "__t", seq]
     if kinds["hot"]:
@@ -247,10 +259,10 @@ def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: st
         starts = tables.groupBy(key).applyInPandas(
             _chain(key), T.StructType([rows.schema[key], T.StructField("__seg", T.LongType()),
                                        T.StructField("__rin", T.LongType())]))
-        hard = hard.drop("__allpass", "__hot", "__dom").join(starts, on=[key, "__seg"], how="left")
+        hard = hard.drop("__allpass", "__hot", "__dom", "__w").join(starts, on=[key, "__seg"], how="left")
         hard = hard.withColumn("__rin", F.coalesce(F.col("__rin"), F.lit(0).cast("bigint")))
     else:
-        hard = hard.drop("__allpass", "__hot", "__dom").withColumn("__rin", F.lit(0).cast("bigint"))
+        hard = hard.drop("__allpass", "__hot", "__dom", "__w").withColumn("__rin", F.lit(0).cast("bigint"))
     out_cols = [c for c in hard.columns if c not in ("__seg", "__rin", "__t")]
     out_schema = T.StructType([hard.schema[c] for c in out_cols] + FOLD_FIELDS)
     folded = (hard.repartition(key, "__seg").sortWithinPartitions(*sort_cols)

@@ -47,7 +47,7 @@ def lookup(requests: DataFrame, view: DataFrame, req_key: str = "id", view_key:
                     F.when(hit, F.col("customerId")).alias("customerId"))
 
 
-def stuck_orders(orders: DataFrame, inventory_changes: DataFrame, split: str = "1 day") -> DataFrame:
+def stuck_orders(orders: DataFrame, inventory_changes: DataFrame, split: str | None = None) -> DataFrame:
     """Created orders that never get an inventory verdict: no stock row known at their time."""
     o = orders.where(F.col("state") == "CREATED")
     j = asof_join(o, inventory_changes, "product", how="left", split=split)

@@ -8,8 +8,11 @@ running sums up to and including that row.
 
 Plan (exact, no row of a key ever needs to meet all others in one task):
 
-1. Split each key by a time bucket ``split``: rows are partitioned by
-   ``(key, bucket)`` -- a hot key spreads over many tasks.  Inside a
+1. Split each key by a time bucket: rows are partitioned by ``(key,
+   bucket)`` -- a hot key spreads over many tasks.  By default only hot keys
+   are split (see :func:`bucket_width`): a key with more than
+   ``target_rows`` rows gets buckets sized to hold about that many rows,
+   every other key is one bucket.  Inside a
    bucket, ``lag`` finds breaks, a running count numbers local sessions
    and running sums accumulate per local session.  One Exchange.
 2. A summary row per ``(key, bucket)`` (first/last time, number of local
@@ -38,6 +41,32 @@ from orderflow.functions.expressions import interval_micros, micros
 
 _T, _B, _LSID, _NEW = "__t", "__b", "__lsid", "__new"
 
+# A key is split when it has more rows than this (one task's worth of a
+# sorted window partition); its buckets then hold about this many rows.
+TARGET_ROWS = 4_000_000
+# Width used for keys that are not split (one bucket for ~3,000 years).
+WHOLE_KEY_US = 10 ** 17
+
+
+def bucket_width(df: DataFrame, keys: Sequence[str], t: str, target_rows: int = TARGET_ROWS,
+                 min_width_us: int = 1_000_000) -> tuple[DataFrame, Column]:
+    """Attach a per-key bucket width (microseconds) to ``df``.
+
+    One narrow aggregate (key -> rows, first and last time) finds the hot
+    keys; only those get ``span * target_rows / rows`` wide buckets.  The hot
+    key table has at most ``total rows / target_rows`` rows -- a bound that
+    holds by construction -- so it is broadcast.
+    """
+    stats = (df.groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__t0"), F.max(t).alias("__t1"))
+             .where(F.col("__n") > target_rows))
+    width = F.least(F.greatest(F.lit(float(min_width_us)),
+                               (F.col("__t1") - F.col("__t0") + 1).cast("double") * float(target_rows)
+                               / F.col("__n")), F.lit(float(WHOLE_KEY_US))).cast("bigint")
+    hot = stats.select(*keys, width.alias("__w"))
+    out = df.join(F.broadcast(hot), on=list(keys), how="left")
+    return out, F.coalesce(F.col("__w"), F.lit(WHOLE_KEY_US))
+
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -45,21 +74,26 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, order: Sequence[str],
                gap: str, measures: Mapping[str, Column] | None = None,
-               split: str = "1 hour", prefix: str = "session_") -> DataFrame:
+               split: str | None = None, prefix: str = "session_",
+               target_rows: int = TARGET_ROWS) -> DataFrame:
     """Add ``session_start`` (timestamp) and running sums of ``measures``.
 
     ``order`` are tie-breaking columns after ``ts`` (e.g. ``["seq"]``).
     ``measures`` maps output name -> numeric column (summed per session).
-    ``split`` is the bucket width used to spread hot keys; any width gives
-    the same answer, it only changes the parallelism.
+    ``split``: a fixed bucket width for every key; ``None`` (default) splits
+    only hot keys, by :func:`bucket_width`.  Any width gives the same
+    answer, it only changes the parallelism.
     """
     keys = _keys(key)
     measures = dict(measures or {})
     gap_us = interval_micros(gap)
-    split_us = interval_micros(split)
 
     base = df.withColumn(_T, micros(ts))
-    base = base.withColumn(_B, F.floor(F.col(_T) / F.lit(split_us)).cast("bigint"))
+    if split is None:
+        base, width = bucket_width(base, keys, _T, target_rows)
+    else:
+        width = F.lit(interval_micros(split))
+    base = base.withColumn(_B, F.floor(F.col(_T) / width).cast("bigint"))
     for name, c in measures.items():
         base = base.withColumn(f"__m_{name}", c)
 

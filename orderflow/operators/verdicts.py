@@ -36,7 +36,7 @@ def validations_union(*verdicts: DataFrame) -> DataFrame:
 
 def pass_counts(validations: DataFrame, gap: str = S.VALIDATION_SESSION_GAP,
                 n_rules: int = S.NUMBER_OF_RULES, distinct_checks: bool = False,
-                split: str = "1 day") -> DataFrame:
+                split: str | None = None) -> DataFrame:
     """One row per (orderId, verdict session): verdicts, passes, reach and end time."""
     v = validations.select("orderId", "checkType", "validationResult", "ts", "seq")
     is_pass = F.col("validationResult") == "PASS"

@@ -46,15 +46,16 @@ def test_sessionize_equals_brute_force(spark, evs, gap, split):
 
 
 @SETTINGS
-@given(evs=events, stock=st.integers(0, 30), hot=st.sampled_from([10 ** 9, 3]))
-def test_fold_equals_brute_force_and_never_oversells(spark, evs, stock, hot):
+@given(evs=events, stock=st.integers(0, 30), hot=st.sampled_from([10 ** 9, 3]),
+       split=st.sampled_from([None, "2 hours"]))
+def test_fold_equals_brute_force_and_never_oversells(spark, evs, stock, hot, split):
     evs = [(k, t, abs(q), p) for k, t, q, p in evs]
     o = _orders(spark, evs)
     inv = spark.createDataFrame([("P0", stock), ("P1", stock + 5), ("P2", 2)],
                                 "product string, stock int")
     rows = inventory.join_stock(o, inv)
     got = {r["id"]: (r["validationResult"], r["reserved"])
-           for r in inventory.reserve_stock(rows, hot_rows=hot, split="2 hours").collect()}
+           for r in inventory.reserve_stock(rows, hot_rows=hot, split=split).collect()}
     stocks = {"P0": stock, "P1": stock + 5, "P2": 2}
     exp = {}
     for k in {e[0] for e in evs}:
@@ -66,3 +67,15 @@ def test_fold_equals_brute_force_and_never_oversells(spark, evs, stock, hot):
             exp[f"o{i}"] = ("PASS" if ok else "FAIL", r)
             assert r <= s
     assert got == exp
+
+
+@SETTINGS
+@given(evs=events, target=st.sampled_from([2, 5, 10 ** 6]))
+def test_adaptive_hot_key_split_equals_whole_key(spark, evs, target):
+    from pyspark.sql import functions as F
+    from orderflow.operators.sessions import sessionize
+    o = _orders(spark, evs).withColumn("v", F.col("quantity").cast("bigint"))
+    a = sessionize(o, "customerId", "ts", ["seq"], "1 hour", {"run": F.col("v")}, target_rows=target)
+    b = sessionize(o, "customerId", "ts", ["seq"], "1 hour", {"run": F.col("v")}, split="36500 days")
+    key = lambda r: (r["id"], r["session_start"], r["run"])
+    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
