@@ -49,20 +49,32 @@ WHOLE_KEY_US = 10 ** 17
 
 
 def bucket_width(df: DataFrame, keys: Sequence[str], t: str, target_rows: int = TARGET_ROWS,
-                 min_width_us: int = 1_000_000) -> tuple[DataFrame, Column]:
+                 min_width_us: int = 1_000_000, expected_hits: int = 64,
+                 seed: int = 17) -> tuple[DataFrame, Column]:
     """Attach a per-key bucket width (microseconds) to ``df``.
 
-    One narrow aggregate (key -> rows, first and last time) finds the hot
-    keys; only those get ``span * target_rows / rows`` wide buckets.  The hot
-    key table has at most ``total rows / target_rows`` rows -- a bound that
-    holds by construction -- so it is broadcast.
+    Hot keys are found from a Bernoulli sample that expects ``expected_hits``
+    rows of a key holding ``target_rows`` rows (fraction
+    ``expected_hits / target_rows``), so detection costs one read of the key
+    and time columns and a shuffle of the sample only -- never one row per
+    key, which for order ids would be as large as the data.  A key counted
+    at least half the expected hits is split into buckets of about
+    ``target_rows`` rows (estimated from the sample).  Correctness does not
+    depend on the widths -- every width gives the same result; the sample only
+    sizes the parallelism, no row is dropped.  The hot key table has at most
+    ``2 * sample size / expected_hits`` rows, so it is broadcast.
     """
-    stats = (df.groupBy(*keys)
+    frac = min(1.0, expected_hits / float(target_rows))
+    min_hits = max(1, expected_hits // 2)
+    sample = df.select(*keys, t) if frac >= 1.0 else \
+        df.select(*keys, t).sample(withReplacement=False, fraction=frac, seed=seed)
+    stats = (sample.groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__t0"), F.max(t).alias("__t1"))
-             .where(F.col("__n") > target_rows))
+             .where(F.col("__n") >= min_hits))
+    est_rows = F.col("__n").cast("double") / frac
     width = F.least(F.greatest(F.lit(float(min_width_us)),
                                (F.col("__t1") - F.col("__t0") + 1).cast("double") * float(target_rows)
-                               / F.col("__n")), F.lit(float(WHOLE_KEY_US))).cast("bigint")
+                               / est_rows), F.lit(float(WHOLE_KEY_US))).cast("bigint")
     hot = stats.select(*keys, width.alias("__w"))
     out = df.join(F.broadcast(hot), on=list(keys), how="left")
     return out, F.coalesce(F.col("__w"), F.lit(WHOLE_KEY_US))

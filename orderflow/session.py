@@ -23,6 +23,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # keyed streaming state (sessions, reservations) lives off-heap in RocksDB
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
 }
 
@@ -118,3 +122,24 @@ def has_shuffle(df) -> bool:
         if s.startswith("Exchange ") or s.startswith("ShuffleQueryStage"):
             return True
     return False
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str],
+                            bytes_per_partition: int = 128 * 1024 * 1024,
+                            expansion: float = 3.0) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the input size (file metadata only).
+
+    ``expansion`` accounts for decompressed, row-format shuffle data being
+    larger than the parquet input; AQE coalesces partitions that turn out
+    small, so erring high is cheap while erring low spills.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+            int(total * expansion / bytes_per_partition) + 1)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -68,3 +68,18 @@ def test_sessions_split_across_buckets_match_single_bucket(spark):
         {k: (r["total"], r["session_start"]) for k, r in coarse.items()}
     assert fine["59"]["total"] == 60.0 and fine["59"]["session_start"] == at(0)
     assert fine["late"]["total"] == 1.0
+
+
+def test_sampled_hot_key_detection_splits_only_hot_keys(spark):
+    from pyspark.sql import functions as F
+    from orderflow.functions.expressions import micros
+    from orderflow.operators.sessions import WHOLE_KEY_US, bucket_width
+    from orderflow.sources import fixtures as fx
+    from conftest import SF01
+    o = fx.orders(spark, SF01).withColumn("__t", micros("ts"))
+    # one artificial hot key: every order of customers < 100 re-keyed to 0
+    o = o.withColumn("k", F.when(F.col("customerId") < 100, F.lit(0)).otherwise(F.col("customerId")))
+    out, w = bucket_width(o, ["k"], "__t", target_rows=1000, expected_hits=200)
+    widths = {r["k"]: r["w"] for r in out.select("k", w.alias("w")).distinct().collect()}
+    assert widths[0] < WHOLE_KEY_US                      # ~6,700 rows: split
+    assert all(v == WHOLE_KEY_US for k, v in widths.items() if k != 0)  # ~67 rows: whole
