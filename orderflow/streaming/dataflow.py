@@ -54,6 +54,15 @@ def _stocked(spark: SparkSession, d: str, path: str) -> None:
     run_available_now(orders, "s-stocked", foreach=lookup)
 
 
+def stocked_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Run the stock lookup and return its output folder as a stream (the re-keyed channel)."""
+    stocked = scratch_path(spark, "stocked")
+    _stocked(spark, d, stocked)
+    schema = spark.read.parquet(f"{stocked}/batch=*").schema
+    return (spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(stocked)
+            .drop("batch"))
+
+
 def run_validators(spark: SparkSession, d: str) -> list[str]:
     base = scratch_path(spark, "verdicts")
     details, fraud, inv = f"{base}/details", f"{base}/fraud", f"{base}/inventory"
@@ -69,11 +78,8 @@ def run_validators(spark: SparkSession, d: str) -> list[str]:
         (F.col("ts") + F.expr("INTERVAL '2' SECOND")).alias("ts"), (F.col("seq") * 3 + 1).alias("seq"))
     run_available_now(f, "s-v-fraud", path=fraud)
 
-    stocked = scratch_path(spark, "stocked")
-    _stocked(spark, d, stocked)
-    schema = spark.read.parquet(f"{stocked}/batch=*").schema
-    rows = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(stocked)
-    inv_v = stateful.reserve_stock(rows.drop("batch")).select(
+    rows = stocked_stream(spark, d)
+    inv_v = stateful.reserve_stock(rows).select(
         F.col("id").alias("orderId"), F.lit("INVENTORY_CHECK").alias("checkType"), "validationResult",
         (F.col("ts") + F.expr("INTERVAL '3' SECOND")).alias("ts"), (F.col("seq") * 3 + 2).alias("seq"))
     run_available_now(inv_v, "s-v-inventory", path=inv)

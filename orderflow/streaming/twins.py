@@ -94,7 +94,8 @@ def observed(df: DataFrame, stage: str) -> DataFrame:
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append",
                       foreach: Callable[[DataFrame, int], None] | None = None,
-                      path: str | None = None, checkpoint: str | None = None) -> str:
+                      path: str | None = None, checkpoint: str | None = None,
+                      partition_by: list[str] | None = None) -> str:
     """Run a streaming DataFrame to the end of its input; return the sink path.
 
     The checkpoint and the sink's metadata log make the run exactly-once and
@@ -108,6 +109,8 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
     if foreach is not None:
         q = w.foreachBatch(foreach).start()
     else:
+        if partition_by:
+            w = w.partitionBy(*partition_by)
         q = w.format("parquet").option("path", out).start()
     q.awaitTermination()
     LAST_RUN.update(name=name, checkpoint=ck, path=out, progress=q.recentProgress)
@@ -220,6 +223,24 @@ def stream_orders_by_level(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(run_available_now(j, "s-orders-by-level"))
 
 
+def stream_level_routing_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Routing as a stream: one sink partitioned by the customer level, read back and counted."""
+    o = fx.orders(spark, d, src=table_stream(spark, d, "events"))
+    j = enrich.orders_by_level(o, fx.customers(spark, d))
+    path = run_available_now(j, "s-routing", partition_by=["customerLevel"])
+    return spark.read.parquet(path).groupBy("customerLevel").agg(F.count(F.lit(1)).alias("orders"))
+
+
+def stream_inventory_check_asof(spark: SparkSession, d: str) -> DataFrame:
+    """Orders ⋈ stock known at their time (per micro-batch, against the changelog table),
+    then the stateful reservation."""
+    from orderflow.streaming.dataflow import stocked_stream
+    rows = stocked_stream(spark, d)
+    out = run_available_now(stateful.reserve_stock(rows), "s-reserve-asof")
+    return spark.read.parquet(out).select("id", "product", "quantity", "stock",
+                                          "validationResult", "reserved")
+
+
 def stream_fraud_orders_tumbling(window: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, d: str) -> DataFrame:
         o = fx.orders(spark, d, src=table_stream(spark, d, "events", sentinel=True))
@@ -319,6 +340,8 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_orders_failed": stream_orders_failed,
     "stream_orders_payments": stream_orders_payments,
     "stream_orders_by_level": stream_orders_by_level,
+    "stream_level_routing_counts": stream_level_routing_counts,
+    "stream_inventory_check_asof": stream_inventory_check_asof,
     "stream_fraud_orders_tumbling": stream_fraud_orders_tumbling(S.FRAUD_TUMBLING_WINDOW),
     "stream_fraud_orders_tumbling_1d": stream_fraud_orders_tumbling("1 day"),
     "stream_fraud_orders_tumbling_1h": stream_fraud_orders_tumbling("1 hour"),
@@ -349,6 +372,8 @@ ORACLE_OF = {
     "stream_orders_failed": "orders_failed",
     "stream_orders_payments": "orders_payments",
     "stream_orders_by_level": "orders_by_level",
+    "stream_level_routing_counts": "level_routing_counts",
+    "stream_inventory_check_asof": "inventory_check_asof",
     "stream_fraud_orders_tumbling": "fraud_orders_tumbling",
     "stream_fraud_orders_tumbling_1d": "fraud_orders_tumbling_1d",
     "stream_fraud_orders_tumbling_1h": "fraud_orders_tumbling_1h",
