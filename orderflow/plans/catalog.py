@@ -100,11 +100,20 @@ def _customers_incremental(spark: SparkSession, d: str) -> DataFrame:
     return readers.customer_keyed(rows)
 
 
+def nullable_id_as_text(df: DataFrame, col: str = "customerId") -> DataFrame:
+    """Emit a nullable BIGINT id as text in a registered result.
+
+    Engines hand nullable integers to pandas differently (float with NaN vs.
+    a nullable integer type); text keeps every value and null identical.
+    """
+    return df.withColumn(col, F.col(col).cast("string"))
+
+
 def _lookup(terminal_only: bool) -> Query:
     def q(spark: SparkSession, d: str) -> DataFrame:
         view = reports.latest(fx.order_states(spark, d), "id")
         req = fx.payments(spark, d).select(F.col("orderId").alias("id")).distinct()
-        return reports.lookup(req, view, terminal_only=terminal_only)
+        return nullable_id_as_text(reports.lookup(req, view, terminal_only=terminal_only))
     return q
 
 
@@ -151,8 +160,8 @@ QUERIES: dict[str, Query] = {
         enrich.orders_payments(fx.orders(s, d), fx.payments(s, d)), fx.customers(s, d)),
     "orders_by_level": lambda s, d: enrich.orders_by_level(fx.orders(s, d), fx.customers(s, d)),
     "level_routing_counts": _level_routing_counts,
-    "orders_enriched_sql": lambda s, d: sqlplan.enriched_projection(
-        _enriched(s, d)[sqlplan.ORDERS_ENRICHED_STREAM]),
+    "orders_enriched_sql": lambda s, d: nullable_id_as_text(sqlplan.enriched_projection(
+        _enriched(s, d)[sqlplan.ORDERS_ENRICHED_STREAM])),
     "fraud_orders_tumbling": _tumbling(S.FRAUD_TUMBLING_WINDOW),
     "fraud_orders_tumbling_1h": _tumbling("1 hour"),
     "fraud_orders_tumbling_1d": _tumbling("1 day"),

@@ -242,7 +242,7 @@ def lookup_sql(terminal_only: bool) -> str:
 lv AS (SELECT id, state, customerId FROM lt WHERE rn = 1),
 req AS (SELECT DISTINCT orderId AS id FROM pay)
 SELECT r.id, ({hit}) AS answered, CASE WHEN {hit} THEN l.state END AS state,
-  CASE WHEN {hit} THEN l.customerId END AS customerId
+  CAST(CASE WHEN {hit} THEN l.customerId END AS VARCHAR) AS customerId
 FROM req r LEFT JOIN lv l ON r.id = l.id"""
 
 
@@ -330,8 +330,10 @@ SELECT o.id, o.customerId, c.level AS customerLevel FROM ord o JOIN cust c ON o.
     q["level_routing_counts"] = f"""WITH {ORD}, {CUST}
 SELECT c.level AS customerLevel, COUNT(*) AS orders
 FROM ord o JOIN cust c ON o.customerId = c.id GROUP BY c.level"""
+    # nullable ids are compared as text (see catalog.nullable_id_as_text)
     q["orders_enriched_sql"] = f"""WITH {ORD}, {CUST}, {ENRICHED}
-SELECT customerId, firstName, lastName, level, product, quantity, price FROM enr"""
+SELECT CAST(customerId AS VARCHAR) AS customerId, firstName, lastName, level, product, quantity,
+  price FROM enr"""
     q["fraud_orders_tumbling"] = tumbling_sql(S.FRAUD_TUMBLING_WINDOW, S.FRAUD_MIN_COUNT)
     q["fraud_orders_tumbling_1h"] = tumbling_sql("1 hour", S.FRAUD_MIN_COUNT)
     q["fraud_orders_tumbling_1d"] = tumbling_sql("1 day", S.FRAUD_MIN_COUNT)

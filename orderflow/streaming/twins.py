@@ -164,10 +164,10 @@ def stream_fraud_check(spark: SparkSession, d: str, limit: float = S.FRAUD_LIMIT
         (F.col("ts") + F.expr("INTERVAL '2' SECOND")).alias("ts"), (F.col("seq") * 3 + 1).alias("seq"))
 
 
-def stream_inventory_check(spark: SparkSession, d: str) -> DataFrame:
+def stream_inventory_check(spark: SparkSession, d: str, checkpoint: str | None = None) -> DataFrame:
     lines = fx.line_orders(spark, d, src=table_stream(spark, d, "lineitem"))
     rows = lines.join(fx.part_inventory(spark, d), on="product", how="inner")  # stream-static
-    out = run_available_now(stateful.reserve_stock(rows), "s-reserve")
+    out = run_available_now(stateful.reserve_stock(rows), "s-reserve", checkpoint=checkpoint)
     return spark.read.parquet(out).select("id", "product", "quantity", "stock",
                                           "validationResult", "reserved")
 
@@ -325,8 +325,9 @@ def stream_fraud_orders_sql(window: str) -> Callable[[SparkSession, str], DataFr
 
 def stream_reserved_stock_state(spark: SparkSession, d: str) -> DataFrame:
     """Reserved stock per product read back from the reservation query's state store."""
-    stream_inventory_check(spark, d)
-    st = spark.read.format("statestore").load(str(LAST_RUN["checkpoint"]))
+    ck = scratch_path(spark, "s-reserve-state-checkpoint")
+    stream_inventory_check(spark, d, checkpoint=ck)
+    st = spark.read.format("statestore").load(ck)
     return st.select(F.col("key.product").alias("product"),
                      F.col("value.groupState.reserved").alias("reserved"))
 
