@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.functions.expressions import interval_micros, micros
+from orderflow.functions.joins import estimated_bytes
 
 _T, _B, _LSID, _NEW = "__t", "__b", "__lsid", "__new"
 
@@ -46,6 +47,9 @@ _T, _B, _LSID, _NEW = "__t", "__b", "__lsid", "__new"
 TARGET_ROWS = 4_000_000
 # Width used for keys that are not split (one bucket for ~3,000 years).
 WHOLE_KEY_US = 10 ** 17
+# Inputs whose estimated size is below target_rows * this cannot hold a hot
+# key worth splitting; sampling is skipped for them (results are the same).
+SMALL_INPUT_BYTES_PER_ROW = 16
 
 
 def bucket_width(df: DataFrame, keys: Sequence[str], t: str, target_rows: int = TARGET_ROWS,
@@ -64,6 +68,10 @@ def bucket_width(df: DataFrame, keys: Sequence[str], t: str, target_rows: int =
     sizes the parallelism, no row is dropped.  The hot key table has at most
     ``2 * sample size / expected_hits`` rows, so it is broadcast.
     """
+    size = estimated_bytes(df)
+    if size is not None and size < target_rows * SMALL_INPUT_BYTES_PER_ROW:
+        # too small to hold a hot key at all: every key stays whole, no sample job
+        return df, F.lit(WHOLE_KEY_US)
     frac = min(1.0, expected_hits / float(target_rows))
     min_hits = max(1, expected_hits // 2)
     sample = df.select(*keys, t) if frac >= 1.0 else \
