@@ -89,13 +89,7 @@ def run_validators(spark: SparkSession, d: str) -> list[str]:
 def run_aggregator(spark: SparkSession, d: str, channel: list[str]) -> DataFrame:
     # VALIDATED: closed PASS-count sessions ⋈ created orders (table)
     v = drop_sentinel(_channel_stream(spark, channel, sentinel=True).withWatermark("ts", "0 seconds"))
-    is_pass = F.col("validationResult") == "PASS"
-    g = v.groupBy("orderId", F.session_window("ts", S.VALIDATION_SESSION_GAP).alias("w")).agg(
-        F.max("ts").alias("session_end"), F.count(F.lit(1)).alias("verdicts"),
-        F.sum(F.when(is_pass, 1).otherwise(0)).cast("bigint").alias("passes"),
-        F.array_sort(F.collect_list(F.when(is_pass, F.col("ts")))).alias("__pass_ts"))
-    g = g.select("orderId", F.col("w.start").alias("session_start"), "session_end", "verdicts",
-                 "passes", F.get(F.col("__pass_ts"), S.NUMBER_OF_RULES - 1).alias("reach_ts"))
+    g = stateful.pass_sessions(v)
     counts = spark.read.parquet(run_available_now(g, "s-agg-counts"))
     ok = verdicts.orders_validated(counts, fx.orders(spark, d))
 

@@ -9,8 +9,12 @@
 * :func:`reserve_stock` -- per product, the greedy reservation fold;
   state: the reserved quantity (never released).
 
-Rows of one key inside a micro-batch arrive in no particular order, so both
-sort by ``(ts, seq)`` before applying them.
+* :func:`pass_sessions` -- per order, verdict sessions with bounded state
+  (counts and the few smallest PASS times), emitted once closed.
+
+Rows of one key inside a micro-batch arrive in no particular order, so they
+are sorted by ``(ts, seq)`` before being applied; that buffer is bounded by
+the micro-batch size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
 """
 
 from __future__ import annotations
@@ -141,3 +145,91 @@ def reserve_stock(rows: DataFrame, key: str = "product") -> DataFrame:
         T.StructField("validationResult", T.StringType()), T.StructField("reserved", T.LongType())])
     return r.groupBy(key).applyInPandasWithState(
         _reserve_fn(cols), out_schema, RESERVE_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+# ---- PASS-count sessions (bounded state) ---------------------------------------------
+
+PASS_STATE = T.StructType([
+    T.StructField("starts", T.ArrayType(T.LongType())),
+    T.StructField("ends", T.ArrayType(T.LongType())),
+    T.StructField("verdicts", T.ArrayType(T.LongType())),
+    T.StructField("passes", T.ArrayType(T.LongType())),
+    # the n smallest PASS times of each session, n slots per session (-1 = empty)
+    T.StructField("first_passes", T.ArrayType(T.LongType())),
+])
+
+PASS_OUT = T.StructType([
+    T.StructField("orderId", T.StringType()),
+    T.StructField("session_start_us", T.LongType()),
+    T.StructField("session_end_us", T.LongType()),
+    T.StructField("verdicts", T.LongType()),
+    T.StructField("passes", T.LongType()),
+    T.StructField("reach_us", T.LongType()),
+])
+
+
+def _pass_fn(gap_us: int, n: int):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            st, en, ve, pa_, fp = (list(x) for x in state.get)
+            firsts = [[v for v in fp[i * n:(i + 1) * n] if v >= 0] for i in range(len(st))]
+        else:
+            st, en, ve, pa_, firsts = [], [], [], [], []
+        ts, seqs, oks = [], [], []
+        for p in pdfs:
+            if len(p):
+                ts.append(p["__t"].to_numpy()); seqs.append(p["seq"].to_numpy())
+                oks.append(p["__pass"].to_numpy())
+        if ts:
+            t_all, s_all, ok_all = np.concatenate(ts), np.concatenate(seqs), np.concatenate(oks)
+            order = np.lexsort((s_all, t_all))
+            for t, ok in zip(t_all[order].tolist(), ok_all[order].tolist()):
+                hit = [i for i in range(len(st)) if st[i] - gap_us <= t <= en[i] + gap_us]
+                s, e, v, p, f = t, t, 1, int(ok), ([t] if ok else [])
+                for i in hit:
+                    s, e = min(s, st[i]), max(e, en[i])
+                    v, p, f = v + ve[i], p + pa_[i], f + firsts[i]
+                for i in reversed(hit):
+                    del st[i], en[i], ve[i], pa_[i], firsts[i]
+                st.append(s); en.append(e); ve.append(v); pa_.append(p); firsts.append(sorted(f)[:n])
+        wm = state.getCurrentWatermarkMs() * 1000
+        done = [i for i in range(len(st)) if en[i] + gap_us < wm]
+        if done:
+            yield pd.DataFrame({
+                "orderId": [key[0]] * len(done),
+                "session_start_us": [st[i] for i in done], "session_end_us": [en[i] for i in done],
+                "verdicts": [ve[i] for i in done], "passes": [pa_[i] for i in done],
+                "reach_us": pd.array([firsts[i][n - 1] if len(firsts[i]) >= n else None for i in done],
+                                     dtype="Int64")})
+        keep = [i for i in range(len(st)) if i not in set(done)]
+        if keep:
+            flat = []
+            for i in keep:
+                flat += firsts[i] + [-1] * (n - len(firsts[i]))
+            state.update(([st[i] for i in keep], [en[i] for i in keep], [ve[i] for i in keep],
+                          [pa_[i] for i in keep], flat))
+            state.setTimeoutTimestamp(max((min(en[i] for i in keep) + gap_us) // 1000 + 1,
+                                          state.getCurrentWatermarkMs() + 1))
+        else:
+            state.remove()
+    return fn
+
+
+def pass_sessions(validations: DataFrame, gap: str = S.VALIDATION_SESSION_GAP,
+                  n_rules: int = S.NUMBER_OF_RULES) -> DataFrame:
+    """Streaming per-order verdict sessions: verdicts, PASS count, time of the n-th PASS.
+
+    State per open session is five numbers plus the ``n_rules`` smallest PASS
+    times (enough to merge sessions exactly); a session is emitted once the
+    watermark passes its end plus the gap.  Input must carry a watermark.
+    """
+    v = validations.select(
+        "orderId", "ts", "seq", micros("ts").alias("__t"),
+        (F.col("validationResult") == "PASS").alias("__pass"))
+    out = v.groupBy("orderId").applyInPandasWithState(
+        _pass_fn(interval_micros(gap), n_rules), PASS_OUT, PASS_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout)
+    return out.select(
+        "orderId", F.timestamp_micros("session_start_us").alias("session_start"),
+        F.timestamp_micros("session_end_us").alias("session_end"), "verdicts", "passes",
+        F.timestamp_micros("reach_us").alias("reach_ts"))

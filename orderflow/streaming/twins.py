@@ -15,11 +15,9 @@ it never reaches an operator.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,23 +51,27 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, sentinel: bool = F
 
 
 def _sentinel_dir(spark: SparkSession, name: str, schema) -> str:
+    """Two one-row files of far-future control records in the shared folder.
+
+    Written through Spark, so the folder may be on any filesystem the
+    cluster's checkpoint dir names.
+    """
     d = scratch_path(spark, f"sentinel-{name}")
-    arrays = []
+    far = datetime(1970, 1, 1) + timedelta(microseconds=SENTINEL_US)
+    row = []
     for f in schema.fields:
         t = f.dataType.typeName()
         if t in ("timestamp_ntz", "timestamp"):
-            arrays.append(pa.array([SENTINEL_US], pa.timestamp("us")))
+            row.append(far)
         elif t in ("long", "integer"):
-            arrays.append(pa.array([SENTINEL_SEQ], pa.int64() if t == "long" else pa.int32()))
+            row.append(SENTINEL_SEQ)
         elif t == "double":
-            arrays.append(pa.array([0.0]))
+            row.append(0.0)
         else:
-            arrays.append(pa.array([None], pa.string()))
-    path = d.replace("file:", "")
-    os.makedirs(path, exist_ok=True)
-    table = pa.Table.from_arrays(arrays, names=[f.name for f in schema.fields])
-    pq.write_table(table, f"{path}/sentinel-1.parquet")
-    pq.write_table(table, f"{path}/sentinel-2.parquet")
+            row.append(None)
+    one = spark.createDataFrame([tuple(row)], schema).coalesce(1)
+    one.write.mode("append").parquet(d)  # first file: advances the watermark
+    one.write.mode("append").parquet(d)  # second file: its batch evicts with it
     return d
 
 
@@ -178,14 +180,7 @@ def stream_validation_pass_counts(spark: SparkSession, d: str,
                                   out_path: str | None = None) -> DataFrame:
     v = fx.validations(spark, d, src=table_stream(spark, d, "events", sentinel=True))
     v = drop_sentinel(v.withWatermark("ts", "0 seconds"))
-    is_pass = F.col("validationResult") == "PASS"
-    g = v.groupBy("orderId", F.session_window("ts", gap).alias("w")).agg(
-        F.max("ts").alias("session_end"), F.count(F.lit(1)).alias("verdicts"),
-        F.sum(F.when(is_pass, 1).otherwise(0)).cast("bigint").alias("passes"),
-        # PASS times of one order's verdict session (a handful: one per check)
-        F.array_sort(F.collect_list(F.when(is_pass, F.col("ts")))).alias("__pass_ts"))
-    g = g.select("orderId", F.col("w.start").alias("session_start"), "session_end", "verdicts",
-                 "passes", F.get(F.col("__pass_ts"), n_rules - 1).alias("reach_ts"))
+    g = stateful.pass_sessions(v, gap, n_rules)
     return spark.read.parquet(run_available_now(g, "s-pass-counts", path=out_path))
 
 
