@@ -102,6 +102,9 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, ts: str = "ts", seq: s
 
 # ---------------------------------------------------------------- the fold
 
+# Entries of transfer tables one key may gather in its chain (256 MB of longs).
+TABLE_BUDGET = 32 * 1024 * 1024
+
 FOLD_FIELDS = [T.StructField("validationResult", T.StringType()),
                T.StructField("reserved", T.LongType())]
 
@@ -152,33 +155,58 @@ def _fold_partition(key: str, qty: str, stock: str):
 
 
 def _transfer_tables(key: str, qty: str, stock: str):
-    """Per (key, segment): table of reserved_out for every reserved_in in [0, domain]."""
+    """Per (key, segment): table of reserved_out for every reserved_in in [0, domain].
+
+    Computed over the *distinct* reachable values only: starting states that
+    meet stay together, so after periodic ``np.unique`` merges the work per
+    row is the number of distinct values (a handful once stock is contended),
+    and a row that cannot pass from any current value is skipped in O(1).
+    """
+    def flush(out, cur, vals, inv):
+        out[0].append(cur[0]); out[1].append(cur[1]); out[2].append(vals[inv].tolist())
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cur = None
-        table = None
-        out_k, out_s, out_t = [], [], []
+        vals = inv = None
+        lo = 0
+        since = 0
+        out = ([], [], [])
         for pdf in batches:
             keys = pdf[key].to_numpy()
             segs = pdf["__seg"].to_numpy()
+            starts = _segment_starts(keys, segs)
+            if cur is not None and len(pdf) and (keys[0], segs[0]) == cur:
+                starts[0] = False
             dom = pdf["__dom"].to_numpy()
             q = pdf[qty].to_numpy(dtype=np.int64)
             s = pdf[stock].to_numpy(dtype=np.int64)
             for i in range(len(pdf)):
-                k = (keys[i], segs[i])
-                if k != cur:
+                if starts[i]:
                     if cur is not None:
-                        out_k.append(cur[0]); out_s.append(cur[1]); out_t.append(table.tolist())
-                    cur = k
-                    table = np.arange(int(dom[i]) + 1, dtype=np.int64)
-                cand = table + q[i]
-                np.copyto(table, cand, where=cand <= s[i])
-            if len(out_k) > 10_000:
-                yield pd.DataFrame({key: out_k, "__seg": out_s, "__table": out_t})
-                out_k, out_s, out_t = [], [], []
+                        flush(out, cur, vals, inv)
+                    cur = (keys[i], segs[i])
+                    vals = np.arange(int(dom[i]) + 1, dtype=np.int64)
+                    inv = np.arange(int(dom[i]) + 1)
+                    lo = 0
+                    since = 0
+                qi, si = q[i], s[i]
+                if lo + qi > si:
+                    continue  # fails from every current value: nothing changes
+                cand = vals + qi
+                np.copyto(vals, cand, where=cand <= si)
+                lo = int(vals.min())
+                since += 1
+                if since >= 32 and len(vals) > 1:
+                    vals, back = np.unique(vals, return_inverse=True)
+                    inv = back[inv]
+                    since = 0
+            if len(out[0]) > 1000:
+                yield pd.DataFrame({key: out[0], "__seg": out[1], "__table": out[2]})
+                out = ([], [], [])
         if cur is not None:
-            out_k.append(cur[0]); out_s.append(cur[1]); out_t.append(table.tolist())
-        if out_k:
-            yield pd.DataFrame({key: out_k, "__seg": out_s, "__table": out_t})
+            flush(out, cur, vals, inv)
+        if out[0]:
+            yield pd.DataFrame({key: out[0], "__seg": out[1], "__table": out[2]})
     return run
 
 
@@ -197,7 +225,7 @@ def _chain(key: str):
 
 def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: str = "seq",
                   qty: str = "quantity", stock: str = "stock", hot_rows: int = 2_000_000,
-                  split: str | None = None, domain_limit: int = 100_000,
+                  split: str | None = None, domain_limit: int = 1_000_000,
                   materialize_input: bool | None = None) -> DataFrame:
     """Greedy reservation fold over ``rows`` (orders already joined with their stock).
 
@@ -219,9 +247,14 @@ def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: st
         F.min(micros(ts)).alias("__t0"), F.max(micros(ts)).alias("__t1"))
     # hot keys are cut into time segments of about ``hot_rows`` rows each
     # (or of the fixed width ``split`` when given)
+    # (the chain gathers one table of ``max stock + 1`` entries per segment of
+    # a key, so the segment count is also capped at TABLE_BUDGET / (stock + 1))
+    n_seg = F.least(F.ceil(F.col("__n") / float(max(hot_rows, 1))),
+                    F.floor(F.lit(float(TABLE_BUDGET)) / (F.greatest(F.col("__smax"), F.lit(0)) + 1)))
+    n_seg = F.greatest(n_seg, F.lit(1)).cast("double")
     seg_width = (F.lit(interval_micros(split)) if split is not None else
                  F.least(F.greatest(F.lit(1e6), (F.col("__t1") - F.col("__t0") + 1).cast("double")
-                                    * float(hot_rows) / F.col("__n")), F.lit(1e17)).cast("bigint"))
+                                    / n_seg), F.lit(1e17)).cast("bigint"))
     stats = stats.select(
         key,
         ((F.col("__qmin") >= 0) & (F.col("__demand") <= F.col("__smin"))).alias("__allpass"),
