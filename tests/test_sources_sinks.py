@@ -54,7 +54,7 @@ def test_shuffle_partitions_sized_from_input_bytes(spark):
     from orderflow.session import size_shuffle_partitions
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        n = size_shuffle_partitions(spark, [f"{SF001}/lineitem.parquet"], bytes_per_partition=64 * 1024)
+        n = size_shuffle_partitions(spark, [f"{SF001}/lineitem.parquet"], bytes_per_partition=4 * 1024)
         assert n > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
