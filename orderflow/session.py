@@ -52,8 +52,40 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers (once per application).
+
+    The Arrow-batched Python stages (fold, state processors) pickle functions
+    by module reference; executors need the package on their path wherever the
+    driver runs from.  The package is zipped and added with ``addPyFile``,
+    which distributes it to every executor.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="orderflow-pyfiles-"), "orderflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            if "__pycache__" in d:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply required settings; set defaults and a checkpoint dir only if unset."""
+    """Apply required settings; set defaults and a checkpoint dir only if unset;
+    ship the package to the Python workers."""
     for k, v in _REQUIRED.items():
         spark.conf.set(k, v)
     for k, v in _DEFAULTS.items():
@@ -63,6 +95,7 @@ def configure(spark: SparkSession) -> SparkSession:
             except Exception:  # static conf on a running cluster: leave it
                 pass
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -124,6 +157,24 @@ def has_shuffle(df) -> bool:
     return False
 
 
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
+
+
+def partitions_for(spark: SparkSession, paths: list[str],
+                   bytes_per_partition: int = 128 * 1024 * 1024, expansion: float = 3.0) -> int:
+    """Partitions needed for data of this size, at least the cluster's parallelism."""
+    need = int(input_bytes(spark, paths) * expansion / bytes_per_partition) + 1
+    return max(spark.sparkContext.defaultParallelism, need)
+
+
 def size_shuffle_partitions(spark: SparkSession, paths: list[str],
                             bytes_per_partition: int = 128 * 1024 * 1024,
                             expansion: float = 3.0) -> int:
@@ -133,12 +184,7 @@ def size_shuffle_partitions(spark: SparkSession, paths: list[str],
     larger than the parquet input; AQE coalesces partitions that turn out
     small, so erring high is cheap while erring low spills.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    total = input_bytes(spark, paths)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
             int(total * expansion / bytes_per_partition) + 1)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))

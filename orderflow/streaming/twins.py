@@ -358,6 +358,29 @@ def _order_outcomes(spark: SparkSession, d: str) -> DataFrame:
 
 STREAM_QUERIES["stream_order_outcomes"] = _order_outcomes
 
+
+def state_sized(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Run a twin with as many shuffle/state partitions as its input needs.
+
+    A streaming query fixes its state-store partition count at its first
+    start from ``spark.sql.shuffle.partitions``; sized from the input (never
+    above the session's setting), a small stream does not open hundreds of
+    state stores.  The session setting is restored afterwards.
+    """
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        from orderflow.session import partitions_for
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(min(int(old), partitions_for(spark, [d]))))
+        try:
+            return fn(spark, d)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    run.__name__ = getattr(fn, "__name__", "twin")
+    return run
+
+
+STREAM_QUERIES = {name: state_sized(fn) for name, fn in STREAM_QUERIES.items()}
+
 # streaming twin -> batch query whose oracle SQL it must match
 ORACLE_OF = {
     "stream_details_check": "details_check",
