@@ -107,71 +107,71 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, order: Sequence
     keys = _keys(key)
     measures = dict(measures or {})
     gap_us = interval_micros(gap)
-
-    base = df.withColumn(_T, micros(ts))
+    # Window columns are written as SQL expressions, one ``selectExpr`` per
+    # step: the JVM parses each step in one call instead of building every
+    # column object through the Python bridge.
+    k = ", ".join(f"`{c}`" for c in keys)
+    o = ", ".join([_T] + [f"`{c}`" for c in order])
+    running = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+    base = df.select("*", micros(ts).alias(_T))
     if split is None:
         base, width = bucket_width(base, keys, _T, target_rows)
     else:
         width = F.lit(interval_micros(split))
-    base = base.withColumn(_B, F.floor(F.col(_T) / width).cast("bigint"))
-    for name, c in measures.items():
-        base = base.withColumn(f"__m_{name}", c)
-
-    ordering = [F.col(_T)] + [F.col(c) for c in order]
-    w_bucket = Window.partitionBy(*keys, _B).orderBy(*ordering)
-    prev = F.lag(_T).over(w_bucket)
-    base = base.withColumn(_NEW, F.when(prev.isNull() | (F.col(_T) - prev > gap_us), 1).otherwise(0))
-    base = base.withColumn("__is_last", F.lead(_T).over(w_bucket).isNull())
-    base = base.withColumn(_LSID, F.sum(_NEW).over(w_bucket.rowsBetween(Window.unboundedPreceding, 0)))
-    w_sess = (Window.partitionBy(*keys, _B, _LSID).orderBy(*ordering)
-              .rowsBetween(Window.unboundedPreceding, 0))
-    base = base.withColumn("__lstart", F.min(_T).over(w_sess))
-    for name in measures:
-        base = base.withColumn(f"__lrun_{name}", F.sum(f"__m_{name}").over(w_sess))
+    base = base.select("*", F.floor(F.col(_T) / width).cast("bigint").alias(_B),
+                       *[c.alias(f"__m_{n}") for n, c in measures.items()])
+
+    # 1. local sessions inside each (key, bucket)
+    wb = f"PARTITION BY {k}, {_B} ORDER BY {o}"
+    base = base.selectExpr(
+        "*",
+        f"CASE WHEN lag({_T}) OVER ({wb}) IS NULL OR {_T} - lag({_T}) OVER ({wb}) > {gap_us} "
+        f"THEN 1 ELSE 0 END AS {_NEW}",
+        f"lead({_T}) OVER ({wb}) IS NULL AS __is_last")
+    base = base.selectExpr("*", f"SUM({_NEW}) OVER ({wb} {running}) AS {_LSID}")
+    ws = f"PARTITION BY {k}, {_B}, {_LSID} ORDER BY {o} {running}"
+    base = base.selectExpr("*", f"MIN({_T}) OVER ({ws}) AS __lstart",
+                           *[f"SUM(__m_{n}) OVER ({ws}) AS __lrun_{n}" for n in measures])
 
     # 2. one summary row per (key, bucket); the bucket's last row (marked by
     # ``lead`` in the same window) carries the open session's start and sums,
     # so the summary is a plain hash aggregate
-    last = F.col("__is_last")
-    summ_aggs = [F.min(_T).alias("__first_t"), F.max(_T).alias("__last_t"),
-                 F.max(_LSID).alias("__nsess"),
-                 F.max(F.when(last, F.col("__lstart"))).alias("__last_start")]
-    summ_aggs += [F.max(F.when(last, F.col(f"__lrun_{n}"))).alias(f"__last_{n}") for n in measures]
-    summary = base.groupBy(*keys, _B).agg(*summ_aggs)
+    summary = base.groupBy(*keys, _B).agg(
+        F.expr(f"min({_T}) AS __first_t"), F.expr(f"max({_T}) AS __last_t"),
+        F.expr(f"max({_LSID}) AS __nsess"),
+        F.expr("max(CASE WHEN __is_last THEN __lstart END) AS __last_start"),
+        *[F.expr(f"max(CASE WHEN __is_last THEN __lrun_{n} END) AS __last_{n}") for n in measures])
 
     # 3. chains of connected single-session buckets
-    w_k = Window.partitionBy(*keys).orderBy(_B)
-    prev_last = F.lag("__last_t").over(w_k)
-    summary = summary.withColumn(
-        "__connected", prev_last.isNotNull() & (F.col("__first_t") - prev_last <= gap_us))
-    summary = summary.withColumn("__through", F.col("__connected") & (F.col("__nsess") == 1))
-    summary = summary.withColumn(
-        "__grp", F.sum(F.when(F.col("__through"), 0).otherwise(1))
-        .over(w_k.rowsBetween(Window.unboundedPreceding, 0)))
-    w_g = Window.partitionBy(*keys, "__grp").orderBy(_B).rowsBetween(Window.unboundedPreceding, 0)
-    summary = summary.withColumn("__open_start", F.first("__last_start").over(w_g))
-    for n in measures:
-        summary = summary.withColumn(
-            f"__open_{n}",
-            F.first(f"__last_{n}").over(w_g)
-            + F.sum(F.when(F.col("__through"), F.col(f"__last_{n}")).otherwise(0)).over(w_g))
+    wk = f"PARTITION BY {k} ORDER BY {_B}"
+    summary = summary.selectExpr(
+        "*", f"lag(__last_t) OVER ({wk}) IS NOT NULL "
+             f"AND __first_t - lag(__last_t) OVER ({wk}) <= {gap_us} AS __connected")
+    summary = summary.selectExpr("*", "__connected AND __nsess = 1 AS __through")
+    summary = summary.selectExpr(
+        "*", f"SUM(CASE WHEN __through THEN 0 ELSE 1 END) OVER ({wk} {running}) AS __grp")
+    wg = f"PARTITION BY {k}, __grp ORDER BY {_B} {running}"
+    summary = summary.selectExpr(
+        "*", f"first(__last_start) OVER ({wg}) AS __open_start",
+        *[f"first(__last_{n}) OVER ({wg}) "
+          f"+ SUM(CASE WHEN __through THEN __last_{n} ELSE 0 END) OVER ({wg}) AS __open_{n}"
+          for n in measures])
     # what flows into each bucket from its predecessor
-    carry_cols = [F.when(F.col("__connected"), F.lag("__open_start").over(w_k)).alias("__in_start")]
-    carry_cols += [F.when(F.col("__connected"), F.lag(f"__open_{n}").over(w_k)).otherwise(0)
-                   .alias(f"__in_{n}") for n in measures]
-    carry = summary.select(*keys, _B, *carry_cols)
+    carry = summary.selectExpr(
+        *[f"`{c}`" for c in keys], _B,
+        f"CASE WHEN __connected THEN lag(__open_start) OVER ({wk}) END AS __in_start",
+        *[f"CASE WHEN __connected THEN lag(__open_{n}) OVER ({wk}) ELSE 0 END AS __in_{n}"
+          for n in measures])
 
     # 4. join the carry back on (key, bucket) and finish the first local session
     out = base.join(carry, on=[*keys, _B], how="inner")
-    first_local = F.col(_LSID) == 1
-    start_us = F.when(first_local & F.col("__in_start").isNotNull(), F.col("__in_start")) \
-        .otherwise(F.col("__lstart"))
-    out = out.withColumn(f"{prefix}start", F.timestamp_micros(start_us))
-    for n in measures:
-        out = out.withColumn(
-            n, F.col(f"__lrun_{n}") + F.when(first_local, F.col(f"__in_{n}")).otherwise(0))
-    drop = [c for c in out.columns if c.startswith("__")]
-    return out.drop(*drop)
+    keep = [f"`{c}`" for c in out.columns if not c.startswith("__")]
+    return out.selectExpr(
+        *keep,
+        f"timestamp_micros(CASE WHEN {_LSID} = 1 AND __in_start IS NOT NULL THEN __in_start "
+        f"ELSE __lstart END) AS `{prefix}start`",
+        *[f"__lrun_{n} + CASE WHEN {_LSID} = 1 THEN __in_{n} ELSE 0 END AS `{n}`" for n in measures])
 
 
 def session_summary(rows: DataFrame, key: str | Sequence[str], ts: str,
