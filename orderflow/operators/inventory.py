@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,24 +79,22 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, ts: str = "ts", seq: s
         u, width = bucket_width(u, ["__by"], "__t")
     else:
         width = F.lit(interval_micros(split))
-    u = u.withColumn("__b", F.floor(F.col("__t") / width).cast("bigint"))
-    order = [F.col("__t"), F.col("__kind"), F.col("__s")]
-    w = (Window.partitionBy("__by", "__b").orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, 0))
-    u = u.withColumn("__local", F.last("__val", ignorenulls=True).over(w))
+    u = u.select("*", F.floor(F.col("__t") / width).cast("bigint").alias("__b"))
+    # last right value so far inside the bucket (right rows sort before left
+    # rows at equal time), one SQL-expression step
+    u = u.selectExpr("*", "last(__val, true) OVER (PARTITION BY __by, __b ORDER BY __t, __kind, __s "
+                          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS __local")
     # one summary row per non-empty bucket (either side): the bucket's last
     # right value, then the last non-null of all earlier buckets
-    is_r = F.col("__kind") == 0
-    summ = u.groupBy("__by", "__b").agg(
-        F.max_by(F.when(is_r, F.col("__val")),
-                 F.when(is_r, F.struct(F.col("__t"), F.col("__s")))).alias("__bucket_last"))
-    wk = Window.partitionBy("__by").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.select("__by", "__b", F.last("__bucket_last", ignorenulls=True).over(wk).alias("__in"))
-    out = (u.where(F.col("__kind") == 1)
-           .join(summ, on=["__by", "__b"], how="inner")
-           .withColumn("__v", F.coalesce("__local", "__in")))
+    summ = u.groupBy("__by", "__b").agg(F.expr(
+        "max_by(CASE WHEN __kind = 0 THEN __val END, "
+        "CASE WHEN __kind = 0 THEN struct(__t, __s) END) AS __bucket_last"))
+    summ = summ.selectExpr("__by", "__b", "last(__bucket_last, true) OVER (PARTITION BY __by ORDER BY __b "
+                                          "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS __in")
+    out = (u.where("__kind = 1").join(summ, on=["__by", "__b"], how="inner")
+           .selectExpr("*", "coalesce(__local, __in) AS __v"))
     if how == "inner":
-        out = out.where(F.col("__v").isNotNull())
+        out = out.where("__v IS NOT NULL")
     return out.select("__row.*", *[F.col("__v")[v].alias(v) for v in values])
 
 

@@ -33,7 +33,7 @@ def own_verdicts(spark: SparkSession, d: str) -> DataFrame:
     return verdicts.validations_union(
         checks.details_check(orders),
         checks.fraud_check(orders),
-        inventory.inventory_check(inv_rows),
+        inventory.inventory_check(inv_rows, materialize_input=True),
     )
 
 
@@ -133,8 +133,12 @@ QUERIES: dict[str, Query] = {
              .alias("total")),
     "inventory_join": lambda s, d: _line_stock(s, d).select("id", "product", "quantity", "stock"),
     "inventory_asof": lambda s, d: _asof_stock(s, d).select("id", "product", "quantity", "stock", "ts"),
-    "inventory_check": lambda s, d: _fold_cols(inventory.reserve_stock(_line_stock(s, d))),
-    "inventory_check_asof": lambda s, d: _fold_cols(inventory.reserve_stock(_asof_stock(s, d))),
+    # the line input is a scan + broadcast join (cheap to re-read); the as-of
+    # input needs shuffles and is written once
+    "inventory_check": lambda s, d: _fold_cols(
+        inventory.reserve_stock(_line_stock(s, d), materialize_input=False)),
+    "inventory_check_asof": lambda s, d: _fold_cols(
+        inventory.reserve_stock(_asof_stock(s, d), materialize_input=True)),
     "reserved_stock": lambda s, d: inventory.reserve_stock(_line_stock(s, d)).groupBy("product").agg(
         F.max("stock").alias("stock"),
         F.sum(F.when(F.col("validationResult") == "PASS", F.col("quantity")).otherwise(0))
