@@ -121,12 +121,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_local_dir(path: str) -> str:
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
-
-
 def materialize(df, name: str):
     """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.schemas import relation
-from orderflow.session import scratch_path, checkpoint_dir
+from orderflow.session import checkpoint_dir
 
 
 def read_relation(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
@@ -132,10 +132,6 @@ class HighWaterMark:
             return 0
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    return scratch_path(spark, name)
-
-
 def with_position(df: DataFrame) -> DataFrame:
     """Expose where each record came from (file and its modification time), as a
     consumer record exposes topic/partition/offset; ``seq`` stays the order."""
