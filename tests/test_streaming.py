@@ -110,3 +110,38 @@ def test_idempotent_foreach_batch_skips_replayed_batch(spark):
     write(df, 0)  # a replay of the same batch id
     write(spark.range(5, 8), 1)
     assert sinks.read_idempotent(spark, path).count() == 8
+
+
+def test_pass_sessions_merge_when_a_late_event_bridges_two(spark):
+    from datetime import timedelta
+
+    from helpers import T0
+    from orderflow import schemas as S
+    from orderflow.operators.verdicts import pass_counts
+    from orderflow.streaming.twins import SENTINEL_US, drop_sentinel
+
+    def rows(spec):
+        return spark.createDataFrame(
+            [("1", c, r, T0 + timedelta(seconds=t), q) for c, r, t, q in spec], S.ORDER_VALIDATION)
+
+    first = [("FRAUD_CHECK", "PASS", 0, 1), ("INVENTORY_CHECK", "PASS", 500, 2)]  # two sessions
+    late = [("ORDER_DETAILS_CHECK", "PASS", 250, 3)]                             # bridges them
+    far = T0 + timedelta(microseconds=SENTINEL_US) - (T0 - T0.replace(year=1970, month=1, day=1))
+    d = scratch_path(spark, "pass-merge")
+    rows(first).coalesce(1).write.parquet(f"{d}/b1")
+    rows(late).coalesce(1).write.parquet(f"{d}/b2")
+    sentinel = spark.createDataFrame([("s", "FRAUD_CHECK", "PASS", far, -1)], S.ORDER_VALIDATION)
+    sentinel.coalesce(1).write.parquet(f"{d}/b3")
+    sentinel.coalesce(1).write.parquet(f"{d}/b4")
+    flat = scratch_path(spark, "pass-merge-flat")
+    _move_into([f"{d}/b1", f"{d}/b2", f"{d}/b3", f"{d}/b4"], flat)
+    src = spark.readStream.schema(S.ORDER_VALIDATION).option("maxFilesPerTrigger", 1) \
+        .option("pathGlobFilter", "*.parquet").parquet(flat)
+    v = drop_sentinel(src.withWatermark("ts", "0 seconds"))
+    out = spark.read.parquet(run_available_now(stateful.pass_sessions(v), "t-pass-merge"))
+    got = [(r["session_start"], r["session_end"], r["verdicts"], r["passes"], r["reach_ts"])
+           for r in out.collect()]
+    batch = pass_counts(rows(first + late))
+    exp = [(r["session_start"], r["session_end"], r["verdicts"], r["passes"], r["reach_ts"])
+           for r in batch.collect()]
+    assert got == exp == [(T0, T0 + timedelta(seconds=500), 3, 3, T0 + timedelta(seconds=500))]
