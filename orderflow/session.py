@@ -102,14 +102,18 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
-    Read from ``spark.checkpoint.dir``; only when unset (local tests) a
-    fresh folder under the system temp dir is created and registered.
+    Read from ``spark.checkpoint.dir``, else from the folder registered with
+    ``setCheckpointDir``.  Only a local master (tests, bench) may go without:
+    it gets a fresh folder under the system temp dir.  On a cluster that
+    folder would be on each machine's own disk, so an unset one is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="orderflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
