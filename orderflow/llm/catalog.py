@@ -3,27 +3,53 @@ over its whole table, and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import near, quality, sql
+from orderflow.llm import mixing, near, packing, passages, quality, sql
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file: the folder is a parameter of the environment
+    (``TOKENIZER_DIR``), else the installed ``public_tokenizers`` names it."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op4_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir), ["doc_id"])
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(documents(spark, sf_dir))
+
+
 def op10_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_adaptive_quality": op4_adaptive_quality,
+    "op8_repeated_passages": op8_repeated_passages,
+    "op9_source_mixing": op9_source_mixing,
     "op10_minmax_near_dedup": op10_minmax_near_dedup,
 }
 
