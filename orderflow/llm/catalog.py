@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import mixing, near, packing, passages, quality, sql
+from orderflow.llm import (
+    imatch, mixing, near, orcfiles, packing, passages, quality, sharding, sql, transducer)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,10 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.token_counts(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
@@ -33,6 +38,18 @@ def op4_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir), ["doc_id"])
 
 
+def op5_sampled_splitter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+def op6_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_documents(documents(spark, sf_dir))
+
+
+def op7_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orcfiles.round_trip(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
+
+
 def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -46,8 +63,12 @@ def op10_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_transducer_token_counts": op2_transducer_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_adaptive_quality": op4_adaptive_quality,
+    "op5_sampled_splitter_shards": op5_sampled_splitter_shards,
+    "op6_imatch_fingerprints": op6_imatch_fingerprints,
+    "op7_orc_token_ids": op7_orc_token_ids,
     "op8_repeated_passages": op8_repeated_passages,
     "op9_source_mixing": op9_source_mixing,
     "op10_minmax_near_dedup": op10_minmax_near_dedup,
