@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.llm import (
-    imatch, mixing, near, orcfiles, packing, passages, quality, sharding, sql, transducer)
+    imatch, lmscore, mixing, near, orcfiles, packing, passages, quality, sharding, sql, transducer)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,10 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_stupid_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score_documents(documents(spark, sf_dir))
+
+
 def op2_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.token_counts(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
@@ -63,6 +67,7 @@ def op10_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_stupid_backoff_scores": op1_stupid_backoff_scores,
     "op2_transducer_token_counts": op2_transducer_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_adaptive_quality": op4_adaptive_quality,
@@ -75,5 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_stupid_backoff_scores": sql.lm_sql(),
     "op4_adaptive_quality": sql.quality_sql(),
 }

@@ -66,3 +66,22 @@ SELECT c.doc_id, CAST(c.n_words AS BIGINT) AS n_words, CAST(c.word_chars AS BIGI
   NOT c.base_failed AND {" AND ".join(checks)} AS kept
 FROM counts c LEFT JOIN fence f ON f.lang IS NOT DISTINCT FROM c.lang AND f.source IS NOT DISTINCT FROM c.source
 """
+
+
+def lm_sql(alpha: float = 0.4) -> str:
+    """Bigram stupid backoff with the document's own occurrences left out."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{_WORD}') AS ws FROM documents),
+w AS (SELECT rid, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS p
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)),
+one AS (SELECT rid, i, p, w, count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY rid, w) AS c1,
+    CASE WHEN p IS NOT NULL THEN count(*) OVER (PARTITION BY p, w) - count(*) OVER (PARTITION BY rid, p, w) END AS c2,
+    greatest(count(*) OVER () - count(*) OVER (PARTITION BY rid), 1) AS n FROM w),
+two AS (SELECT *, lag(c1) OVER (PARTITION BY rid ORDER BY i) AS c0 FROM one),
+s AS (SELECT rid, CASE WHEN p IS NULL THEN greatest(c1, 1) / n WHEN c2 > 0 THEN c2 / c0
+    ELSE {alpha} * (greatest(c1, 1) / n) END AS s FROM two)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, round(coalesce(t.x, 0), 6) + 0.0 AS log_score
+FROM d LEFT JOIN (SELECT rid, sum(ln(s)) AS x FROM s GROUP BY rid) t USING (rid)
+"""
