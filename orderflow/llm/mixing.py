@@ -41,14 +41,17 @@ _GOLDEN = 1327217885  # nearest odd whole number to 2^31 / golden ratio
 _CELL = 1 << 19
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size and the document's place in the shuffled order (a 31-bit number and a tie-break)."""
+def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          keep: dict[str, str] | None = None) -> DataFrame:
+    """doc_id, source, size and the document's place in the shuffled order (a 31-bit number and a tie-break);
+    ``keep``: further columns by their new name."""
     text = F.col(f"`{text_col}`").cast("string")
     h = F.xxhash64(F.lit(SEED), F.col(f"`{id_col}`"), F.xxhash64(text))
     return docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        F.shiftrightunsigned(h, 33).alias("place"), h.alias("tie"))
+        F.shiftrightunsigned(h, 33).alias("place"), h.alias("tie"),
+        *[F.col(f"`{c}`").alias(k) for k, c in (keep or {}).items()])
 
 
 def targets(sources: DataFrame) -> DataFrame:
@@ -74,19 +77,21 @@ def targets(sources: DataFrame) -> DataFrame:
                         "ELSE weight * final END AS DOUBLE) AS target")
 
 
-def streams(rows: DataFrame, table: DataFrame, bucket_rows: int) -> DataFrame:
-    """Each document with its source's number and the word ``at`` which it begins in the source's stream."""
+def streams(rows: DataFrame, table: DataFrame, bucket_rows: int, extra: list[str] | None = None) -> DataFrame:
+    """Each document (with the ``extra`` columns of ``rows``) with its source's number and the word ``at``
+    which it begins in the source's stream."""
+    extra = list(extra or [])
     ranges = F.ceil(F.col("docs") / bucket_rows)  # hash ranges of a source: equal groups, however large it is
-    d = (rows.join(table.select("sid", "docs", F.col("source").alias("s")), F.col("source").eqNullSafe(F.col("s")))
-         .select("sid", (F.col("place") * ranges / F.lit(_UNIT)).cast("bigint").alias("bucket"),
-                 "tie", "doc_id", "size"))
+    d = rows.join(table.select("sid", "docs", F.col("source").alias("s")), F.col("source").eqNullSafe(F.col("s")))
+    d = d.select("sid", (F.col("place") * ranges / F.lit(_UNIT)).cast("bigint").alias("bucket"),
+                 "tie", "doc_id", "size", *extra)
     sums = d.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
     sums = sums.selectExpr("sid", "bucket", "SUM(n) OVER (PARTITION BY sid ORDER BY bucket) - n AS base")
     d = d.selectExpr("*", "SUM(size) OVER (PARTITION BY sid, bucket ORDER BY tie, doc_id, size "
                           "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS inside",
                      "row_number() OVER (PARTITION BY sid, bucket ORDER BY tie, doc_id, size) AS nth")
     return d.join(sums, ["sid", "bucket"]).select(
-        "sid", "bucket", "nth", "doc_id", "size", (F.col("base") + F.col("inside")).alias("at"))
+        "sid", "bucket", "nth", "doc_id", "size", (F.col("base") + F.col("inside")).alias("at"), *extra)
 
 
 def layout(table: DataFrame, slots: int) -> DataFrame:
@@ -146,8 +151,9 @@ class Mix:
             F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
         self.table = materialize(targets(sources), "mix-targets")
         n = self.rows.count()
+        self.bucket_rows = max(BUCKET_ROWS, -(-n // MOST_BUCKETS))
         self.lay = materialize(layout(self.table, slots), "mix-layout")
-        self.stream = materialize(streams(self.rows, self.table, max(BUCKET_ROWS, -(-n // MOST_BUCKETS))), "mix-streams")
+        self.stream = materialize(streams(self.rows, self.table, self.bucket_rows), "mix-streams")
         total = self.lay.agg(F.max("all_due")).first()[0]
         self.plan = materialize(schedule(self.lay, int(round(total or 0))), "mix-schedule")
 
@@ -165,3 +171,30 @@ class Mix:
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken (words the mix takes, repeats counted)."""
     return Mix(docs, **options).taken()
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    chars_col: str = "n_chars", **options) -> DataFrame:
+    """The documents the mix takes, with the columns of ``docs``: one row per document and pass.
+
+    A pass over a source takes its blocks in order, so it covers the stream
+    from the first word to a cut; the document at the cut is shortened to the
+    words taken (joined by single spaces), all before it are whole.
+    """
+    mix = Mix(docs, id_col, text_col, source_col, **options)
+    cut = (mix.plan.groupBy("sid", "pass").agg(F.max("block").alias("last"))
+           .join(mix.lay.select("sid", "source_size", "blocks"), "sid")
+           .select("sid", F.expr("(last + 1) * source_size DIV blocks").alias("cut")))
+    own = {f"c{i}": c for i, c in enumerate(docs.columns)}
+    rows = streams(sized(docs, id_col, text_col, source_col, own), mix.table, mix.bucket_rows, list(own))
+    out = rows.join(cut, "sid").where("size > 0 AND at < cut")
+    text = next(k for k, c in own.items() if c.lower() == text_col.lower())
+    words = F.regexp_extract_all(F.col(text).cast("string"), F.lit(WORD), F.lit(0))
+    short = F.array_join(F.slice(words, F.lit(1), (F.col("cut") - F.col("at")).cast("int")), " ")
+    whole = F.col("at") + F.col("size") <= F.col("cut")
+    out = out.withColumn(text, F.when(whole, F.col(text)).otherwise(short))
+    for k, c in own.items():
+        if c.lower() == chars_col.lower():
+            kind = docs.schema[c].dataType
+            out = out.withColumn(k, F.when(whole, F.col(k)).otherwise(F.char_length(text).cast(kind)))
+    return out.select(*[F.col(k).alias(c) for k, c in own.items()])

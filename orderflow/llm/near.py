@@ -308,3 +308,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", comp.alias("component_id"),
                       F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: one document of each component stays.
+
+    Repeated rows of one id are one document, of which one row stays (the
+    one with the smallest text hash); rows with a null id stay.  Documents go by id,
+    and only the ids to leave out are joined to the texts.
+    """
+    judged = materialize(near_duplicates(docs, id_col, text_col, **options), "near-verdicts")
+    drop = judged.where("NOT kept").select(F.col("doc_id").alias("gone"))
+    ids = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("gone"))
+    again = materialize(ids.where("gone IS NOT NULL").groupBy("gone").agg(F.count(F.lit(1)).alias("c"))
+                        .where("c > 1").select("gone"), "near-repeated")
+    key = F.col(f"`{id_col}`").cast("bigint")
+    once = docs.join(drop.unionByName(again), key == F.col("gone"), "left_anti")
+    own = {f"c{i}": c for i, c in enumerate(docs.columns)}
+    several = docs.select(*[F.col(f"`{c}`").alias(k) for k, c in own.items()], key.alias("id"),
+                          F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("h"))
+    several = several.join(again.join(drop, "gone", "left_anti"), F.col("id") == F.col("gone"), "left_semi")
+    first = several.groupBy("id").agg(F.min("h").alias("h"))
+    several = several.join(first, ["id", "h"], "left_semi").dropDuplicates(["id"])
+    return once.unionByName(several.select(*[F.col(k).alias(c) for k, c in own.items()]))

@@ -192,3 +192,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out = both.mapInArrow(strip, schema)
     keep = [k for k in own if not (detail and own[k].lower() == "removed")]
     return out.select(*[F.col(k).alias(own[k]) for k in keep], *(["removed"] if detail else []))
+
+
+def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars",
+                  **options) -> DataFrame:
+    """``docs`` with the repeats removed from the text and, where there is one, ``chars_col`` brought up to date."""
+    out = remove_repeats(docs, id_col, text_col, detail=False, **options)
+    if chars_col in docs.columns:
+        kind = docs.schema[chars_col].dataType
+        out = out.withColumn(chars_col, F.char_length(f"`{text_col}`").cast(kind))
+    return out
