@@ -27,13 +27,42 @@ def enum_ordinal(c: str | Column, values: Sequence[str]) -> Column:
     return expr
 
 
-def cents(amount: str | Column) -> Column:
-    """Money as exact BIGINT cents, so sums are order independent."""
-    return F.round(col(amount) * 100).cast("bigint")
-
-
-def from_cents(c: str | Column) -> Column:
-    return col(c).cast("double") / 100
+def exact(amount: str | Column) -> Column:
+    """A finite double as an exact decimal (ten places), 0 for anything else: sums of it do not
+    depend on their order, and neither price nor product is rounded to cents."""
+    c = col(amount).cast("double")
+    return F.coalesce(F.when(c.between(-1e17, 1e17), c).try_cast("decimal(28,10)"),
+                      F.lit(0).cast("decimal(28,10)"))
+
+
+def order_value(price: str = "price", quantity: str = "quantity") -> Column:
+    """quantity * price as an exact decimal (finite part)."""
+    return (exact(price) * col(quantity).cast("decimal(10,0)")).cast("decimal(38,10)")
+
+
+def not_finite(price: str = "price", quantity: str = "quantity") -> dict[str, Column]:
+    """Counters of values that are no finite amount: NaN, beyond +-1e17 in either direction."""
+    p, q = col(price), col(quantity)
+    nan = F.isnan(p) | (F.isnan(p * q))
+    high = ~nan & ((p > 1e17) & (q > 0) | (p < -1e17) & (q < 0))
+    low = ~nan & ((p < -1e17) & (q > 0) | (p > 1e17) & (q < 0))
+    return {n: F.coalesce(c.cast("bigint"), F.lit(0).cast("bigint"))
+            for n, c in (("nan", nan), ("high", high), ("low", low))}
+
+
+def amount(dec: str | Column, nan: str | Column, high: str | Column, low: str | Column) -> Column:
+    """A double from an exact sum and the counters: NaN stays NaN, infinities stay infinite."""
+    n, h, l = col(nan), col(high), col(low)
+    return (F.when((n > 0) | ((h > 0) & (l > 0)), F.lit(float("nan")))
+            .when(h > 0, F.lit(float("inf"))).when(l > 0, F.lit(float("-inf")))
+            .otherwise(col(dec).cast("double")))
+
+
+def amount_text(dec: str | Column, nan: str | Column, high: str | Column, low: str | Column) -> Column:
+    """The same as text, exact: what a Python decimal reads."""
+    n, h, l = col(nan), col(high), col(low)
+    return (F.when(n > 0, "NaN").when(h > 0, "Infinity").when(l > 0, "-Infinity")
+            .otherwise(col(dec).cast("string")))
 
 
 def limit_branch(value: str | Column, limit: float | Column, above: str = "FAIL",

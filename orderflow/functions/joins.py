@@ -8,25 +8,22 @@ from pyspark.sql import functions as F
 from orderflow.functions.expressions import interval
 
 # A replicated (broadcast) side must stay below this many bytes.
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# The estimate is that of compressed files, so rows in memory may be several times larger.
+DEFAULT_BROADCAST_LIMIT = 16 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan, or None if unavailable."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimized plan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def replicated(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only when its estimated size is known and below ``limit``.
+    """Broadcast ``df`` only when its estimated size is below ``limit``.
 
     Otherwise leave the choice to the planner/AQE (a shuffle join, converted
     to a broadcast at runtime only if the measured shuffle output is small).
     """
-    size = estimated_bytes(df)
-    if size is not None and size <= limit:
+    if estimated_bytes(df) <= limit:
         return F.broadcast(df)
     return df
 

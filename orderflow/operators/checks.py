@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow import schemas as S
-from orderflow.functions.expressions import cents, from_cents, limit_branch
+from orderflow.functions.expressions import amount, limit_branch, not_finite, order_value
 from orderflow.operators.sessions import sessionize
 
 VERDICT_COLUMNS = ["orderId", "checkType", "validationResult", "ts", "seq"]
@@ -50,16 +50,18 @@ def fraud_session_totals(orders: DataFrame, gap: str = S.FRAUD_SESSION_GAP,
     """Per-customer session running total of ``quantity * price``.
 
     One row per created order: the session it falls in and the session
-    total including this order (money in exact cents).
+    total including this order.  The products are summed as exact decimals of
+    the unrounded price; a NaN makes the rest of its session's totals NaN.
     """
     o = created(orders).select("id", "customerId", "quantity", "price", "ts", "seq")
-    o = o.withColumn("value_cents", cents("price") * F.col("quantity"))
+    odd = not_finite()
+    o = o.select("*", order_value().alias("value"), *[c.alias(f"value_{n}") for n, c in odd.items()])
     rows = sessionize(o, "customerId", "ts", ["seq"], gap,
-                      {"total_cents": F.col("value_cents")}, split=split)
+                      {"sum": F.col("value"), **{f"sum_{n}": F.col(f"value_{n}") for n in odd}}, split=split)
     return rows.select(
         "id", "customerId", "ts", "seq", "session_start",
-        from_cents("value_cents").alias("order_value"),
-        from_cents("total_cents").alias("total"),
+        amount("value", *[f"value_{n}" for n in odd]).alias("order_value"),
+        amount("sum", *[f"sum_{n}" for n in odd]).alias("total"),
     )
 
 

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from orderflow import schemas as S
 from orderflow.functions.joins import replicated, within
+from orderflow.operators.reports import keyed_table
 
 
 def with_default_level(customers: DataFrame) -> DataFrame:
-    """Customers with the declared default level when it is missing."""
+    """The customers table: newest row per id, with the declared default level when it is missing."""
+    customers = keyed_table(customers, "id")
     if "level" not in customers.columns:
         return customers.withColumn("level", F.lit(S.DEFAULT_LEVEL))
     return customers

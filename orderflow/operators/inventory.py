@@ -7,24 +7,29 @@ not a running sum: a rejected order leaves room for a later smaller one.
 
 Execution plan (exact for every key):
 
-* per-key statistics (one small aggregate) classify keys:
-  - *all-pass*: quantities >= 0 and total demand <= the smallest stock the
-    key ever sees -- every order passes; ``reserved`` is a running sum,
-    computed with the bucketed scan of :mod:`orderflow.operators.sessions`
-    (no fold at all);
-  - *hot*: more than ``hot_rows`` rows, quantities >= 0 and stock within
-    ``[0, domain_limit]``: the key is split into time segments; each
-    segment computes its transfer table ``reserved_in -> reserved_out``
-    over the bounded domain ``[0, max stock]`` in parallel, a tiny per-key
-    chain evaluates the tables to get each segment's starting reservation,
-    and every segment is then folded independently from that start;
-  - *regular*: one segment per key, folded from zero.
+* per-key statistics (one small aggregate) find the keys with more than
+  ``hot_rows`` rows; all others are one segment each, folded from zero;
+* a hot key whose demand fits its smallest stock passes everywhere:
+  ``reserved`` is a running sum, computed with the bucketed scan of
+  :mod:`orderflow.operators.sessions`;
+* any other hot key is cut into segments of about ``hot_rows`` rows at
+  quantiles of (time, seq).  Each segment computes, in parallel, its transfer
+  function ``reserved_in -> reserved_out`` over the values a reservation can
+  take (from the sum of the negative quantities to the largest stock); the
+  functions are kept as steps, compressed, and a per-key chain evaluates them
+  to get each segment's starting reservation; every segment is then folded
+  from that start;
 * the fold itself streams over rows sorted within partitions
   (``mapInPandas``): O(1) state, nothing buffered per key.
+
+What cannot be split: a hot contended key whose reservation can take more
+than ``DOMAIN`` values (a stock of tens of millions of units).  Its function
+table would not fit a task, so it is folded in one task, row by row.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,73 +40,82 @@ from pyspark.sql import types as T
 
 from orderflow.functions.expressions import interval_micros, micros
 from orderflow.functions.joins import replicated
-from orderflow.operators.sessions import bucket_width, sessionize
-from orderflow.session import has_shuffle, materialize
+from orderflow.operators.reports import keyed_table
+from orderflow.operators.hotkeys import TARGET_ROWS, split_hot
+from orderflow.operators.sessions import sessionize
+from orderflow.session import materialize
 
 
 def join_stock(orders: DataFrame, inventory: DataFrame, key: str = "product") -> DataFrame:
     """Created orders ⋈ (static) warehouse stock on product (inner).
 
-    Orders of products without a stock row get no verdict at all.
+    Orders of products without a stock row get no verdict at all; of several
+    rows of a product the newest (by ``seq``) holds.
     """
-    inv = inventory.select(key, "stock")
+    inv = keyed_table(inventory, key).select(key, "stock")
     return orders.where(F.col("state") == "CREATED").join(inv, on=key, how="inner") \
         if "state" in orders.columns else orders.join(inv, on=key, how="inner")
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: str, ts: str = "ts", seq: str = "seq",
               values: tuple[str, ...] = ("stock",), split: str | None = None,
-              how: str = "inner") -> DataFrame:
+              how: str = "inner", target_rows: int = TARGET_ROWS) -> DataFrame:
     """For each left row, the latest right row of the same ``by`` with ``right.ts <= left.ts``.
 
     Ties on time resolve to the right row with the highest ``seq``; a right
-    row at exactly the left row's time is visible to it.  Like
-    :func:`orderflow.operators.sessions.sessionize`, rows are partitioned by
-    ``(by, time bucket)`` and the last value of earlier buckets is carried in
-    through a per-bucket summary, so a hot key is not one task (by default
-    only hot keys are split, see :func:`orderflow.operators.sessions.bucket_width`;
-    ``split`` forces one fixed width).
+    row at exactly the left row's time is visible to it.  Both sides are put
+    in one order per key (one Exchange, one sort) and the last right value is
+    carried forward.  Hot keys are cut into ordered buckets (see
+    :mod:`orderflow.operators.hotkeys`; ``split`` forces time buckets of one
+    width on every key), and the last value of earlier buckets comes in
+    through a summary of one row per bucket.
     ``how='inner'`` drops left rows with no earlier right row, ``'left'``
     keeps them with nulls.
     """
-    val = F.struct(*[F.col(v) for v in values])
-    lcols = [c for c in left.columns]
+    lcols = list(left.columns)
     l = left.select(F.col(by).alias("__by"), micros(ts).alias("__t"), F.lit(1).alias("__kind"),
-                    F.col(seq).alias("__s"), F.struct(*lcols).alias("__row"),
-                    F.lit(None).cast(T.StructType([T.StructField(v, right.schema[v].dataType)
-                                                   for v in values])).alias("__val"))
+                    F.col(seq).alias("__s"), *lcols)
     r = right.select(F.col(by).alias("__by"), micros(ts).alias("__t"), F.lit(0).alias("__kind"),
-                     F.col(seq).alias("__s"),
-                     F.lit(None).cast(left.select(F.struct(*lcols)).schema[0].dataType).alias("__row"),
-                     val.alias("__val"))
-    u = l.unionByName(r)
-    if split is None:
-        u, width = bucket_width(u, ["__by"], "__t")
-    else:
-        width = F.lit(interval_micros(split))
-    u = u.select("*", F.floor(F.col("__t") / width).cast("bigint").alias("__b"))
-    # last right value so far inside the bucket (right rows sort before left
-    # rows at equal time), one SQL-expression step
-    u = u.selectExpr("*", "last(__val, true) OVER (PARTITION BY __by, __b ORDER BY __t, __kind, __s "
-                          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS __local")
-    # one summary row per non-empty bucket (either side): the bucket's last
-    # right value, then the last non-null of all earlier buckets
-    summ = u.groupBy("__by", "__b").agg(F.expr(
-        "max_by(CASE WHEN __kind = 0 THEN __val END, "
-        "CASE WHEN __kind = 0 THEN struct(__t, __s) END) AS __bucket_last"))
-    summ = summ.selectExpr("__by", "__b", "last(__bucket_last, true) OVER (PARTITION BY __by ORDER BY __b "
-                                          "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS __in")
-    out = (u.where("__kind = 1").join(summ, on=["__by", "__b"], how="inner")
-           .selectExpr("*", "coalesce(__local, __in) AS __v"))
-    if how == "inner":
-        out = out.where("__v IS NOT NULL")
-    return out.select("__row.*", *[F.col("__v")[v].alias(v) for v in values])
+                     F.col(seq).alias("__s"), *[F.col(v).alias(f"__v_{v}") for v in values])
+    u = l.unionByName(r, allowMissingColumns=True)
+    run = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    order = "ORDER BY __t, __kind, __s"
+
+    def last(v: str, part: str, name: str) -> str:
+        # wrapped, so that a null value of the latest right row is taken as it is
+        return (f"last(CASE WHEN __kind = 0 THEN struct(__v_{v} AS x) END, true) "
+                f"OVER (PARTITION BY {part} {order} {run}) AS {name}_{v}")
+
+    def finish(df: DataFrame) -> DataFrame:
+        if how == "inner":
+            df = df.where(f"__l_{values[0]} IS NOT NULL")
+        return df.select(*lcols, *[F.col(f"__l_{v}")["x"].alias(v) for v in values])
+
+    def bucketed(df: DataFrame) -> DataFrame:
+        df = df.selectExpr("*", *[last(v, "__by, __b", "__own") for v in values])
+        picked = ", ".join(f"CASE WHEN __kind = 0 THEN __v_{v} END AS {v}" for v in values)
+        summ = df.groupBy("__by", "__b").agg(F.expr(
+            f"max_by(CASE WHEN __kind = 0 THEN struct({picked}) END, "
+            "CASE WHEN __kind = 0 THEN struct(__t, __s) END) AS __bucket_last"))
+        summ = summ.selectExpr("__by", "__b", "last(__bucket_last, true) OVER (PARTITION BY __by ORDER BY __b "
+                                              "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS __in")
+        df = df.where("__kind = 1").join(summ, on=["__by", "__b"], how="inner")
+        return finish(df.selectExpr("*", *[
+            f"coalesce(__own_{v}, CASE WHEN __in IS NOT NULL THEN struct(__in.{v} AS x) END) AS __l_{v}"
+            for v in values]))
+
+    if split is not None:
+        return bucketed(u.withColumn("__b", F.floor(F.col("__t") / F.lit(interval_micros(split))).cast("bigint")))
+    cold, hot = split_hot(u, ["__by"], ["__t", "__kind", "__s"], target_rows)
+    out = finish(cold.selectExpr("*", *[last(v, "__by", "__l") for v in values]).where("__kind = 1"))
+    return out if hot is None else out.unionByName(bucketed(hot))
 
 
 # ---------------------------------------------------------------- the fold
 
-# Entries of transfer tables one key may gather in its chain (256 MB of longs).
-TABLE_BUDGET = 32 * 1024 * 1024
+# Values a reservation may take in a segment's function table (a task holds two
+# arrays of this many 64-bit numbers).
+DOMAIN = 16_000_000
 
 FOLD_FIELDS = [T.StructField("validationResult", T.StringType()),
                T.StructField("reserved", T.LongType())]
@@ -152,59 +166,65 @@ def _fold_partition(key: str, qty: str, stock: str):
     return run
 
 
+def _steps(table: np.ndarray, low: int) -> bytes:
+    """A function on ``low, low + 1, ...`` as its steps, compressed: where it leaves slope one, and the value there."""
+    at = np.flatnonzero(np.concatenate([[True], table[1:] - table[:-1] != 1]))
+    return zlib.compress(np.concatenate([at + low, table[at]]).astype(np.int64).tobytes(), 1)
+
+
+def _value(steps: bytes, r: int) -> int:
+    x = np.frombuffer(zlib.decompress(steps), dtype=np.int64).reshape(2, -1)
+    i = int(np.searchsorted(x[0], r, side="right")) - 1
+    return int(x[1, i] + (r - x[0, i]))
+
+
 def _transfer_tables(key: str, qty: str, stock: str):
-    """Per (key, segment): table of reserved_out for every reserved_in in [0, domain].
+    """Per (key, segment): reserved_out for every reserved_in in [__low, __high].
 
     Computed over the *distinct* reachable values only: starting states that
     meet stay together, so after periodic ``np.unique`` merges the work per
     row is the number of distinct values (a handful once stock is contended),
     and a row that cannot pass from any current value is skipped in O(1).
     """
-    def flush(out, cur, vals, inv):
-        out[0].append(cur[0]); out[1].append(cur[1]); out[2].append(vals[inv].tolist())
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cur = None
         vals = inv = None
-        lo = 0
-        since = 0
-        out = ([], [], [])
+        low = least = since = 0
+
+        def done() -> pd.DataFrame:
+            return pd.DataFrame({key: [cur[0]], "__seg": [cur[1]], "__table": [_steps(vals[inv], low)]})
+
         for pdf in batches:
             keys = pdf[key].to_numpy()
             segs = pdf["__seg"].to_numpy()
             starts = _segment_starts(keys, segs)
             if cur is not None and len(pdf) and (keys[0], segs[0]) == cur:
                 starts[0] = False
-            dom = pdf["__dom"].to_numpy()
-            q = pdf[qty].to_numpy(dtype=np.int64)
+            lows, highs = pdf["__low"].to_numpy(), pdf["__high"].to_numpy()
+            q = pdf[qty].fillna(0).to_numpy(dtype=np.int64)
             s = pdf[stock].to_numpy(dtype=np.int64)
             for i in range(len(pdf)):
                 if starts[i]:
                     if cur is not None:
-                        flush(out, cur, vals, inv)
+                        yield done()
                     cur = (keys[i], segs[i])
-                    vals = np.arange(int(dom[i]) + 1, dtype=np.int64)
-                    inv = np.arange(int(dom[i]) + 1)
-                    lo = 0
-                    since = 0
+                    low = int(lows[i])
+                    vals = np.arange(low, int(highs[i]) + 1, dtype=np.int64)
+                    inv = np.arange(len(vals))
+                    least, since = low, 0
                 qi, si = q[i], s[i]
-                if lo + qi > si:
+                if least + qi > si:
                     continue  # fails from every current value: nothing changes
                 cand = vals + qi
                 np.copyto(vals, cand, where=cand <= si)
-                lo = int(vals.min())
+                least = int(vals.min())
                 since += 1
                 if since >= 32 and len(vals) > 1:
                     vals, back = np.unique(vals, return_inverse=True)
                     inv = back[inv]
                     since = 0
-            if len(out[0]) > 1000:
-                yield pd.DataFrame({key: out[0], "__seg": out[1], "__table": out[2]})
-                out = ([], [], [])
         if cur is not None:
-            flush(out, cur, vals, inv)
-        if out[0]:
-            yield pd.DataFrame({key: out[0], "__seg": out[1], "__table": out[2]})
+            yield done()
     return run
 
 
@@ -215,7 +235,7 @@ def _chain(key: str):
         rin = []
         for t in pdf["__table"]:
             rin.append(r)
-            r = int(t[r])
+            r = _value(t, r)
         return pd.DataFrame({key: pdf[key].to_numpy(), "__seg": pdf["__seg"].to_numpy(),
                              "__rin": np.asarray(rin, dtype=np.int64)})
     return run
@@ -223,86 +243,68 @@ def _chain(key: str):
 
 def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: str = "seq",
                   qty: str = "quantity", stock: str = "stock", hot_rows: int = 2_000_000,
-                  split: str | None = None, domain_limit: int = 1_000_000,
-                  materialize_input: bool | None = None) -> DataFrame:
+                  split: str | None = None, domain: int = DOMAIN,
+                  materialize_input: bool = False) -> DataFrame:
     """Greedy reservation fold over ``rows`` (orders already joined with their stock).
 
     Returns ``rows`` plus ``validationResult`` (PASS/FAIL) and ``reserved``
     (the product's reservation after this order).  The input is read by the
-    key statistics and by the fold; when computing it needs a shuffle it is
-    written once to the shared checkpoint folder (``materialize_input``,
-    decided from the plan when None) so its lineage is not computed twice.  The key statistics (one row per key) are
-    checkpointed too, and the hot / all-pass paths are planned only when
-    some key needs them.
+    key statistics and by the fold; ``materialize_input`` writes it once to
+    the shared folder first, for an input that needs shuffles to compute.
+    The statistics of the hot keys (few) are written there, too; the paths
+    for hot keys are planned only when there are any.
     """
-    if materialize_input is None:
-        materialize_input = has_shuffle(rows)
     if materialize_input:
         rows = materialize(rows, "fold-input")
+    q, st = F.col(qty), F.col(stock)
     stats = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("__n"), F.sum(qty).alias("__demand"), F.min(qty).alias("__qmin"),
-        F.min(stock).alias("__smin"), F.max(stock).alias("__smax"),
-        F.min(micros(ts)).alias("__t0"), F.max(micros(ts)).alias("__t1"))
-    # hot keys are cut into time segments of about ``hot_rows`` rows each
-    # (or of the fixed width ``split`` when given)
-    # (the chain gathers one table of ``max stock + 1`` entries per segment of
-    # a key, so the segment count is also capped at TABLE_BUDGET / (stock + 1))
-    n_seg = F.least(F.ceil(F.col("__n") / float(max(hot_rows, 1))),
-                    F.floor(F.lit(float(TABLE_BUDGET)) / (F.greatest(F.col("__smax"), F.lit(0)) + 1)))
-    n_seg = F.greatest(n_seg, F.lit(1)).cast("double")
-    seg_width = (F.lit(interval_micros(split)) if split is not None else
-                 F.least(F.greatest(F.lit(1e6), (F.col("__t1") - F.col("__t0") + 1).cast("double")
-                                    / n_seg), F.lit(1e17)).cast("bigint"))
-    stats = stats.select(
-        key,
-        ((F.col("__qmin") >= 0) & (F.col("__demand") <= F.col("__smin"))).alias("__allpass"),
-        ((F.col("__n") > hot_rows) & (F.col("__qmin") >= 0) & (F.col("__smin") >= 0)
-         & (F.col("__smax") <= domain_limit)).alias("__hot"),
-        F.greatest(F.col("__smax"), F.lit(0)).alias("__dom"),
-        seg_width.alias("__w"))
-    stats = materialize(stats, "fold-key-stats")
-    kinds = stats.agg(F.count(F.when(F.col("__allpass"), 1)).alias("easy"),
-                      F.count(F.when(~F.col("__allpass") & F.col("__hot"), 1)).alias("hot"),
-                      F.count(F.when(~F.col("__allpass"), 1)).alias("hard")).collect()[0]
-    # one row per key: broadcast when its measured size allows, so the rows
-    # are shuffled once (by key and segment) instead of twice
-    tagged = rows.join(replicated(stats), on=key, how="inner")
-
-    # all-pass keys: reserved is the running demand (bucketed scan, hot-key safe)
-    easy = None
+        F.sum(F.when(q < 0, q).otherwise(0)).cast("bigint").alias("__low"),
+        F.min(stock).alias("__smin"), F.max(stock).alias("__smax"), F.count(st).alias("__known"))
+    hot = materialize(stats.where(F.col("__n") > hot_rows).select(
+        key, ((F.col("__qmin") >= 0) & (F.col("__demand") <= F.col("__smin"))
+              & (F.col("__known") == F.col("__n"))).alias("__easy"),
+        ((F.col("__known") == F.col("__n"))
+         & (F.greatest(F.col("__smax"), F.lit(0)) - F.col("__low") < domain)).alias("__bounded"),
+        "__low", F.greatest(F.col("__smax"), F.lit(0)).cast("bigint").alias("__high")), "fold-hot-keys")
+    kinds = hot.agg(F.count(F.when(F.col("__easy"), 1)).alias("easy"),
+                    F.count(F.when(~F.col("__easy") & F.col("__bounded"), 1)).alias("hard")).first()
+    timed = rows.withColumn("__t", micros(ts))
+    folded, out = timed, []
+    if kinds["easy"] or kinds["hard"]:
+        apart = hot.where("__easy OR __bounded")
+        folded = timed.join(replicated(apart.select(key)), on=key, how="left_anti")
     if kinds["easy"]:
-        easy = tagged.where("__allpass").drop("__allpass", "__hot", "__dom", "__w")
-        easy = sessionize(easy, key, ts, [seq], "36500 days", {"reserved": F.col(qty).cast("bigint")},
-                          split=split, prefix="__sess_")
-        easy = easy.drop("__sess_start").withColumn("validationResult", F.lit("PASS"))
-
-    hard = tagged.where(~F.col("__allpass")).withColumn("__t", micros(ts))
-    hard = hard.withColumn(
-        "__seg", F.when(F.col("__hot"), F.floor(F.col("__t") / F.col("__w"))).otherwise(F.lit(0))
-        .cast("bigint"))
+        easy = rows.join(replicated(hot.where("__easy").select(key)), on=key, how="left_semi")
+        easy = sessionize(easy, key, ts, [seq], None, {"reserved": q.cast("bigint")},
+                          split=split, prefix="__sess_", target_rows=hot_rows)
+        out.append(easy.drop("__sess_start").withColumn("validationResult", F.lit("PASS")))
     sort_cols = [key, "__seg", "__t", seq]
-    if kinds["hot"]:
-        hot = hard.where("__hot").select(key, "__seg", "__t", seq, qty, stock, "__dom")
+    folded = folded.withColumn("__seg", F.lit(0).cast("bigint")).withColumn("__rin", F.lit(0).cast("bigint"))
+    if kinds["hard"]:
+        hard = timed.join(replicated(hot.where("NOT __easy AND __bounded").select(key, "__low", "__high")), on=key)
+        if split is not None:
+            hard = hard.withColumn("__seg", F.floor(F.col("__t") / F.lit(interval_micros(split))).cast("bigint"))
+        else:
+            whole, cut = split_hot(hard, [key], ["__t", seq], hot_rows)
+            whole = whole.withColumn("__seg", F.lit(0).cast("bigint"))
+            hard = whole if cut is None else whole.unionByName(cut.withColumnRenamed("__b", "__seg"))
         table_schema = T.StructType([rows.schema[key], T.StructField("__seg", T.LongType()),
-                                     T.StructField("__table", T.ArrayType(T.LongType()))])
-        tables = (hot.repartition(key, "__seg").sortWithinPartitions(*sort_cols)
+                                     T.StructField("__table", T.BinaryType())])
+        tables = (hard.select(key, "__seg", "__t", seq, qty, stock, "__low", "__high")
+                  .repartition(key, "__seg").sortWithinPartitions(*sort_cols)
                   .mapInPandas(_transfer_tables(key, qty, stock), table_schema))
         starts = tables.groupBy(key).applyInPandas(
             _chain(key), T.StructType([rows.schema[key], T.StructField("__seg", T.LongType()),
                                        T.StructField("__rin", T.LongType())]))
-        hard = hard.drop("__allpass", "__hot", "__dom", "__w").join(starts, on=[key, "__seg"], how="left")
-        hard = hard.withColumn("__rin", F.coalesce(F.col("__rin"), F.lit(0).cast("bigint")))
-    else:
-        hard = hard.drop("__allpass", "__hot", "__dom", "__w").withColumn("__rin", F.lit(0).cast("bigint"))
-    out_cols = [c for c in hard.columns if c not in ("__seg", "__rin", "__t")]
-    out_schema = T.StructType([hard.schema[c] for c in out_cols] + FOLD_FIELDS)
-    folded = (hard.repartition(key, "__seg").sortWithinPartitions(*sort_cols)
-              .mapInPandas(_fold_partition(key, qty, stock), out_schema))
-    if easy is None:
-        return folded
-    if not kinds["hard"]:
-        return easy.select(*folded.columns)
-    return folded.unionByName(easy.select(*folded.columns))
+        folded = folded.unionByName(hard.drop("__low", "__high").join(starts, on=[key, "__seg"]))
+    cols = [c for c in rows.columns]
+    out_schema = T.StructType([rows.schema[c] for c in cols] + FOLD_FIELDS)
+    folded = (folded.select(*cols, "__seg", "__rin", "__t").repartition(key, "__seg")
+              .sortWithinPartitions(*sort_cols).mapInPandas(_fold_partition(key, qty, stock), out_schema))
+    for part in out:
+        folded = folded.unionByName(part.select(*folded.columns))
+    return folded
 
 
 def inventory_check(orders_with_stock: DataFrame, **kw) -> DataFrame:

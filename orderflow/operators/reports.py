@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow import schemas as S
 from orderflow.functions.expressions import enum_ordinal, parse_enum
-from orderflow.operators.inventory import asof_join
+from orderflow.session import scratch_path
 
 
 def latest(changelog: DataFrame, key: str | Sequence[str], seq: str = "seq",
@@ -30,6 +30,12 @@ def latest(changelog: DataFrame, key: str | Sequence[str], seq: str = "seq",
     return out
 
 
+def keyed_table(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
+    """A changelog as the table it stands for: the newest row per key when it carries its order
+    (``seq``), as it is otherwise."""
+    return latest(df, key, seq).drop(seq) if seq in df.columns else df
+
+
 def lookup(requests: DataFrame, view: DataFrame, req_key: str = "id", view_key: str = "id",
            terminal_only: bool = False) -> DataFrame:
     """Answer a set of key lookups against a latest view, as one join.
@@ -47,11 +53,15 @@ def lookup(requests: DataFrame, view: DataFrame, req_key: str = "id", view_key:
                     F.when(hit, F.col("customerId")).alias("customerId"))
 
 
-def stuck_orders(orders: DataFrame, inventory_changes: DataFrame, split: str | None = None) -> DataFrame:
-    """Created orders that never get an inventory verdict: no stock row known at their time."""
+def stuck_orders(orders: DataFrame, inventory_changes: DataFrame) -> DataFrame:
+    """Created orders that never get an inventory verdict: no stock row known at their time.
+
+    Only the first stock time of each product matters, a small aggregate.
+    """
     o = orders.where(F.col("state") == "CREATED")
-    j = asof_join(o, inventory_changes, "product", how="left", split=split)
-    return j.where(F.col("stock").isNull()).select("id", "customerId", "product", "quantity", "ts")
+    first = inventory_changes.groupBy("product").agg(F.min("ts").alias("__first"))
+    j = o.join(first, "product", "left").where(F.col("__first").isNull() | (F.col("ts") < F.col("__first")))
+    return j.select("id", "customerId", "product", "quantity", "ts")
 
 
 def tumbling_counts(enriched: DataFrame, window: str = S.FRAUD_TUMBLING_WINDOW,
@@ -92,10 +102,24 @@ def typed_orders(orders: DataFrame) -> DataFrame:
         enum_ordinal("product", S.PRODUCTS).alias("product_ordinal"))
 
 
-def submit(orders: DataFrame) -> DataFrame:
-    """Accept submitted orders (enum-checked) and answer their resource location."""
-    t = typed_orders(orders)
-    return t.select("id", F.concat(F.lit(S.ORDER_LOCATION_PREFIX), F.col("id")).alias("location"))
+def submit(spark: SparkSession, orders: DataFrame, channel: str | None = None) -> DataFrame:
+    """Accept submitted orders: check them, append them to the orders channel (a folder), and answer
+    each one's resource location.
+
+    An unknown state or product name fails the write, so nothing is accepted.
+    """
+    channel = channel or scratch_path(spark, "orders-channel")
+    checked = orders.withColumn("state", parse_enum("state", S.ORDER_STATES, "OrderState")) \
+        .withColumn("product", parse_enum("product", S.PRODUCTS, "Product"))
+    batch = f"{channel}/submitted={scratch_path(spark, 'batch').rsplit('/', 1)[1]}"
+    checked.write.parquet(batch)
+    return spark.read.parquet(batch).select(
+        "id", F.concat(F.lit(S.ORDER_LOCATION_PREFIX), F.col("id")).alias("location"))
+
+
+def read_channel(spark: SparkSession, channel: str) -> DataFrame:
+    """All orders appended to a channel so far."""
+    return spark.read.option("basePath", channel).parquet(f"{channel}/submitted=*").drop("submitted")
 
 
 def sample(df: DataFrame, n: int = 5, order: str = "seq") -> DataFrame:

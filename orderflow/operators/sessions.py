@@ -2,28 +2,28 @@
 
 A session of a key is a maximal run of its events in which consecutive
 events are at most ``gap`` apart (events exactly one gap apart share a
-session).  The reference re-emits the session aggregate after every event,
-so the batch form returns every input row with the session start and the
-running sums up to and including that row.
-
-Plan (exact, no row of a key ever needs to meet all others in one task):
-
-1. Split each key by a time bucket: rows are partitioned by ``(key,
-   bucket)`` -- a hot key spreads over many tasks.  By default only hot keys
-   are split (see :func:`bucket_width`): a key with more than
-   ``target_rows`` rows gets buckets sized to hold about that many rows,
-   every other key is one bucket.  Inside a
-   bucket, ``lag`` finds breaks, a running count numbers local sessions
-   and running sums accumulate per local session.  One Exchange.
+session; ``gap=None``: all events of a key are one session).  The reference
+re-emits the session aggregate after every event, so the batch form returns
+every input row with the session start and the running sums up to and
+including that row.
+
+Ordinary keys take one Exchange and one sort: in the key's order, a running
+sum minus the running sum before the session's first row is the session's
+running sum, and the time of the last break is the session's start.
+
+Hot keys (see :mod:`orderflow.operators.hotkeys`) never meet in one task:
+
+1. Rows are partitioned by ``(key, bucket)``.  Inside a bucket, ``lag`` finds
+   breaks and the running sums accumulate per local session.
 2. A summary row per ``(key, bucket)`` (first/last time, number of local
    sessions, start and total of the last local session) is computed on the
-   same partitioning (no Exchange).
-3. The summary -- one row per non-empty bucket, independent of the row
-   count -- is scanned per key in bucket order: a bucket is *connected* when
-   its first event is within ``gap`` of the previous bucket's last event.
-   Consecutive connected single-session buckets form chains; a running sum
-   over each chain gives the total and start of the session still open at
-   the end of every bucket.
+   same partitioning.
+3. The summary -- one row per bucket, independent of the row count -- is
+   scanned per key in bucket order: a bucket is *connected* when its first
+   event is within ``gap`` of the previous bucket's last event.  Consecutive
+   connected single-session buckets form chains; a running sum over each
+   chain gives the total and start of the session still open at the end of
+   every bucket.
 4. The carried total/start is joined back on ``(key, bucket)`` and added to
    the first local session of each bucket.
 
@@ -38,96 +38,75 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.functions.expressions import interval_micros, micros
-from orderflow.functions.joins import estimated_bytes
+from orderflow.operators.hotkeys import TARGET_ROWS, split_hot
 
 _T, _B, _LSID, _NEW = "__t", "__b", "__lsid", "__new"
 
-# A key is split when it has more rows than this (one task's worth of a
-# sorted window partition); its buckets then hold about this many rows.
-TARGET_ROWS = 4_000_000
-# Width used for keys that are not split (one bucket for ~3,000 years).
-WHOLE_KEY_US = 10 ** 17
-# Inputs whose estimated size is below target_rows * this cannot hold a hot
-# key worth splitting; sampling is skipped for them (results are the same).
-SMALL_INPUT_BYTES_PER_ROW = 16
-
-
-def bucket_width(df: DataFrame, keys: Sequence[str], t: str, target_rows: int = TARGET_ROWS,
-                 min_width_us: int = 1_000_000, expected_hits: int = 64,
-                 seed: int = 17) -> tuple[DataFrame, Column]:
-    """Attach a per-key bucket width (microseconds) to ``df``.
-
-    Hot keys are found from a Bernoulli sample that expects ``expected_hits``
-    rows of a key holding ``target_rows`` rows (fraction
-    ``expected_hits / target_rows``), so detection costs one read of the key
-    and time columns and a shuffle of the sample only -- never one row per
-    key, which for order ids would be as large as the data.  A key counted
-    at least half the expected hits is split into buckets of about
-    ``target_rows`` rows (estimated from the sample).  Correctness does not
-    depend on the widths -- every width gives the same result; the sample only
-    sizes the parallelism, no row is dropped.  The hot key table has at most
-    ``2 * sample size / expected_hits`` rows, so it is broadcast.
-    """
-    size = estimated_bytes(df)
-    if size is not None and size < target_rows * SMALL_INPUT_BYTES_PER_ROW:
-        # too small to hold a hot key at all: every key stays whole, no sample job
-        return df, F.lit(WHOLE_KEY_US)
-    frac = min(1.0, expected_hits / float(target_rows))
-    min_hits = max(1, expected_hits // 2)
-    sample = df.select(*keys, t) if frac >= 1.0 else \
-        df.select(*keys, t).sample(withReplacement=False, fraction=frac, seed=seed)
-    stats = (sample.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__t0"), F.max(t).alias("__t1"))
-             .where(F.col("__n") >= min_hits))
-    est_rows = F.col("__n").cast("double") / frac
-    width = F.least(F.greatest(F.lit(float(min_width_us)),
-                               (F.col("__t1") - F.col("__t0") + 1).cast("double") * float(target_rows)
-                               / est_rows), F.lit(float(WHOLE_KEY_US))).cast("bigint")
-    hot = stats.select(*keys, width.alias("__w"))
-    out = df.join(F.broadcast(hot), on=list(keys), how="left")
-    return out, F.coalesce(F.col("__w"), F.lit(WHOLE_KEY_US))
-
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
 def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, order: Sequence[str],
-               gap: str, measures: Mapping[str, Column] | None = None,
+               gap: str | None, measures: Mapping[str, Column] | None = None,
                split: str | None = None, prefix: str = "session_",
                target_rows: int = TARGET_ROWS) -> DataFrame:
     """Add ``session_start`` (timestamp) and running sums of ``measures``.
 
     ``order`` are tie-breaking columns after ``ts`` (e.g. ``["seq"]``).
     ``measures`` maps output name -> numeric column (summed per session).
-    ``split``: a fixed bucket width for every key; ``None`` (default) splits
-    only hot keys, by :func:`bucket_width`.  Any width gives the same
-    answer, it only changes the parallelism.
+    ``split``: a fixed time-bucket width for every key; ``None`` (default)
+    splits only hot keys.  Any split gives the same answer, it only changes
+    the parallelism.
     """
     keys = _keys(key)
     measures = dict(measures or {})
-    gap_us = interval_micros(gap)
-    # Window columns are written as SQL expressions, one ``selectExpr`` per
-    # step: the JVM parses each step in one call instead of building every
-    # column object through the Python bridge.
+    base = df.select("*", micros(ts).alias(_T), *[c.alias(f"__m_{n}") for n, c in measures.items()])
+    names = list(measures)
+    if split is not None:
+        hot = base.withColumn(_B, F.floor(F.col(_T) / F.lit(interval_micros(split))).cast("bigint"))
+        return _bucketed(hot, keys, order, gap, names, prefix)
+    cold, hot = split_hot(base, keys, [_T, *order], target_rows)
+    out = _plain(cold, keys, order, gap, names, prefix)
+    if hot is None:
+        return out
+    return out.unionByName(_bucketed(hot, keys, order, gap, names, prefix))
+
+
+def _break(w: str, gap: str | None) -> str:
+    """SQL: the row begins a session in its window."""
+    if gap is None:
+        return f"lag({_T}) OVER ({w}) IS NULL"
+    return f"lag({_T}) OVER ({w}) IS NULL OR {_T} - lag({_T}) OVER ({w}) > {interval_micros(gap)}"
+
+
+def _plain(base: DataFrame, keys: list[str], order: Sequence[str], gap: str | None,
+           measures: list[str], prefix: str) -> DataFrame:
+    """Whole keys: every window below has the same partitioning and order."""
+    w = (f"PARTITION BY {', '.join(f'`{c}`' for c in keys)} "
+         f"ORDER BY {', '.join([_T] + [f'`{c}`' for c in order])}")
+    running = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    keep = [f"`{c}`" for c in base.columns if not c.startswith("__")]
+    rows = base.selectExpr("*", f"{_break(w, gap)} AS {_NEW}",
+                           *[f"SUM(__m_{n}) OVER ({w} {running}) AS __cum_{n}" for n in measures])
+    return rows.selectExpr(
+        *keep, f"timestamp_micros(last(CASE WHEN {_NEW} THEN {_T} END, true) OVER ({w} {running})) AS `{prefix}start`",
+        *[f"__cum_{n} - last(CASE WHEN {_NEW} THEN __cum_{n} - __m_{n} END, true) OVER ({w} {running}) AS `{n}`"
+          for n in measures])
+
+
+def _bucketed(base: DataFrame, keys: list[str], order: Sequence[str], gap: str | None,
+              measures: list[str], prefix: str) -> DataFrame:
+    """Keys in ordered buckets ``__b``."""
     k = ", ".join(f"`{c}`" for c in keys)
     o = ", ".join([_T] + [f"`{c}`" for c in order])
     running = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
-    base = df.select("*", micros(ts).alias(_T))
-    if split is None:
-        base, width = bucket_width(base, keys, _T, target_rows)
-    else:
-        width = F.lit(interval_micros(split))
-    base = base.select("*", F.floor(F.col(_T) / width).cast("bigint").alias(_B),
-                       *[c.alias(f"__m_{n}") for n, c in measures.items()])
-
     # 1. local sessions inside each (key, bucket)
     wb = f"PARTITION BY {k}, {_B} ORDER BY {o}"
     base = base.selectExpr(
         "*",
-        f"CASE WHEN lag({_T}) OVER ({wb}) IS NULL OR {_T} - lag({_T}) OVER ({wb}) > {gap_us} "
-        f"THEN 1 ELSE 0 END AS {_NEW}",
+        f"CASE WHEN {_break(wb, gap)} THEN 1 ELSE 0 END AS {_NEW}",
         f"lead({_T}) OVER ({wb}) IS NULL AS __is_last")
     base = base.selectExpr("*", f"SUM({_NEW}) OVER ({wb} {running}) AS {_LSID}")
     ws = f"PARTITION BY {k}, {_B}, {_LSID} ORDER BY {o} {running}"
@@ -145,9 +124,8 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, order: Sequence
 
     # 3. chains of connected single-session buckets
     wk = f"PARTITION BY {k} ORDER BY {_B}"
-    summary = summary.selectExpr(
-        "*", f"lag(__last_t) OVER ({wk}) IS NOT NULL "
-             f"AND __first_t - lag(__last_t) OVER ({wk}) <= {gap_us} AS __connected")
+    near = "true" if gap is None else f"__first_t - lag(__last_t) OVER ({wk}) <= {interval_micros(gap)}"
+    summary = summary.selectExpr("*", f"lag(__last_t) OVER ({wk}) IS NOT NULL AND {near} AS __connected")
     summary = summary.selectExpr("*", "__connected AND __nsess = 1 AS __through")
     summary = summary.selectExpr(
         "*", f"SUM(CASE WHEN __through THEN 0 ELSE 1 END) OVER ({wk} {running}) AS __grp")
@@ -172,12 +150,3 @@ def sessionize(df: DataFrame, key: str | Sequence[str], ts: str, order: Sequence
         f"timestamp_micros(CASE WHEN {_LSID} = 1 AND __in_start IS NOT NULL THEN __in_start "
         f"ELSE __lstart END) AS `{prefix}start`",
         *[f"__lrun_{n} + CASE WHEN {_LSID} = 1 THEN __in_{n} ELSE 0 END AS `{n}`" for n in measures])
-
-
-def session_summary(rows: DataFrame, key: str | Sequence[str], ts: str,
-                    sums: Mapping[str, Column] | None = None, prefix: str = "session_") -> DataFrame:
-    """Collapse sessionized rows (output of :func:`sessionize`) to one row per session."""
-    keys = _keys(key)
-    aggs = [F.max(ts).alias(f"{prefix}end"), F.count(F.lit(1)).alias("events")]
-    aggs += [F.sum(c).alias(n) for n, c in (sums or {}).items()]
-    return rows.groupBy(*keys, f"{prefix}start").agg(*aggs)

@@ -18,7 +18,7 @@ from orderflow.plans import sql as sqlplan
 from orderflow.sinks import files as sinks
 from orderflow.sources import fixtures as fx
 from orderflow.sources import readers
-from orderflow.session import materialize
+from orderflow.session import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 ORDER_COLS = verdicts.ORDER_COLUMNS
@@ -95,9 +95,49 @@ def _customers_delimited(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _customers_incremental(spark: SparkSession, d: str) -> DataFrame:
-    state = readers.HighWaterMark(spark, "customers")
-    rows = readers.incremental(fx.customers(spark, d), "id", state.get())
-    return readers.customer_keyed(rows)
+    """Two ingest runs with a mark of their own: the table up to half its ids, then what is new."""
+    state = readers.HighWaterMark(spark, "customers", scratch_path(spark, "hwm-customers"))
+    source = fx.customers(spark, d)
+    half = (source.agg(F.max("id")).first()[0] or 0) // 2
+    runs = []
+    for seen in (source.where(F.col("id") <= half), source):  # the source grows between the runs
+        rows = materialize(readers.incremental(seen, "id", state.get()), "customers-run")
+        state.commit(rows, "id")
+        runs.append(rows)
+    return readers.customer_keyed(runs[0].unionByName(runs[1]))
+
+
+def _submit(spark: SparkSession, d: str) -> DataFrame:
+    return reports.submit(spark, fx.orders(spark, d))
+
+
+def _orders_channel(spark: SparkSession, d: str) -> DataFrame:
+    """The orders channel: submitted orders and, after them, the outcomes its aggregator writes back."""
+    created, ok, bad = _agg_validated(spark, d)
+    channel = scratch_path(spark, "orders-channel")
+    reports.submit(spark, created.select(*ORDER_COLS, F.lit(0).alias("seq")), channel)
+    reports.submit(spark, ok.select(*ORDER_COLS, F.lit(1).alias("seq")), channel)
+    reports.submit(spark, bad.select(*ORDER_COLS, F.lit(2).alias("seq")), channel)
+    return reports.read_channel(spark, channel)
+
+
+def _channel_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Every third order of the channel and as many ids it has not got, asked for by terminal state."""
+    channel = materialize(_orders_channel(spark, d), "channel")
+    ids = channel.select(F.col("id").cast("bigint").alias("n")).distinct()
+    asked = ids.where("n % 3 = 0").select(F.explode(F.array(F.col("n").cast("string"),
+                                                            F.concat(F.lit("no-"), F.col("n")))).alias("id"))
+    return nullable_id_as_text(reports.lookup(asked, reports.latest(channel, "id"), terminal_only=True))
+
+
+def _position(spark: SparkSession, d: str) -> DataFrame:
+    rows = readers.with_position(fx.table(spark, d, "orders"))
+    return rows.select(F.col("o_orderkey").cast("string").alias("id"), "source_file", "source_offset")
+
+
+def _sql_changelog(spark: SparkSession, d: str) -> DataFrame:
+    views = sqlplan.register_views(spark, fx.orders(spark, d), fx.customer_changes(spark, d), prefix="changelog_")
+    return sqlplan.enriched_projection(views[sqlplan.ORDERS_ENRICHED_STREAM]).where("customerId IS NOT NULL")
 
 
 def nullable_id_as_text(df: DataFrame, col: str = "customerId") -> DataFrame:
@@ -112,15 +152,18 @@ def nullable_id_as_text(df: DataFrame, col: str = "customerId") -> DataFrame:
 def _lookup(terminal_only: bool) -> Query:
     def q(spark: SparkSession, d: str) -> DataFrame:
         view = reports.latest(fx.order_states(spark, d), "id")
-        req = fx.payments(spark, d).select(F.col("orderId").alias("id")).distinct()
+        # every second order id, up to twice as far as there are events: some are unknown
+        req = fx.payments(spark, d).select((F.col("orderId").cast("bigint") * 2).cast("string").alias("id")).distinct()
         return nullable_id_as_text(reports.lookup(req, view, terminal_only=terminal_only))
     return q
 
 
 QUERIES: dict[str, Query] = {
-    "orders_created": lambda s, d: checks.created(fx.orders(s, d)),
-    "orders_typed_enum": lambda s, d: reports.typed_orders(fx.orders(s, d)),
-    "details_check": lambda s, d: checks.details_check(fx.orders(s, d)),
+    "orders_created": lambda s, d: checks.created(fx.raw_orders(s, d)),
+    "orders_typed_enum": lambda s, d: reports.typed_orders(fx.raw_orders(s, d)).select(
+        "id", "state", F.coalesce("product", F.lit("-")).alias("product"), "state_ordinal",
+        F.coalesce("product_ordinal", F.lit(-1)).alias("product_ordinal")),
+    "details_check": lambda s, d: checks.details_check(fx.raw_orders(s, d)),
     "fraud_session_totals": lambda s, d: checks.fraud_session_totals(fx.orders(s, d)),
     "fraud_session_totals_12h": lambda s, d: checks.fraud_session_totals(fx.orders(s, d), "12 hours"),
     "fraud_check": lambda s, d: checks.fraud_check(fx.orders(s, d)),
@@ -129,14 +172,12 @@ QUERIES: dict[str, Query] = {
     "fraud_session_summary": lambda s, d: checks.fraud_session_totals(fx.orders(s, d))
         .groupBy("customerId", "session_start")
         .agg(F.max("ts").alias("session_end"), F.count(F.lit(1)).alias("orders"),
-             (F.sum(F.round(F.col("order_value") * 100).cast("bigint")).cast("double") / 100)
-             .alias("total")),
+             F.sum(F.col("order_value").cast("decimal(28,10)")).cast("double").alias("total")),
     "inventory_join": lambda s, d: _line_stock(s, d).select("id", "product", "quantity", "stock"),
     "inventory_asof": lambda s, d: _asof_stock(s, d).select("id", "product", "quantity", "stock", "ts"),
-    # the line input is a scan + broadcast join (cheap to re-read); the as-of
-    # input needs shuffles and is written once
-    "inventory_check": lambda s, d: _fold_cols(
-        inventory.reserve_stock(_line_stock(s, d), materialize_input=False)),
+    # the line input is a scan + small join (cheap to read again); the as-of
+    # input needs a shuffle and is written once
+    "inventory_check": lambda s, d: _fold_cols(inventory.reserve_stock(_line_stock(s, d))),
     "inventory_check_asof": lambda s, d: _fold_cols(
         inventory.reserve_stock(_asof_stock(s, d), materialize_input=True)),
     "reserved_stock": lambda s, d: inventory.reserve_stock(_line_stock(s, d)).groupBy("product").agg(
@@ -166,7 +207,9 @@ QUERIES: dict[str, Query] = {
     "level_routing_counts": _level_routing_counts,
     "orders_enriched_sql": lambda s, d: nullable_id_as_text(sqlplan.enriched_projection(
         _enriched(s, d)[sqlplan.ORDERS_ENRICHED_STREAM])),
-    "fraud_orders_tumbling": _tumbling(S.FRAUD_TUMBLING_WINDOW),
+    "orders_enriched_sql_changelog": _sql_changelog,
+    "fraud_orders_tumbling": lambda s, d: sqlplan.register_views(
+        s, fx.burst_orders(s, d), fx.customers(s, d), prefix="burst_")[sqlplan.FRAUD_ORDER_TABLE],
     "fraud_orders_tumbling_1h": _tumbling("1 hour"),
     "fraud_orders_tumbling_1d": _tumbling("1 day"),
     "fraud_orders_limit": lambda s, d: reports.pull_limit(_tumbling("1 day")(s, d)),
@@ -176,5 +219,8 @@ QUERIES: dict[str, Query] = {
     "customers_incremental": _customers_incremental,
     "customers_delimited": _customers_delimited,
     "topic_sample": lambda s, d: reports.sample(fx.orders(s, d)),
-    "submit_orders": lambda s, d: reports.submit(fx.orders(s, d)),
+    "submit_orders": _submit,
+    "orders_channel_latest": lambda s, d: reports.latest(_orders_channel(s, d), "id").select(*ORDER_COLS),
+    "orders_channel_lookup": _channel_lookup,
+    "orders_with_position": _position,
 }

@@ -23,16 +23,28 @@ PAY = """pay AS (
   SELECT 'P' || CAST(event_id AS VARCHAR) AS id, CAST(event_id AS VARCHAR) AS orderId, 'CZK' AS ccy,
     value * (1 + event_id % 5) AS amount,
     ts + INTERVAL '1' SECOND * ((event_id * 37) % 241 - 120) AS ts
-  FROM events WHERE event_id % 10 <> 9)"""
+  FROM events)"""
 
 CUST = """cust AS (
-  SELECT c_custkey AS id, split_part(c_name, '#', 1) AS firstName,
+  SELECT c_custkey + 1 AS id, split_part(c_name, '#', 1) AS firstName,
     split_part(c_name, '#', 2) AS lastName,
-    'c' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email,
+    'c' || CAST(c_custkey + 1 AS VARCHAR) || '@example.com' AS email,
     'Nation ' || CAST(c_nationkey AS VARCHAR) AS address,
     CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'platinum' WHEN 'BUILDING' THEN 'gold'
       WHEN 'FURNITURE' THEN 'silver' ELSE 'bronze' END AS level
-  FROM customer WHERE c_custkey % 10 <> 0)"""
+  FROM customer)"""
+
+RAW = """raw AS (
+  SELECT id, customerId,
+    CASE WHEN seq % 7 = 3 THEN 'VALIDATED' WHEN seq % 11 = 5 THEN 'FAILED' WHEN seq % 13 = 6 THEN 'SHIPPED'
+      ELSE 'CREATED' END AS state,
+    CASE WHEN seq % 23 <> 8 THEN product END AS product,
+    CASE WHEN seq % 17 = 2 THEN -quantity ELSE quantity END AS quantity,
+    CASE WHEN seq % 19 = 4 THEN -price ELSE price END AS price, ts, seq
+  FROM ord)"""
+
+BURST = """burst AS (
+  SELECT * REPLACE (date_trunc('day', ts) + INTERVAL '1' SECOND * (seq % 40) AS ts) FROM ord)"""
 
 LINES = """lines AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
@@ -83,7 +95,7 @@ def _us(spec: str) -> int:
 def fraud_totals_cte(gap: str) -> str:
     g = _us(gap)
     return f"""fo AS (
-  SELECT id, customerId, ts, seq, CAST(ROUND(price * 100) AS BIGINT) * quantity AS vc
+  SELECT id, customerId, ts, seq, CAST(price AS DECIMAL(28,10)) * quantity AS vc
   FROM ord WHERE state = 'CREATED'),
 fb AS (
   SELECT *, CASE WHEN lag(ts) OVER w IS NULL
@@ -101,15 +113,14 @@ ft AS (
 
 def fraud_totals_sql(gap: str) -> str:
     return f"""WITH {ORD}, {fraud_totals_cte(gap)}
-SELECT id, customerId, ts, seq, session_start, CAST(vc AS DOUBLE) / 100 AS order_value,
-  CAST(tc AS DOUBLE) / 100 AS total
+SELECT id, customerId, ts, seq, session_start, CAST(vc AS DOUBLE) AS order_value,
+  CAST(tc AS DOUBLE) AS total
 FROM ft"""
 
 
 def fraud_verdicts_select(limit: float) -> str:
-    lc = int(round(limit * 100))
     return f"""SELECT id AS orderId, 'FRAUD_CHECK' AS checkType,
-  CASE WHEN tc >= {lc} THEN 'FAIL' ELSE 'PASS' END AS validationResult,
+  CASE WHEN tc >= {limit} THEN 'FAIL' ELSE 'PASS' END AS validationResult,
   ts + INTERVAL '2' SECOND AS ts, seq * 3 + 1 AS seq
 FROM ft"""
 
@@ -121,7 +132,7 @@ def fraud_check_sql(gap: str, limit: float) -> str:
 def fraud_summary_sql(gap: str) -> str:
     return f"""WITH {ORD}, {fraud_totals_cte(gap)}
 SELECT customerId, session_start, MAX(ts) AS session_end, COUNT(*) AS orders,
-  CAST(SUM(vc) AS DOUBLE) / 100 AS total
+  CAST(SUM(vc) AS DOUBLE) AS total
 FROM ft GROUP BY customerId, session_start"""
 
 
@@ -130,6 +141,7 @@ DETAILS_SELECT = """SELECT id AS orderId, 'ORDER_DETAILS_CHECK' AS checkType,
     AS validationResult,
   ts + INTERVAL '1' SECOND AS ts, seq * 3 AS seq
 FROM ord WHERE state = 'CREATED'"""
+RAW_DETAILS = DETAILS_SELECT.replace("FROM ord", "FROM raw")
 
 
 def fold_cte(src: str) -> str:
@@ -219,9 +231,10 @@ ENRICHED = """enr AS (
   FROM ord o LEFT JOIN cust c ON o.customerId = c.id)"""
 
 
-def tumbling_sql(window: str, min_count: int) -> str:
+def tumbling_sql(window: str, min_count: int, burst: bool = False) -> str:
     w = _us(window)
-    return f"""WITH {ORD}, {CUST}, {ENRICHED},
+    rows = f"{BURST}, {ENRICHED.replace('FROM ord o', 'FROM burst o')}" if burst else ENRICHED
+    return f"""WITH {ORD}, {CUST}, {rows},
 tb AS (SELECT *, epoch_us(ts) - (epoch_us(ts) % {w}) AS wus FROM enr WHERE customerId IS NOT NULL)
 SELECT customerId, lastName, firstName, make_timestamp(wus) AS window_start,
   make_timestamp(wus + {w}) AS window_end, COUNT(*) AS counts
@@ -240,7 +253,7 @@ def lookup_sql(terminal_only: bool) -> str:
     return f"""WITH {PAY}, {OSTATES}, lt AS (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM ostates),
 lv AS (SELECT id, state, customerId FROM lt WHERE rn = 1),
-req AS (SELECT DISTINCT orderId AS id FROM pay)
+req AS (SELECT DISTINCT CAST(2 * CAST(orderId AS BIGINT) AS VARCHAR) AS id FROM pay)
 SELECT r.id, ({hit}) AS answered, CASE WHEN {hit} THEN l.state END AS state,
   CAST(CASE WHEN {hit} THEN l.customerId END AS VARCHAR) AS customerId
 FROM req r LEFT JOIN lv l ON r.id = l.id"""
@@ -251,16 +264,16 @@ ORDER_COLS = "id, customerId, state, product, quantity, price"
 
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["orders_created"] = f"""WITH {ORD}
-SELECT id, customerId, state, product, quantity, price, ts, seq FROM ord WHERE state = 'CREATED'"""
-    q["orders_typed_enum"] = f"""WITH {ORD}
-SELECT id, state, product,
+    q["orders_created"] = f"""WITH {ORD}, {RAW}
+SELECT id, customerId, state, product, quantity, price, ts, seq FROM raw WHERE state = 'CREATED'"""
+    q["orders_typed_enum"] = f"""WITH {ORD}, {RAW}
+SELECT id, state, coalesce(product, '-') AS product,
   CASE state WHEN 'CREATED' THEN 0 WHEN 'VALIDATED' THEN 1 WHEN 'FAILED' THEN 2
     WHEN 'SHIPPED' THEN 3 END AS state_ordinal,
-  CASE product WHEN 'JUMPERS' THEN 0 WHEN 'UNDERPANTS' THEN 1 WHEN 'STOCKINGS' THEN 2 END
+  CASE product WHEN 'JUMPERS' THEN 0 WHEN 'UNDERPANTS' THEN 1 WHEN 'STOCKINGS' THEN 2 ELSE -1 END
     AS product_ordinal
-FROM ord"""
-    q["details_check"] = f"WITH {ORD}\n{DETAILS_SELECT}"
+FROM raw"""
+    q["details_check"] = f"WITH {ORD}, {RAW}\n{RAW_DETAILS}"
     q["fraud_session_totals"] = fraud_totals_sql("1 hour")
     q["fraud_session_totals_12h"] = fraud_totals_sql("12 hours")
     q["fraud_check"] = fraud_check_sql("1 hour", 2000)
@@ -334,7 +347,7 @@ FROM ord o JOIN cust c ON o.customerId = c.id GROUP BY c.level"""
     q["orders_enriched_sql"] = f"""WITH {ORD}, {CUST}, {ENRICHED}
 SELECT CAST(customerId AS VARCHAR) AS customerId, firstName, lastName, level, product, quantity,
   price FROM enr"""
-    q["fraud_orders_tumbling"] = tumbling_sql(S.FRAUD_TUMBLING_WINDOW, S.FRAUD_MIN_COUNT)
+    q["fraud_orders_tumbling"] = tumbling_sql(S.FRAUD_TUMBLING_WINDOW, S.FRAUD_MIN_COUNT, burst=True)
     q["fraud_orders_tumbling_1h"] = tumbling_sql("1 hour", S.FRAUD_MIN_COUNT)
     q["fraud_orders_tumbling_1d"] = tumbling_sql("1 day", S.FRAUD_MIN_COUNT)
     q["fraud_orders_limit"] = f"""WITH {ORD}, {CUST}, {ENRICHED},
@@ -360,4 +373,26 @@ SELECT id, firstName, lastName, email, address, level FROM cust"""
 SELECT id, customerId, state, product, quantity, price, ts, seq FROM ord ORDER BY seq LIMIT 5"""
     q["submit_orders"] = f"""WITH {ORD}
 SELECT id, '{S.ORDER_LOCATION_PREFIX}' || id AS location FROM ord"""
+    # outcomes of the channel: the last writer of an order wins
+    channel = f"""WITH {VALS}, {VORD},
+{pass_counts_cte('vals', S.VALIDATION_SESSION_GAP, 3)},
+{validated_cte('vord', S.VALIDATION_JOIN_WINDOW, 3)},
+{failed_cte('vals', 'vord', S.VALIDATION_JOIN_WINDOW)},
+ch AS (SELECT {ORDER_COLS}, 0 AS s FROM vord UNION ALL SELECT {ORDER_COLS}, 1 FROM okv
+  UNION ALL SELECT {ORDER_COLS}, 2 FROM bad),
+cl AS (SELECT {ORDER_COLS} FROM ch QUALIFY row_number() OVER (PARTITION BY id ORDER BY s DESC) = 1)"""
+    q["orders_channel_latest"] = f"{channel}\nSELECT {ORDER_COLS} FROM cl"
+    q["orders_channel_lookup"] = f"""{channel},
+asked AS (SELECT id FROM cl WHERE CAST(id AS BIGINT) % 3 = 0
+  UNION ALL SELECT 'no-' || id FROM cl WHERE CAST(id AS BIGINT) % 3 = 0)
+SELECT a.id, coalesce(cl.state IN ('VALIDATED', 'FAILED'), false) AS answered,
+  CASE WHEN cl.state IN ('VALIDATED', 'FAILED') THEN cl.state END AS state,
+  CASE WHEN cl.state IN ('VALIDATED', 'FAILED') THEN CAST(cl.customerId AS VARCHAR) END AS customerId
+FROM asked a LEFT JOIN cl ON a.id = cl.id"""
+    q["orders_enriched_sql_changelog"] = f"""WITH {ORD}, {CUST},
+cl AS (SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN 'platinum' ELSE level END AS level) FROM cust)
+SELECT c.id AS customerId, c.firstName, c.lastName, c.level, o.product, o.quantity, o.price
+FROM ord o JOIN cl c ON o.customerId = c.id"""
+    q["orders_with_position"] = """SELECT CAST(o_orderkey AS VARCHAR) AS id, 'orders.parquet' AS source_file,
+  row_number() OVER () - 1 AS source_offset FROM orders"""
     return q

@@ -51,17 +51,28 @@ def _create(spark: SparkSession, name: str, df: DataFrame, replace: bool) -> Non
 
 def register_views(spark: SparkSession, orders: DataFrame, customers: DataFrame,
                    window: str = S.FRAUD_TUMBLING_WINDOW, min_count: int = S.FRAUD_MIN_COUNT,
-                   replace: bool = True) -> dict[str, DataFrame]:
-    """Create the four views in order; with ``replace=False`` existing ones are kept."""
+                   replace: bool = True, prefix: str = "") -> dict[str, DataFrame]:
+    """Create the four views in order; with ``replace=False`` existing ones are kept.
+
+    View names are those of the session; ``prefix`` keeps several sets apart.
+    The customers table is keyed: of several rows of an id the newest (by
+    ``seq``) holds.
+    """
     o = orders.select(
         "id", orders["customerId"].alias("CUSTOMERID"), "state", "product", "quantity", "price", "ts")
-    c = with_default_level(customers).select(
-        customers["id"].alias("CUSTOMERID"), "firstName", "lastName", "email", "address", "level")
-    _create(spark, ORDERS_STREAM, o, replace)
-    _create(spark, CUSTOMERS_TABLE, c, replace)
-    _create(spark, ORDERS_ENRICHED_STREAM, spark.sql(ENRICHED_SQL), replace)
-    _create(spark, FRAUD_ORDER_TABLE, spark.sql(fraud_sql(window, min_count)), replace)
-    return {n: spark.table(n) for n in
+    c = with_default_level(customers).selectExpr(
+        "id AS CUSTOMERID", "firstName", "lastName", "email", "address", "level")
+
+    def named(sql: str) -> str:
+        for n in (ORDERS_STREAM, CUSTOMERS_TABLE, ORDERS_ENRICHED_STREAM):
+            sql = sql.replace(n, prefix + n)
+        return sql
+
+    _create(spark, prefix + ORDERS_STREAM, o, replace)
+    _create(spark, prefix + CUSTOMERS_TABLE, c, replace)
+    _create(spark, prefix + ORDERS_ENRICHED_STREAM, spark.sql(named(ENRICHED_SQL)), replace)
+    _create(spark, prefix + FRAUD_ORDER_TABLE, spark.sql(named(fraud_sql(window, min_count))), replace)
+    return {n: spark.table(prefix + n) for n in
             (ORDERS_STREAM, CUSTOMERS_TABLE, ORDERS_ENRICHED_STREAM, FRAUD_ORDER_TABLE)}
 
 

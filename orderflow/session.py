@@ -136,54 +136,3 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def has_shuffle(df) -> bool:
-    """True when computing ``df`` needs a shuffle (an Exchange other than a broadcast).
-
-    Used to decide whether an intermediate read by several branches is worth
-    writing once: re-reading a plain scan is cheaper than writing and reading it.
-    """
-    try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    except Exception:
-        return True
-    for line in plan.splitlines():
-        s = line.strip().lstrip("+-:! ")
-        if s.startswith("Exchange ") or s.startswith("ShuffleQueryStage"):
-            return True
-    return False
-
-
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the files under ``paths`` (file-system metadata only)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        total += path.getFileSystem(conf).getContentSummary(path).getLength()
-    return total
-
-
-def partitions_for(spark: SparkSession, paths: list[str],
-                   bytes_per_partition: int = 128 * 1024 * 1024, expansion: float = 3.0) -> int:
-    """Partitions needed for data of this size, at least the cluster's parallelism."""
-    need = int(input_bytes(spark, paths) * expansion / bytes_per_partition) + 1
-    return max(spark.sparkContext.defaultParallelism, need)
-
-
-def size_shuffle_partitions(spark: SparkSession, paths: list[str],
-                            bytes_per_partition: int = 128 * 1024 * 1024,
-                            expansion: float = 3.0) -> int:
-    """Set ``spark.sql.shuffle.partitions`` from the input size (file metadata only).
-
-    ``expansion`` accounts for decompressed, row-format shuffle data being
-    larger than the parquet input; AQE coalesces partitions that turn out
-    small, so erring high is cheap while erring low spills.
-    """
-    total = input_bytes(spark, paths)
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-            int(total * expansion / bytes_per_partition) + 1)
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    return n

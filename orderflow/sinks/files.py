@@ -15,25 +15,17 @@ from pyspark.sql import functions as F
 from orderflow.session import scratch_path
 
 
-def append(df: DataFrame, path: str, fmt: str = "parquet",
-           partition_by: list[str] | None = None) -> str:
-    w = df.write.mode("append").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
-    return path
-
-
 def route_by_field(spark: SparkSession, df: DataFrame, field: str, name: str,
                    path: str | None = None) -> str:
     """Content-based routing: one write, destination folder = value of ``field``.
 
     Readers of one destination prune the others (partition filter on
-    ``field``).  Rows are clustered by ``field`` first so each task writes few
-    files.
+    ``field``).  Rows are rebalanced by ``field`` first: each task writes few
+    files, and a destination larger than the advisory partition size is split
+    over several tasks instead of gathering in one.
     """
     path = path or scratch_path(spark, name)
-    df.repartition(field).write.mode("append").partitionBy(field).parquet(path)
+    df.hint("rebalance", field).write.mode("append").partitionBy(field).parquet(path)
     return path
 
 
@@ -46,38 +38,40 @@ def write_delimited(spark: SparkSession, df: DataFrame, name: str, sep: str = "|
 
 
 def document_index(df: DataFrame, path: str) -> str:
-    """Append one JSON document per record (no upsert: every event is a document)."""
-    df.select(F.to_json(F.struct(*df.columns)).alias("doc")).write.mode("append").text(path)
+    """One JSON document per record (no upsert: every event is a document).
+
+    ``path`` is the folder of one batch and is replaced as a whole, so a
+    replayed batch does not add its documents twice.
+    """
+    df.select(F.to_json(F.struct(*df.columns)).alias("doc")).write.mode("overwrite").text(path)
     return path
 
 
+def _written(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def idempotent_batches(path: str, partition_by: list[str] | None = None,
                        side_effect: Callable[[DataFrame], None] | None = None
                        ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` writer that applies each micro-batch exactly once.
+    """A ``foreachBatch`` writer whose rows appear once however often a batch is replayed.
 
-    Each batch lands in ``path/batch_id=<id>`` and its id is appended to a
-    commit log only after the write; a replayed batch (after a failure
-    between write and checkpoint commit) overwrites its own folder instead of
-    appending twice, and the side effect is skipped if the id is committed.
+    Each batch lands in ``path/batch_id=<id>``; a replay finds that folder's
+    ``_SUCCESS`` file and is skipped, an interrupted write is overwritten.
+    The side effect runs before the batch is written, so it happens at least
+    once: after a failure between the two it runs again.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        log = f"{path}/_commits"
-        try:
-            done = spark.read.text(log).where(F.col("value") == str(batch_id)).limit(1).count() > 0
-        except Exception:
-            done = False
-        if done:
+        folder = f"{path}/batch_id={batch_id}"
+        if _written(batch.sparkSession, folder):
             return
+        if side_effect is not None:
+            side_effect(batch)
         w = batch.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(f"{path}/batch_id={batch_id}")
-        if side_effect is not None:
-            side_effect(batch)
-        spark.createDataFrame([(str(batch_id),)], "value string").coalesce(1) \
-            .write.mode("append").text(log)
+        w.parquet(folder)
     return write
 
 

@@ -15,19 +15,9 @@ from pyspark.sql import functions as F
 from orderflow.schemas import PRODUCTS
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table (read-only input): one DataFrame per application and path,
-    so repeated uses do not list files and read footers again."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
+    """A driver table, listed anew at every use (files may have been added)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ts(c: str = "ts") -> Column:
@@ -62,9 +52,36 @@ def orders(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> Da
     )
 
 
+def raw_orders(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    """Orders as clients may send them: every state, now and then a negative quantity or price, or no product."""
+    o = orders(spark, sf_dir, src)
+    n = F.col("seq")
+    state = (F.when(n % 7 == 3, "VALIDATED").when(n % 11 == 5, "FAILED").when(n % 13 == 6, "SHIPPED")
+             .otherwise("CREATED"))
+    return (o.withColumn("state", state)
+            .withColumn("quantity", F.when(n % 17 == 2, -F.col("quantity")).otherwise(F.col("quantity")))
+            .withColumn("price", F.when(n % 19 == 4, -F.col("price")).otherwise(F.col("price")))
+            .withColumn("product", F.when(n % 23 != 8, F.col("product"))))
+
+
+def burst_orders(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    """The orders of a day crowded into its first 40 seconds, so short windows hold several of a customer."""
+    o = orders(spark, sf_dir, src)
+    return o.withColumn("ts", plus_seconds(F.date_trunc("day", "ts"), F.col("seq") % 40))
+
+
+def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer changelog: every customer as first written, then each third one at a new level and address."""
+    c = customers(spark, sf_dir).withColumn("seq", F.col("id"))
+    again = (c.where(F.col("id") % 3 == 0).withColumn("level", F.lit("platinum"))
+             .withColumn("address", F.concat(F.lit("Moved "), F.col("address")))
+             .withColumn("seq", F.col("id") + 1_000_000_000))
+    return c.unionByName(again)
+
+
 def payments(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
-    """Payments from -120 s to +120 s around their order; every tenth unpaid."""
-    e = (src if src is not None else table(spark, sf_dir, "events")).where(F.col("event_id") % 10 != 9)
+    """Payments from -120 s to +120 s around their order, so about half miss its window."""
+    e = src if src is not None else table(spark, sf_dir, "events")
     shift = (F.col("event_id") * 37) % 241 - 120
     return e.select(
         F.concat(F.lit("P"), F.col("event_id").cast("string")).alias("id"),
@@ -76,18 +93,18 @@ def payments(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) ->
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers; every tenth key missing so inner and left joins differ."""
-    c = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 != 0)
+    """Customers, numbered from 1: orders of customer 0 find none, so inner and left joins differ."""
+    c = table(spark, sf_dir, "customer")
     seg = F.col("c_mktsegment")
     level = (F.when(seg == "AUTOMOBILE", "platinum")
              .when(seg == "BUILDING", "gold")
              .when(seg == "FURNITURE", "silver")
              .otherwise("bronze"))
     return c.select(
-        F.col("c_custkey").alias("id"),
+        (F.col("c_custkey") + 1).alias("id"),
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(1)).alias("firstName"),
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("lastName"),
-        F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
+        F.concat(F.lit("c"), (F.col("c_custkey") + 1).cast("string"), F.lit("@example.com")).alias("email"),
         F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string")).alias("address"),
         level.alias("level"),
     )
@@ -117,9 +134,9 @@ def part_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("p_partkey").alias("product"), (F.col("p_size") * 20).cast("int").alias("stock"))
 
 
-def inventory_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inventory_changes(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
     """Changing warehouse stock for the three products (a changelog)."""
-    e = table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
+    e = (src if src is not None else table(spark, sf_dir, "events")).where(F.col("event_type") == "signup")
     return e.select(
         product_of(F.col("event_id")).alias("product"),
         (F.col("event_id") % 50).cast("int").alias("stock"),

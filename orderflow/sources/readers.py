@@ -1,40 +1,15 @@
-"""Schema-applied readers: batch, stream, delimited files, incremental ingest.
-
-Schemas always come from :mod:`orderflow.schemas` -- never inferred -- so a
-mismatching file fails fast instead of silently widening types.
-"""
+"""Readers with a given schema: file streams, delimited files, incremental ingest, record positions."""
 
 from __future__ import annotations
 
-import json
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderflow.schemas import relation
 from orderflow.session import checkpoint_dir
 
 
-def read_relation(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Batch read of a registered relation with its declared schema."""
-    return spark.read.schema(relation(name).schema).format(fmt).load(path)
-
-
-def stream_relation(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
-                    max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
-    """Streaming read of a registered relation (file source; starts from the earliest file).
-
-    Resuming from the last committed position is the query's checkpoint.
-    """
-    r = spark.readStream.schema(relation(name).schema).format(fmt)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    return r.load(path)
-
-
 def stream_table(spark: SparkSession, schema: T.StructType, directory: str, file_glob: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream the files of ``directory`` matching ``file_glob`` with a fixed schema."""
@@ -100,40 +75,38 @@ def jdbc_incremental(spark: SparkSession, url: str, table: str, column: str, hig
 
 
 class HighWaterMark:
-    """The last ingested value of an incrementing column, kept in the shared checkpoint dir."""
+    """The last ingested value of an incrementing column, kept in a folder of the shared checkpoint dir
+    (``path`` names another place)."""
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, path: str | None = None):
         self.spark = spark
-        self.path = f"{checkpoint_dir(spark).rstrip('/')}/hwm/{name}"
+        self.path = path or f"{checkpoint_dir(spark).rstrip('/')}/hwm/{name}"
 
-    def get(self):
+    def _last(self):
         try:
-            rows = self.spark.read.json(self.path).orderBy(F.desc("run")).limit(1).collect()
-        except Exception:
-            return None
-        return rows[0]["value"] if rows else None
+            rows = self.spark.read.schema("run long, value long").json(self.path).orderBy(F.desc("run")).limit(1).collect()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":  # the first run; anything else is an error
+                return None
+            raise
+        return rows[0] if rows else None
+
+    def get(self):
+        last = self._last()
+        return last["value"] if last else None
 
     def commit(self, batch: DataFrame, column: str) -> None:
         """Record the max of ``column`` in ``batch`` (one small row, appended per run)."""
-        m = batch.agg(F.max(column).alias("value")).collect()[0]["value"]
+        m = batch.agg(F.max(column).alias("value")).first()["value"]
         if m is None:
             return
-        prev = self.get_runs()
-        row = json.dumps({"run": prev + 1, "value": m})
-        self.spark.createDataFrame([(row,)], "j string").select(
-            F.from_json("j", "run long, value long").alias("r")).select("r.*") \
-            .coalesce(1).write.mode("append").json(self.path)
-
-    def get_runs(self) -> int:
-        try:
-            r = self.spark.read.json(self.path).agg(F.max("run")).collect()[0][0]
-            return int(r or 0)
-        except Exception:
-            return 0
+        last = self._last()
+        run = last["run"] + 1 if last else 1
+        self.spark.createDataFrame([(run, m)], "run long, value long").coalesce(1) \
+            .write.mode("append").json(self.path)
 
 
 def with_position(df: DataFrame) -> DataFrame:
-    """Expose where each record came from (file and its modification time), as a
-    consumer record exposes topic/partition/offset; ``seq`` stays the order."""
-    return df.select("*", F.col("_metadata.file_path").alias("source_file"),
-                     F.col("_metadata.file_modification_time").alias("source_time"))
+    """Where each record was read: its file, and its row number in the file (the offset)."""
+    return df.select("*", F.col("_metadata.file_name").alias("source_file"),
+                     F.col("_metadata.row_index").alias("source_offset"))

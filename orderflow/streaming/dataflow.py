@@ -4,9 +4,9 @@ Wired like the reference's services, decoupled by channels (file sinks in
 the shared folder, each with its own commit log):
 
     orders ─► details check ──────────────────────────────► verdicts/details
-           ├► fraud sessions (state) ──────────────────────► verdicts/fraud
-           └► as-of stock lookup (per batch) ─► stocked ─► reservation (state) ─► verdicts/inventory
-    verdicts/* ─► sessions of PASS counts ─► ⋈ created orders ─► VALIDATED
+           └► fraud sessions (state) ──────────────────────► verdicts/fraud
+    stock changes + orders ─► reservation (stock and reserved in state) ─► verdicts/inventory
+    verdicts/* ─► sessions of PASS counts ─► ⋈ created orders (±5 min) ─► VALIDATED
                └► FAIL ⋈ orders (±5 min) ─► first per order ─► FAILED
 
 Each query runs with ``availableNow`` in dependency order; with a
@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from orderflow import schemas as S
 from orderflow.functions.joins import within
-from orderflow.operators import checks, inventory, verdicts
+from orderflow.operators import checks, verdicts
 from orderflow.session import scratch_path
 from orderflow.sources import fixtures as fx
 from orderflow.streaming import stateful
 from orderflow.streaming.twins import (_sentinel_dir, drop_sentinel, run_available_now,
-                                       table_stream)
+                                       table_stream, validated_stream)
 
 
 def _channel_stream(spark: SparkSession, paths: list[str], sentinel: bool = False) -> DataFrame:
@@ -42,27 +42,6 @@ def _channel_stream(spark: SparkSession, paths: list[str], sentinel: bool = Fals
     return out
 
 
-def _stocked(spark: SparkSession, d: str, path: str) -> None:
-    """Orders joined with the stock known at their time (stream ⋈ changelog table, per batch)."""
-    changes = fx.inventory_changes(spark, d)
-
-    def lookup(batch: DataFrame, batch_id: int) -> None:
-        rows = inventory.asof_join(checks.created(batch), changes, "product")
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id:08d}")
-
-    orders = fx.orders(spark, d, src=table_stream(spark, d, "events"))
-    run_available_now(orders, "s-stocked", foreach=lookup)
-
-
-def stocked_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Run the stock lookup and return its output folder as a stream (the re-keyed channel)."""
-    stocked = scratch_path(spark, "stocked")
-    _stocked(spark, d, stocked)
-    schema = spark.read.parquet(f"{stocked}/batch=*").schema
-    return (spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(stocked)
-            .drop("batch"))
-
-
 def run_validators(spark: SparkSession, d: str) -> list[str]:
     base = scratch_path(spark, "verdicts")
     details, fraud, inv = f"{base}/details", f"{base}/fraud", f"{base}/inventory"
@@ -71,15 +50,12 @@ def run_validators(spark: SparkSession, d: str) -> list[str]:
     run_available_now(checks.details_check(orders), "s-v-details", path=details)
 
     orders = fx.orders(spark, d, src=table_stream(spark, d, "events"))
-    f = stateful.fraud_sessions(orders).select(
-        F.col("id").alias("orderId"), F.lit("FRAUD_CHECK").alias("checkType"),
-        F.when(F.col("total_cents") >= int(S.FRAUD_LIMIT * 100), "FAIL").otherwise("PASS")
-        .alias("validationResult"),
-        (F.col("ts") + F.expr("INTERVAL '2' SECOND")).alias("ts"), (F.col("seq") * 3 + 1).alias("seq"))
+    f = stateful.fraud_verdicts(stateful.fraud_sessions(orders))
     run_available_now(f, "s-v-fraud", path=fraud)
 
-    rows = stocked_stream(spark, d)
-    inv_v = stateful.reserve_stock(rows).select(
+    created = checks.created(fx.orders(spark, d, src=table_stream(spark, d, "events")))
+    changes = fx.inventory_changes(spark, d, src=table_stream(spark, d, "events"))
+    inv_v = stateful.reserve_evolving_stock(created, changes).select(
         F.col("id").alias("orderId"), F.lit("INVENTORY_CHECK").alias("checkType"), "validationResult",
         (F.col("ts") + F.expr("INTERVAL '3' SECOND")).alias("ts"), (F.col("seq") * 3 + 2).alias("seq"))
     run_available_now(inv_v, "s-v-inventory", path=inv)
@@ -87,11 +63,11 @@ def run_validators(spark: SparkSession, d: str) -> list[str]:
 
 
 def run_aggregator(spark: SparkSession, d: str, channel: list[str]) -> DataFrame:
-    # VALIDATED: closed PASS-count sessions ⋈ created orders (table)
-    v = drop_sentinel(_channel_stream(spark, channel, sentinel=True).withWatermark("ts", "0 seconds"))
-    g = stateful.pass_sessions(v)
-    counts = spark.read.parquet(run_available_now(g, "s-agg-counts"))
-    ok = verdicts.orders_validated(counts, fx.orders(spark, d))
+    # VALIDATED: closed PASS-count sessions ⋈ created orders, stream with stream
+    v = _channel_stream(spark, channel, sentinel=True).withWatermark("ts", S.VALIDATION_SESSION_GAP)
+    counts = run_available_now(stateful.pass_sessions(drop_sentinel(v)), "s-agg-counts")
+    orders = fx.orders(spark, d, src=table_stream(spark, d, "events"))
+    ok = validated_stream(spark, counts, orders, "s-agg-validated")
 
     # FAILED: FAIL verdicts ⋈ orders within the window, first per order
     fv = (_channel_stream(spark, channel).where(F.col("validationResult") == "FAIL")

@@ -8,6 +8,8 @@
   watermark by more than the gap are evicted (event-time timeout).
 * :func:`reserve_stock` -- per product, the greedy reservation fold;
   state: the reserved quantity (never released).
+* :func:`reserve_evolving_stock` -- the same against a stock table that
+  changes; state: the reserved quantity and the product's newest stock.
 
 * :func:`pass_sessions` -- per order, verdict sessions with bounded state
   (counts and the few smallest PASS times), emitted once closed.
@@ -20,6 +22,7 @@ the micro-batch size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Context, Decimal
 
 import numpy as np
 import pandas as pd
@@ -29,12 +32,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from orderflow import schemas as S
-from orderflow.functions.expressions import cents, interval_micros, micros
+from orderflow.functions.expressions import (
+    amount_text, interval_micros, limit_branch, micros, not_finite, order_value)
 
 FRAUD_STATE = T.StructType([
     T.StructField("starts", T.ArrayType(T.LongType())),
     T.StructField("ends", T.ArrayType(T.LongType())),
-    T.StructField("totals", T.ArrayType(T.LongType())),
+    T.StructField("totals", T.ArrayType(T.StringType())),  # exact decimals
 ])
 
 FRAUD_OUT = T.StructType([
@@ -43,51 +47,49 @@ FRAUD_OUT = T.StructType([
     T.StructField("ts", T.TimestampType()),
     T.StructField("seq", T.LongType()),
     T.StructField("session_start_us", T.LongType()),
-    T.StructField("value_cents", T.LongType()),
-    T.StructField("total_cents", T.LongType()),
+    T.StructField("order_value", T.StringType()),
+    T.StructField("total", T.StringType()),
 ])
 
 
+# Sums of money: wide enough to stay exact, NaN and infinities as in double arithmetic.
+_MONEY = Context(prec=60, traps=[])
+
+
 def _fraud_fn(gap_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         if state.exists:
             starts, ends, totals = (list(x) for x in state.get)
+            totals = [Decimal(x) for x in totals]
         else:
             starts, ends, totals = [], [], []
-        if state.hasTimedOut:
-            wm = state.getCurrentWatermarkMs() * 1000
-        else:
-            wm = None
         frames = [p for p in pdfs if len(p)]
         if frames:
             pdf = pd.concat(frames).sort_values(["__t", "seq"], kind="stable")
             out_start, out_total = [], []
-            for t, v in zip(pdf["__t"].to_numpy(), pdf["value_cents"].to_numpy()):
-                t = int(t)
+            for t, v in zip(pdf["__t"].tolist(), pdf["order_value"].tolist()):
                 hit = [i for i in range(len(starts))
                        if starts[i] - gap_us <= t <= ends[i] + gap_us]
-                s, e, tot = t, t, int(v)
+                s, e, tot = t, t, Decimal(v)
                 for i in hit:
-                    s, e, tot = min(s, starts[i]), max(e, ends[i]), tot + totals[i]
+                    s, e, tot = min(s, starts[i]), max(e, ends[i]), _MONEY.add(tot, totals[i])
                 for i in reversed(hit):
                     del starts[i], ends[i], totals[i]
-                starts.append(s); ends.append(e); totals.append(tot)
-                out_start.append(s); out_total.append(tot)
+                starts.append(s)
+                ends.append(e)
+                totals.append(tot)
+                out_start.append(s)
+                out_total.append(str(tot))
             yield pd.DataFrame({
                 "id": pdf["id"].to_numpy(), "customerId": pdf["customerId"].to_numpy(),
                 "ts": pdf["ts"].to_numpy(), "seq": pdf["seq"].to_numpy(),
                 "session_start_us": np.asarray(out_start, dtype=np.int64),
-                "value_cents": pdf["value_cents"].to_numpy(dtype=np.int64),
-                "total_cents": np.asarray(out_total, dtype=np.int64)})
-        if wm is None:
-            wm = state.getCurrentWatermarkMs() * 1000
+                "order_value": pdf["order_value"].to_numpy(), "total": out_total})
+        wm = state.getCurrentWatermarkMs() * 1000
         keep = [i for i in range(len(starts)) if ends[i] + gap_us >= wm]
-        starts = [starts[i] for i in keep]
-        ends = [ends[i] for i in keep]
-        totals = [totals[i] for i in keep]
-        if starts:
-            state.update((starts, ends, totals))
-            state.setTimeoutTimestamp(max((min(ends) + gap_us) // 1000 + 1,
+        if keep:
+            state.update(([starts[i] for i in keep], [ends[i] for i in keep], [str(totals[i]) for i in keep]))
+            state.setTimeoutTimestamp(max((min(ends[i] for i in keep) + gap_us) // 1000 + 1,
                                           state.getCurrentWatermarkMs() + 1))
         else:
             state.remove()
@@ -95,17 +97,32 @@ def _fraud_fn(gap_us: int):
 
 
 def fraud_sessions(orders: DataFrame, gap: str = S.FRAUD_SESSION_GAP,
-                   watermark: str = "0 seconds") -> DataFrame:
-    """Streaming per-order session totals (same rows as the batch ``fraud_session_totals``)."""
+                   lateness: str | None = None) -> DataFrame:
+    """Streaming per-order session totals (same rows as the batch ``fraud_session_totals``).
+
+    ``lateness``: how far behind the newest event a row may come and still
+    count; by default the gap, for so long its session is open.
+    """
+    odd = not_finite()
     o = (orders.where(F.col("state") == "CREATED")
-         .withWatermark("ts", watermark)
+         .withWatermark("ts", lateness or gap)
          .select("id", "customerId", "ts", "seq",
-                 (cents("price") * F.col("quantity")).alias("value_cents"),
+                 amount_text(order_value(), *odd.values()).alias("order_value"),
                  micros("ts").alias("__t")))
     out = o.groupBy("customerId").applyInPandasWithState(
         _fraud_fn(interval_micros(gap)), FRAUD_OUT, FRAUD_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
-    return out
+    return out.select("id", "customerId", "ts", "seq", F.timestamp_micros("session_start_us").alias("session_start"),
+                      F.col("order_value").cast("double").alias("order_value"),
+                      F.col("total").cast("double").alias("total"))
+
+
+def fraud_verdicts(totals: DataFrame, limit: float = S.FRAUD_LIMIT) -> DataFrame:
+    """Verdict rows of the session totals; a NaN total gets none."""
+    v = totals.select("id", "ts", "seq", limit_branch("total", float(limit)).alias("r")).where("r IS NOT NULL")
+    return v.select(F.col("id").alias("orderId"), F.lit("FRAUD_CHECK").alias("checkType"),
+                    F.col("r").alias("validationResult"),
+                    (F.col("ts") + F.expr("INTERVAL '2' SECOND")).alias("ts"), (F.col("seq") * 3 + 1).alias("seq"))
 
 
 RESERVE_STATE = T.StructType([T.StructField("reserved", T.LongType())])
@@ -147,6 +164,58 @@ def reserve_stock(rows: DataFrame, key: str = "product") -> DataFrame:
         _reserve_fn(cols), out_schema, RESERVE_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+EVOLVING_STATE = T.StructType([T.StructField("reserved", T.LongType()), T.StructField("stock", T.LongType())])
+
+
+def _evolving_fn(out_cols: list[str]):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        reserved, stock = state.get if state.exists else (0, None)
+        frames = [p for p in pdfs if len(p)]
+        if not frames:
+            return
+        # at equal times a stock row comes before the orders that may use it
+        pdf = pd.concat(frames).sort_values(["__t", "__kind", "seq"], kind="stable").reset_index(drop=True)
+        at, verdict, res, held = [], [], [], []
+        q = pdf["quantity"].fillna(0).astype("int64").tolist()
+        new = pdf["stock"].tolist()
+        for i, kind in enumerate(pdf["__kind"].tolist()):
+            if kind == 0:
+                stock = int(new[i])
+            elif stock is not None:
+                ok = stock - reserved - q[i] >= 0
+                reserved += q[i] if ok else 0
+                at.append(i)
+                verdict.append("PASS" if ok else "FAIL")
+                res.append(reserved)
+                held.append(stock)
+        state.update((reserved, stock))
+        if at:
+            out = pdf.loc[at, out_cols].copy()
+            out["stock"] = np.asarray(held, dtype=np.int32)
+            out["validationResult"] = verdict
+            out["reserved"] = np.asarray(res, dtype=np.int64)
+            yield out
+    return fn
+
+
+def reserve_evolving_stock(orders: DataFrame, changes: DataFrame, key: str = "product") -> DataFrame:
+    """Streaming reservation against a stock table that is itself a stream of changes.
+
+    Both streams meet in the product's state: a change replaces its stock, an
+    order is judged by the stock known at its time; without any, it gets no
+    verdict.
+    """
+    cols = [c for c in orders.columns]
+    o = orders.select(*cols, F.lit(None).cast("int").alias("stock"), micros("ts").alias("__t"), F.lit(1).alias("__kind"))
+    c = changes.select(key, "ts", "seq", "stock", micros("ts").alias("__t"), F.lit(0).alias("__kind"))
+    u = o.unionByName(c, allowMissingColumns=True)
+    schema = T.StructType([orders.schema[x] for x in cols] + [
+        T.StructField("stock", T.IntegerType()), T.StructField("validationResult", T.StringType()),
+        T.StructField("reserved", T.LongType())])
+    return u.groupBy(key).applyInPandasWithState(
+        _evolving_fn(cols), schema, EVOLVING_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
 # ---- PASS-count sessions (bounded state) ---------------------------------------------
 
 PASS_STATE = T.StructType([

@@ -10,7 +10,10 @@ Append-mode windows are emitted only once the watermark passes their end;
 the last windows would stay open forever on a finite input.  A control
 record far in the future (a second file stream holding one sentinel row)
 advances the watermark; it is filtered out right after ``withWatermark`` so
-it never reaches an operator.
+it never reaches an operator.  Such a run ends its stream for good: the
+checkpoint keeps the far watermark, and rows added later would be late.  A
+stream that is to be resumed runs with ``close=False``; its last windows then
+stay open until newer rows close them.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow import schemas as S
-from orderflow.functions.expressions import from_cents
+from orderflow.functions.expressions import interval
 from orderflow.functions.joins import replicated, within
 from orderflow.operators import checks, enrich, reports
 from orderflow.session import scratch_path
@@ -31,16 +34,19 @@ from orderflow.sources import fixtures as fx
 from orderflow.sources.readers import stream_table
 from orderflow.streaming import stateful
 
+FILES_PER_TRIGGER = 64  # data files a micro-batch takes at most: it bounds what a key buffers
+TWIN_STATE_PARTITIONS = 8  # state partitions of the registered twins (finite inputs, fresh checkpoints)
 SENTINEL_SEQ = -1
 SENTINEL_US = 9_000_000_000_000_000  # far-future event time of the control record
 
 
 # ---- sources and the runner ---------------------------------------------------------
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, sentinel: bool = False) -> DataFrame:
-    """A driver table as a file stream; optionally followed by one far-future sentinel row."""
+def table_stream(spark: SparkSession, sf_dir: str, name: str, sentinel: bool = False,
+                 files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """A driver table as a file stream; optionally followed by far-future sentinel rows."""
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
-    s = stream_table(spark, schema, sf_dir, f"{name}.parquet")
+    s = stream_table(spark, schema, sf_dir, f"{name}.parquet", max_files_per_trigger=files_per_trigger)
     if sentinel:
         # two sentinel files, one per trigger: the first advances the
         # watermark, the batch of the second evicts with it (a run with
@@ -75,15 +81,14 @@ def _sentinel_dir(spark: SparkSession, name: str, schema) -> str:
     return d
 
 
-def drop_sentinel(df: DataFrame, ts_col: str = "ts") -> DataFrame:
-    """Remove the control record after ``withWatermark``.
+def drop_sentinel(df: DataFrame, ts_col: str = "ts", seq_col: str = "seq") -> DataFrame:
+    """Remove the control records after ``withWatermark``, by their marker.
 
-    The predicate is on the event-time column on purpose: Catalyst does not
-    push such a filter below the watermark node, so the sentinel still
-    advances the watermark (a filter on another column would be pushed down
-    and remove it first).
+    The predicate also names the event-time column: Catalyst does not push
+    such a filter below the watermark node, so the sentinel still advances the
+    watermark (a filter on the marker alone would remove it first).
     """
-    return df.where(F.col(ts_col) < F.timestamp_micros(F.lit(SENTINEL_US)))
+    return df.where((F.col(seq_col) != SENTINEL_SEQ) | F.col(ts_col).isNull())
 
 
 LAST_RUN: dict[str, object] = {}
@@ -129,41 +134,23 @@ def observed_rows(progress, stage: str) -> int:
     return n
 
 
-def _overwrite_to(path: str) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-    return write
-
-
 # ---- the twins ---------------------------------------------------------------------------
 
 def stream_details_check(spark: SparkSession, d: str) -> DataFrame:
-    orders = fx.orders(spark, d, src=table_stream(spark, d, "events"))
+    orders = fx.raw_orders(spark, d, src=table_stream(spark, d, "events"))
     return spark.read.parquet(run_available_now(checks.details_check(orders), "s-details"))
 
 
-def _fraud_rows(spark: SparkSession, d: str, gap: str) -> DataFrame:
-    orders = fx.orders(spark, d, src=table_stream(spark, d, "events"))
-    out = run_available_now(stateful.fraud_sessions(orders, gap), "s-fraud")
-    return spark.read.parquet(out)
-
-
 def stream_fraud_session_totals(spark: SparkSession, d: str, gap: str = S.FRAUD_SESSION_GAP) -> DataFrame:
-    r = _fraud_rows(spark, d, gap)
-    return r.select("id", "customerId", "ts", "seq",
-                    F.timestamp_micros("session_start_us").alias("session_start"),
-                    from_cents("value_cents").alias("order_value"),
-                    from_cents("total_cents").alias("total"))
+    orders = fx.orders(spark, d, src=table_stream(spark, d, "events"))
+    return spark.read.parquet(run_available_now(stateful.fraud_sessions(orders, gap), "s-fraud"))
 
 
 def stream_fraud_check(spark: SparkSession, d: str, limit: float = S.FRAUD_LIMIT,
                        gap: str = S.FRAUD_SESSION_GAP) -> DataFrame:
-    r = _fraud_rows(spark, d, gap)
-    lim = int(round(limit * 100))
-    return r.select(
-        F.col("id").alias("orderId"), F.lit("FRAUD_CHECK").alias("checkType"),
-        F.when(F.col("total_cents") >= lim, "FAIL").otherwise("PASS").alias("validationResult"),
-        (F.col("ts") + F.expr("INTERVAL '2' SECOND")).alias("ts"), (F.col("seq") * 3 + 1).alias("seq"))
+    orders = fx.orders(spark, d, src=table_stream(spark, d, "events"))
+    v = stateful.fraud_verdicts(stateful.fraud_sessions(orders, gap), limit)
+    return spark.read.parquet(run_available_now(v, "s-fraud-check"))
 
 
 def stream_inventory_check(spark: SparkSession, d: str, checkpoint: str | None = None) -> DataFrame:
@@ -177,9 +164,9 @@ def stream_inventory_check(spark: SparkSession, d: str, checkpoint: str | None =
 def stream_validation_pass_counts(spark: SparkSession, d: str,
                                   gap: str = S.VALIDATION_SESSION_GAP,
                                   n_rules: int = S.NUMBER_OF_RULES,
-                                  out_path: str | None = None) -> DataFrame:
-    v = fx.validations(spark, d, src=table_stream(spark, d, "events", sentinel=True))
-    v = drop_sentinel(v.withWatermark("ts", "0 seconds"))
+                                  out_path: str | None = None, close: bool = True) -> DataFrame:
+    v = fx.validations(spark, d, src=table_stream(spark, d, "events", sentinel=close))
+    v = drop_sentinel(v.withWatermark("ts", gap))  # late rows within the gap still join their session
     g = stateful.pass_sessions(v, gap, n_rules)
     return spark.read.parquet(run_available_now(g, "s-pass-counts", path=out_path))
 
@@ -227,19 +214,19 @@ def stream_level_routing_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_inventory_check_asof(spark: SparkSession, d: str) -> DataFrame:
-    """Orders ⋈ stock known at their time (per micro-batch, against the changelog table),
-    then the stateful reservation."""
-    from orderflow.streaming.dataflow import stocked_stream
-    rows = stocked_stream(spark, d)
-    out = run_available_now(stateful.reserve_stock(rows), "s-reserve-asof")
+    """Orders against a stock table that changes, both as streams; stock and reservation in state."""
+    o = checks.created(fx.orders(spark, d, src=table_stream(spark, d, "events")))
+    c = fx.inventory_changes(spark, d, src=table_stream(spark, d, "events"))
+    out = run_available_now(stateful.reserve_evolving_stock(o, c), "s-reserve-asof")
     return spark.read.parquet(out).select("id", "product", "quantity", "stock",
                                           "validationResult", "reserved")
 
 
-def stream_fraud_orders_tumbling(window: str) -> Callable[[SparkSession, str], DataFrame]:
+def stream_fraud_orders_tumbling(window: str, adapter=fx.orders, lateness: str = S.SQL_GRACE
+                                 ) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, d: str) -> DataFrame:
-        o = fx.orders(spark, d, src=table_stream(spark, d, "events", sentinel=True))
-        o = drop_sentinel(o.withWatermark("ts", "0 seconds"))
+        o = adapter(spark, d, src=table_stream(spark, d, "events", sentinel=True))
+        o = drop_sentinel(o.withWatermark("ts", lateness))
         c = replicated(fx.customers(spark, d).select(
             F.col("id").alias("c_id"), "firstName", "lastName", "level"))
         enr = o.join(c, o["customerId"] == c["c_id"], "left").select(
@@ -251,11 +238,13 @@ def stream_fraud_orders_tumbling(window: str) -> Callable[[SparkSession, str], D
 
 
 def stream_orders_latest(spark: SparkSession, d: str) -> DataFrame:
+    """The latest view as a stream: each micro-batch writes the keys it changed (update mode, a replayed
+    batch replaces its own rows), the view is the newest row per key of what was written."""
     s = fx.order_states(spark, d, src=table_stream(spark, d, "orders"))
-    latest = reports.latest(s, "id").select("id", "customerId", "state", "ts")
     path = scratch_path(spark, "s-orders-latest")
-    run_available_now(latest, "s-orders-latest", mode="complete", foreach=_overwrite_to(path))
-    return spark.read.parquet(path)
+    run_available_now(reports.latest(s, "id"), "s-orders-latest", mode="update",
+                      foreach=sinks.idempotent_batches(path))
+    return reports.latest(sinks.read_idempotent(spark, path), "id").select("id", "customerId", "state", "ts")
 
 
 def stream_topic_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -263,18 +252,47 @@ def stream_topic_sample(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(run_available_now(o.limit(5), "s-sample"))
 
 
-def stream_orders_validated(spark: SparkSession, d: str,
-                            n_rules: int = S.NUMBER_OF_RULES) -> DataFrame:
-    """Closed verdict sessions (stream) ⋈ the created-orders table (static), interval filter.
+SESSION_SCHEMA = ("orderId string, session_start timestamp, session_end timestamp, verdicts long, passes long, "
+                  "reach_ts timestamp")
+
+
+def validated_stream(spark: SparkSession, counts_path: str, orders: DataFrame, name: str,
+                     n_rules: int = S.NUMBER_OF_RULES, lateness: str = "1 hour") -> DataFrame:
+    """Closed verdict sessions ⋈ created orders, stream with stream.
 
-    Joining the session stream against the orders table keeps one stateful
-    operator (the session window) in the query; the join-back is stateless.
+    The sessions are read from the sink of the session query (a query keeps
+    one custom state).  Both sides carry a watermark and the join a time
+    bound, so its state is dropped once no partner can come; ``lateness``
+    covers the time a session stays open.
     """
+    c = (spark.readStream.schema(SESSION_SCHEMA).parquet(counts_path)
+         .where(F.col("passes") >= n_rules).withWatermark("session_end", lateness).alias("c"))
+    o = orders.where(F.col("state") == "CREATED").withWatermark("ts", lateness).alias("o")
+    w = interval(S.VALIDATION_JOIN_WINDOW)
+    cond = ((F.col("c.orderId") == F.col("o.id")) & (F.col("o.ts") >= F.col("c.reach_ts") - w)
+            & (F.col("o.ts") <= F.col("c.session_end") + w)
+            # the same lower bound on the watermarked column: a session spans at most this long
+            & (F.col("o.ts") >= F.col("c.session_end") - interval("1 day")))
+    j = c.join(o, cond, "inner").select("o.id", "o.customerId", F.lit("VALIDATED").alias("state"), "o.product",
+                                        "o.quantity", "o.price", "c.session_start")
+    return spark.read.parquet(run_available_now(j, name))
+
+
+def stream_orders_validated(spark: SparkSession, d: str, n_rules: int = S.NUMBER_OF_RULES) -> DataFrame:
     counts_path = scratch_path(spark, "s-validated-counts")
-    counts = stream_validation_pass_counts(spark, d, out_path=counts_path)
-    orders = fx.validated_orders_source(spark, d)
-    from orderflow.operators.verdicts import orders_validated
-    return orders_validated(counts, orders, n_rules)
+    stream_validation_pass_counts(spark, d, out_path=counts_path)
+    orders = fx.validated_orders_source(spark, d, src=table_stream(spark, d, "events"))
+    return validated_stream(spark, counts_path, orders, "s-validated", n_rules)
+
+
+def stream_orders_enriched_sql(spark: SparkSession, d: str) -> DataFrame:
+    """The enriched SQL view over a streaming orders view, as a continuous query."""
+    from orderflow.plans import sql as sqlplan
+    o = fx.orders(spark, d, src=table_stream(spark, d, "events"))
+    views = sqlplan.register_views(spark, o, fx.customers(spark, d), prefix="streaming_")
+    t = sqlplan.enriched_projection(views[sqlplan.ORDERS_ENRICHED_STREAM])
+    out = spark.read.parquet(run_available_now(t, "s-enriched-sql"))
+    return out.withColumn("customerId", F.col("customerId").cast("string"))
 
 
 def stream_notifications(spark: SparkSession, d: str) -> DataFrame:
@@ -311,8 +329,8 @@ def stream_fraud_orders_sql(window: str) -> Callable[[SparkSession, str], DataFr
     def q(spark: SparkSession, d: str) -> DataFrame:
         from orderflow.plans import sql as sqlplan
         o = fx.orders(spark, d, src=table_stream(spark, d, "events", sentinel=True))
-        o = drop_sentinel(o.withWatermark("ts", "0 seconds"))
-        views = sqlplan.register_views(spark, o, fx.customers(spark, d), window=window)
+        o = drop_sentinel(o.withWatermark("ts", S.SQL_GRACE))
+        views = sqlplan.register_views(spark, o, fx.customers(spark, d), window=window, prefix="streaming_")
         t = views[sqlplan.FRAUD_ORDER_TABLE]
         return spark.read.parquet(run_available_now(t, "s-fraud-sql"))
     return q
@@ -338,13 +356,14 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_orders_by_level": stream_orders_by_level,
     "stream_level_routing_counts": stream_level_routing_counts,
     "stream_inventory_check_asof": stream_inventory_check_asof,
-    "stream_fraud_orders_tumbling": stream_fraud_orders_tumbling(S.FRAUD_TUMBLING_WINDOW),
+    "stream_fraud_orders_tumbling": stream_fraud_orders_tumbling(S.FRAUD_TUMBLING_WINDOW, fx.burst_orders),
     "stream_fraud_orders_tumbling_1d": stream_fraud_orders_tumbling("1 day"),
     "stream_fraud_orders_tumbling_1h": stream_fraud_orders_tumbling("1 hour"),
     "stream_orders_latest": stream_orders_latest,
     "stream_topic_sample": stream_topic_sample,
     "stream_orders_validated": stream_orders_validated,
     "stream_notifications": stream_notifications,
+    "stream_orders_enriched_sql": stream_orders_enriched_sql,
     "stream_search_documents": stream_search_documents,
     "stream_fraud_orders_sql_1d": stream_fraud_orders_sql("1 day"),
     "stream_reserved_stock_state": stream_reserved_stock_state,
@@ -359,18 +378,19 @@ def _order_outcomes(spark: SparkSession, d: str) -> DataFrame:
 STREAM_QUERIES["stream_order_outcomes"] = _order_outcomes
 
 
-def state_sized(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Run a twin with as many shuffle/state partitions as its input needs.
+def with_state_partitions(fn: Callable[[SparkSession, str], DataFrame], n: int
+                          ) -> Callable[[SparkSession, str], DataFrame]:
+    """Run a twin with ``n`` state partitions at most.
 
-    A streaming query fixes its state-store partition count at its first
-    start from ``spark.sql.shuffle.partitions``; sized from the input (never
-    above the session's setting), a small stream does not open hundreds of
-    state stores.  The session setting is restored afterwards.
+    A streaming query fixes the number of its state partitions at its first
+    start.  The registered twins run over a finite table with a checkpoint of
+    their own, for which ``TWIN_STATE_PARTITIONS`` is enough; the streaming
+    functions themselves never touch the setting, so a deployment chooses it
+    for the life of its checkpoint by ``spark.sql.shuffle.partitions``.
     """
     def run(spark: SparkSession, d: str) -> DataFrame:
-        from orderflow.session import partitions_for
         old = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", str(min(int(old), partitions_for(spark, [d]))))
+        spark.conf.set("spark.sql.shuffle.partitions", str(min(int(old), n)))
         try:
             return fn(spark, d)
         finally:
@@ -379,7 +399,7 @@ def state_sized(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-STREAM_QUERIES = {name: state_sized(fn) for name, fn in STREAM_QUERIES.items()}
+STREAM_QUERIES = {name: with_state_partitions(fn, TWIN_STATE_PARTITIONS) for name, fn in STREAM_QUERIES.items()}
 
 # streaming twin -> batch query whose oracle SQL it must match
 ORACLE_OF = {
@@ -400,6 +420,7 @@ ORACLE_OF = {
     "stream_topic_sample": "topic_sample",
     "stream_orders_validated": "orders_validated",
     "stream_notifications": "notifications",
+    "stream_orders_enriched_sql": "orders_enriched_sql",
     "stream_search_documents": "search_documents",
     "stream_fraud_orders_sql_1d": "fraud_orders_tumbling_1d",
     "stream_reserved_stock_state": "reserved_stock_state",

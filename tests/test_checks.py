@@ -70,16 +70,49 @@ def test_sessions_split_across_buckets_match_single_bucket(spark):
     assert fine["late"]["total"] == 1.0
 
 
-def test_sampled_hot_key_detection_splits_only_hot_keys(spark):
+def test_hot_keys_split_on_bursts_and_on_equal_times(spark):
     from pyspark.sql import functions as F
-    from orderflow.functions.expressions import micros
-    from orderflow.operators.sessions import WHOLE_KEY_US, bucket_width
+    from orderflow.operators.hotkeys import split_hot
+    # 20,000 rows of one key, 95 % of them within one hour, half of those at one time
+    rows = spark.range(20_000).selectExpr(
+        "1 AS k", "CASE WHEN id < 1000 THEN id * 86400 WHEN id < 10000 THEN 5000 ELSE 5000 + id % 3600 END AS t", "id AS seq")
+    rows = rows.unionByName(spark.range(50).selectExpr("2 AS k", "id AS t", "id AS seq"))
+    cold, hot = split_hot(rows, ["k"], ["t", "seq"], target_rows=1000)
+    assert [r[0] for r in cold.select("k").distinct().collect()] == [2]
+    sizes = [r["count"] for r in hot.groupBy("__b").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 4000 and len(sizes) >= 8
+    assert split_hot(rows, ["k"], ["t", "seq"], target_rows=1_000_000)[1] is None
+
+
+def test_hot_keys_keep_sessions_whole(spark):
+    o = orders_df(spark, [(str(i), i % 2, "JUMPERS", 1, 1.0, (i // 40) * 1900 + i % 40, i) for i in range(4000)])
+    from pyspark.sql import functions as F
+    from orderflow.operators.sessions import sessionize
+    def run(target):
+        r = sessionize(o, "customerId", "ts", ["seq"], "30 minutes", {"run": F.col("quantity")}, target_rows=target)
+        return sorted((x["id"], x["session_start"], x["run"]) for x in r.collect())
+    assert run(300) == run(10 ** 9)
+
+
+def test_one_shuffle_without_hot_keys(spark):
     from orderflow.sources import fixtures as fx
-    from conftest import SF01
-    o = fx.orders(spark, SF01).withColumn("__t", micros("ts"))
-    # one artificial hot key: every order of customers < 100 re-keyed to 0
-    o = o.withColumn("k", F.when(F.col("customerId") < 100, F.lit(0)).otherwise(F.col("customerId")))
-    out, w = bucket_width(o, ["k"], "__t", target_rows=1000, expected_hits=200)
-    widths = {r["k"]: r["w"] for r in out.select("k", w.alias("w")).distinct().collect()}
-    assert widths[0] < WHOLE_KEY_US                      # ~6,700 rows: split
-    assert all(v == WHOLE_KEY_US for k, v in widths.items() if k != 0)  # ~67 rows: whole
+    from conftest import SF001
+    plan = checks.fraud_check(fx.orders(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_price_is_not_rounded_before_multiplying(spark):
+    # 1,000 * 1.999 = 1999 passes; 1,000 * 2.0 fails
+    o = orders_df(spark, [("a", 1, "JUMPERS", 1000, 1.999, 0, 1), ("b", 2, "JUMPERS", 1000, 1.996, 0, 2),
+                          ("c", 3, "JUMPERS", 1000, 2.0, 0, 3)])
+    v = by(checks.fraud_check(o), "orderId")
+    assert [v[k]["validationResult"] for k in "abc"] == ["PASS", "PASS", "FAIL"]
+
+
+def test_nan_and_infinite_prices_do_not_stop_the_job(spark):
+    inf = float("inf")
+    o = orders_df(spark, [("a", 1, "JUMPERS", 1, 1.0, 0, 1), ("b", 1, "JUMPERS", 1, float("nan"), 1, 2),
+                          ("c", 1, "JUMPERS", 1, 5000.0, 2, 3), ("d", 2, "JUMPERS", 1, inf, 0, 4),
+                          ("e", 3, "JUMPERS", 1, -inf, 0, 5)])
+    v = by(checks.fraud_check(o), "orderId")
+    assert {k: r["validationResult"] for k, r in v.items()} == {"a": "PASS", "d": "FAIL", "e": "PASS"}

@@ -97,7 +97,40 @@ def test_enum_parse_fails_on_unknown(spark):
     with pytest.raises(Exception):
         reports.typed_orders(o).collect()
     ok = orders_df(spark, [("1", 1, "STOCKINGS", 1, 1.0, 0, 1)])
-    assert reports.submit(ok).collect()[0]["location"] == "/v1/orders/1"
+    assert reports.submit(spark, ok).collect()[0]["location"] == "/v1/orders/1"
+
+
+def test_submit_checks_and_appends(spark):
+    import pytest
+    from orderflow.session import scratch_path
+    channel = scratch_path(spark, "channel")
+    reports.submit(spark, orders_df(spark, [("1", 1, "JUMPERS", 1, 1.0, 0, 1)]), channel)
+    reports.submit(spark, orders_df(spark, [("1", 1, "JUMPERS", 1, 1.0, 0, 2, "VALIDATED")]), channel)
+    for bad in (("2", 1, "SOCKS", 1, 1.0, 0, 3), ("2", 1, "JUMPERS", 1, 1.0, 0, 3, "BOGUS")):
+        with pytest.raises(Exception, match="No enum constant"):
+            reports.submit(spark, orders_df(spark, [bad]), channel)
+    rows = reports.read_channel(spark, channel)
+    assert rows.count() == 2
+    assert [r["state"] for r in reports.latest(rows, "id").collect()] == ["VALIDATED"]
+
+
+def test_newest_customer_row_holds_everywhere(spark):
+    two = spark.createDataFrame(
+        [(1, "Ann", "A", "old@x", "Street 1", "gold", 1), (1, "Ann", "A", "new@x", "Street 2", "silver", 2)],
+        "id long, firstName string, lastName string, email string, address string, level string, seq long")
+    o = orders_df(spark, [("1", 1, "JUMPERS", 1, 1.0, 0, 1)])
+    p = _payments(spark, [("a", "1", 5.0, 10)])
+    views = sqlplan.register_views(spark, o, two, prefix="two_")
+    assert [r["level"] for r in views[sqlplan.ORDERS_ENRICHED_STREAM].collect()] == ["silver"]
+    assert [r["email"] for r in enrich.notifications(enrich.orders_payments(o, p), two).collect()] == ["new@x"]
+    assert multiset(enrich.orders_by_level(o, two)) == [("1", 1, "silver")]
+
+
+def test_existing_views_are_kept_without_replace(spark):
+    o = orders_df(spark, [("1", 1, "JUMPERS", 1, 1.0, 0, 1)])
+    sqlplan.register_views(spark, o, _customers(spark), prefix="keep_")
+    views = sqlplan.register_views(spark, o.limit(0), _customers(spark), replace=False, prefix="keep_")
+    assert views[sqlplan.ORDERS_STREAM].count() == 1
 
 
 def test_search_documents_truncate_price(spark):

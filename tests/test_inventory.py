@@ -99,3 +99,41 @@ def test_negative_quantity_frees_stock_in_sequential_path(spark):
     out = inventory.reserve_stock(_rows(spark, 10, [-3, 12, 2]), hot_rows=0, materialize_input=False)
     got = {r["id"]: (r["validationResult"], r["reserved"]) for r in out.collect()}
     assert got == {"o0": ("PASS", -3), "o1": ("PASS", 9), "o2": ("FAIL", 9)}
+
+
+def test_running_reservation_has_no_gap(spark):
+    from datetime import datetime
+    rows = spark.createDataFrame([("a", "P", 7, datetime(1900, 1, 1), 1, 100), ("b", "P", 5, datetime(2024, 1, 1), 2, 100)],
+                                 "id string, product string, quantity int, ts timestamp, seq long, stock int")
+    for hot in (10 ** 9, 0):
+        got = {r["id"]: r["reserved"] for r in inventory.reserve_stock(rows, hot_rows=hot).collect()}
+        assert got == {"a": 7, "b": 12}
+
+
+def test_hot_key_segments_with_negative_quantity_large_stock_and_one_date(spark):
+    import random
+    rnd = random.Random(4)
+    for stock, low, one_date in ((2_000_000, 1, False), (3000, -20, False), (3000, 1, True)):
+        data = [(f"o{i}", "P", rnd.randint(low, 5000 if stock > 10 ** 6 else 50), at(0 if one_date else i), i, stock)
+                for i in range(3000)]
+        rows = spark.createDataFrame(data, "id string, product string, quantity int, ts timestamp, seq long, stock int")
+        exp, r = {}, 0
+        for id_, _, q, _, _, s in data:
+            ok = s - r - q >= 0
+            r += q if ok else 0
+            exp[id_] = ("PASS" if ok else "FAIL", r)
+        out = inventory.reserve_stock(rows, hot_rows=300)
+        assert {x["id"]: (x["validationResult"], x["reserved"]) for x in out.collect()} == exp
+
+
+def test_newest_stock_row_holds(spark):
+    o = orders_df(spark, [("x", 1, "JUMPERS", 1, 1.0, 0, 1)])
+    inv = spark.createDataFrame([("JUMPERS", 10, 1), ("JUMPERS", 3, 2)], "product string, stock int, seq long")
+    assert [r["stock"] for r in inventory.join_stock(o, inv).collect()] == [3]
+
+
+def test_asof_join_with_hot_keys_equals_plain(spark):
+    o, inv = fx.orders(spark, SF01), fx.inventory_changes(spark, SF01)
+    a = inventory.asof_join(o, inv, "product", target_rows=500)
+    b = inventory.asof_join(o, inv, "product")
+    assert multiset(a.select("id", "stock")) == multiset(b.select("id", "stock"))

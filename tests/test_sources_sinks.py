@@ -42,7 +42,7 @@ def test_record_position_is_exposed(spark):
 def test_stream_observes_stage_counts(spark):
     twins.stream_details_check(spark, SF001)
     n = twins.observed_rows(twins.LAST_RUN["progress"], "s-details-out")
-    assert n == fx.orders(spark, SF001).count()
+    assert n == fx.raw_orders(spark, SF001).where("state = 'CREATED'").count()
 
 
 def test_relation_registry(spark):
@@ -50,11 +50,33 @@ def test_relation_registry(spark):
     assert r.key == ("id",) and r.schema["price"].dataType.typeName() == "double"
 
 
-def test_shuffle_partitions_sized_from_input_bytes(spark):
-    from orderflow.session import size_shuffle_partitions
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+def test_record_offsets_count_from_zero_in_each_file(spark):
+    rows = readers.with_position(spark.read.parquet(f"{SF001}/orders.parquet")).select("source_offset").collect()
+    assert sorted(r[0] for r in rows) == list(range(len(rows)))
+
+
+def test_an_unreadable_mark_is_an_error_not_a_first_run(spark, tmp_path):
+    import pytest
+    mark = readers.HighWaterMark(spark, "x", f"nofs://{tmp_path}/mark")
+    with pytest.raises(Exception, match="(?i)filesystem|scheme"):
+        mark.get()
+
+
+def test_tables_are_listed_anew(spark):
+    d = scratch_path(spark, "grows")
+    for n in (10, 20):
+        spark.range(n).write.mode("append").parquet(f"{d}/t.parquet")
+        last = fx.table(spark, d, "t").count()
+    assert last == 30
+
+
+def test_a_large_destination_is_written_by_several_tasks(spark):
+    df = spark.range(400_000).selectExpr("id", "uuid() AS filler", "'gold' AS level")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
     try:
-        n = size_shuffle_partitions(spark, [f"{SF001}/lineitem.parquet"], bytes_per_partition=4 * 1024)
-        assert n > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+        path = sinks.route_by_field(spark, df, "level", "large-level")
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f")).distinct().count()
+    assert files > 1 and spark.read.parquet(path).count() == 400_000
