@@ -103,8 +103,9 @@ def layout(table: DataFrame, slots: int) -> DataFrame:
     t = t.selectExpr("*", "CASE WHEN source_size > 0 THEN target * blocks / source_size ELSE 0 END AS due")
     t = t.selectExpr("*", "SUM(due) OVER () AS all_due",
                      "SUM(due) OVER (ORDER BY sid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto")
-    return t.selectExpr("*", f"CAST(round((upto - due) / all_due * {_UNIT}) AS BIGINT) AS low",
-                        f"CAST(round(upto / all_due * {_UNIT}) AS BIGINT) AS high")
+    # without any words there is no interval, and no slot
+    return t.selectExpr("*", f"coalesce(CAST(round(try_divide(upto - due, all_due) * {_UNIT}) AS BIGINT), 0) AS low",
+                        f"coalesce(CAST(round(try_divide(upto, all_due) * {_UNIT}) AS BIGINT), 0) AS high")
 
 
 def schedule(lay: DataFrame, slots: int) -> DataFrame:
