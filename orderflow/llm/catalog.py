@@ -82,4 +82,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_stupid_backoff_scores": sql.lm_sql(),
     "op4_adaptive_quality": sql.quality_sql(),
+    "op10_minmax_near_dedup": sql.near_sql(),
 }

@@ -85,3 +85,23 @@ s AS (SELECT rid, CASE WHEN p IS NULL THEN greatest(c1, 1) / n WHEN c2 > 0 THEN
 SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, round(coalesce(t.x, 0), 6) + 0.0 AS log_score
 FROM d LEFT JOIN (SELECT rid, sum(ln(s)) AS x FROM s GROUP BY rid) t USING (rid)
 """
+
+
+def near_sql(shingle: int = 5, threshold: int = 85) -> str:
+    """Components of the documents linked by the similarity of their shingle sets, by comparing all that share one."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{_WORD}') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + {shingle - 1}], ' ') AS x
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {shingle - 1}, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+e AS (SELECT c.a, c.b FROM c JOIN n p ON p.doc_id = c.a JOIN n q ON q.doc_id = c.b
+  WHERE 100 * c.k >= {threshold} * (p.n + q.n - c.k)),
+r(id, m) AS (SELECT doc_id, doc_id FROM w UNION SELECT e.b, r.m FROM r JOIN e ON r.id = e.a),
+m AS (SELECT id, min(m) AS m FROM r GROUP BY id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.m AS component_id, w.doc_id = m.m AS kept
+FROM w JOIN m ON m.id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+"""

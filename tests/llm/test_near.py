@@ -1,9 +1,12 @@
 import random
 
+import duckdb
 import numpy as np
 
+from conftest import SF001
 from edge import SCHEMA, clash, components, edge_rows, edge_table, edited, prose, shingles
-from orderflow.llm import near
+from orderflow.llm import catalog, near, sql
+from tools.check_oracle import digest
 
 
 def _corpus():
@@ -71,3 +74,10 @@ def test_a_large_family_has_no_lost_link_and_few_pairs(spark):
     rows = [(i, base if i % 3 == 0 else edited(base, i, 60)) for i in range(240)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in near.near_duplicates(df).collect()} == components(dict(rows))
+
+
+def test_query_equals_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF001}/documents.parquet'")
+    got = catalog.op10_minmax_near_dedup(spark, SF001).toPandas()
+    assert digest(got) == digest(con.execute(sql.near_sql()).df())
