@@ -14,7 +14,9 @@ documents before it), ``n_tokens`` and ``ids``.  What the format does with it:
 
 Reading back takes the totals of each file from the ``n_tokens`` column alone;
 the running sum over the files (one row each) turns the starts within a file
-into global ones, so no document is ever sorted again.
+into global ones, so no document is ever sorted again.  That table is sent to
+the readers while it has at most ``BROADCAST_FILES`` rows, so the ids are not
+shuffled; beyond that it is joined by a shuffle.
 
 Defined cases: null text is empty (the end id alone); null ids come first;
 repeated rows are written each; an empty table writes an empty file.
@@ -32,9 +34,9 @@ from pyspark.sql import functions as F
 
 from orderflow.llm import words as wd
 from orderflow.llm.tokens import encoder
-from orderflow.session import scratch_path
+from orderflow.session import materialize, scratch_path
 
-END_ID, STRIPE_BYTES, ROW_INDEX, BLOOM_FPP = 1, 16 << 20, 1000, 0.01
+END_ID, STRIPE_BYTES, ROW_INDEX, BLOOM_FPP, BROADCAST_FILES = 1, 16 << 20, 1000, 0.01, 100_000
 _SCHEMA = "doc_id long, start long, n_tokens int, ids array<int>"
 
 
@@ -76,6 +78,9 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     sums = stored.groupBy("file").agg(F.sum("n_tokens").alias("n")).withColumn("number", number)
     sums = sums.selectExpr("file", "SUM(n) OVER (ORDER BY number, file ROWS BETWEEN UNBOUNDED PRECEDING "
                                    "AND CURRENT ROW) - n AS base")
+    sums = materialize(sums, "token-files")
+    if sums.count() <= BROADCAST_FILES:
+        sums = F.broadcast(sums)
     return stored.join(sums, "file").select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids")
 
 
