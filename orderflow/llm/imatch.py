@@ -57,7 +57,10 @@ def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: flo
 
 
 def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """nth (from 0, descending id), doc_id, text, next_text (of the document nth + 1, cyclic)."""
+    """bucket, nth (from 0, descending id), doc_id, text, next_text (of the document nth + 1, cyclic).
+
+    The rows are partitioned by ``bucket``; what is grouped by it and more needs no further shuffle.
+    """
     d = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
                     F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     ids = d.select("doc_id")
@@ -82,8 +85,9 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
              .groupBy("bucket").agg(F.first("text").alias("head_text")))
     nxt = order.selectExpr("bucket", "base", "coalesce(after, least) AS after").join(
         first.withColumnRenamed("bucket", "after"), "after").select("bucket", "base", "head_text")
-    return out.join(nxt, "bucket").select(
-        (F.col("base") + F.col("inside")).alias("nth"), "doc_id", "text",
+    # a merge join keeps the rows where the window left them
+    return out.join(nxt.hint("merge"), "bucket").select(
+        "bucket", (F.col("base") + F.col("inside")).alias("nth"), "doc_id", "text",
         F.coalesce("follower", "head_text").alias("next_text"))
 
 
@@ -126,13 +130,15 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     lex, n = lexicon(docs, text_col)
     d = neighbours(docs, id_col, text_col)
-    d = d.select("nth", "doc_id", "text", edited(F.col("text"), F.col("next_text")).alias("edited"))
-    d = d.select("nth", "doc_id", F.char_length("text").cast("bigint").alias("n_chars"),
+    d = d.select("bucket", "nth", "doc_id", "text", edited(F.col("text"), F.col("next_text")).alias("edited"))
+    d = d.select("bucket", "nth", "doc_id", F.char_length("text").cast("bigint").alias("n_chars"),
                  F.sha2(F.col("edited"), 256).alias("edited_sha256"),
                  F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("text")),
                                    F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("x"))
-    d = d.select("nth", "doc_id", "n_chars", "edited_sha256", "x.which", "x.text")
-    f = materialize(fingerprints(d, ["nth", "doc_id", "n_chars", "edited_sha256", "which"], lex), "imatch-prints")
+    d = d.select("bucket", "nth", "doc_id", "n_chars", "edited_sha256", "x.which", "x.text")
+    # the terms of a text stay where its bucket is: no shuffle between explode and gathering
+    keys = ["bucket", "nth", "which", "doc_id", "n_chars", "edited_sha256"]
+    f = materialize(fingerprints(d, keys, lex).drop("bucket"), "imatch-prints")
     own = f.where("which = 0").drop("which")
     other = f.where("which = 1").select("nth", F.col("fingerprint").alias("edited_fingerprint"))
     after = own.select(F.expr(f"pmod(nth - 1, {max(1, n)})").alias("nth"), F.col("fingerprint").alias("next_print"))
