@@ -9,7 +9,14 @@ document's signature for a subset is the hash of its sorted distinct terms in
 that subset; the fingerprint lists the signatures (``-`` where it has none of
 the subset's terms).  The likeness of two fingerprints is the share of subsets
 with equal signatures among those where either document has terms; equal
-fingerprints have likeness 1.
+fingerprints have likeness 1.  A text without any term of the lexicon has
+a print of its own, the hash of all its terms (of the text, if it has none), so
+that unrelated texts never compare as equal.
+
+With ``distinct`` the document frequency counts distinct texts, so the terms
+of a text do not leave the lexicon because the text has many copies.  Without
+it, rows are counted and a print without signatures is returned as ``-`` only;
+the likenesses are taken from the prints of its own in both forms.
 
 Why the lexicon may be broadcast: a term in it is held by at least LOW * N
 documents, so it has at most (mean distinct terms of a document) / LOW terms,
@@ -45,12 +52,18 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.split(F.lower(text), _NOT_TERM))
 
 
-def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: float = HIGH) -> tuple[DataFrame, int]:
+def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: float = HIGH,
+            distinct: bool = False) -> tuple[DataFrame, int]:
     """term (64-bit hash), mask of the subsets that hold it; and the number of documents."""
     n = docs.count()
-    df = (docs.select(F.explode(terms(F.col(f"`{text_col}`"))).alias("w")).where("w <> ''")
+    texts, held = docs.select(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")), n
+    if distinct:
+        # copies collapse before the shuffle
+        held = texts.agg(F.countDistinct(F.xxhash64("text"))).first()[0]
+        texts = texts.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
+    df = (texts.select(F.explode(terms(F.col("text"))).alias("w")).where("w <> ''")
           .groupBy(F.xxhash64("w").alias("term")).agg(F.count(F.lit(1)).alias("df")))
-    kept = df.where((F.col("df") >= low * n) & (F.col("df") <= max(1.0, high * n)))
+    kept = df.where((F.col("df") >= low * held) & (F.col("df") <= max(1.0, high * held)))
     mask = " + ".join(f"CASE WHEN pmod(xxhash64({k}, term), {r}) = 0 THEN {1 << k}L ELSE 0L END"
                       for k, r in enumerate(RATES))
     return materialize(kept.select("term", F.expr(mask).alias("mask")).where("mask <> 0"), "imatch-lexicon"), n
@@ -105,6 +118,11 @@ def fingerprints(texts: DataFrame, keys: list[str], lex: DataFrame) -> DataFrame
                                                               F.lit(0).cast("bigint").alias("mask")))
     if lex.count() <= BROADCAST_TERMS:
         marked = F.broadcast(marked)
+    every = F.array_sort(F.array_remove(terms(F.col("text")), ""))
+    alone = F.when(F.size(every) > 0, F.concat(F.lit("="), F.hex(F.xxhash64(every)))).otherwise(
+        F.concat(F.lit("~"), F.hex(F.xxhash64("text"))))
+    texts = texts.select(*keys, "text", alone.alias("alone"))
+    keys, own_keys = [*keys, "alone"], keys
     words = texts.select(*keys, F.explode(F.array_union(terms(F.col("text")), F.array(F.lit("")))).alias("w"))
     hits = words.withColumn("term", F.xxhash64("w")).drop("w").join(marked, "term")
     held = hits.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("term", "mask"))).alias("t"))
@@ -115,7 +133,8 @@ def fingerprints(texts: DataFrame, keys: list[str], lex: DataFrame) -> DataFrame
                 f"lpad(hex(shiftrightunsigned(xxhash64({k}, transform({own}, x -> x.term)), 32)), 8, '0') ELSE '-' END")
 
     sigs = ", ".join(signature(k) for k in range(len(RATES)))
-    return held.select(*keys, F.expr(f"concat_ws('.', {sigs})").alias("fingerprint"))
+    return held.select(*own_keys, F.expr(f"CASE WHEN size(t) = 1 THEN alone ELSE concat_ws('.', {sigs}) END")
+                       .alias("fingerprint"))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -126,9 +145,10 @@ def likeness(a: str, b: str) -> Column:
                   f"size(filter({pairs}, z -> z = 1)) / greatest(1, size(filter({pairs}, z -> z > 0))) END")
 
 
-def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                          distinct: bool = False) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    lex, n = lexicon(docs, text_col)
+    lex, n = lexicon(docs, text_col, distinct=distinct)
     d = neighbours(docs, id_col, text_col)
     d = d.select("bucket", "nth", "doc_id", "text", edited(F.col("text"), F.col("next_text")).alias("edited"))
     d = d.select("bucket", "nth", "doc_id", F.char_length("text").cast("bigint").alias("n_chars"),
@@ -142,7 +162,12 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     own = f.where("which = 0").drop("which")
     other = f.where("which = 1").select("nth", F.col("fingerprint").alias("edited_fingerprint"))
     after = own.select(F.expr(f"pmod(nth - 1, {max(1, n)})").alias("nth"), F.col("fingerprint").alias("next_print"))
+
+    def shown(c: str) -> Column:
+        blank = F.lit(".".join("-" for _ in RATES))
+        return (F.col(c) if distinct else F.when(F.col(c).rlike("^[=~]"), blank).otherwise(F.col(c))).alias(c)
+
     return own.join(other, "nth").join(after, "nth").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        "doc_id", "n_chars", "edited_sha256", shown("fingerprint"), shown("edited_fingerprint"),
         likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         likeness("fingerprint", "next_print").alias("near_next"))
