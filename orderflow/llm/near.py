@@ -15,7 +15,7 @@ exactly 0.85 is missed with probability (1 - 0.85^7)^36 = 9e-7.
 How groups of any size are handled without forming all pairs:
 
 * Documents with equal sets form a class (grouped by a 128-bit digest of the
-  set); only the class representative -- its smallest id -- goes on.
+  set); only the class representative -- its smallest (id, text hash) -- goes on.
 * Inside a bucket (documents sharing a band) representatives are compared
   with one leader, not with each other.  Confirmed links are contracted to
   components, and the next round takes another leader for the members that
@@ -34,8 +34,9 @@ alternating large-star / small-star contraction, each step a table in the
 shared folder.
 
 Defined cases: null text is empty; rows with a null id are returned with a
-null component and are kept (they cannot be named by a link); repeated rows
-with one id are one document, judged by its smallest set digest.
+null component and are kept (they cannot be named by a link); a document is an
+(id, text hash) pair, so rows with equal id and text are one document, rows with
+equal id and different texts are several.
 """
 
 from __future__ import annotations
@@ -52,6 +53,7 @@ from orderflow.llm import words as wd
 from orderflow.session import materialize
 
 SHINGLE, THRESHOLD, PERMUTATIONS, ROWS, STAR_ROUNDS, SIGMAS, PLANES = 5, 85, 128, 7, 2, 4.0, 4
+_NODE = "struct<id:bigint,h:bigint>"  # a document: its id and the hash of its text
 _SLICE = 1 << 15  # set elements hashed at a time: the working arrays stay in cache
 
 
@@ -142,7 +144,7 @@ def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle: int = SHINGLE, permutations: int = PERMUTATIONS, rows: int = ROWS) -> DataFrame:
-    """id, n_shingles, digest of the set (null: empty set), band keys, bit sketch."""
+    """id, text hash, n_shingles, digest of the set (null: empty set), band keys, bit sketch."""
     a, b = functions(permutations)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,24 +160,36 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1).view(np.int64)))
 
             yield pa.RecordBatch.from_arrays([
-                rb.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                rb.column(0), rb.column(2), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 lists(band_keys(sig, rows)), lists(sketch(sig))],
-                names=["doc_id", "n_shingles", "digest", "bands", "bits"])
+                names=["doc_id", "h", "n_shingles", "digest", "bands", "bits"])
+
+    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                      text_hash(F.col(text_col)).alias("h"))
+    return src.mapInArrow(
+        run, "doc_id long, h long, n_shingles long, digest binary, bands array<long>, bits array<long>")
+
+
+def text_hash(text: Column) -> Column:
+    """The hash that tells the texts of one id apart (null: empty)."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
-    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>")
+
+def node(doc_id: Column, h: Column) -> Column:
+    """Documents by id, then text hash."""
+    return F.struct(doc_id.alias("id"), h.alias("h"))
 
 
 def sets_of(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and its sorted shingle hashes as little-endian 64-bit integers."""
+    """node and its sorted shingle hashes as little-endian 64-bit integers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb, data, offs in wd.blocks(batches, "text"):
             sets = block_sets(data, offs, shingle)
             yield pa.RecordBatch.from_arrays(
-                [rb.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "elements"])
+                [rb.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "elements"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, elements binary")
+    return docs.select("node", "text").mapInArrow(run, f"node {_NODE}, elements binary")
 
 
 def near_size(a: Column, b: Column, threshold: int) -> Column:
@@ -196,10 +210,10 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             kept = rb.filter(pa.array(ok))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
-    one = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("ea"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("eb"))
+    one = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
+    two = sets.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
     both = pairs.join(two, "b").join(one, "a").select("a", "b", "ea", "eb")
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, f"a {_NODE}, b {_NODE}")
 
 
 def components(links: DataFrame, name: str = "near-components") -> DataFrame:
@@ -229,10 +243,10 @@ def components(links: DataFrame, name: str = "near-components") -> DataFrame:
 
 
 def classes(sigs: DataFrame) -> DataFrame:
-    """One row per distinct nonempty set: digest, rep (smallest id), n_shingles, bands, bits."""
+    """One row per distinct nonempty set: digest, rep (smallest node), n_shingles, bands, bits."""
     return (sigs.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-            .agg(F.min(F.struct("doc_id", "n_shingles", "bands", "bits")).alias("r"))
-            .select("digest", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"),
+            .agg(F.min(F.struct("doc_id", "h", "n_shingles", "bands", "bits")).alias("r"))
+            .select("digest", node(F.col("r.doc_id"), F.col("r.h")).alias("rep"), F.col("r.n_shingles").alias("n"),
                     F.col("r.bands").alias("bands"), F.col("r.bits").alias("bits")))
 
 
@@ -275,18 +289,18 @@ def across(buckets: DataFrame, labels: DataFrame, bits: DataFrame, values: int,
             .select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    threshold: int = THRESHOLD, permutations: int = PERMUTATIONS, rows: int = ROWS,
-                    star_rounds: int = STAR_ROUNDS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept -- one row per distinct id (and per null-id row)."""
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+           threshold: int = THRESHOLD, permutations: int = PERMUTATIONS, rows: int = ROWS,
+           star_rounds: int = STAR_ROUNDS) -> DataFrame:
+    """doc_id, h, n_shingles, component_id, kept -- one row per distinct (id, text hash) and per null-id row."""
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sigs = materialize(signatures(src, shingle=shingle, permutations=permutations, rows=rows), "near-signatures")
     reps = materialize(classes(sigs), "near-classes")
     buckets = materialize(shared_buckets(reps.select("rep", "n", "bands")), "near-buckets")
 
-    cand = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    sets = materialize(sets_of(src.join(cand, "doc_id", "left_semi"), shingle).dropDuplicates(["doc_id"]),
-                       "near-sets")
+    cand = buckets.select(F.col("rep").alias("node")).distinct()
+    named = src.where("doc_id IS NOT NULL").select(node(F.col("doc_id"), text_hash(F.col("text"))).alias("node"), "text")
+    sets = materialize(sets_of(named.join(cand, "node", "left_semi"), shingle).dropDuplicates(["node"]), "near-sets")
     labels, links, tried = None, None, None
     for turn in range(star_rounds + 1):
         pairs = star(buckets, labels, turn, threshold) if turn < star_rounds else across(
@@ -301,33 +315,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     member = reps.join(labels, reps.rep == labels.node, "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))
-    ids = sigs.groupBy("doc_id").agg(F.min(F.struct("digest", "n_shingles")).alias("s")).where("doc_id IS NOT NULL")
-    ids = ids.select("doc_id", "s.n_shingles", "s.digest").unionByName(
-        sigs.where("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("binary").alias("digest")))
+    ids = (sigs.where("doc_id IS NOT NULL").groupBy("doc_id", "h")
+           .agg(F.min(F.struct("digest", "n_shingles")).alias("s")).select("doc_id", "h", "s.n_shingles", "s.digest"))
+    ids = ids.unionByName(sigs.where("doc_id IS NULL").select(
+        "doc_id", "h", "n_shingles", F.lit(None).cast("binary").alias("digest")))
     out = ids.join(member, "digest", "left")
-    comp = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", comp.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
+    own = node(F.col("doc_id"), F.col("h"))
+    comp = F.coalesce("component_id", own)
+    return out.select("doc_id", "h", "n_shingles", comp["id"].alias("component_id"),
+                      (F.col("doc_id").isNull() | (comp == own)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept -- one row per distinct id and text (and per null-id row)."""
+    return judged(docs, id_col, text_col, **options).drop("h")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: one document of each component stays.
 
-    Repeated rows of one id are one document, of which one row stays (the
-    one with the smallest text hash); rows with a null id stay.  Documents go by id,
-    and only the ids to leave out are joined to the texts.
+    Rows with equal id and text are one document, of which one row stays; a row
+    goes only if its own text is in a group.  Rows with a null id stay.  Documents
+    go by (id, text hash), and only those to leave out are joined to the texts.
     """
-    judged = materialize(near_duplicates(docs, id_col, text_col, **options), "near-verdicts")
-    drop = judged.where("NOT kept").select(F.col("doc_id").alias("gone"))
-    ids = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("gone"))
-    again = materialize(ids.where("gone IS NOT NULL").groupBy("gone").agg(F.count(F.lit(1)).alias("c"))
-                        .where("c > 1").select("gone"), "near-repeated")
-    key = F.col(f"`{id_col}`").cast("bigint")
-    once = docs.join(drop.unionByName(again), key == F.col("gone"), "left_anti")
+    drop = materialize(judged(docs, id_col, text_col, **options), "near-verdicts").where("NOT kept").select("doc_id", "h")
     own = {f"c{i}": c for i, c in enumerate(docs.columns)}
-    several = docs.select(*[F.col(f"`{c}`").alias(k) for k, c in own.items()], key.alias("id"),
-                          F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("h"))
-    several = several.join(again.join(drop, "gone", "left_anti"), F.col("id") == F.col("gone"), "left_semi")
-    first = several.groupBy("id").agg(F.min("h").alias("h"))
-    several = several.join(first, ["id", "h"], "left_semi").dropDuplicates(["id"])
-    return once.unionByName(several.select(*[F.col(k).alias(c) for k, c in own.items()]))
+    rows = docs.select(*[F.col(f"`{c}`").alias(k) for k, c in own.items()],
+                       F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text_hash(F.col(f"`{text_col}`")).alias("h"))
+    again = materialize(rows.where("doc_id IS NOT NULL").groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("c"))
+                        .where("c > 1").select("doc_id", "h"), "near-repeated")
+    once = rows.join(drop.unionByName(again).distinct(), ["doc_id", "h"], "left_anti")
+    several = rows.join(again.join(drop, ["doc_id", "h"], "left_anti"), ["doc_id", "h"], "left_semi")
+    both = once.select(*own).unionByName(several.dropDuplicates(["doc_id", "h"]).select(*own))
+    return both.select(*[F.col(k).alias(c) for k, c in own.items()])

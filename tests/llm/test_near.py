@@ -81,3 +81,14 @@ def test_query_equals_sql(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF001}/documents.parquet'")
     got = catalog.op10_minmax_near_dedup(spark, SF001).toPandas()
     assert digest(got) == digest(con.execute(sql.near_sql()).df())
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    one, two, three = prose(21, 80), prose(22, 80), prose(23, 80)
+    rows = [(1, one), (1, two), (1, three), (2, two), (3, three), (4, one), (4, prose(24, 80)), (5, ""), (5, "a b")]
+    df = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text) for r in near.keep_one(df).collect())
+    assert kept == sorted([(1, one), (1, two), (1, three), (4, prose(24, 80)), (5, ""), (5, "a b")])
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near.near_duplicates(df).collect())
+    assert got == sorted([(1, 1, True)] * 3 + [(2, 1, False), (3, 1, False), (4, 1, False), (4, 4, True)]
+                         + [(5, 5, True)] * 2)
