@@ -64,3 +64,11 @@ def test_empty_and_wordless_tables(spark):
     one = spark.createDataFrame([(1, None, "en", "a", 0), (2, "word", "en", "a", 4)], SCHEMA)
     got = {r.doc_id: (r.n_words, r.log_score) for r in lmscore.score_documents(one).collect()}
     assert got == {1: (0, 0.0), 2: (1, 0.0)}
+
+
+def test_order3_query_equals_brute_force(spark):
+    texts = [r.text for r in catalog.documents(spark, SF001).collect()]
+    got = sorted((r.n_words, r.log_score) for r in catalog.QUERIES["op1_stupid_backoff_scores_order3"](spark, SF001).collect())
+    exp = sorted(_brute(texts, 3))
+    assert [n for n, _ in got] == [n for n, _ in exp]
+    assert all(abs(a - b) < 2e-6 for (_, a), (_, b) in zip(got, exp))
