@@ -179,8 +179,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The documents the mix takes, with the columns of ``docs``: one row per document and pass.
 
     A pass over a source takes its blocks in order, so it covers the stream
-    from the first word to a cut; the document at the cut is shortened to the
-    words taken (joined by single spaces), all before it are whole.
+    from the first word to a cut; the document at the cut is shortened to its
+    characters up to the last word taken, all before it are whole.
     """
     mix = Mix(docs, id_col, text_col, source_col, **options)
     cut = (mix.plan.groupBy("sid", "pass").agg(F.max("block").alias("last"))
@@ -190,8 +190,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = streams(sized(docs, id_col, text_col, source_col, own), mix.table, mix.bucket_rows, list(own))
     out = rows.join(cut, "sid").where("size > 0 AND at < cut")
     text = next(k for k, c in own.items() if c.lower() == text_col.lower())
-    words = F.regexp_extract_all(F.col(text).cast("string"), F.lit(WORD), F.lit(0))
-    short = F.array_join(F.slice(words, F.lit(1), (F.col("cut") - F.col("at")).cast("int")), " ")
+    words = F.regexp_extract_all(F.col(text).cast("string"), F.lit("[\\x20\\x09-\\x0D]*" + WORD), F.lit(0))
+    short = F.array_join(F.slice(words, F.lit(1), (F.col("cut") - F.col("at")).cast("int")), "")
     whole = F.col("at") + F.col("size") <= F.col("cut")
     out = out.withColumn(text, F.when(whole, F.col(text)).otherwise(short))
     for k, c in own.items():

@@ -233,3 +233,11 @@ def test_copies_and_texts_without_lexicon_terms_have_their_own_prints(spark):
     assert f[2001].near_next == 0.0 and f[2003].near_next == 0.0
     plain = {r.doc_id: r for r in imatch.fingerprint_documents(df).collect()}
     assert plain[2001].near_next == 0.0 and plain[2003].near_next == 0.0
+
+
+def test_documents_at_the_cut_keep_their_white_space(spark):
+    rows = [(i, f"\n a{i}\tb  c\n\nd{i}   e f\ng" * 20, "abc"[i % 3]) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    text = {i: t for i, t, _ in rows}
+    got = mixing.mixed_documents(df).collect()
+    assert any(r.text != text[r.doc_id] for r in got) and all(text[r.doc_id].startswith(r.text) for r in got)
