@@ -9,11 +9,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.llm import (
-    imatch, lmscore, mixing, near, orcfiles, packing, passages, quality, sharding, sql, transducer)
+    imatch, lmscore, mixing, near, orcfiles, packing, passages, quality, search, sharding, sql,
+    transducer)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def tokenizer_file(name: str) -> str:
@@ -74,6 +79,10 @@ def op10_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_stupid_backoff_scores": op1_stupid_backoff_scores,
     "op1_stupid_backoff_scores_order3": op1_stupid_backoff_scores_order3,
@@ -87,10 +96,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_source_mixing": op9_source_mixing,
     "op10_minmax_near_dedup": op10_minmax_near_dedup,
+    "op11_best_position_search": op11_best_position_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_stupid_backoff_scores": sql.lm_sql(),
     "op4_adaptive_quality": sql.quality_sql(),
     "op10_minmax_near_dedup": sql.near_sql(),
+    "op11_best_position_search": sql.search_sql(),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderflow.llm import quality
+from orderflow.llm import quality, search
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -68,6 +68,34 @@ FROM counts c LEFT JOIN fence f ON f.lang IS NOT DISTINCT FROM c.lang AND f.sour
 """
 
 
+def search_sql(k: int = search.TOP) -> str:
+    """The k highest-scoring documents of every item of ``benchmark``, from all postings."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def terms(table: str, key: str) -> str:
+        return (f"SELECT {key}, unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'), "
+                f"'{search.TERM}')) AS term FROM {table}")
+
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+all_terms AS ({terms("d", "rid")}),
+n AS (SELECT rid, count(*) AS n FROM all_terms GROUP BY rid),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+items AS (SELECT DISTINCT * FROM ({terms("benchmark", "item_id")})),
+post AS (SELECT rid, term, count(*) AS tf FROM all_terms
+  WHERE term IN (SELECT term FROM items) GROUP BY rid, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM post GROUP BY term), c),
+impact AS (SELECT rid, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))) AS impact
+  FROM post JOIN w USING (term) JOIN n USING (rid), c),
+s AS (SELECT item_id, rid, CAST(sum(impact) AS BIGINT) AS score FROM items JOIN impact USING (term) GROUP BY item_id, rid)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score,
+    row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM s JOIN d USING (rid) WHERE score > 0) WHERE rank <= {k}
+"""
+
+
 def lm_sql(alpha: float = 0.4) -> str:
     """Bigram stupid backoff with the document's own occurrences left out."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

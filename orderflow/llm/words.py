@@ -11,6 +11,7 @@ Words are maximal runs of bytes other than 0x20 and 0x09-0x0D.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,17 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Whole numbers, sorted or small, by byte planes (the upper ones hardly vary), compressed."""
+    planes = np.ascontiguousarray(x.reshape(-1, 1).view(np.uint8).reshape(len(x), x.itemsize).T)
+    return zlib.compress(planes.tobytes(), 1)
+
+
+def unpack(raw: bytes, dtype) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw), dtype=np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+
+
 def fresh(columns, name: str) -> str:
     """``name``, or the first ``name_<i>`` that no column bears (Spark ignores case)."""
     taken = {c.lower() for c in columns}
@@ -87,9 +99,12 @@ def encode(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return d.indices.to_numpy(zero_copy_only=False).astype(np.int64), d.dictionary
 
 
-def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row of each word, first byte, byte after the last, space flag of each byte)."""
-    space = _SPACE[data]
+def words(data: np.ndarray, offs: np.ndarray,
+          gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row of each word, first byte, byte after the last, space flag of each byte).
+
+    ``gap``: which of the 256 bytes part words (white space by default)."""
+    space = gap[data]
     word = ~space
     edge = np.ones(len(data) + 1, dtype=bool)
     edge[1:-1] = space[:-1] | space[1:]
@@ -106,9 +121,10 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return row, starts, ends, space
 
 
-def word_codes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+def word_codes(data: np.ndarray, offs: np.ndarray,
+               gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(row of each word, code of each word, distinct words of the block)."""
-    row, starts, ends, space = words(data, offs)
+    row, starts, ends, space = words(data, offs, gap)
     lens = np.zeros(len(starts) + 1, dtype=np.int64)
     np.cumsum(ends - starts, out=lens[1:])
     codes, distinct = encode(as_binary(data[~space], lens))
