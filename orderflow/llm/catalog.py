@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.llm import (
-    imatch, lmscore, mixing, near, orcfiles, packing, passages, quality, search, sharding, sql,
+    dialogue, gam, imatch, lmscore, mixing, near, orcfiles, packing, passages, quality, search, sharding, sql,
     transducer)
 
 
@@ -83,6 +83,14 @@ def op11_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_stupid_backoff_scores": op1_stupid_backoff_scores,
     "op1_stupid_backoff_scores_order3": op1_stupid_backoff_scores_order3,
@@ -97,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": op9_source_mixing,
     "op10_minmax_near_dedup": op10_minmax_near_dedup,
     "op11_best_position_search": op11_best_position_search,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_additive_quality": op13_additive_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
