@@ -94,10 +94,10 @@ def test_labels_of_the_held_out_third_change_nothing(spark):
     assert a == b and len(a) == len(edge_rows())
 
 
-@pytest.mark.parametrize("labels, score", [([], .5), ([(2, 1)] * 3, .8), ([(None, 0), (4, None), (4, 7), (999, 0)], .5)])
+@pytest.mark.parametrize("labels, score", [([], .5), ([(1, 1)] * 3, .8), ([(None, 0), (4, None), (4, 7), (999, 0)], .5)])
 def test_without_both_labels_the_share_counts(spark, labels, score):
     labels = spark.createDataFrame(labels, "doc_id long, quality int")
-    docs = spark.createDataFrame([(2, None), (4, ""), (4, prose(1, 50)), (None, "a")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, None), (4, ""), (4, prose(1, 50)), (None, "a")], "doc_id long, text string")
     got = gam.classify(docs, labels).collect()
     assert len(got) == 4 and all(abs(r.score - score) < 1e-6 and r.predicted == 1 for r in got)
     assert gam.classify(docs.limit(0), labels).count() == 0
