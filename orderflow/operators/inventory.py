@@ -13,23 +13,24 @@ Execution plan (exact for every key):
   ``reserved`` is a running sum, computed with the bucketed scan of
   :mod:`orderflow.operators.sessions`;
 * any other hot key is cut into segments of about ``hot_rows`` rows at
-  quantiles of (time, seq).  Each segment computes, in parallel, its transfer
-  function ``reserved_in -> reserved_out`` over the values a reservation can
-  take (from the sum of the negative quantities to the largest stock); the
-  functions are kept as steps, compressed, and a per-key chain evaluates them
-  to get each segment's starting reservation; every segment is then folded
-  from that start;
-* the fold itself streams over rows sorted within partitions
-  (``mapInPandas``): O(1) state, nothing buffered per key.
-
-What cannot be split: a hot contended key whose reservation can take more
-than ``DOMAIN`` values (a stock of tens of millions of units).  Its function
-table would not fit a task, so it is folded in one task, row by row.
+  quantiles of (time, seq).  What a segment does to the reservation it starts
+  with is a function with slope one between breakpoints.  Its pieces are found
+  where they are needed, never as a table over the values a reservation can
+  take: two come from one pass (low starts, from which every row passes; high
+  starts, from which none does), and folding a segment from one start gives
+  the whole piece around it, bounded by the narrowest margin by which a row
+  passed or failed.  A chain per key evaluates the pieces in segment order;
+  a segment that is entered between its pieces is folded from there (all such
+  segments at once, with an estimate for what lies behind the first), and the
+  chain is evaluated again, until every start lies on a piece.  Each round
+  settles at least the first open segment of every key; as contended starts
+  soon meet in a few values, it takes two or three;
+* the folds stream over rows sorted within partitions (``mapInPandas``): O(1)
+  state, nothing buffered per key, whatever the size of stock or quantities.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,9 +114,8 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, ts: str = "ts", seq: s
 
 # ---------------------------------------------------------------- the fold
 
-# Values a reservation may take in a segment's function table (a task holds two
-# arrays of this many 64-bit numbers).
-DOMAIN = 16_000_000
+# Beyond any reservation: pieces without a bound end here.
+FAR = 1 << 62
 
 FOLD_FIELDS = [T.StructField("validationResult", T.StringType()),
                T.StructField("reserved", T.LongType())]
@@ -166,85 +166,134 @@ def _fold_partition(key: str, qty: str, stock: str):
     return run
 
 
-def _steps(table: np.ndarray, low: int) -> bytes:
-    """A function on ``low, low + 1, ...`` as its steps, compressed: where it leaves slope one, and the value there."""
-    at = np.flatnonzero(np.concatenate([[True], table[1:] - table[:-1] != 1]))
-    return zlib.compress(np.concatenate([at + low, table[at]]).astype(np.int64).tobytes(), 1)
+def _segment_runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """The rows as stretches of one (key, segment); a segment may come in several."""
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        keys, segs = pdf[key].to_numpy(), pdf["__seg"].to_numpy()
+        cuts = [*np.flatnonzero(_segment_starts(keys, segs)).tolist(), len(pdf)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield (keys[a], segs[a]), pdf.iloc[a:b]
 
 
-def _value(steps: bytes, r: int) -> int:
-    x = np.frombuffer(zlib.decompress(steps), dtype=np.int64).reshape(2, -1)
-    i = int(np.searchsorted(x[0], r, side="right")) - 1
-    return int(x[1, i] + (r - x[0, i]))
+def _outer_pieces(key: str, qty: str, stock: str):
+    """Per (key, segment) the piece of low starts, from which all rows pass, and that of high ones, from which none does."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cur, total, low, high, last = None, 0, FAR, -FAR, 0
 
+        def done() -> pd.DataFrame:
+            return pd.DataFrame({key: [cur[0]] * 2, "__seg": [cur[1]] * 2, "__lo": [-FAR, high], "__hi": [low, FAR],
+                                 "__shift": [total, 0], "__last": [last] * 2})
+
+        for seg, rows in _segment_runs(batches, key):
+            if seg != cur:
+                if cur is not None:
+                    yield done()
+                cur, total, low, high, last = seg, 0, FAR, -FAR, 0
+            q = rows[qty].fillna(0).to_numpy(dtype=np.int64)
+            st = rows[stock].astype("float64").to_numpy()
+            known = ~np.isnan(st)
+            s = st[known].astype(np.int64)
+            after = total + np.cumsum(q)
+            low = min(low, int((s - after[known]).min(initial=FAR)) if known.all() else -FAR)
+            high = max(high, int((s - q[known]).max(initial=-FAR)) + 1)
+            total, last = int(after[-1]), int(s[-1]) if len(s) else last
+        if cur is not None:
+            yield done()
+    return run
 
-def _transfer_tables(key: str, qty: str, stock: str):
-    """Per (key, segment): reserved_out for every reserved_in in [__low, __high].
 
-    Computed over the *distinct* reachable values only: starting states that
-    meet stay together, so after periodic ``np.unique`` merges the work per
-    row is the number of distinct values (a handful once stock is contended),
-    and a row that cannot pass from any current value is skipped in O(1).
-    """
+def _piece_around(key: str, qty: str, stock: str):
+    """Per (key, segment), folded from ``__rin``: the piece of starts with the same verdicts."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur = None
-        vals = inv = None
-        low = least = since = 0
+        cur, start, r, up, down = None, 0, 0, FAR, FAR
 
         def done() -> pd.DataFrame:
-            return pd.DataFrame({key: [cur[0]], "__seg": [cur[1]], "__table": [_steps(vals[inv], low)]})
-
-        for pdf in batches:
-            keys = pdf[key].to_numpy()
-            segs = pdf["__seg"].to_numpy()
-            starts = _segment_starts(keys, segs)
-            if cur is not None and len(pdf) and (keys[0], segs[0]) == cur:
-                starts[0] = False
-            lows, highs = pdf["__low"].to_numpy(), pdf["__high"].to_numpy()
-            q = pdf[qty].fillna(0).to_numpy(dtype=np.int64)
-            s = pdf[stock].to_numpy(dtype=np.int64)
-            for i in range(len(pdf)):
-                if starts[i]:
-                    if cur is not None:
-                        yield done()
-                    cur = (keys[i], segs[i])
-                    low = int(lows[i])
-                    vals = np.arange(low, int(highs[i]) + 1, dtype=np.int64)
-                    inv = np.arange(len(vals))
-                    least, since = low, 0
-                qi, si = q[i], s[i]
-                if least + qi > si:
-                    continue  # fails from every current value: nothing changes
-                cand = vals + qi
-                np.copyto(vals, cand, where=cand <= si)
-                least = int(vals.min())
-                since += 1
-                if since >= 32 and len(vals) > 1:
-                    vals, back = np.unique(vals, return_inverse=True)
-                    inv = back[inv]
-                    since = 0
+            return pd.DataFrame({key: [cur[0]], "__seg": [cur[1]], "__lo": [start - down + 1], "__hi": [start + up],
+                                 "__shift": [r - start], "__last": [0]})
+
+        for seg, rows in _segment_runs(batches, key):
+            if seg != cur:
+                if cur is not None:
+                    yield done()
+                start = int(rows["__rin"].iloc[0])
+                cur, r, up, down = seg, start, FAR, FAR
+            st = rows[stock].astype("float64").to_numpy()
+            known = ~np.isnan(st)
+            q = rows[qty].fillna(0).to_numpy(dtype=np.int64)[known].tolist()
+            for qi, si in zip(q, st[known].astype(np.int64).tolist()):
+                left = si - r - qi
+                if left >= 0:
+                    r += qi
+                    if left < up:
+                        up = left
+                elif -left < down:
+                    down = -left
         if cur is not None:
             yield done()
     return run
 
 
 def _chain(key: str):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__seg")
-        r = 0
-        rin = []
-        for t in pdf["__table"]:
-            rin.append(r)
-            r = _value(t, r)
-        return pd.DataFrame({key: pdf[key].to_numpy(), "__seg": pdf["__seg"].to_numpy(),
-                             "__rin": np.asarray(rin, dtype=np.int64)})
+    """Start of every segment, in order, from the pieces found so far; ``__open`` where the start lies on none.
+
+    Behind an open segment the start is an estimate: the nearest piece's end.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        k, r = None, 0
+        seg, pieces = None, []
+
+        def entered() -> tuple[bool, int]:
+            """Is ``r`` on a piece of the segment, and the reservation behind it."""
+            for lo, hi, shift, _ in pieces:
+                if lo <= r <= hi:
+                    return False, r + shift
+            inner = [p for p in pieces if p[0] > -FAR and p[1] < FAR]
+            if inner:
+                lo, hi, shift, _ = min(inner, key=lambda p: max(p[0] - r, r - p[1]))
+                return True, min(max(r, lo), hi) + shift
+            total, last = next((p[2], p[3]) for p in pieces if p[0] == -FAR)
+            return True, r + total if total < 0 else max(r, min(r + total, last))
+
+        for pdf in batches:
+            out = []
+            for x in zip(pdf[key].tolist(), *(pdf[c].tolist() for c in ("__seg", "__lo", "__hi", "__shift", "__last"))):
+                if (x[0], x[1]) != seg:
+                    if seg is not None:
+                        is_open, after = entered()
+                        out.append((*seg, r, is_open))
+                        r = after if x[0] == k else 0
+                    k, seg, pieces = x[0], (x[0], x[1]), []
+                pieces.append(x[2:])
+            yield pd.DataFrame(out, columns=[key, "__seg", "__rin", "__open"])
+        if seg is not None:
+            yield pd.DataFrame([(*seg, r, entered()[0])], columns=[key, "__seg", "__rin", "__open"])
     return run
 
 
+def _segment_inputs(hard: DataFrame, key: str, qty: str, stock: str, seq: str) -> DataFrame:
+    """key, ``__seg`` and the exact start ``__rin`` of every segment of the hot contended keys."""
+    kind, order = hard.schema[key], [key, "__seg", "__t", seq]
+    narrow = hard.select(key, "__seg", "__t", seq, qty, stock)
+    longs = [T.StructField(c, T.LongType()) for c in ("__seg", "__lo", "__hi", "__shift", "__last")]
+    piece = T.StructType([kind, *longs])
+    start = T.StructType([kind, longs[0], T.StructField("__rin", T.LongType()), T.StructField("__open", T.BooleanType())])
+    pieces = materialize(narrow.repartition(key, "__seg").sortWithinPartitions(*order)
+                         .mapInPandas(_outer_pieces(key, qty, stock), piece), "fold-pieces")
+    while True:
+        starts = materialize(pieces.repartition(key).sortWithinPartitions(key, "__seg", "__lo")
+                             .mapInPandas(_chain(key), start), "fold-starts")
+        todo = starts.where("__open").drop("__open")
+        if todo.isEmpty():
+            return starts.drop("__open")
+        again = narrow.join(replicated(todo), on=[key, "__seg"]).repartition(key, "__seg").sortWithinPartitions(*order)
+        pieces = pieces.unionByName(materialize(again.mapInPandas(_piece_around(key, qty, stock), piece), "fold-pieces"))
+
+
 def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: str = "seq",
                   qty: str = "quantity", stock: str = "stock", hot_rows: int = 2_000_000,
-                  split: str | None = None, domain: int = DOMAIN,
-                  materialize_input: bool = False) -> DataFrame:
+                  split: str | None = None, materialize_input: bool = False) -> DataFrame:
     """Greedy reservation fold over ``rows`` (orders already joined with their stock).
 
     Returns ``rows`` plus ``validationResult`` (PASS/FAIL) and ``reserved``
@@ -256,48 +305,40 @@ def reserve_stock(rows: DataFrame, key: str = "product", ts: str = "ts", seq: st
     """
     if materialize_input:
         rows = materialize(rows, "fold-input")
-    q, st = F.col(qty), F.col(stock)
+    st = F.col(stock)
     stats = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("__n"), F.sum(qty).alias("__demand"), F.min(qty).alias("__qmin"),
-        F.sum(F.when(q < 0, q).otherwise(0)).cast("bigint").alias("__low"),
-        F.min(stock).alias("__smin"), F.max(stock).alias("__smax"), F.count(st).alias("__known"))
-    hot = materialize(stats.where(F.col("__n") > hot_rows).select(
-        key, ((F.col("__qmin") >= 0) & (F.col("__demand") <= F.col("__smin"))
-              & (F.col("__known") == F.col("__n"))).alias("__easy"),
-        ((F.col("__known") == F.col("__n"))
-         & (F.greatest(F.col("__smax"), F.lit(0)) - F.col("__low") < domain)).alias("__bounded"),
-        "__low", F.greatest(F.col("__smax"), F.lit(0)).cast("bigint").alias("__high")), "fold-hot-keys")
-    kinds = hot.agg(F.count(F.when(F.col("__easy"), 1)).alias("easy"),
-                    F.count(F.when(~F.col("__easy") & F.col("__bounded"), 1)).alias("hard")).first()
+        F.min(stock).alias("__smin"), F.count(st).alias("__known"))
+    easy = hard = None
+    if (stats.agg(F.max("__n")).first()[0] or 0) > hot_rows:
+        hot = materialize(stats.where(F.col("__n") > hot_rows).select(
+            key, ((F.col("__qmin") >= 0) & (F.col("__demand") <= F.col("__smin"))
+                  & (F.col("__known") == F.col("__n"))).alias("__easy")), "fold-hot-keys")
+        kinds = {r[0] for r in hot.select(F.coalesce("__easy", F.lit(False))).distinct().collect()}
+        easy = hot.where("__easy").select(key) if True in kinds else None
+        hard = hot.where("NOT coalesce(__easy, false)").select(key) if False in kinds else None
     timed = rows.withColumn("__t", micros(ts))
     folded, out = timed, []
-    if kinds["easy"] or kinds["hard"]:
-        apart = hot.where("__easy OR __bounded")
-        folded = timed.join(replicated(apart.select(key)), on=key, how="left_anti")
-    if kinds["easy"]:
-        easy = rows.join(replicated(hot.where("__easy").select(key)), on=key, how="left_semi")
-        easy = sessionize(easy, key, ts, [seq], None, {"reserved": q.cast("bigint")},
-                          split=split, prefix="__sess_", target_rows=hot_rows)
-        out.append(easy.drop("__sess_start").withColumn("validationResult", F.lit("PASS")))
+    if easy is not None or hard is not None:
+        folded = timed.join(replicated(hot.select(key)), on=key, how="left_anti")
+    if easy is not None:
+        running = sessionize(rows.join(replicated(easy), on=key, how="left_semi"), key, ts, [seq], None,
+                             {"reserved": F.col(qty).cast("bigint")}, split=split, prefix="__sess_",
+                             target_rows=hot_rows)
+        out.append(running.drop("__sess_start").withColumn("validationResult", F.lit("PASS")))
     sort_cols = [key, "__seg", "__t", seq]
     folded = folded.withColumn("__seg", F.lit(0).cast("bigint")).withColumn("__rin", F.lit(0).cast("bigint"))
-    if kinds["hard"]:
-        hard = timed.join(replicated(hot.where("NOT __easy AND __bounded").select(key, "__low", "__high")), on=key)
+    if hard is not None:
+        rest = timed.join(replicated(hard), on=key, how="left_semi")
         if split is not None:
-            hard = hard.withColumn("__seg", F.floor(F.col("__t") / F.lit(interval_micros(split))).cast("bigint"))
+            rest = rest.withColumn("__seg", F.floor(F.col("__t") / F.lit(interval_micros(split))).cast("bigint"))
         else:
-            whole, cut = split_hot(hard, [key], ["__t", seq], hot_rows)
+            whole, cut = split_hot(rest, [key], ["__t", seq], hot_rows)
             whole = whole.withColumn("__seg", F.lit(0).cast("bigint"))
-            hard = whole if cut is None else whole.unionByName(cut.withColumnRenamed("__b", "__seg"))
-        table_schema = T.StructType([rows.schema[key], T.StructField("__seg", T.LongType()),
-                                     T.StructField("__table", T.BinaryType())])
-        tables = (hard.select(key, "__seg", "__t", seq, qty, stock, "__low", "__high")
-                  .repartition(key, "__seg").sortWithinPartitions(*sort_cols)
-                  .mapInPandas(_transfer_tables(key, qty, stock), table_schema))
-        starts = tables.groupBy(key).applyInPandas(
-            _chain(key), T.StructType([rows.schema[key], T.StructField("__seg", T.LongType()),
-                                       T.StructField("__rin", T.LongType())]))
-        folded = folded.unionByName(hard.drop("__low", "__high").join(starts, on=[key, "__seg"]))
+            rest = whole if cut is None else whole.unionByName(cut.withColumnRenamed("__b", "__seg"))
+        rest = materialize(rest, "fold-segments")  # read by every round
+        starts = _segment_inputs(rest, key, qty, stock, seq)
+        folded = folded.unionByName(rest.join(starts, on=[key, "__seg"]))
     cols = [c for c in rows.columns]
     out_schema = T.StructType([rows.schema[c] for c in cols] + FOLD_FIELDS)
     folded = (folded.select(*cols, "__seg", "__rin", "__t").repartition(key, "__seg")

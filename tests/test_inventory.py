@@ -126,6 +126,46 @@ def test_hot_key_segments_with_negative_quantity_large_stock_and_one_date(spark)
         assert {x["id"]: (x["validationResult"], x["reserved"]) for x in out.collect()} == exp
 
 
+def _greedy(data):
+    out, r = {}, {}
+    for id_, p, q, _, _, s in data:
+        ok = s is not None and s - r.get(p, 0) - (q or 0) >= 0
+        r[p] = r.get(p, 0) + ((q or 0) if ok else 0)
+        out[id_] = ("PASS" if ok else "FAIL", r[p])
+    return out
+
+
+ROW = "id string, product string, quantity int, ts timestamp, seq long, stock int"
+
+
+def test_hot_contended_keys_with_wide_stock_are_split_and_equal_the_sequential_fold(spark, monkeypatch):
+    import random
+    rnd = random.Random(11)
+    data = []
+    for p, stock, draw in (
+            ("big", 10 ** 9, lambda i: rnd.randint(1, 2_000_000)),          # contended half way
+            ("powers", 10 ** 9, lambda i: 2 ** rnd.randint(0, 29)),          # starts never meet early
+            ("tens", 10 ** 9 + 3, lambda i: 10 * rnd.randint(1, 10 ** 5)),   # never quite full
+            ("frees", 10 ** 9, lambda i: rnd.choice([-3_000_000, 900_000, 2_500_000, 10 ** 9])),
+            ("nulls", 10 ** 6, lambda i: rnd.choice([None, 0, 900, 1500]))):
+        data += [(f"{p}{i}", p, draw(i), at(i), i, stock if p != "nulls" or i % 50 else None) for i in range(4000)]
+    # stock that moves up and down under the orders
+    data += [(f"moves{i}", "moves", rnd.randint(0, 40_000), at(i), i, 10 ** 7 + 10 ** 6 * (i // 37 % 9)) for i in range(4000)]
+    rows = spark.createDataFrame(data, ROW)
+    rounds = []
+    real = inventory.materialize
+    monkeypatch.setattr(inventory, "materialize", lambda df, name: rounds.append(name) or real(df, name))
+    out = inventory.reserve_stock(rows, hot_rows=250)
+    assert {x["id"]: (x["validationResult"], x["reserved"]) for x in out.collect()} == _greedy(data)
+    assert rounds.count("fold-starts") <= 8  # 16 segments a key, not one round for each
+
+
+def test_no_hot_key_writes_nothing(spark, monkeypatch):
+    wrote = []
+    monkeypatch.setattr(inventory, "materialize", lambda df, name: wrote.append(name) or df)
+    assert inventory.reserve_stock(_rows(spark, 10, [7, 5, 3, 1])).count() == 4 and not wrote
+
+
 def test_newest_stock_row_holds(spark):
     o = orders_df(spark, [("x", 1, "JUMPERS", 1, 1.0, 0, 1)])
     inv = spark.createDataFrame([("JUMPERS", 10, 1), ("JUMPERS", 3, 2)], "product string, stock int, seq long")
