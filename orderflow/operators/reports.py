@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow import schemas as S
-from orderflow.functions.expressions import enum_ordinal, parse_enum
+from orderflow.functions.expressions import enum_ordinal, micros, parse_enum
 from orderflow.session import scratch_path
 
 
@@ -53,6 +53,37 @@ def lookup(requests: DataFrame, view: DataFrame, req_key: str = "id", view_key:
                     F.when(hit, F.col("customerId")).alias("customerId"))
 
 
+def answer_requests(requests: DataFrame, versions: DataFrame) -> DataFrame:
+    """Lookups that wait for their order: request, id, asked_ts, outcome, answered_ts, state, customerId.
+
+    ``requests``: request, id, terminal_only, wait_us, ts; ``versions``: id,
+    state, customerId, ts, seq (the order's changelog).  With the version
+    that holds at the request in a wanted state it is ANSWERED at once; else LATE by the
+    first later version in a wanted state up to ``wait_us`` after the request; else
+    TIMEOUT at that time.  One join and one aggregate by request; only
+    versions up to the deadline are joined.
+    """
+    v = versions.select(F.col("id").alias("__k"), F.struct(micros("ts").alias("t"), F.col("seq").alias("s")).alias("__at"),
+                        F.struct("state", "customerId", "ts").alias("__v"))
+    asked = micros("ts")
+    r = requests.withColumn("__until", asked + F.col("wait_us"))
+    j = r.join(v, (F.col("id") == F.col("__k")) & (F.col("__at.t") <= F.col("__until")), "left")
+    wanted = ~F.col("terminal_only") | F.col("__v.state").isin("VALIDATED", "FAILED")
+    then = F.col("__at.t") <= asked
+    g = j.groupBy("request", "id", "ts", "terminal_only", "__until").agg(
+        F.max_by(F.when(then, F.struct(F.col("__v").alias("v"), wanted.alias("ok"))),
+                 F.when(then, F.col("__at"))).alias("now"),
+        F.min_by(F.when(~then & wanted, F.col("__v")), F.when(~then & wanted, F.col("__at"))).alias("later"))
+    at_once = F.coalesce(F.col("now.ok"), F.lit(False))
+    got = F.when(at_once, F.col("now.v")).otherwise(F.col("later"))
+    return g.select(
+        "request", "id", F.col("ts").alias("asked_ts"),
+        F.when(at_once, "ANSWERED").when(F.col("later").isNotNull(), "LATE").otherwise("TIMEOUT").alias("outcome"),
+        F.when(at_once, F.col("ts")).when(F.col("later").isNotNull(), F.col("later.ts"))
+        .otherwise(F.timestamp_micros("__until")).alias("answered_ts"),
+        got["state"].alias("state"), got["customerId"].alias("customerId"))
+
+
 def stuck_orders(orders: DataFrame, inventory_changes: DataFrame) -> DataFrame:
     """Created orders that never get an inventory verdict: no stock row known at their time.
 

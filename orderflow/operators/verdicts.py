@@ -58,6 +58,19 @@ def pass_counts(validations: DataFrame, gap: str = S.VALIDATION_SESSION_GAP,
     )
 
 
+def pass_updates(validations: DataFrame, gap: str = S.VALIDATION_SESSION_GAP,
+                 n_rules: int = S.NUMBER_OF_RULES, split: str | None = None) -> DataFrame:
+    """One row after every verdict: its session's start, the verdict's time, verdicts and PASSes so far,
+    and the time of the ``n_rules``-th PASS if it has come."""
+    is_pass = F.when(F.col("validationResult") == "PASS", 1).otherwise(0)
+    rows = sessionize(validations.select("orderId", "validationResult", "ts", "seq"), "orderId", "ts", ["seq"], gap,
+                      {"passes": is_pass, "verdicts": F.lit(1)}, split=split)
+    w = "PARTITION BY orderId, session_start ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    return rows.selectExpr("orderId", "session_start", "ts AS session_end", "CAST(verdicts AS BIGINT) AS verdicts",
+                           "CAST(passes AS BIGINT) AS passes",
+                           f"min(CASE WHEN passes >= {n_rules} THEN ts END) OVER ({w}) AS reach_ts")
+
+
 def orders_validated(counts: DataFrame, orders: DataFrame, n_rules: int = S.NUMBER_OF_RULES,
                      window: str = S.VALIDATION_JOIN_WINDOW) -> DataFrame:
     ok = counts.where(F.col("passes") >= n_rules).alias("c")

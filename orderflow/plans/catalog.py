@@ -188,6 +188,11 @@ QUERIES: dict[str, Query] = {
         F.count(F.when(F.col("validationResult") == "FAIL", 1)).alias("failed")),
     "reserved_stock_state": lambda s, d: inventory.reserve_stock(_line_stock(s, d))
         .groupBy("product").agg(F.max("reserved").alias("reserved")),
+    "reserved_asof_state": lambda s, d: inventory.reserve_stock(_asof_stock(s, d), materialize_input=True)
+        .groupBy("product").agg(F.max("reserved").alias("reserved")),
+    "order_requests": lambda s, d: nullable_id_as_text(
+        reports.answer_requests(fx.order_requests(s, d), fx.order_versions(s, d))),
+    "verdict_updates": lambda s, d: verdicts.pass_updates(fx.validations(s, d)),
     "stuck_orders": lambda s, d: reports.stuck_orders(fx.orders(s, d), fx.inventory_changes(s, d)),
     "validations_union": own_verdicts,
     "validation_pass_counts": lambda s, d: verdicts.pass_counts(fx.validations(s, d)),

@@ -73,6 +73,19 @@ VORD = f"""vord AS (
     value AS price, ts, event_id AS seq
   FROM events WHERE event_id % 3 = 0)"""
 
+VERSIONS = """ver AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, 'CREATED' AS state, user_id AS customerId, ts, event_id * 2 AS seq FROM events
+  UNION ALL
+  SELECT CAST(event_id AS VARCHAR), CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'VALIDATED' END, user_id,
+    ts + INTERVAL '1' MILLISECOND * (event_id * 7919 % 4001), event_id * 2 + 1 FROM events)"""
+
+REQUESTS = f"""req AS (
+  SELECT 'R' || event_id AS request, CASE WHEN event_id % 10 = 9 THEN 'no-' ELSE '' END || event_id AS id,
+    event_id % 2 = 0 AS terminal_only, ts + INTERVAL '1' MILLISECOND * (event_id * 104729 % 3001 - 1000) AS ts,
+    ts + INTERVAL '1' MILLISECOND * (event_id * 104729 % 3001 - 1000)
+      + INTERVAL '1' MICROSECOND * {S.REQUEST_WAIT_US} AS until
+  FROM events)"""
+
 OSTATES = """ostates AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS id, o_custkey AS customerId,
     CASE o_orderstatus WHEN 'F' THEN 'FAILED' WHEN 'P' THEN 'VALIDATED' ELSE 'CREATED' END AS state,
@@ -300,6 +313,26 @@ SELECT product, MAX(reserved) AS reserved FROM fold GROUP BY product"""
 SELECT o.id, o.customerId, o.product, o.quantity, o.ts FROM ord o
 WHERE o.state = 'CREATED'
   AND NOT EXISTS (SELECT 1 FROM invch i WHERE i.product = o.product AND i.ts <= o.ts)"""
+    q["reserved_asof_state"] = f"""WITH RECURSIVE {ORD}, {INVCH}, {ASOF_STOCK}, {fold_cte('astock')}
+SELECT product, MAX(reserved) AS reserved FROM fold GROUP BY product"""
+    q["order_requests"] = f"""WITH {VERSIONS}, {REQUESTS},
+cand AS (SELECT r.*, v.state, v.customerId, v.ts AS vts, v.seq AS vseq, v.ts <= r.ts AS before,
+    NOT r.terminal_only OR v.state IN ('VALIDATED', 'FAILED') AS wanted
+  FROM req r JOIN ver v ON v.id = r.id AND v.ts <= r.until),
+held AS (SELECT * FROM cand WHERE before QUALIFY row_number() OVER (PARTITION BY request ORDER BY vts DESC, vseq DESC) = 1),
+later AS (SELECT * FROM cand WHERE NOT before AND wanted
+  QUALIFY row_number() OVER (PARTITION BY request ORDER BY vts, vseq) = 1)
+SELECT r.request, r.id, r.ts AS asked_ts,
+  CASE WHEN h.wanted THEN 'ANSWERED' WHEN l.request IS NOT NULL THEN 'LATE' ELSE 'TIMEOUT' END AS outcome,
+  CASE WHEN h.wanted THEN r.ts WHEN l.request IS NOT NULL THEN l.vts ELSE r.until END AS answered_ts,
+  CASE WHEN h.wanted THEN h.state ELSE l.state END AS state,
+  CAST(CASE WHEN h.wanted THEN h.customerId ELSE l.customerId END AS VARCHAR) AS customerId
+FROM req r LEFT JOIN held h ON h.request = r.request LEFT JOIN later l ON l.request = r.request"""
+    q["verdict_updates"] = f"""WITH {VALS}, {pass_counts_cte('vals', S.VALIDATION_SESSION_GAP, 3)}
+SELECT orderId, MIN(ts) OVER (PARTITION BY orderId, sid) AS session_start, ts AS session_end,
+  COUNT(*) OVER w AS verdicts, CAST(run_pass AS BIGINT) AS passes,
+  MIN(CASE WHEN run_pass >= 3 THEN ts END) OVER w AS reach_ts
+FROM vr WINDOW w AS (PARTITION BY orderId, sid ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)"""
     q["validations_union"] = f"""WITH RECURSIVE {ORD}, {INVCH}, {own_verdicts_cte()}
 SELECT orderId, checkType, validationResult, ts, seq FROM allv"""
     q["validation_pass_counts"] = f"""WITH {VALS}, {pass_counts_cte('vals', S.VALIDATION_SESSION_GAP, 3)}

@@ -33,8 +33,10 @@ NUMBER_OF_RULES = 3           # PASS verdicts needed to validate an order
 FRAUD_TUMBLING_WINDOW = "30 seconds"
 FRAUD_MIN_COUNT = 2           # HAVING COUNT(*) > 2
 FRAUD_PULL_LIMIT = 10
+ORDER_LATENESS = "10 seconds"  # streams of order records: rows this late still count
 SQL_GRACE = "24 hours"        # rows this late still enter an SQL window without a grace clause
 TOP_PRODUCTS = 20
+REQUEST_WAIT_US = 2_000_000   # a lookup waits so long for its order
 ORDER_LOCATION_PREFIX = "/v1/orders/"
 # --------------------------------------------------------------------------
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.schemas import PRODUCTS
+from orderflow.schemas import PRODUCTS, REQUEST_WAIT_US
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def _ts(c: str = "ts") -> Column:
     return F.col(c).cast("timestamp")
 
 
+def carried(src: DataFrame) -> list[Column]:
+    """Marks that a stream puts on its records (``__`` columns) go through every mapping."""
+    return [F.col(c) for c in src.columns if c.startswith("__")]
+
+
 def product_of(event_id: Column) -> Column:
     m = event_id % 3
     return (F.when(m == 0, F.lit(PRODUCTS[0]))
@@ -49,6 +54,7 @@ def orders(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> Da
         F.col("value").alias("price"),
         _ts().alias("ts"),
         F.col("event_id").alias("seq"),
+        *carried(e),
     )
 
 
@@ -142,6 +148,7 @@ def inventory_changes(spark: SparkSession, sf_dir: str, src: DataFrame | None =
         (F.col("event_id") % 50).cast("int").alias("stock"),
         _ts().alias("ts"),
         F.col("event_id").alias("seq"),
+        *carried(e),
     )
 
 
@@ -157,6 +164,7 @@ def validations(spark: SparkSession, sf_dir: str, src: DataFrame | None = None)
         F.when(F.col("event_type") == "error", "FAIL").otherwise("PASS").alias("validationResult"),
         _ts().alias("ts"),
         F.col("event_id").alias("seq"),
+        *carried(e),
     )
 
 
@@ -172,6 +180,7 @@ def validated_orders_source(spark: SparkSession, sf_dir: str, src: DataFrame | N
         F.col("value").alias("price"),
         _ts().alias("ts"),
         F.col("event_id").alias("seq"),
+        *carried(e),
     )
 
 
@@ -188,6 +197,32 @@ def order_states(spark: SparkSession, sf_dir: str, src: DataFrame | None = None)
     )
 
 
+def order_versions(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    """The life of the event orders: CREATED, and up to four seconds later VALIDATED or FAILED."""
+    e = src if src is not None else table(spark, sf_dir, "events")
+    n = F.col("event_id")
+    end = F.when(F.col("event_type") == "error", "FAILED").otherwise("VALIDATED")
+    life = F.explode(F.array(
+        F.struct(F.lit(0).cast("bigint").alias("ms"), F.lit("CREATED").alias("state")),
+        F.struct((n * 7919 % 4001).cast("bigint").alias("ms"), end.alias("state"))))
+    e = e.select(n.cast("string").alias("id"), F.col("user_id").alias("customerId"), _ts().alias("t"), n.alias("n"),
+                 *carried(e), life.alias("x"))
+    return e.select("id", "x.state", "customerId", plus_seconds(F.col("t"), F.col("x.ms") / 1000).alias("ts"),
+                    (F.col("n") * 2 + F.when(F.col("x.state") == "CREATED", 0).otherwise(1)).alias("seq"), *carried(e))
+
+
+def order_requests(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    """A lookup per event around the time of its order, half of them for terminal states only; every tenth
+    asks for an order that does not exist."""
+    e = src if src is not None else table(spark, sf_dir, "events")
+    n = F.col("event_id")
+    return e.select(
+        F.concat(F.lit("R"), n).alias("request"),
+        F.concat(F.when(n % 10 == 9, "no-").otherwise(""), n).alias("id"),
+        (n % 2 == 0).alias("terminal_only"), F.lit(REQUEST_WAIT_US).cast("bigint").alias("wait_us"),
+        plus_seconds(_ts(), (n * 104729 % 3001 - 1000) / 1000).alias("ts"), *carried(e))
+
+
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A keyed changelog with deletes: a null value is a tombstone."""
     e = table(spark, sf_dir, "events")
@@ -196,4 +231,5 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value")).alias("v"),
         _ts().alias("ts"),
         F.col("event_id").alias("seq"),
+        *carried(e),
     )

@@ -6,7 +6,7 @@ the shared folder, each with its own commit log):
     orders ─► details check ──────────────────────────────► verdicts/details
            └► fraud sessions (state) ──────────────────────► verdicts/fraud
     stock changes + orders ─► reservation (stock and reserved in state) ─► verdicts/inventory
-    verdicts/* ─► sessions of PASS counts ─► ⋈ created orders (±5 min) ─► VALIDATED
+    verdicts/* ─► updates of PASS counts ─► ⋈ created orders (±5 min) ─► VALIDATED
                └► FAIL ⋈ orders (±5 min) ─► first per order ─► FAILED
 
 Each query runs with ``availableNow`` in dependency order; with a
@@ -23,23 +23,18 @@ from orderflow.functions.joins import within
 from orderflow.operators import checks, verdicts
 from orderflow.session import scratch_path
 from orderflow.sources import fixtures as fx
-from orderflow.streaming import stateful
-from orderflow.streaming.twins import (_sentinel_dir, drop_sentinel, run_available_now,
+from orderflow.streaming import processors, stateful
+from orderflow.streaming.twins import (EndOfInput, _reserve_in_order, drop_sentinel, run_available_now,
                                        table_stream, validated_stream)
 
 
-def _channel_stream(spark: SparkSession, paths: list[str], sentinel: bool = False) -> DataFrame:
+def _channel_stream(spark: SparkSession, paths: list[str], end: EndOfInput | None = None) -> DataFrame:
     """The verdict channel: the union of the validators' sink folders, as a stream."""
-    schema = S.ORDER_VALIDATION
-    streams = [spark.readStream.schema(schema).parquet(p) for p in paths]
-    if sentinel:
-        sd = _sentinel_dir(spark, "verdicts", schema)
-        streams.append(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-                       .option("pathGlobFilter", "*.parquet").parquet(sd))
+    streams = [spark.readStream.schema(S.ORDER_VALIDATION).parquet(p) for p in paths]
     out = streams[0]
     for s in streams[1:]:
         out = out.unionByName(s)
-    return out
+    return out if end is None else end.follow(out, "verdicts")
 
 
 def run_validators(spark: SparkSession, d: str) -> list[str]:
@@ -53,21 +48,21 @@ def run_validators(spark: SparkSession, d: str) -> list[str]:
     f = stateful.fraud_verdicts(stateful.fraud_sessions(orders))
     run_available_now(f, "s-v-fraud", path=fraud)
 
-    created = checks.created(fx.orders(spark, d, src=table_stream(spark, d, "events")))
-    changes = fx.inventory_changes(spark, d, src=table_stream(spark, d, "events"))
-    inv_v = stateful.reserve_evolving_stock(created, changes).select(
+    end = EndOfInput(spark)
+    inv_v = _reserve_in_order(spark, d, end).select(
         F.col("id").alias("orderId"), F.lit("INVENTORY_CHECK").alias("checkType"), "validationResult",
         (F.col("ts") + F.expr("INTERVAL '3' SECOND")).alias("ts"), (F.col("seq") * 3 + 2).alias("seq"))
-    run_available_now(inv_v, "s-v-inventory", path=inv)
+    run_available_now(inv_v, "s-v-inventory", path=inv, end=end)
     return [details, fraud, inv]
 
 
 def run_aggregator(spark: SparkSession, d: str, channel: list[str]) -> DataFrame:
-    # VALIDATED: closed PASS-count sessions ⋈ created orders, stream with stream
-    v = _channel_stream(spark, channel, sentinel=True).withWatermark("ts", S.VALIDATION_SESSION_GAP)
-    counts = run_available_now(stateful.pass_sessions(drop_sentinel(v)), "s-agg-counts")
+    # VALIDATED: PASS-count updates ⋈ created orders, stream with stream
+    end = EndOfInput(spark)
+    v = _channel_stream(spark, channel, end).withWatermark("ts", S.VALIDATION_SESSION_GAP)
+    updates = run_available_now(processors.verdict_sessions(drop_sentinel(v), updates=True), "s-agg-updates", end=end)
     orders = fx.orders(spark, d, src=table_stream(spark, d, "events"))
-    ok = validated_stream(spark, counts, orders, "s-agg-validated")
+    ok = validated_stream(spark, updates, orders, "s-agg-validated")
 
     # FAILED: FAIL verdicts ⋈ orders within the window, first per order
     fv = (_channel_stream(spark, channel).where(F.col("validationResult") == "FAIL")

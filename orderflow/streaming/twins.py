@@ -7,10 +7,10 @@ the file sink's commit log), and returns the sink read back as a batch
 DataFrame -- the same rows the batch twin returns, checked by the same SQL.
 
 Append-mode windows are emitted only once the watermark passes their end;
-the last windows would stay open forever on a finite input.  A control
-record far in the future (a second file stream holding one sentinel row)
-advances the watermark; it is filtered out right after ``withWatermark`` so
-it never reaches an operator.  Such a run ends its stream for good: the
+the last windows would stay open forever on a finite input.  When a run has
+read all its data, control records far in the future (a second file stream,
+marked in a column that no table has) advance the watermark; they are filtered
+out right after ``withWatermark`` so they never reach an operator.  Such a run ends its stream for good: the
 checkpoint keeps the far watermark, and rows added later would be late.  A
 stream that is to be resumed runs with ``close=False``; its last windows then
 stay open until newer rows close them.
@@ -23,6 +23,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflow import schemas as S
 from orderflow.functions.expressions import interval
@@ -32,63 +33,69 @@ from orderflow.session import scratch_path
 from orderflow.sinks import files as sinks
 from orderflow.sources import fixtures as fx
 from orderflow.sources.readers import stream_table
-from orderflow.streaming import stateful
+from orderflow.streaming import processors, stateful
 
 FILES_PER_TRIGGER = 64  # data files a micro-batch takes at most: it bounds what a key buffers
 TWIN_STATE_PARTITIONS = 8  # state partitions of the registered twins (finite inputs, fresh checkpoints)
-SENTINEL_SEQ = -1
+CONTROL = "__control"  # mark of the control records
+SENTINEL_FILES = 3
 SENTINEL_US = 9_000_000_000_000_000  # far-future event time of the control record
 
 
 # ---- sources and the runner ---------------------------------------------------------
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, sentinel: bool = False,
+class EndOfInput:
+    """Closes the streams of a finite run once all their data have been read.
+
+    The control records' folders are empty at first.  Only when a run has
+    ended are the records written and the query resumed on its checkpoint, so
+    no data, in however many files and triggers, can come behind the far watermark.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, []
+
+    def follow(self, s: DataFrame, name: str) -> DataFrame:
+        """The stream with this end behind it, both marked."""
+        d = scratch_path(self.spark, f"end-{name}")
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in s.schema.fields])
+        self.spark.createDataFrame([], nullable).write.parquet(d)
+        self.folders.append((d, nullable))
+        far = (self.spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1)
+               .option("pathGlobFilter", "*.parquet").parquet(d))
+        return s.withColumn(CONTROL, F.lit(False)).unionByName(far.withColumn(CONTROL, F.lit(True)))
+
+    def announce(self) -> None:
+        """Write the control records: one-row files, one for each trigger.
+
+        A run with ``availableNow`` ends without a trailing no-data batch: the
+        first file advances the watermark, the batch of the second evicts and fires
+        timers with it, the batch of the third fires the timers set by those.
+        """
+        at = datetime(1970, 1, 1) + timedelta(microseconds=SENTINEL_US)
+        for d, schema in self.folders:
+            row = tuple(at if f.dataType.typeName() in ("timestamp_ntz", "timestamp") else None for f in schema.fields)
+            one = self.spark.createDataFrame([row], schema).coalesce(1)
+            for _ in range(SENTINEL_FILES):
+                one.write.mode("append").parquet(d)
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str, end: EndOfInput | None = None,
                  files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
-    """A driver table as a file stream; optionally followed by far-future sentinel rows."""
+    """A driver table as a file stream; optionally followed by the control records of ``end``."""
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
     s = stream_table(spark, schema, sf_dir, f"{name}.parquet", max_files_per_trigger=files_per_trigger)
-    if sentinel:
-        # two sentinel files, one per trigger: the first advances the
-        # watermark, the batch of the second evicts with it (a run with
-        # ``availableNow`` ends without a trailing no-data batch)
-        s = s.unionByName(stream_table(spark, schema, _sentinel_dir(spark, name, schema), "*.parquet",
-                                       max_files_per_trigger=1))
-    return s
-
-
-def _sentinel_dir(spark: SparkSession, name: str, schema) -> str:
-    """Two one-row files of far-future control records in the shared folder.
-
-    Written through Spark, so the folder may be on any filesystem the
-    cluster's checkpoint dir names.
-    """
-    d = scratch_path(spark, f"sentinel-{name}")
-    far = datetime(1970, 1, 1) + timedelta(microseconds=SENTINEL_US)
-    row = []
-    for f in schema.fields:
-        t = f.dataType.typeName()
-        if t in ("timestamp_ntz", "timestamp"):
-            row.append(far)
-        elif t in ("long", "integer"):
-            row.append(SENTINEL_SEQ)
-        elif t == "double":
-            row.append(0.0)
-        else:
-            row.append(None)
-    one = spark.createDataFrame([tuple(row)], schema).coalesce(1)
-    one.write.mode("append").parquet(d)  # first file: advances the watermark
-    one.write.mode("append").parquet(d)  # second file: its batch evicts with it
-    return d
+    return s if end is None else end.follow(s, name)
 
 
-def drop_sentinel(df: DataFrame, ts_col: str = "ts", seq_col: str = "seq") -> DataFrame:
-    """Remove the control records after ``withWatermark``, by their marker.
+def drop_sentinel(df: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """Remove the control records after ``withWatermark``, by their mark.
 
     The predicate also names the event-time column: Catalyst does not push
-    such a filter below the watermark node, so the sentinel still advances the
-    watermark (a filter on the marker alone would remove it first).
+    such a filter below the watermark node, so the control record still advances the
+    watermark (a filter on the mark alone would remove it first).
     """
-    return df.where((F.col(seq_col) != SENTINEL_SEQ) | F.col(ts_col).isNull())
+    return df.where(~F.col(CONTROL) | F.col(ts_col).isNull()).drop(CONTROL)
 
 
 LAST_RUN: dict[str, object] = {}
@@ -102,25 +109,31 @@ def observed(df: DataFrame, stage: str) -> DataFrame:
 def run_available_now(df: DataFrame, name: str, mode: str = "append",
                       foreach: Callable[[DataFrame, int], None] | None = None,
                       path: str | None = None, checkpoint: str | None = None,
-                      partition_by: list[str] | None = None) -> str:
+                      partition_by: list[str] | None = None, end: EndOfInput | None = None) -> str:
     """Run a streaming DataFrame to the end of its input; return the sink path.
 
     The checkpoint and the sink's metadata log make the run exactly-once and
     resumable; the last run's checkpoint and progress are kept in ``LAST_RUN``.
+    With ``end`` the run is resumed with its control records.
     """
     spark = df.sparkSession
     out = path or scratch_path(spark, name)
     ck = checkpoint or scratch_path(spark, f"{name}-checkpoint")
-    w = (observed(df, f"{name}-out").writeStream.outputMode(mode)
-         .option("checkpointLocation", ck).trigger(availableNow=True))
-    if foreach is not None:
-        q = w.foreachBatch(foreach).start()
-    else:
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        q = w.format("parquet").option("path", out).start()
-    q.awaitTermination()
-    LAST_RUN.update(name=name, checkpoint=ck, path=out, progress=q.recentProgress)
+    progress = []
+    for closing in ([False, True] if end is not None else [False]):
+        if closing:
+            end.announce()
+        w = (observed(df, f"{name}-out").writeStream.outputMode(mode)
+             .option("checkpointLocation", ck).trigger(availableNow=True))
+        if foreach is not None:
+            q = w.foreachBatch(foreach).start()
+        else:
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            q = w.format("parquet").option("path", out).start()
+        q.awaitTermination()
+        progress += q.recentProgress
+    LAST_RUN.update(name=name, checkpoint=ck, path=out, progress=progress)
     return out
 
 
@@ -165,10 +178,19 @@ def stream_validation_pass_counts(spark: SparkSession, d: str,
                                   gap: str = S.VALIDATION_SESSION_GAP,
                                   n_rules: int = S.NUMBER_OF_RULES,
                                   out_path: str | None = None, close: bool = True) -> DataFrame:
-    v = fx.validations(spark, d, src=table_stream(spark, d, "events", sentinel=close))
-    v = drop_sentinel(v.withWatermark("ts", gap))  # late rows within the gap still join their session
-    g = stateful.pass_sessions(v, gap, n_rules)
-    return spark.read.parquet(run_available_now(g, "s-pass-counts", path=out_path))
+    end = EndOfInput(spark) if close else None
+    v = fx.validations(spark, d, src=table_stream(spark, d, "events", end))
+    v = v.withWatermark("ts", gap)  # late rows within the gap still join their session
+    g = processors.verdict_sessions(drop_sentinel(v) if close else v, gap, n_rules)
+    return spark.read.parquet(run_available_now(g, "s-pass-counts", path=out_path, end=end))
+
+
+def stream_verdict_updates(spark: SparkSession, d: str, out_path: str | None = None) -> DataFrame:
+    """A row after every verdict: its session and the PASS count so far."""
+    end = EndOfInput(spark)
+    v = fx.validations(spark, d, src=table_stream(spark, d, "events", end))
+    g = processors.verdict_sessions(drop_sentinel(v.withWatermark("ts", S.VALIDATION_SESSION_GAP)), updates=True)
+    return spark.read.parquet(run_available_now(g, "s-verdict-updates", path=out_path, end=end))
 
 
 def stream_orders_failed(spark: SparkSession, d: str,
@@ -213,19 +235,45 @@ def stream_level_routing_counts(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("customerLevel").agg(F.count(F.lit(1)).alias("orders"))
 
 
-def stream_inventory_check_asof(spark: SparkSession, d: str) -> DataFrame:
+def _reserve_in_order(spark: SparkSession, d: str, end: EndOfInput) -> DataFrame:
     """Orders against a stock table that changes, both as streams; stock and reservation in state."""
-    o = checks.created(fx.orders(spark, d, src=table_stream(spark, d, "events")))
-    c = fx.inventory_changes(spark, d, src=table_stream(spark, d, "events"))
-    out = run_available_now(stateful.reserve_evolving_stock(o, c), "s-reserve-asof")
+    def events() -> DataFrame:
+        return table_stream(spark, d, "events", end)
+
+    o = checks.created(fx.orders(spark, d, src=events()).withWatermark("ts", S.ORDER_LATENESS))
+    c = fx.inventory_changes(spark, d, src=events()).withWatermark("ts", S.ORDER_LATENESS)
+    return processors.reserve_in_order(drop_sentinel(o), drop_sentinel(c))
+
+
+def stream_inventory_check_asof(spark: SparkSession, d: str, checkpoint: str | None = None) -> DataFrame:
+    end = EndOfInput(spark)
+    out = run_available_now(_reserve_in_order(spark, d, end), "s-reserve-asof", checkpoint=checkpoint, end=end)
     return spark.read.parquet(out).select("id", "product", "quantity", "stock",
                                           "validationResult", "reserved")
 
 
+def stream_reserved_asof_state(spark: SparkSession, d: str) -> DataFrame:
+    """Reserved units per product, read by the state's name from the reservation's checkpoint."""
+    ck = scratch_path(spark, "s-reserve-asof-checkpoint")
+    stream_inventory_check_asof(spark, d, checkpoint=ck)
+    return processors.state_table(spark, ck, "reserved").withColumnRenamed("units", "reserved")
+
+
+def stream_order_requests(spark: SparkSession, d: str) -> DataFrame:
+    """Lookups and order versions as two streams; a lookup waits in state for its order or its deadline."""
+    late, end = S.ORDER_LATENESS, EndOfInput(spark)
+    r = fx.order_requests(spark, d, src=table_stream(spark, d, "events", end)).withWatermark("ts", late)
+    v = fx.order_versions(spark, d, src=table_stream(spark, d, "events", end)).withWatermark("ts", late)
+    out = processors.order_requests(drop_sentinel(r), drop_sentinel(v))
+    out = spark.read.parquet(run_available_now(out, "s-order-requests", end=end))
+    return out.withColumn("customerId", F.col("customerId").cast("string"))
+
+
 def stream_fraud_orders_tumbling(window: str, adapter=fx.orders, lateness: str = S.SQL_GRACE
                                  ) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, d: str) -> DataFrame:
-        o = adapter(spark, d, src=table_stream(spark, d, "events", sentinel=True))
+        end = EndOfInput(spark)
+        o = adapter(spark, d, src=table_stream(spark, d, "events", end))
         o = drop_sentinel(o.withWatermark("ts", lateness))
         c = replicated(fx.customers(spark, d).select(
             F.col("id").alias("c_id"), "firstName", "lastName", "level"))
@@ -233,7 +281,7 @@ def stream_fraud_orders_tumbling(window: str, adapter=fx.orders, lateness: str =
             F.col("c_id").alias("customerId"), "firstName", "lastName", "level", "product",
             "quantity", "price", "ts")
         t = reports.tumbling_counts(enr, window)
-        return spark.read.parquet(run_available_now(t, "s-tumbling"))
+        return spark.read.parquet(run_available_now(t, "s-tumbling", end=end))
     return q
 
 
@@ -256,33 +304,32 @@ SESSION_SCHEMA = ("orderId string, session_start timestamp, session_end timestam
                   "reach_ts timestamp")
 
 
-def validated_stream(spark: SparkSession, counts_path: str, orders: DataFrame, name: str,
-                     n_rules: int = S.NUMBER_OF_RULES, lateness: str = "1 hour") -> DataFrame:
-    """Closed verdict sessions ⋈ created orders, stream with stream.
+def validated_stream(spark: SparkSession, updates_path: str, orders: DataFrame, name: str,
+                     n_rules: int = S.NUMBER_OF_RULES, lateness: str = "1 hour",
+                     window: str = S.VALIDATION_JOIN_WINDOW) -> DataFrame:
+    """Verdict updates with enough PASSes ⋈ created orders, stream with stream; one row per order and session.
 
-    The sessions are read from the sink of the session query (a query keeps
-    one custom state).  Both sides carry a watermark and the join a time
-    bound, so its state is dropped once no partner can come; ``lateness``
-    covers the time a session stays open.
+    The updates are read from the sink of the session query.  A session is
+    as long as its verdicts keep coming; each update from the one that reaches
+    ``n_rules`` on meets the orders within ``window`` of it, so the join's
+    state spans two windows however long the session is.  What an order
+    meets in one session has the order's time, for which duplicates are kept.
     """
-    c = (spark.readStream.schema(SESSION_SCHEMA).parquet(counts_path)
-         .where(F.col("passes") >= n_rules).withWatermark("session_end", lateness).alias("c"))
+    u = (spark.readStream.schema(SESSION_SCHEMA).parquet(updates_path)
+         .where(F.col("passes") >= n_rules).withWatermark("session_end", lateness).alias("u"))
     o = orders.where(F.col("state") == "CREATED").withWatermark("ts", lateness).alias("o")
-    w = interval(S.VALIDATION_JOIN_WINDOW)
-    cond = ((F.col("c.orderId") == F.col("o.id")) & (F.col("o.ts") >= F.col("c.reach_ts") - w)
-            & (F.col("o.ts") <= F.col("c.session_end") + w)
-            # the same lower bound on the watermarked column: a session spans at most this long
-            & (F.col("o.ts") >= F.col("c.session_end") - interval("1 day")))
-    j = c.join(o, cond, "inner").select("o.id", "o.customerId", F.lit("VALIDATED").alias("state"), "o.product",
-                                        "o.quantity", "o.price", "c.session_start")
-    return spark.read.parquet(run_available_now(j, name))
+    cond = (F.col("u.orderId") == F.col("o.id")) & within(F.col("o.ts"), F.col("u.session_end"), window)
+    j = u.join(o, cond, "inner").select("o.id", "o.customerId", F.lit("VALIDATED").alias("state"), "o.product",
+                                        "o.quantity", "o.price", "u.session_start", F.col("o.ts").alias("ts"), "o.seq")
+    j = j.dropDuplicatesWithinWatermark(["id", "session_start", "seq"])
+    return spark.read.parquet(run_available_now(j, name)).drop("ts", "seq")
 
 
 def stream_orders_validated(spark: SparkSession, d: str, n_rules: int = S.NUMBER_OF_RULES) -> DataFrame:
-    counts_path = scratch_path(spark, "s-validated-counts")
-    stream_validation_pass_counts(spark, d, out_path=counts_path)
+    updates = scratch_path(spark, "s-validated-updates")
+    stream_verdict_updates(spark, d, out_path=updates)
     orders = fx.validated_orders_source(spark, d, src=table_stream(spark, d, "events"))
-    return validated_stream(spark, counts_path, orders, "s-validated", n_rules)
+    return validated_stream(spark, updates, orders, "s-validated", n_rules)
 
 
 def stream_orders_enriched_sql(spark: SparkSession, d: str) -> DataFrame:
@@ -328,11 +375,12 @@ def stream_fraud_orders_sql(window: str) -> Callable[[SparkSession, str], DataFr
     """The SQL views over a *streaming* orders view: the tumbling table as a continuous query."""
     def q(spark: SparkSession, d: str) -> DataFrame:
         from orderflow.plans import sql as sqlplan
-        o = fx.orders(spark, d, src=table_stream(spark, d, "events", sentinel=True))
+        end = EndOfInput(spark)
+        o = fx.orders(spark, d, src=table_stream(spark, d, "events", end))
         o = drop_sentinel(o.withWatermark("ts", S.SQL_GRACE))
         views = sqlplan.register_views(spark, o, fx.customers(spark, d), window=window, prefix="streaming_")
         t = views[sqlplan.FRAUD_ORDER_TABLE]
-        return spark.read.parquet(run_available_now(t, "s-fraud-sql"))
+        return spark.read.parquet(run_available_now(t, "s-fraud-sql", end=end))
     return q
 
 
@@ -356,6 +404,9 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_orders_by_level": stream_orders_by_level,
     "stream_level_routing_counts": stream_level_routing_counts,
     "stream_inventory_check_asof": stream_inventory_check_asof,
+    "stream_reserved_asof_state": stream_reserved_asof_state,
+    "stream_verdict_updates": stream_verdict_updates,
+    "stream_order_requests": stream_order_requests,
     "stream_fraud_orders_tumbling": stream_fraud_orders_tumbling(S.FRAUD_TUMBLING_WINDOW, fx.burst_orders),
     "stream_fraud_orders_tumbling_1d": stream_fraud_orders_tumbling("1 day"),
     "stream_fraud_orders_tumbling_1h": stream_fraud_orders_tumbling("1 hour"),
@@ -413,6 +464,9 @@ ORACLE_OF = {
     "stream_orders_by_level": "orders_by_level",
     "stream_level_routing_counts": "level_routing_counts",
     "stream_inventory_check_asof": "inventory_check_asof",
+    "stream_reserved_asof_state": "reserved_asof_state",
+    "stream_verdict_updates": "verdict_updates",
+    "stream_order_requests": "order_requests",
     "stream_fraud_orders_tumbling": "fraud_orders_tumbling",
     "stream_fraud_orders_tumbling_1d": "fraud_orders_tumbling_1d",
     "stream_fraud_orders_tumbling_1h": "fraud_orders_tumbling_1h",
