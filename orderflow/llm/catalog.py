@@ -59,10 +59,6 @@ def op6_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprint_documents(documents(spark, sf_dir))
 
 
-def op6_imatch_fingerprints_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return imatch.fingerprint_documents(documents(spark, sf_dir), distinct=True)
-
-
 def op7_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orcfiles.round_trip(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
@@ -99,7 +95,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_adaptive_quality": op4_adaptive_quality,
     "op5_sampled_splitter_shards": op5_sampled_splitter_shards,
     "op6_imatch_fingerprints": op6_imatch_fingerprints,
-    "op6_imatch_fingerprints_distinct": op6_imatch_fingerprints_distinct,
     "op7_orc_token_ids": op7_orc_token_ids,
     "op8_repeated_passages": op8_repeated_passages,
     "op9_source_mixing": op9_source_mixing,

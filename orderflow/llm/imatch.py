@@ -1,9 +1,10 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
-Terms are the lower-cased runs of letters and digits.  Their document
-frequency over the whole table decides the lexicon: terms held by a share of
-``LOW`` to ``HIGH`` of the documents -- neither too rare to survive an edit nor
-too common to tell texts apart.  ``len(RATES)`` random subsets of the lexicon
+Terms are the lower-cased runs of letters and digits.  Their frequency over
+the distinct texts of the whole table decides the lexicon: terms held by a
+share of ``LOW`` to ``HIGH`` of the texts -- neither too rare to survive an edit nor
+too common to tell texts apart.  Copies count once, so the terms of a text do
+not leave the lexicon because the text has many copies.  ``len(RATES)`` random subsets of the lexicon
 are fixed by hashes of the terms, with inclusion rates one in ``RATES[k]``.  A
 document's signature for a subset is the hash of its sorted distinct terms in
 that subset; the fingerprint lists the signatures (``-`` where it has none of
@@ -13,24 +14,22 @@ fingerprints have likeness 1.  A text without any term of the lexicon has
 a print of its own, the hash of all its terms (of the text, if it has none), so
 that unrelated texts never compare as equal.
 
-With ``distinct`` the document frequency counts distinct texts, so the terms
-of a text do not leave the lexicon because the text has many copies.  Without
-it, rows are counted and a print without signatures is returned as ``-`` only;
-the likenesses are taken from the prints of its own in both forms.
-
 Why the lexicon may be broadcast: a term in it is held by at least LOW * N
 documents, so it has at most (mean distinct terms of a document) / LOW terms,
 however many documents there are.  Its rows are counted; above
 ``BROADCAST_TERMS`` (documents with very many distinct terms) it is joined by
-a shuffle instead.
+a shuffle instead.  It holds a row for each term and subset, so one join hands
+every term of a text to its subsets, and one grouping gives all signatures.
 
 Everything is DataFrame operations.  The neighbour of a document in descending
-id order is found inside ranges of ids (sampled splitters), only the first
-document of each range is passed on to the range before it.
+id order is found inside ranges of ids (sampled splitters; documents of one
+id are cut by the hash of their text), only the first document of each range
+is passed on to the range before it.
 
 Defined cases: null text is empty; equal ids are ordered by the hash of their
-text; a single document is its own neighbour; other input columns are not
-read.
+text, null ids come last; repeated rows are documents of their own; a single
+document is its own neighbour; an empty table gives no rows; other input
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -38,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.sharding import number_of_ranges, range_of, splitters
+from orderflow.llm.sharding import LEAST, chance, number_of_ranges, range_of, splitters
 from orderflow.session import materialize
 
 LOW, HIGH = 0.005, 0.1
@@ -52,56 +51,52 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.split(F.lower(text), _NOT_TERM))
 
 
-def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: float = HIGH,
-            distinct: bool = False) -> tuple[DataFrame, int]:
-    """term (64-bit hash), mask of the subsets that hold it; and the number of documents."""
-    n = docs.count()
-    texts, held = docs.select(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")), n
-    if distinct:
-        # copies collapse before the shuffle
-        held = texts.agg(F.countDistinct(F.xxhash64("text"))).first()[0]
-        texts = texts.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
+def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: float = HIGH) -> DataFrame:
+    """term (64-bit hash), subset: the subsets that hold each term of the lexicon."""
+    texts = docs.select(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    # copies collapse before the shuffle
+    held = texts.agg(F.countDistinct(F.xxhash64("text"))).first()[0]
+    texts = texts.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
     df = (texts.select(F.explode(terms(F.col("text"))).alias("w")).where("w <> ''")
           .groupBy(F.xxhash64("w").alias("term")).agg(F.count(F.lit(1)).alias("df")))
     kept = df.where((F.col("df") >= low * held) & (F.col("df") <= max(1.0, high * held)))
-    mask = " + ".join(f"CASE WHEN pmod(xxhash64({k}, term), {r}) = 0 THEN {1 << k}L ELSE 0L END"
-                      for k, r in enumerate(RATES))
-    return materialize(kept.select("term", F.expr(mask).alias("mask")).where("mask <> 0"), "imatch-lexicon"), n
+    inside = [F.when(F.expr(f"pmod(xxhash64({k}, term), {r}) = 0"), F.lit(k)) for k, r in enumerate(RATES)]
+    subsets = F.explode(F.array_compact(F.array(*inside))).alias("subset")
+    return materialize(kept.select("term", subsets), "imatch-lexicon")
 
 
-def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """bucket, nth (from 0, descending id), doc_id, text, next_text (of the document nth + 1, cyclic).
+def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
+    """bucket, nth (from 0, descending id), doc_id, text, next_text (of the document nth + 1, cyclic); and
+    the number of documents.
 
     The rows are partitioned by ``bucket``; what is grouped by it and more needs no further shuffle.
     """
+    # ``key`` ascends where the id descends; a null id comes last
     d = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
                     F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    ids = d.select("doc_id")
-    n = ids.count()
-    h = F.shiftrightunsigned(F.xxhash64(F.lit(3), "doc_id"), 11) / F.lit(float(1 << 53))
+    d = d.select("doc_id", "text", F.coalesce(F.bitwise_not("doc_id"), F.lit(-LEAST - 1)).alias("key"),
+                 F.xxhash64("text").alias("tie"))
+    n = d.select("doc_id").count()
     ranges = number_of_ranges(n)
-    bounds = splitters(ids.where(h < min(1.0, 64 * ranges / max(1, n))), "doc_id", ranges)
-    # bucket 0 holds the largest ids; null ids come last
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(
-        F.lit(len(bounds)) - range_of(F.col("doc_id"), bounds))
-    d = d.select(bucket.cast("bigint").alias("bucket"), "doc_id", F.xxhash64("text").alias("tie"), "text")
-    w = "PARTITION BY bucket ORDER BY doc_id DESC NULLS LAST, tie"
+    sample = d.select("key", "tie").where(chance(F.xxhash64(F.lit(3), "key", "tie")) < min(1.0, 64 * ranges / max(1, n)))
+    bounds = splitters(sample, ranges)
+    d = d.select(range_of(F.col("key"), F.col("tie"), bounds).alias("bucket"), "doc_id", "key", "tie", "text")
+    w = "PARTITION BY bucket ORDER BY key, tie"
     out = d.selectExpr("*", f"lead(text) OVER ({w}) AS follower", f"row_number() OVER ({w}) - 1 AS inside")
-    key = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), (-F.col("tie").cast("decimal(20,0)")).alias("t"))
-    heads = materialize(d.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.max(key).alias("head")),
+    heads = materialize(d.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("key", "tie")).alias("head")),
                         "imatch-ranges")
     total = "OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    order = heads.selectExpr("bucket", "head", f"SUM(rows) {total} - rows AS base", "rows",
+    order = heads.selectExpr("bucket", f"SUM(rows) {total} - rows AS base", "rows",
                              "lead(bucket) OVER (ORDER BY bucket) AS after", "min(bucket) OVER () AS least")
     # the text at the head of every range: one record each
-    first = (d.withColumn("head", key).join(F.broadcast(heads.select("bucket", "head")), ["bucket", "head"])
+    first = (d.withColumn("head", F.struct("key", "tie")).join(F.broadcast(heads.select("bucket", "head")), ["bucket", "head"])
              .groupBy("bucket").agg(F.first("text").alias("head_text")))
     nxt = order.selectExpr("bucket", "base", "coalesce(after, least) AS after").join(
         first.withColumnRenamed("bucket", "after"), "after").select("bucket", "base", "head_text")
     # a merge join keeps the rows where the window left them
     return out.join(nxt.hint("merge"), "bucket").select(
         "bucket", (F.col("base") + F.col("inside")).alias("nth"), "doc_id", "text",
-        F.coalesce("follower", "head_text").alias("next_text"))
+        F.coalesce("follower", "head_text").alias("next_text")), n
 
 
 def edited(text: Column, next_text: Column) -> Column:
@@ -111,30 +106,29 @@ def edited(text: Column, next_text: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), (n - half).cast("int")), F.substring(next_text, F.lit(1), half))
 
 
-def fingerprints(texts: DataFrame, keys: list[str], lex: DataFrame) -> DataFrame:
-    """keys and the fingerprint of the column ``text``."""
+def fingerprints(texts: DataFrame, keys: list[str], lex: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """keys (which tell the texts apart), ``keep`` and the fingerprint of the column ``text``."""
     # the empty term marks every text, so one without lexicon terms has its row, too
-    marked = lex.unionByName(lex.sparkSession.range(1).select(F.xxhash64(F.lit("")).alias("term"),
-                                                              F.lit(0).cast("bigint").alias("mask")))
-    if lex.count() <= BROADCAST_TERMS:
+    marked = lex.unionByName(lex.sparkSession.range(1).select(F.xxhash64(F.lit("")).alias("term"), F.lit(-1).alias("subset")))
+    if lex.count() <= BROADCAST_TERMS * 2:  # a term is in one or two subsets
         marked = F.broadcast(marked)
     every = F.array_sort(F.array_remove(terms(F.col("text")), ""))
     alone = F.when(F.size(every) > 0, F.concat(F.lit("="), F.hex(F.xxhash64(every)))).otherwise(
         F.concat(F.lit("~"), F.hex(F.xxhash64("text"))))
-    texts = texts.select(*keys, "text", alone.alias("alone"))
-    keys, own_keys = [*keys, "alone"], keys
-    words = texts.select(*keys, F.explode(F.array_union(terms(F.col("text")), F.array(F.lit("")))).alias("w"))
-    hits = words.withColumn("term", F.xxhash64("w")).drop("w").join(marked, "term")
-    held = hits.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("term", "mask"))).alias("t"))
-
-    def signature(k: int) -> str:
-        own = f"filter(t, x -> (x.mask & {1 << k}L) <> 0)"
-        return (f"CASE WHEN exists(t, x -> (x.mask & {1 << k}L) <> 0) THEN "
-                f"lpad(hex(shiftrightunsigned(xxhash64({k}, transform({own}, x -> x.term)), 32)), 8, '0') ELSE '-' END")
-
-    sigs = ", ".join(signature(k) for k in range(len(RATES)))
-    return held.select(*own_keys, F.expr(f"CASE WHEN size(t) = 1 THEN alone ELSE concat_ws('.', {sigs}) END")
-                       .alias("fingerprint"))
+    about = F.named_struct(*[x for c in keep or [] for x in (F.lit(c), F.col(c))], F.lit("alone"), alone).alias("about")
+    marks = F.array_union(F.array(F.lit("")), terms(F.col("text")))
+    # what is known of the text goes with its mark only
+    words = texts.select(*keys, about, F.posexplode(marks).alias("at", "w"))
+    words = words.select(*keys, F.when(F.col("at") == 0, F.col("about")).alias("about"), F.xxhash64("w").alias("term"))
+    hits = words.join(marked, "term")
+    sorted_terms = F.array_sort(F.collect_list("term"))
+    signs = hits.groupBy(*keys, "subset").agg(sorted_terms.alias("t"), F.max("about").alias("about"))
+    sign = F.expr("lpad(hex(shiftrightunsigned(xxhash64(subset, t), 32)), 8, '0')")
+    signs = signs.select(*keys, "about", F.struct("subset", sign.alias("sign")).alias("s"))
+    held = signs.groupBy(*keys).agg(F.max("about").alias("about"), F.map_from_entries(F.collect_list("s")).alias("m"))
+    whole = F.concat_ws(".", *[F.coalesce(F.element_at("m", F.lit(k)), F.lit("-")) for k in range(len(RATES))])
+    return held.select(*keys, *[F.col(f"about.{c}").alias(c) for c in keep or []],
+                       F.when(F.size("m") == 1, F.col("about.alone")).otherwise(whole).alias("fingerprint"))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -145,11 +139,10 @@ def likeness(a: str, b: str) -> Column:
                   f"size(filter({pairs}, z -> z = 1)) / greatest(1, size(filter({pairs}, z -> z > 0))) END")
 
 
-def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                          distinct: bool = False) -> DataFrame:
+def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    lex, n = lexicon(docs, text_col, distinct=distinct)
-    d = neighbours(docs, id_col, text_col)
+    lex = lexicon(docs, text_col)
+    d, n = neighbours(docs, id_col, text_col)
     d = d.select("bucket", "nth", "doc_id", "text", edited(F.col("text"), F.col("next_text")).alias("edited"))
     d = d.select("bucket", "nth", "doc_id", F.char_length("text").cast("bigint").alias("n_chars"),
                  F.sha2(F.col("edited"), 256).alias("edited_sha256"),
@@ -157,17 +150,12 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
                                    F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("x"))
     d = d.select("bucket", "nth", "doc_id", "n_chars", "edited_sha256", "x.which", "x.text")
     # the terms of a text stay where its bucket is: no shuffle between explode and gathering
-    keys = ["bucket", "nth", "which", "doc_id", "n_chars", "edited_sha256"]
-    f = materialize(fingerprints(d, keys, lex).drop("bucket"), "imatch-prints")
+    f = fingerprints(d, ["bucket", "nth", "which"], lex, ["doc_id", "n_chars", "edited_sha256"])
+    f = materialize(f.drop("bucket"), "imatch-prints")
     own = f.where("which = 0").drop("which")
     other = f.where("which = 1").select("nth", F.col("fingerprint").alias("edited_fingerprint"))
     after = own.select(F.expr(f"pmod(nth - 1, {max(1, n)})").alias("nth"), F.col("fingerprint").alias("next_print"))
-
-    def shown(c: str) -> Column:
-        blank = F.lit(".".join("-" for _ in RATES))
-        return (F.col(c) if distinct else F.when(F.col(c).rlike("^[=~]"), blank).otherwise(F.col(c))).alias(c)
-
     return own.join(other, "nth").join(after, "nth").select(
-        "doc_id", "n_chars", "edited_sha256", shown("fingerprint"), shown("edited_fingerprint"),
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         likeness("fingerprint", "next_print").alias("near_next"))

@@ -2,7 +2,8 @@
 
 Documents are encoded, closed by ``end_id`` and cut into pieces of at most
 ``capacity`` tokens (only longer ones are cut; their first piece may be
-shorter).  The pieces are dealt by a hash to partitions of about
+shorter).  The pieces are dealt by a hash of their place in the written table of
+pieces (so repeated rows are spread like any others) to partitions of about
 ``PART_ROWS``; each partition packs its own by best-fit decreasing: longest
 first, into the fullest sequence that still has room.
 
@@ -15,14 +16,16 @@ certifies the total.  While the total is above it, every partition keeps its
 well-filled sequences and gives up its least filled ones, more of them the
 further it is from its own bound; the pieces of those are dealt anew over
 fewer partitions and packed again.  The new packing is taken when it needs
-fewer sequences than the ones given up; otherwise, or when one partition
-holds all that is left, it ends.
+fewer sequences than the ones given up.  It ends when the bound is met, when
+one partition holds all that is left, or when a round brings no gain.
 
-A task holds one partition: some thousand lengths.  Nothing depends on the
-order in which rows arrive: ties are broken by length, id, piece and checksum.
+A task holds one partition: some thousand lengths; the driver gets the
+histogram's counts, at most ``capacity`` numbers.  Within a partition nothing
+depends on the order of rows: ties are broken by length, id, piece and checksum.
 
 Defined cases: null text is empty (the end id alone); repeated rows are packed
-each; a null id is packed like any other.
+each; a null id is packed like any other; an empty table gives no rows; only
+the id and the text are read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -39,7 +42,9 @@ from orderflow.llm import words as wd
 from orderflow.llm.tokens import encoder
 from orderflow.session import materialize
 
-CAPACITY, END_ID, PART_ROWS, ROUNDS = 2048, 0, 4096, 4
+CAPACITY, END_ID, PART_ROWS = 2048, 0, 4096
+# a sequence's number: round, partition, number in the partition
+SEQ_BITS, PART_BITS = 20, 34
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -76,9 +81,14 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     """Sequences that no packing of these lengths can do without."""
-    if not len(lengths):
+    return bound_of(np.bincount(lengths, minlength=capacity + 1)[:capacity + 1], capacity)
+
+
+def bound_of(hist: np.ndarray, capacity: int) -> int:
+    """The same from the number of pieces of every length, 0 to ``capacity``."""
+    hist = hist.astype(np.int64)
+    if not hist.any():
         return 0
-    hist = np.bincount(lengths, minlength=capacity + 1)[:capacity + 1].astype(np.int64)
     size = np.arange(capacity + 1, dtype=np.int64)
     count, total = np.cumsum(hist), np.cumsum(hist * size)
     best = -(-int(total[-1]) // capacity)
@@ -119,7 +129,7 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return seq, off, np.array(fill, dtype=np.int64)
 
 
-_PACKED = _PIECE + ", part long, seq long, offset long, given boolean, sequences long, given_up long"
+_PACKED = _PIECE + ", place long, part long, seq long, offset long, given boolean, sequences long, given_up long"
 
 
 def pack_parts(dealt: DataFrame, capacity: int) -> DataFrame:
@@ -129,6 +139,8 @@ def pack_parts(dealt: DataFrame, capacity: int) -> DataFrame:
                            ("ids_crc32", "ascending")])
         lengths = t.column("length").to_numpy()
         seq, off, fill = best_fit(lengths, capacity)
+        if len(fill) >> SEQ_BITS:
+            raise ValueError("too many sequences in one partition to number")
         bound = lower_bound(lengths, capacity)
         gap = len(fill) - bound
         given = np.zeros(len(fill), dtype=bool)
@@ -138,7 +150,7 @@ def pack_parts(dealt: DataFrame, capacity: int) -> DataFrame:
         first = np.zeros(n, dtype=bool)
         first[:1] = True  # the partition's figures stand in one row
         return pa.table({
-            **{c: t.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32", "part")},
+            **{c: t.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32", "place", "part")},
             "seq": seq, "offset": off, "given": given[seq],
             "sequences": np.where(first, len(fill), 0), "given_up": np.where(first, given.sum(), 0)})
 
@@ -147,34 +159,37 @@ def pack_parts(dealt: DataFrame, capacity: int) -> DataFrame:
 
 def deal(rows: DataFrame, n: int, turn: int) -> tuple[DataFrame, int]:
     parts = max(1, -(-n // PART_ROWS))
-    h = F.xxhash64(F.lit(turn), "doc_id", "piece", "ids_crc32")
-    return rows.withColumn("part", F.pmod(h, F.lit(parts))), parts
-
-
-def pack(rows: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
-    """Pieces with sequence_id and offset."""
-    count = rows.groupBy("length").count().collect()  # at most ``capacity`` rows
-    bound = lower_bound(np.repeat([r[0] for r in count], [r[1] for r in count]).astype(np.int64), capacity) \
-        if count else 0
-    done, left, before, kept = [], rows, None, 0
-    for turn in range(rounds):
-        dealt, parts = deal(left.select("doc_id", "piece", "start", "length", "ids_crc32"),
-                            left.count(), turn)
+    return rows.withColumn("part", F.pmod(F.xxhash64(F.lit(turn), "place"), F.lit(parts))), parts
+
+
+def pack(rows: DataFrame, capacity: int = CAPACITY, rounds: int | None = None) -> DataFrame:
+    """Pieces with sequence_id and offset; ``rounds``: at most so many (None: as long as they gain)."""
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    rows = materialize(rows.select(*columns, F.monotonically_increasing_id().alias("place")), "pieces")
+    hist = np.zeros(capacity + 1, dtype=np.int64)
+    for r in rows.groupBy("length").count().collect():  # at most ``capacity`` rows
+        hist[r[0]] = r[1]
+    bound, n = bound_of(hist, capacity), int(hist.sum())
+    done, left, before, kept, turn = [], rows, None, 0, 0
+    while rounds is None or turn < rounds:
+        dealt, parts = deal(left.select(*columns, "place"), n, turn)
+        if parts >> PART_BITS or turn >> 63 - SEQ_BITS - PART_BITS:
+            raise ValueError("too many partitions or rounds to number sequences by")
         packed = materialize(pack_parts(dealt, capacity), f"packed-{turn}")
-        s = packed.agg(F.sum("sequences"), F.sum("given_up")).first()
-        used, given = int(s[0] or 0), int(s[1] or 0)
+        s = packed.agg(F.sum("sequences"), F.sum("given_up"), F.count(F.when(F.col("given"), 1))).first()
+        used, given, n = int(s[0] or 0), int(s[1] or 0), int(s[2])
         if before is not None and used >= before:
             done.append(left)  # no better than what was given up: those sequences stay
             left = None
             break
-        numbered = packed.withColumn(
-            "sequence_id", F.lit(turn << 56) + F.col("part") * (1 << 20) + F.col("seq"))
+        numbered = packed.withColumn("sequence_id", F.lit(turn << SEQ_BITS + PART_BITS)
+                                     + F.col("part") * (1 << SEQ_BITS) + F.col("seq"))
         if kept + used == bound or parts == 1:
             left = numbered
             break
         done.append(numbered.where("NOT given"))
         left = numbered.where("given")
-        before, kept = given, kept + used - given
+        before, kept, turn = given, kept + used - given, turn + 1
     if left is not None:
         done.append(left)
     out = done[0]
@@ -186,4 +201,4 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> Dat
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                    capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(materialize(pieces(docs, tokenizer, id_col, text_col, capacity, end_id), "pieces"), capacity)
+    return pack(pieces(docs, tokenizer, id_col, text_col, capacity, end_id), capacity)

@@ -3,9 +3,11 @@
 Records are ordered by a key and cut into shards of nearly equal bytes.  A
 sample is drawn in which a record's chance is proportional to its size, so
 quantiles of the sampled keys are splitters between ranges of about equal
-bytes.  Records find their range by the splitters; ranges that turn out over
-``OVERFULL`` times the mean are subdivided by splitters of a finer sample of
-their own.  With the byte total of every range known, each range knows the
+bytes.  A key that is several quantiles at once fills several ranges by itself: it
+is cut at quantiles of the tie (the hash of the text) in as many, so splitters
+are pairs of key and tie.  Records find their range by the splitters; ranges
+that turn out over ``OVERFULL`` times the mean are subdivided by splitters of a
+finer sample of their own.  With the byte total of every range known, each range knows the
 byte at which it begins, and a running sum inside the range gives the exact
 byte at which each record begins; shard = that byte's share of the total.  So
 shard sizes differ by at most about one record, whatever the sample said --
@@ -18,8 +20,9 @@ sampled is decided by a hash of the record: reruns agree.
 Everything is DataFrame operations; the splitters are one row of at most
 ``MOST_RANGES`` numbers, a range is some hundred records.
 
-Defined cases: null text has size 1 (no bytes plus one); null keys come first;
-an empty table gives no rows; input columns named like an output column are
+Defined cases: null text has size 1 (no bytes plus one); null keys come first
+(with the smallest number, ranked by their text); repeated rows are records of
+their own, and only records alike in key and text stay in one range; an empty table gives no rows; input columns named like an output column are
 replaced by it.
 """
 
@@ -34,25 +37,47 @@ from orderflow.session import materialize
 SHARDS, RANGE_ROWS, MOST_RANGES, PER_RANGE, OVERFULL, SEED = 8, 512, 16_384, 48, 2, 29
 
 
-def splitters(sample: DataFrame, key: str, ranges: int) -> list[int]:
-    """Inner quantiles of the sampled keys: at most ``ranges - 1`` ascending numbers."""
+LEAST = -(1 << 63)
+
+
+def splitters(sample: DataFrame, ranges: int) -> list[tuple[int, int]]:
+    """At most about ``ranges`` ascending pairs (key, tie): quantiles of the sampled keys, of the ties within heavy keys."""
     if ranges < 2:
         return []
     at = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    row = sample.agg(F.percentile_approx(key, at, 20 * ranges)).first()
-    return sorted(set(row[0] or []))
-
-
-def range_of(key: Column, bounds: list[int]) -> Column:
-    """Number of splitters at or below the key (null: 0), found in two steps of about sqrt(n) comparisons."""
+    found = sample.agg(F.percentile_approx("key", at, 20 * ranges)).first()[0] or []
+    times: dict[int, int] = {}
+    for k in found:
+        times[k] = times.get(k, 0) + 1
+    out = {(k, LEAST) for k in times}
+    heavy = {k: n for k, n in times.items() if n > 1}  # each holds over one range's share
+    if heavy:
+        most = max(heavy.values())
+        at = F.array(*[F.lit(i / (most + 1)) for i in range(1, most + 1)])
+        ties = (sample.where(F.col("key").isin(list(heavy))).groupBy("key")
+                .agg(F.percentile_approx("tie", at, 20 * most).alias("t")).collect())
+        for k, t in ties:
+            out.update((k, t[i * most // heavy[k]]) for i in range(heavy[k]))
+            if k < -LEAST - 1:
+                out.add((k + 1, LEAST))
+    return sorted(out)
+
+
+def range_of(key: Column, tie: Column, bounds: list[tuple[int, int]]) -> Column:
+    """Number of splitters at or below (key, tie), found in two steps of about sqrt(n) comparisons."""
     if not bounds:
         return F.lit(0).cast("bigint")
+
+    def pairs(rows: list[tuple[int, int]]) -> Column:
+        return F.array(*[F.struct(F.lit(k).cast("bigint").alias("k"), F.lit(t).cast("bigint").alias("t")) for k, t in rows])
+
+    def below(b: Column) -> Column:
+        return (b["k"] < key) | ((b["k"] == key) & (b["t"] <= tie))
+
     step = max(1, int(len(bounds) ** 0.5))
     rows = [bounds[i:i + step] for i in range(0, len(bounds), step)]
-    heads = F.array(*[F.lit(r[0]).cast("bigint") for r in rows])
-    table = F.array(*[F.array(*[F.lit(b).cast("bigint") for b in r]) for r in rows])
-    n = F.size(F.filter(heads, lambda b: b <= key))
-    inside = F.size(F.filter(F.element_at(table, F.greatest(n, F.lit(1))), lambda b: b <= key))
+    n = F.size(F.filter(pairs([r[0] for r in rows]), below))
+    inside = F.size(F.filter(F.element_at(F.array(*[pairs(r) for r in rows]), F.greatest(n, F.lit(1))), below))
     return F.when(n == 0, F.lit(0)).otherwise((n - 1) * step + inside).cast("bigint")
 
 
@@ -67,12 +92,13 @@ def number_of_ranges(rows: int) -> int:
 
 def ranged(rows: DataFrame) -> tuple[DataFrame, int]:
     """The rows with the columns ``range`` and ``part`` (its subdivision), and the total size."""
+    rows = rows.withColumn("key", F.coalesce("key", F.lit(LEAST)))
     n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     ranges = number_of_ranges(n)
     h = F.xxhash64(F.lit(SEED), "key", "tie")
     rate = PER_RANGE * ranges / max(1, total)
-    bounds = splitters(rows.where(chance(h) < F.col("size") * rate), "key", ranges)
-    out = rows.withColumn("range", range_of(F.col("key"), bounds))
+    bounds = splitters(rows.where(chance(h) < F.col("size") * rate).select("key", "tie"), ranges)
+    out = rows.withColumn("range", range_of(F.col("key"), F.col("tie"), bounds))
     # subdivide what is overfull: splitters of its own, from a sample as much finer as it is too large
     mean = max(1, total // max(1, ranges))
     sums = out.groupBy("range").agg(F.sum("size").alias("bytes"))
@@ -93,7 +119,7 @@ def ranged(rows: DataFrame) -> tuple[DataFrame, int]:
 def shard(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``rows`` (key, tie, size and any further columns) with shard and slot."""
     placed, total = ranged(rows)
-    w = "PARTITION BY range, part ORDER BY key NULLS FIRST, tie"
+    w = "PARTITION BY range, part ORDER BY key, tie"
     run = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     inside = placed.selectExpr("*", f"SUM(size) OVER ({w}, size {run}) - size AS bytes_before",
                                f"row_number() OVER ({w}, size) - 1 AS rows_before")

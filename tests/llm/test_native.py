@@ -55,6 +55,13 @@ def test_shards_of_skewed_and_awkward_tables(spark):
     many = [(i, "same text" if i % 3 == 0 else "x" * (5000 if 3000 <= i < 3100 else 1)) for i in range(6000)]
     df = spark.createDataFrame(many, "doc_id long, text string")
     _check_shards(many, sharding.shard_documents(df).collect())
+    # a third of the rows with one id: cut by their texts
+    hot = [(7 if i % 3 == 0 else None if i % 3 == 1 and i % 2 else i, f"text {i} " * 5) for i in range(9000)]
+    hdf = spark.createDataFrame(hot, "doc_id long, text string")
+    _check_shards(hot, sharding.shard_documents(hdf).collect())
+    parts = sharding.ranged(hdf.selectExpr("doc_id", "octet_length(text) + 1L AS size", "doc_id AS key",
+                                           "xxhash64(text) AS tie"))[0].groupBy("range", "part").count()
+    assert parts.agg({"count": "max"}).first()[0] < 2000
     placed, _ = sharding.ranged(df.selectExpr("doc_id", "octet_length(text) + 1L AS size", "doc_id AS key",
                                               "xxhash64(text) AS tie"))
     sums = [r.b for r in placed.groupBy("range", "part").agg({"size": "sum"}).toDF("range", "part", "b").collect()]
@@ -77,42 +84,78 @@ def _terms(t):
 
 
 def _print(text, lex):
-    term = {_s64(_h(w.encode(), 42)) for w in _terms(text)} & lex
+    own_terms = sorted(_s64(_h(w.encode(), 42)) for w in _terms(text))
     out = []
     for k, rate in enumerate(imatch.RATES):
         first = _h(k.to_bytes(4, "little"), 42)
-        own = sorted(x for x in term if _s64(_h(x.to_bytes(8, "little", signed=True), first)) % rate == 0)
+        own = [x for x in own_terms if x in lex and _s64(_h(x.to_bytes(8, "little", signed=True), first)) % rate == 0]
         h = first
         for x in own:
             h = _h(x.to_bytes(8, "little", signed=True), h)
         out.append(f"{h >> 32:08X}" if own else "-")
-    return ".".join(out)
+    if any(x != "-" for x in out):
+        return ".".join(out)
+    h = 42  # no term of any subset: a print of its own, over all its terms, else the text
+    for w in sorted(_terms(text)):
+        h = _h(w.encode(), h)
+    return f"={h:X}" if own_terms else f"~{_h(text.encode(), 42):X}"
 
 
-def test_fingerprints_equal_brute_force(spark):
-    df = catalog.documents(spark, SF001)
-    docs = sorted(((r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()), reverse=True)
+def _lexicon(texts):
     held = defaultdict(int)
-    for _, t in docs:
+    for t in set(texts):
         for w in _terms(t):
             held[w] += 1
-    lex = {_s64(_h(w.encode(), 42)) for w, c in held.items() if imatch.LOW * len(docs) <= c <= imatch.HIGH * len(docs)}
-    q = catalog.op6_imatch_fingerprints(spark, SF001)
-    _no_python(q)
-    got = {r.doc_id: r for r in q.collect()}
+    n = len(set(texts))
+    return {_s64(_h(w.encode(), 42)) for w, c in held.items() if imatch.LOW * n <= c <= max(1, imatch.HIGH * n)}
+
+
+def _likeness(a, b):
+    if a == b:
+        return 1.0
+    if "." not in a or "." not in b:
+        a, b = (x if "." in x else ".".join([x] + ["-"] * (len(imatch.RATES) - 1)) for x in (a, b))
+    pairs = [(x, y) for x, y in zip(a.split("."), b.split(".")) if (x, y) != ("-", "-")]
+    return sum(x == y for x, y in pairs) / max(1, len(pairs))
+
+
+def _check_prints(docs, got):
+    """``docs``: (id, text), ids distinct."""
+    docs = sorted(((i, t or "") for i, t in docs), reverse=True)
+    lex = _lexicon([t for _, t in docs])
+    got = {r.doc_id: r for r in got}
     assert len(got) == len(docs)
     for k, (i, t) in enumerate(docs):
-        nxt, half = docs[(k + 1) % len(docs)][1], len(t) // 2
-        e = t[:len(t) - half] + nxt[:half]
+        after, half = docs[(k + 1) % len(docs)], len(t) // 2
+        e = t[:len(t) - half] + after[1][:half]
         r = got[i]
         assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(e.encode()).hexdigest())
         assert r.fingerprint == _print(t, lex) and r.edited_fingerprint == _print(e, lex)
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        # the likenesses are those of the returned prints
+        assert abs(r.near_edited - _likeness(r.fingerprint, r.edited_fingerprint)) < 1e-12
+        assert abs(r.near_next - _likeness(r.fingerprint, got[after[0]].fingerprint)) < 1e-12
+    return got
+
+
+def test_fingerprints_equal_brute_force(spark):
+    df = catalog.documents(spark, SF001)
+    q = catalog.op6_imatch_fingerprints(spark, SF001)
+    _no_python(q)
+    got = _check_prints([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()], q.collect())
     near = [r.near_edited for r in got.values()]
     far = [r.near_next for r in got.values()]
     assert sum(near) / len(near) > 5 * sum(far) / len(far)
 
 
+def test_copies_in_a_third_of_the_rows_keep_their_terms_and_blank_texts_differ(spark):
+    rows = [(i, prose(1, 200) if i % 3 == 0 else prose(i + 2, 200)) for i in range(300)]
+    rows += [(1000, ""), (1001, None), (1002, "?!"), (1003, "日本語。"), (1004, "中文。")]
+    got = _check_prints(rows, imatch.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert "." in got[0].fingerprint and got[0].fingerprint == got[3].fingerprint
+    assert len({got[i].fingerprint for i in (1000, 1002, 1003, 1004)}) == 4 and got[1000].fingerprint == got[1001].fingerprint
+    assert got[1004].near_next < 1
+
+
 def test_fingerprints_of_awkward_tables(spark):
     df = clash(edge_table(spark), "fingerprint", "bucket", "tie", "nth", "w", "term")
     got = imatch.fingerprint_documents(df).collect()
@@ -131,7 +174,7 @@ def test_likeness_falls_with_edits(spark):
     base = [prose(i, 300, 900) for i in range(60)]
     rows = [(i, t) for i, t in enumerate(base)] + [(100 + i, edited(t, i, 100)) for i, t in enumerate(base)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    lex, _ = imatch.lexicon(df, low=0.02, high=0.5)
+    lex = imatch.lexicon(df, low=0.02, high=0.5)
     f = {r.doc_id: r.fingerprint for r in imatch.fingerprints(df, ["doc_id"], lex).collect()}
     pairs = spark.createDataFrame([(f[i], f[100 + i], f[100 + (i + 1) % 60]) for i in range(60)], "a string, b string, c string")
     got = pairs.select(imatch.likeness("a", "b").alias("n"), imatch.likeness("a", "c").alias("f")).collect()

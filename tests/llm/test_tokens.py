@@ -162,6 +162,29 @@ def test_lower_bound_never_exceeds_the_optimum():
     assert tight > 50
 
 
+def test_repeated_rows_are_spread_and_no_sequence_overflows(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PART_ROWS", 100)
+    rows = [(7, 0, 0, 1500, 5)] * 6000 + [(i, 0, 0, 2048 if i % 2 else 500, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    sizes = []
+    real = packing.pack_parts
+
+    def watched(dealt, capacity):
+        sizes.append(dealt.groupBy("part").count().agg({"count": "max"}).first()[0])
+        return real(dealt, capacity)
+
+    monkeypatch.setattr(packing, "pack_parts", watched)
+    got = packing.pack(df).collect()
+    assert len(got) == len(rows) and sizes[0] < 200
+    fill = {}
+    for r in got:
+        fill.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in fill.values():
+        parts.sort()
+        assert all(o == sum(n for _, n in parts[:k]) for k, (o, _) in enumerate(parts)) and sum(n for _, n in parts) <= 2048
+    assert len(fill) == 7500  # every 500 finds a 1500
+
+
 def test_partitions_exchange_until_the_bound(spark):
     r = random.Random(1)
     rows = [(i, 0, 0, r.randint(100, 1500), i) for i in range(12_000)]
