@@ -1,14 +1,17 @@
-"""Substring dedup by hashing the units of a text.
-
-A unit is a sentence of a line: units begin at the first word behind a line
-break or behind a word that ends in ``.``, ``!`` or ``?``, so a whole line or
-paragraph is a run of whole units.  Units are normalised (A-Z lower-cased,
-white space between words made one space) and hashed to 128 bits; digests are
-grouped over the whole table.  The earliest occurrence -- smallest document
-id, then smallest text hash, then position -- keeps its unit, every other
-occurrence is a repeat.  A maximal run of consecutive repeats with at least
-``min_words`` words is removed; shorter ones stay, so a stock phrase that a
-clean document shares with others does not cost it text.
+"""Substring dedup by hashing the lines of a text and the sentences in them.
+
+Units are normalised (A-Z lower-cased, white space between words made one
+space) and hashed to 128 bits; digests are grouped over the whole table.  The
+earliest occurrence -- smallest document id, then smallest text hash, then
+position -- stays.  There are two units:
+
+* a line with its words, of any length: every later line of the same digest
+  is removed, so no whole line (or paragraph of whole lines) recurs;
+* a sentence: it begins at the first word of a line or behind a word that ends
+  in ``.``, ``!`` or ``?``.  Sentences find passages that were set into other
+  lines.  A maximal run of consecutive units that occur earlier (sentences, or lines
+  that go anyway) is removed if it spans at least ``min_chars`` characters;
+  shorter ones inside a line stay, so a stock phrase does not cost a line its middle.
 
 The result keeps the original offsets: ``removed`` lists the removed spans
 (code points, end exclusive) of the input text, ``text`` is the rest.
@@ -20,9 +23,12 @@ back to the units by an inner join that AQE may split.  The repeats of one
 document (never more than it has units) are gathered and joined to its text
 by (id, text hash).
 
-Defined cases: null text counts as empty and comes back as null; rows with
-equal id and text are one occurrence and are treated alike; a null id ranks
-last; repeats within one document count like repeats across documents.
+Defined cases: null text counts as empty and comes back as null, lines without
+words stay; rows with equal id and text are one occurrence and are treated
+alike; a null id ranks last; repeats within one document count like repeats
+across documents; a text of any length is one document; an empty table gives
+no rows; input columns may have any names, one named ``removed`` is replaced
+where that column is asked for.
 """
 
 from __future__ import annotations
@@ -32,14 +38,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.llm import words as wd
 from orderflow.session import materialize
 
-MIN_WORDS = 20
+MIN_CHARS = 120
+SENTENCE, LINE, BOTH = 0, 1, 2
 _STOP = np.zeros(256, dtype=bool)
 _STOP[list(b".!?")] = True
 
@@ -50,14 +57,15 @@ class Units:
     def __init__(self, data: np.ndarray, offs: np.ndarray):
         row, starts, ends, space = wd.words(data, offs)
         n = len(starts)
-        begin = np.ones(n, dtype=bool)
+        begin, newline = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
         if n > 1:
             breaks = np.zeros(len(data) + 1, dtype=np.int64)
             np.cumsum(data == 10, out=breaks[1:])
-            begin[1:] = (row[1:] != row[:-1]) | _STOP[data[ends[:-1] - 1]] | (breaks[starts[1:]] > breaks[ends[:-1]])
+            newline[1:] = (row[1:] != row[:-1]) | (breaks[starts[1:]] > breaks[ends[:-1]])
+            begin[1:] = newline[1:] | _STOP[data[ends[:-1] - 1]]
         first = np.flatnonzero(begin)
         self.row = row[first]                                   # row of each unit
-        self.n_words = np.diff(np.append(first, n))
+        self.lines = np.flatnonzero(newline[first])             # first unit of each line
         self.start = starts[first]                              # first byte of the unit's first word
         self.of_row = np.searchsorted(self.row, np.arange(len(offs)))  # first unit of each row
         # normalised: words with one space between the words of a unit
@@ -74,15 +82,32 @@ class Units:
         digests = b"".join(h(raw[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist()))
         self.digest = np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)
 
-    def new_in_row(self) -> np.ndarray:
-        """Units whose digest does not occur earlier in their row."""
-        if not len(self.row):
-            return np.zeros(0, dtype=bool)
-        order = np.lexsort((np.arange(len(self.row)), self.digest[:, 1], self.digest[:, 0], self.row))
-        k = np.column_stack([self.row, self.digest])[order]
-        out = np.zeros(len(self.row), dtype=bool)
-        out[order] = np.concatenate([[True], (k[1:] != k[:-1]).any(axis=1)])
-        return out
+        # the digest of a line of several sentences
+        self.line_digest = self.digest[self.lines]
+        size = np.diff(np.append(self.lines, len(first)))
+        for i in np.flatnonzero(size > 1).tolist():
+            u = int(self.lines[i])
+            whole = b" ".join(raw[at[k]:at[k + 1]] for k in range(u, u + int(size[i])))
+            self.line_digest[i] = np.frombuffer(h(whole), dtype=np.int64)
+        self.single = size == 1
+
+    def new_in_row(self) -> tuple[np.ndarray, np.ndarray]:
+        """Units, and lines, whose digest does not occur earlier in their row."""
+        return _first(self.row, self.digest), _first(self.row[self.lines], self.line_digest)
+
+    def of_lines(self, flags: np.ndarray) -> np.ndarray:
+        """A flag of each line as a flag of each of its units."""
+        return np.repeat(flags, np.diff(np.append(self.lines, len(self.row))))
+
+
+def _first(row: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    if not len(row):
+        return np.zeros(0, dtype=bool)
+    order = np.lexsort((np.arange(len(row)), digest[:, 1], digest[:, 0], row))
+    k = np.column_stack([row, digest])[order]
+    out = np.zeros(len(row), dtype=bool)
+    out[order] = np.concatenate([[True], (k[1:] != k[:-1]).any(axis=1)])
+    return out
 
 
 def _text_hash(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -92,62 +117,90 @@ def _text_hash(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def unit_rows(docs: DataFrame) -> DataFrame:
-    """h1, h2, doc_id, text_hash, unit of every unit that is new in its document."""
+    """h1, h2, doc_id, text_hash, unit, kind of every sentence and line that is new in its document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb, data, offs in wd.blocks(batches, "text"):
             u = Units(data, offs)
-            at = np.flatnonzero(u.new_in_row())
+            unit, line = u.new_in_row()
+            # a line of one sentence is one row for both if it is new as either
+            kind = np.full(len(u.row), -1)
+            kind[unit] = SENTENCE
+            alone = u.lines[line & u.single]
+            kind[alone] = np.where(kind[alone] == SENTENCE, BOTH, LINE)
+            at, several = np.flatnonzero(kind >= 0), line & ~u.single
+            digest = np.concatenate([u.digest[at], u.line_digest[several]])
+            kind = np.concatenate([kind[at], np.full(int(several.sum()), LINE)]).astype(np.int8)
+            at = np.concatenate([at, u.lines[several]])
             row = u.row[at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(u.digest[at, 0]), pa.array(u.digest[at, 1]), rb.column(0).take(pa.array(row)),
-                 pa.array(_text_hash(data, offs)[row]), pa.array((at - u.of_row[row]).astype(np.int32))],
-                names=["h1", "h2", "doc_id", "text_hash", "unit"])
+                [pa.array(digest[:, 0]), pa.array(digest[:, 1]), rb.column(0).take(pa.array(row)),
+                 pa.array(_text_hash(data, offs)[row]), pa.array((at - u.of_row[row]).astype(np.int32)), pa.array(kind)],
+                names=["h1", "h2", "doc_id", "text_hash", "unit", "kind"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "h1 long, h2 long, doc_id long, text_hash long, unit int")
+        run, "h1 long, h2 long, doc_id long, text_hash long, unit int, kind byte")
 
 
 def repeats(units: DataFrame) -> DataFrame:
-    """doc_id, text_hash, units: the numbers of the units whose earliest occurrence is elsewhere."""
+    """doc_id, text_hash, units: twice the number of every sentence, twice and one that of the first sentence
+    of every line, whose earliest occurrence is elsewhere."""
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
-    first = (units.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("other"))
-             .where(~F.col("first").eqNullSafe(F.col("other"))).select("h1", "h2", "first"))
-    again = units.join(first, ["h1", "h2"]).where(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))))
+    line = F.when(F.col("kind") != SENTENCE, rank)
+    first = (units.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.max(rank).alias("other"),
+                                           F.min(line).alias("first_line"))
+             .where(~F.col("first").eqNullSafe(F.col("other"))).select("h1", "h2", "first", "first_line"))
+
+    def elsewhere(c: str) -> Column:
+        return ~(F.col("doc_id").eqNullSafe(F.col(f"{c}.doc_id")) & (F.col("text_hash") == F.col(f"{c}.text_hash")))
+
+    again = units.join(first, ["h1", "h2"]).select("doc_id", "text_hash", F.explode(F.array_compact(F.array(
+        F.when((F.col("kind") != LINE) & elsewhere("first"), 2 * F.col("unit")),
+        F.when((F.col("kind") != SENTENCE) & elsewhere("first_line"), 2 * F.col("unit") + 1)))).alias("unit"))
     return again.groupBy("doc_id", "text_hash").agg(F.collect_set("unit").alias("units"))
 
 
-def remove_spans(u: Units, data: np.ndarray, offs: np.ndarray, marked: np.ndarray,
-                 min_words: int) -> tuple[list[bytes], list[list[dict]]]:
-    """The rest of every row and its removed spans in code points."""
-    repeat = marked.copy()
+def remove_spans(u: Units, data: np.ndarray, offs: np.ndarray, again: np.ndarray, gone: np.ndarray,
+                 min_chars: int) -> tuple[list[bytes], list[list[dict]]]:
+    """The rest of every row and its removed spans in code points.
+
+    ``gone``: units of lines to remove; ``again``: units that occur earlier, removed in runs of ``min_chars``."""
     end = np.append(u.start[1:], len(data))
     end[u.of_row[1:][np.diff(u.of_row) > 0] - 1] = offs[1:][np.diff(u.of_row) > 0]
     chars = np.zeros(len(data) + 1, dtype=np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=chars[1:])
-    rest, spans = [], []
-    raw = data.tobytes()
+
+    def runs(flags: np.ndarray) -> list[list[int]]:
+        """Stretches of set flags within a row."""
+        at = np.flatnonzero(flags)
+        if not len(at):
+            return []
+        cut = np.flatnonzero((np.diff(at) > 1) | (u.row[at[1:]] != u.row[at[:-1]])) + 1
+        return [[int(x[0]), int(x[-1]) + 1] for x in np.split(at, cut)]
+
+    drop = gone.copy()
+    for i, j in runs(gone | again):
+        if chars[end[j - 1]] - chars[u.start[i]] >= min_chars:
+            drop[i:j] = True
+    by_row: dict[int, list[list[int]]] = {}
+    for i, j in runs(drop):
+        by_row.setdefault(int(u.row[i]), []).append([i, j])
+    rest, spans, raw = [], [], data.tobytes()
     for r in range(len(offs) - 1):
-        a, b = int(u.of_row[r]), int(u.of_row[r + 1])
         lo, hi = int(offs[r]), int(offs[r + 1])
-        kept, gone = [], []
-        if repeat[a:b].any():
-            flags = np.concatenate([[False], repeat[a:b], [False]])
-            edge = np.flatnonzero(flags[1:] != flags[:-1]).reshape(-1, 2) + a
-            for i, j in edge.tolist():
-                if u.n_words[i:j].sum() >= min_words:
-                    s, e = int(u.start[i]), int(end[j - 1])
-                    kept.append(raw[lo:s])
-                    gone.append({"start": int(chars[s] - chars[offs[r]]), "end": int(chars[e] - chars[offs[r]])})
-                    lo = e
+        kept, cut = [], []
+        for i, j in by_row.get(r, []):
+            s, e = int(u.start[i]), int(end[j - 1])
+            kept.append(raw[lo:s])
+            cut.append({"start": int(chars[s] - chars[offs[r]]), "end": int(chars[e] - chars[offs[r]])})
+            lo = e
         kept.append(raw[lo:hi])
         rest.append(b"".join(kept))
-        spans.append(gone)
+        spans.append(cut)
     return rest, spans
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   min_words: int = MIN_WORDS, detail: bool = True) -> DataFrame:
+                   min_chars: int = MIN_CHARS, detail: bool = True) -> DataFrame:
     """All columns of ``docs`` with the rest of the text; ``detail`` adds the column ``removed``
     (an input column of that name is replaced by it)."""
     src = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
@@ -179,11 +232,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb, data, offs in wd.blocks(batches, text_at):
             u = Units(data, offs)
-            marked = ~u.new_in_row()
+            again, line = (~x for x in u.new_in_row())
             lists = rb.column(rb.num_columns - 1)
             for r in np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                marked[u.of_row[r] + lists[r].values.to_numpy()] = True
-            rest, spans = remove_spans(u, data, offs, marked, min_words)
+                found = lists[r].values.to_numpy()
+                again[u.of_row[r] + found[found % 2 == 0] // 2] = True
+                line[np.searchsorted(u.lines, u.of_row[r] + found[found % 2 == 1] // 2)] = True
+            rest, spans = remove_spans(u, data, offs, again, u.of_lines(line), min_chars)
             was_null = rb.column(rb.num_columns - 2).is_null().to_pylist()
             text = pa.array([None if z else x for x, z in zip(rest, was_null)], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([*rb.columns[:-2], text, pa.array(spans, arrow_span)],

@@ -80,43 +80,55 @@ def components(docs: dict, threshold: int = 85) -> dict:
     return {i: find(i) for i in ids}
 
 
-def units(text: str) -> list[tuple[int, int, str, int]]:
-    """(start, end, normalised unit, words) of a text, character by character."""
+def units(text: str) -> list[tuple[int, int, str, bool]]:
+    """(start, end, normalised sentence, does it begin a line) of a text, character by character."""
     spans = [(m.start(), m.end()) for m in WORD.finditer(text)]
-    begins = [k for k in range(len(spans)) if k == 0 or text[spans[k - 1][1] - 1] in ".!?"
-              or "\n" in text[spans[k - 1][1]:spans[k][0]]]
+    fresh = [k == 0 or "\n" in text[spans[k - 1][1]:spans[k][0]] for k in range(len(spans))]
+    begins = [k for k in range(len(spans)) if fresh[k] or text[spans[k - 1][1] - 1] in ".!?"]
     out = []
     for k, b in enumerate(begins):
         e = begins[k + 1] if k + 1 < len(begins) else len(spans)
         end = spans[e][0] if e < len(spans) else len(text)
         words = [text[x:y] for x, y in spans[b:e]]
         low = "".join(c.lower() if "A" <= c <= "Z" else c for c in " ".join(words))
-        out.append((spans[b][0], end, low, e - b))
+        out.append((spans[b][0], end, low, fresh[b]))
     return out
 
 
-def passages(docs: list[tuple], min_words: int) -> list[tuple]:
-    """(id, text, rest, removed spans) of every (id, text), the first occurrence of each unit staying."""
-    seen, out = set(), {}
+def passages(docs: list[tuple], min_chars: int) -> list[tuple]:
+    """(id, text, rest, removed spans) of every (id, text): later lines go, and runs of ``min_chars`` of what was seen."""
+    seen, seen_lines, out = set(), set(), {}
     for i, t in sorted(set(docs), key=lambda d: (d[0] is None, d[0] or 0)):
         if t is None:
             out[(i, t)] = (None, [])
             continue
-        flags, us = [], units(t)
+        us = units(t)
+        lines = [k for k, u in enumerate(us) if u[3]] + [len(us)]
+        gone, again = [False] * len(us), []
+        for a, b in zip(lines[:-1], lines[1:]):
+            line = " ".join(u[2] for u in us[a:b])
+            gone[a:b] = [line in seen_lines] * (b - a)
+            seen_lines.add(line)
         for u in us:
-            flags.append(u[2] in seen)
+            again.append(u[2] in seen)
             seen.add(u[2])
+        k = 0
+        drop = list(gone)
+        while k < len(us):
+            j = k
+            while j < len(us) and (gone[j] or again[j]):
+                j += 1
+            if j > k and us[j - 1][1] - us[k][0] >= min_chars:
+                drop[k:j] = [True] * (j - k)
+            k = max(j, k + 1)
         spans, k = [], 0
         while k < len(us):
             j = k
-            while j < len(us) and flags[j]:
+            while j < len(us) and drop[j]:
                 j += 1
             if j > k:
-                if sum(u[3] for u in us[k:j]) >= min_words:
-                    spans.append((us[k][0], us[j - 1][1]))
-                k = j
-            else:
-                k += 1
+                spans.append((us[k][0], us[j - 1][1]))
+            k = max(j, k + 1)
         rest, at = "", 0
         for a, b in spans:
             rest, at = rest + t[at:a], b

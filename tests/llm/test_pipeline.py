@@ -35,7 +35,7 @@ def test_stages_equal_brute_force(spark):
     assert sorted(r.doc_id for r in after) == sorted(i for i, c in comp.items() if i == c)
 
     _, before, after, _ = seen[2]
-    exp = {i: rest for i, _, rest, _ in passages([(r.doc_id, r.text) for r in before], op.MIN_WORDS)}
+    exp = {i: rest for i, _, rest, _ in passages([(r.doc_id, r.text) for r in before], op.MIN_CHARS)}
     assert {r.doc_id: r.text for r in after} == exp
     assert all(r.n_chars == len(r.text) for r in after)
 
@@ -68,4 +68,11 @@ def test_stages_take_awkward_and_empty_tables(spark):
         docs = df
         for _, stage in corpus_pipeline.STAGES:
             docs = materialize(stage(spark, docs, SF001), "test-awkward")
-        assert docs.count() >= 0
+        fill = {}
+        for r in docs.collect():
+            fill.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for parts in fill.values():  # gapless, never overfull
+            parts.sort()
+            assert all(o == sum(n for _, n in parts[:k]) for k, (o, _) in enumerate(parts))
+            assert sum(n for _, n in parts) <= 2048
+        assert bool(fill) == (df.count() > 0)
