@@ -35,10 +35,6 @@ def op1_stupid_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score_documents(documents(spark, sf_dir))
 
 
-def op1_stupid_backoff_scores_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lmscore.score_documents(documents(spark, sf_dir), order=3)
-
-
 def op2_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.token_counts(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
@@ -89,7 +85,6 @@ def op13_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_stupid_backoff_scores": op1_stupid_backoff_scores,
-    "op1_stupid_backoff_scores_order3": op1_stupid_backoff_scores_order3,
     "op2_transducer_token_counts": op2_transducer_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_adaptive_quality": op4_adaptive_quality,

@@ -25,13 +25,16 @@ blocks of documents as rows:
    the block's own order, so no hash travels back.
 4. A block joined with its answers scores its words and sums per document.
 
-The number of hash ranges follows the number of words; every shuffle row is
-bounded by a block.  Hashes are 64 bits wide; two n-grams that share one are
-counted as one.
+A row of the exchange is a block's part of one hash range.  There are
+``RANGES`` ranges up to ``RANGES * RANGE_KEYS`` words, so rows follow the
+input; beyond that the ranges grow in number, which keeps a count table's part
+in a task's memory.  Every shuffle row is bounded by a block.  Hashes are 64
+bits wide; two n-grams that share one are counted as one.
 
 Defined cases: null or blank text has no words and score 0; in a corpus
-without other words N counts as 1; repeated rows are documents of their own;
-other columns are not read.
+without other words N counts as 1; repeated rows are documents of their own; a
+text longer than a block is a block of its own; an empty table gives no rows;
+other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -48,18 +51,7 @@ from pyspark.sql import functions as F
 from orderflow.llm import words as wd
 from orderflow.session import materialize
 
-ORDER, ALPHA, RANGE_KEYS = 2, 0.4, 1_000_000
-
-
-def _pack(x: np.ndarray) -> bytes:
-    """Sorted or small whole numbers, by byte planes (the upper ones hardly vary), compressed."""
-    planes = np.ascontiguousarray(x.reshape(-1, 1).view(np.uint8).reshape(len(x), x.itemsize).T)
-    return zlib.compress(planes.tobytes(), 1)
-
-
-def _unpack(raw: bytes, dtype) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(raw), dtype=np.uint8).reshape(np.dtype(dtype).itemsize, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+ORDER, ALPHA, RANGES, RANGE_KEYS, BLOCK_BYTES = 3, 0.4, 64, 4_000_000, 8 << 20
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
@@ -67,7 +59,7 @@ def blocks_of(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctx = TaskContext.get()
         block = ctx.partitionId() << 32
-        for rb, data, offs in wd.blocks(batches, "text"):
+        for rb, data, offs in wd.blocks(batches, "text", BLOCK_BYTES):
             row, _, _, _ = wd.words(data, offs)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block]), pa.array([len(row)]), pa.array([rb.column(0).to_pylist()], pa.list_(pa.int64())),
@@ -111,8 +103,8 @@ def requests(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
                     for r, (a, b) in enumerate(zip(at[:-1], at[1:])):
                         if b > a:
                             part.append(k * ranges + r)
-                            keys.append(_pack(u[a:b]))
-                            counts.append(_pack(c[a:b].astype(np.uint32)))
+                            keys.append(wd.pack(u[a:b]))
+                            counts.append(wd.pack(c[a:b].astype(np.uint32)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part, pa.int64()), pa.array([rb.column(0)[i].as_py()] * len(part), pa.int64()),
                      pa.array(keys, pa.binary()), pa.array(counts, pa.binary())],
@@ -124,14 +116,14 @@ def requests(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
 def answers(asked: DataFrame) -> DataFrame:
     """part, block, totals: the corpus count of every n-gram a block asked for, in its order."""
     def run(table: pa.Table) -> pa.Table:
-        keys = [_unpack(x, np.uint64) for x in table.column("keys").to_pylist()]
-        counts = [_unpack(x, np.uint32) for x in table.column("counts").to_pylist()]
+        keys = [wd.unpack(x, np.uint64) for x in table.column("keys").to_pylist()]
+        counts = [wd.unpack(x, np.uint32) for x in table.column("counts").to_pylist()]
         u, inv = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(inv.reshape(-1), weights=np.concatenate(counts), minlength=len(u)).astype(np.int64)
         ends = np.cumsum([len(k) for k in keys])
         mine = total[inv.reshape(-1)]
         return pa.table({"part": table.column("part"), "block": table.column("block"),
-                         "totals": pa.array([_pack(x) for x in np.split(mine, ends[:-1])], pa.binary())})
+                         "totals": pa.array([wd.pack(x) for x in np.split(mine, ends[:-1])], pa.binary())})
 
     return asked.groupBy("part").applyInArrow(run, "part long, block long, totals binary")
 
@@ -165,7 +157,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.col(f"`{text_col}`").cast("string").alias("text"))
     blocks = materialize(blocks_of(src), "lm-blocks")
     n = int(blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0])
-    ranges = max(1, -(-n // RANGE_KEYS))
+    ranges = max(RANGES, -(-n // RANGE_KEYS))
     told = materialize(answers(requests(blocks, order, ranges)), "lm-answers")
 
     def run(one: pa.Table, two: pa.Table) -> pa.Table:
@@ -174,7 +166,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         g = Grams(row.column("texts")[0].as_py(), offs, order)
         parts = sorted(zip(two.column("part").to_pylist(), two.column("totals").to_pylist()))
         totals = [np.concatenate([np.zeros(0, np.int64), *[
-            _unpack(t, np.int64) for p, t in parts if p // ranges == k]]) for k in range(order)]
+            wd.unpack(t, np.int64) for p, t in parts if p // ranges == k]]) for k in range(order)]
         n_rows = len(offs) - 1
         return pa.table({
             "doc_id": pa.array(row.column("ids")[0].as_py(), pa.int64()),

@@ -97,19 +97,26 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
 
 
 def lm_sql(alpha: float = 0.4) -> str:
-    """Bigram stupid backoff with the document's own occurrences left out."""
+    """Trigram stupid backoff with the document's own occurrences left out."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def others(*words: str) -> str:
+        k = ", ".join(words)
+        return f"count(*) OVER (PARTITION BY {k}) - count(*) OVER (PARTITION BY rid, {k})"
+
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{_WORD}') AS ws FROM documents),
-w AS (SELECT rid, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS p
+w AS (SELECT rid, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS p, CASE WHEN i > 2 THEN ws[i - 2] END AS q
   FROM (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)),
-one AS (SELECT rid, i, p, w, count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY rid, w) AS c1,
-    CASE WHEN p IS NOT NULL THEN count(*) OVER (PARTITION BY p, w) - count(*) OVER (PARTITION BY rid, p, w) END AS c2,
+one AS (SELECT rid, i, p, q, {others("w")} AS c1,
+    CASE WHEN p IS NOT NULL THEN {others("p", "w")} END AS c2,
+    CASE WHEN q IS NOT NULL THEN {others("q", "p", "w")} END AS c3,
     greatest(count(*) OVER () - count(*) OVER (PARTITION BY rid), 1) AS n FROM w),
-two AS (SELECT *, lag(c1) OVER (PARTITION BY rid ORDER BY i) AS c0 FROM one),
-s AS (SELECT rid, CASE WHEN p IS NULL THEN greatest(c1, 1) / n WHEN c2 > 0 THEN c2 / c0
-    ELSE {alpha} * (greatest(c1, 1) / n) END AS s FROM two)
+two AS (SELECT *, lag(c1) OVER (PARTITION BY rid ORDER BY i) AS b1, lag(c2) OVER (PARTITION BY rid ORDER BY i) AS b2 FROM one),
+s2 AS (SELECT *, CASE WHEN p IS NULL THEN greatest(c1, 1) / n WHEN c2 > 0 THEN c2 / b1
+    ELSE {alpha} * (greatest(c1, 1) / n) END AS s2 FROM two),
+s AS (SELECT rid, CASE WHEN q IS NULL THEN s2 WHEN c3 > 0 THEN c3 / b2 ELSE {alpha} * s2 END AS s FROM s2)
 SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, round(coalesce(t.x, 0), 6) + 0.0 AS log_score
 FROM d LEFT JOIN (SELECT rid, sum(ln(s)) AS x FROM s GROUP BY rid) t USING (rid)
 """
