@@ -40,29 +40,32 @@ def order_value(price: str = "price", quantity: str = "quantity") -> Column:
     return (exact(price) * col(quantity).cast("decimal(10,0)")).cast("decimal(38,10)")
 
 
-def not_finite(price: str = "price", quantity: str = "quantity") -> dict[str, Column]:
-    """Counters of values that are no finite amount: NaN, beyond +-1e17 in either direction."""
-    p, q = col(price), col(quantity)
-    nan = F.isnan(p) | (F.isnan(p * q))
-    high = ~nan & ((p > 1e17) & (q > 0) | (p < -1e17) & (q < 0))
-    low = ~nan & ((p < -1e17) & (q > 0) | (p > 1e17) & (q < 0))
-    return {n: F.coalesce(c.cast("bigint"), F.lit(0).cast("bigint"))
-            for n, c in (("nan", nan), ("high", high), ("low", low))}
-
-
-def amount(dec: str | Column, nan: str | Column, high: str | Column, low: str | Column) -> Column:
-    """A double from an exact sum and the counters: NaN stays NaN, infinities stay infinite."""
+def odd_amounts(price: str = "price", quantity: str = "quantity") -> dict[str, Column]:
+    """What :func:`order_value` leaves out, in columns that add up exactly: ``big``, whole amounts of prices
+    beyond 1e17 (double precision has no fraction there), and counters of what is no finite amount -- ``nan``,
+    and ``high`` and ``low`` for infinities (products beyond 1e28 count as such)."""
+    p, q = col(price).cast("double"), col(quantity)
+    v = p * q
+    nan = F.isnan(p) | F.isnan(v)
+    high, low = ~nan & (v > 1e28), ~nan & (v < -1e28)
+    big = F.when(~nan & ~high & ~low & ~p.between(-1e17, 1e17), v)
+    return {"big": F.coalesce(big.try_cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")),
+            **{n: F.coalesce(c.cast("bigint"), F.lit(0).cast("bigint")) for n, c in (("nan", nan), ("high", high), ("low", low))}}
+
+
+def amount(dec: str | Column, big: str | Column, nan: str | Column, high: str | Column, low: str | Column) -> Column:
+    """A double from exact sums and the counters: NaN stays NaN, infinities stay infinite."""
     n, h, l = col(nan), col(high), col(low)
     return (F.when((n > 0) | ((h > 0) & (l > 0)), F.lit(float("nan")))
             .when(h > 0, F.lit(float("inf"))).when(l > 0, F.lit(float("-inf")))
-            .otherwise(col(dec).cast("double")))
+            .otherwise(col(dec).cast("double") + col(big).cast("double")))
 
 
-def amount_text(dec: str | Column, nan: str | Column, high: str | Column, low: str | Column) -> Column:
-    """The same as text, exact: what a Python decimal reads."""
+def amount_text(dec: str | Column, big: str | Column, nan: str | Column, high: str | Column, low: str | Column) -> Column:
+    """One amount as text, exact: what a Python decimal reads."""
     n, h, l = col(nan), col(high), col(low)
     return (F.when(n > 0, "NaN").when(h > 0, "Infinity").when(l > 0, "-Infinity")
-            .otherwise(col(dec).cast("string")))
+            .when(col(big) != 0, col(big).cast("string")).otherwise(col(dec).cast("string")))
 
 
 def limit_branch(value: str | Column, limit: float | Column, above: str = "FAIL",

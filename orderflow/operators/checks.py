@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow import schemas as S
-from orderflow.functions.expressions import amount, limit_branch, not_finite, order_value
+from orderflow.functions.expressions import amount, limit_branch, odd_amounts, order_value
 from orderflow.operators.sessions import sessionize
 
 VERDICT_COLUMNS = ["orderId", "checkType", "validationResult", "ts", "seq"]
@@ -54,7 +54,7 @@ def fraud_session_totals(orders: DataFrame, gap: str = S.FRAUD_SESSION_GAP,
     the unrounded price; a NaN makes the rest of its session's totals NaN.
     """
     o = created(orders).select("id", "customerId", "quantity", "price", "ts", "seq")
-    odd = not_finite()
+    odd = odd_amounts()
     o = o.select("*", order_value().alias("value"), *[c.alias(f"value_{n}") for n, c in odd.items()])
     rows = sessionize(o, "customerId", "ts", ["seq"], gap,
                       {"sum": F.col("value"), **{f"sum_{n}": F.col(f"value_{n}") for n in odd}}, split=split)

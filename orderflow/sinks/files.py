@@ -77,3 +77,12 @@ def idempotent_batches(path: str, partition_by: list[str] | None = None,
 
 def read_idempotent(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(f"{path}/batch_id=*").drop("batch_id")
+
+
+def outbox(batch: DataFrame, path: str) -> None:
+    """The action of a notification: hand every notice of a batch to the outbox, a line each."""
+    batch.select(F.to_json(F.struct(*batch.columns)).alias("notice")).write.mode("append").text(path)
+
+
+def read_outbox(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.text(path).select(F.from_json("value", schema).alias("n")).select("n.*")

@@ -39,7 +39,9 @@ def product_of(event_id: Column) -> Column:
 
 
 def plus_seconds(ts: Column, secs: Column) -> Column:
-    return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
+    # control records of a stream have a time and no numbers: theirs stays as it is
+    secs = F.coalesce(secs.cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
+    return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
 def orders(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
@@ -142,7 +144,11 @@ def part_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inventory_changes(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
     """Changing warehouse stock for the three products (a changelog)."""
-    e = (src if src is not None else table(spark, sf_dir, "events")).where(F.col("event_type") == "signup")
+    e = src if src is not None else table(spark, sf_dir, "events")
+    changes = F.col("event_type") == "signup"
+    for mark in carried(e):  # marked records pass
+        changes = changes | mark
+    e = e.where(changes)
     return e.select(
         product_of(F.col("event_id")).alias("product"),
         (F.col("event_id") % 50).cast("int").alias("stock"),
@@ -169,19 +175,20 @@ def validations(spark: SparkSession, sf_dir: str, src: DataFrame | None = None)
 
 
 def validated_orders_source(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
-    """The CREATED orders the ``validations`` adapter refers to (id = event_id / 3)."""
-    e = (src if src is not None else table(spark, sf_dir, "events")).where(F.col("event_id") % 3 == 0)
-    return e.select(
-        (F.col("event_id") / 3).cast("bigint").cast("string").alias("id"),
-        F.col("user_id").alias("customerId"),
-        F.lit("CREATED").alias("state"),
-        product_of(F.col("event_id")).alias("product"),
-        (F.lit(1) + F.col("event_id") % 5).cast("int").alias("quantity"),
-        F.col("value").alias("price"),
-        _ts().alias("ts"),
-        F.col("event_id").alias("seq"),
-        *carried(e),
-    )
+    """The CREATED orders the ``validations`` adapter refers to: each is the basket of its three events -- customer
+    of the first, pieces and amount of all, at the time of the first.
+
+    A stream of events cannot close a basket; it reads the table of orders that is derived from the events.
+    """
+    e = src if src is not None else table(spark, sf_dir, "events")
+    n = F.col("event_id")
+    first = F.min(F.struct(n.alias("n"), F.col("user_id").alias("u"), _ts().alias("t")))
+    pieces = F.sum(F.lit(1) + n % 5).cast("int")
+    g = e.groupBy(((n - n % 3) / 3).cast("bigint").alias("k")).agg(
+        first.alias("f"), pieces.alias("quantity"), F.max("value").alias("price"))
+    return g.select(
+        F.col("k").cast("string").alias("id"), F.col("f.u").alias("customerId"), F.lit("CREATED").alias("state"),
+        product_of(F.col("k")).alias("product"), "quantity", "price", F.col("f.t").alias("ts"), F.col("f.n").alias("seq"))
 
 
 def order_states(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from orderflow import schemas as S
 from orderflow.functions.expressions import (
-    amount_text, interval_micros, limit_branch, micros, not_finite, order_value)
+    amount_text, interval_micros, limit_branch, micros, odd_amounts, order_value)
 
 FRAUD_STATE = T.StructType([
     T.StructField("starts", T.ArrayType(T.LongType())),
@@ -103,7 +103,7 @@ def fraud_sessions(orders: DataFrame, gap: str = S.FRAUD_SESSION_GAP,
     ``lateness``: how far behind the newest event a row may come and still
     count; by default the gap, for so long its session is open.
     """
-    odd = not_finite()
+    odd = odd_amounts()
     o = (orders.where(F.col("state") == "CREATED")
          .withWatermark("ts", lateness or gap)
          .select("id", "customerId", "ts", "seq",

@@ -116,3 +116,14 @@ def test_nan_and_infinite_prices_do_not_stop_the_job(spark):
                           ("e", 3, "JUMPERS", 1, -inf, 0, 5)])
     v = by(checks.fraud_check(o), "orderId")
     assert {k: r["validationResult"] for k, r in v.items()} == {"a": "PASS", "d": "FAIL", "e": "PASS"}
+
+
+def test_amounts_beyond_1e17_add_up(spark):
+    from orderflow.operators import checks
+    o = orders_df(spark, [("a", 1, "JUMPERS", 1, 1e18, 0, 1), ("b", 1, "JUMPERS", 1, -1e18, 1, 2),
+                          ("c", 1, "JUMPERS", 2, 2.5, 2, 3), ("d", 1, "JUMPERS", 1, 3e20, 90_000, 4),
+                          ("e", 1, "JUMPERS", 1, 1.0, 90_001, 5)])
+    got = {r.id: r.total for r in checks.fraud_session_totals(o).collect()}
+    assert got == {"a": 1e18, "b": 0.0, "c": 5.0, "d": 3e20, "e": 3e20 + 1.0}
+    v = {r.orderId: r.validationResult for r in checks.fraud_check(o).collect()}
+    assert v == {"a": "FAIL", "b": "PASS", "c": "PASS", "d": "FAIL", "e": "FAIL"}

@@ -175,6 +175,14 @@ def test_nan_price_gives_no_streaming_verdict(spark):
     assert [(r["orderId"], r["validationResult"]) for r in out.collect()] == [("a", "PASS")]
 
 
+def test_amounts_beyond_1e17_add_up_in_the_stream(spark):
+    d = scratch_path(spark, "big")
+    _order_file(spark, d, "f", [("a", 1, "JUMPERS", 1, 1e18, 0, 1), ("b", 1, "JUMPERS", 1, -1e18, 1, 2),
+                                ("c", 1, "JUMPERS", 2, 2.5, 2, 3)])
+    out = spark.read.parquet(run_available_now(stateful.fraud_sessions(_orders_stream(spark, [f"{d}/f"])), "t-big"))
+    assert {r["id"]: r["total"] for r in out.collect()} == {"a": 1e18, "b": 0.0, "c": 5.0}
+
+
 def test_sentinel_is_dropped_by_its_mark_whatever_the_data_bear(spark):
     from datetime import datetime
 
@@ -215,3 +223,23 @@ def test_replayed_document_batch_does_not_add_documents(spark):
     for _ in range(2):
         sinks.document_index(spark.range(3), f"{path}/batch_id=0")
     assert spark.read.text(f"{path}/batch_id=*").count() == 3
+
+
+def test_side_effect_runs_for_every_batch_and_not_for_a_replayed_one(spark):
+    path, told = scratch_path(spark, "effect"), []
+    write = sinks.idempotent_batches(path, side_effect=lambda b: told.append(sorted(r.id for r in b.collect())))
+    write(spark.range(3), 0)
+    write(spark.range(3), 0)     # replayed: written already, nobody is told again
+    write(spark.range(3, 5), 1)
+    assert told == [[0, 1, 2], [3, 4]] and sinks.read_idempotent(spark, path).count() == 5
+
+    def fails(batch):
+        raise RuntimeError("the mail server is down")
+
+    try:
+        sinks.idempotent_batches(path, side_effect=fails)(spark.range(9), 2)
+    except RuntimeError:
+        pass
+    assert sinks.read_idempotent(spark, path).count() == 5   # nothing written, so the batch comes again
+    sinks.idempotent_batches(path, side_effect=lambda b: told.append("again"))(spark.range(9), 2)
+    assert told[-1] == "again" and sinks.read_idempotent(spark, path).count() == 14
