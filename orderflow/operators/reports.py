@@ -84,6 +84,13 @@ def answer_requests(requests: DataFrame, versions: DataFrame) -> DataFrame:
         got["state"].alias("state"), got["customerId"].alias("customerId"))
 
 
+def with_rejections(verdicts: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Verdicts with the customer (as text) of the order they reject."""
+    r = rejected.select(F.col("id").alias("__k"), F.col("customerId").cast("string").alias("rejectedCustomer"))
+    return verdicts.join(r, F.col("orderId") == F.col("__k"), "left").select(
+        "orderId", "checkType", "validationResult", "rejectedCustomer")
+
+
 def stuck_orders(orders: DataFrame, inventory_changes: DataFrame) -> DataFrame:
     """Created orders that never get an inventory verdict: no stock row known at their time.
 

@@ -18,6 +18,7 @@ from orderflow.plans import sql as sqlplan
 from orderflow.sinks import files as sinks
 from orderflow.sources import fixtures as fx
 from orderflow.sources import readers
+from orderflow.sources.incrementing import largest_id, read_incrementing
 from orderflow.session import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +108,29 @@ def _customers_incremental(spark: SparkSession, d: str) -> DataFrame:
     return readers.customer_keyed(runs[0].unionByName(runs[1]))
 
 
+def _customers_incremental_source(spark: SparkSession, d: str) -> DataFrame:
+    """Two batch reads of the incrementing source, the second behind the last id of the first."""
+    path, schema = f"{d.rstrip('/')}/customer.parquet", fx.table(spark, d, "customer").schema
+    half = largest_id(path, "c_custkey") // 2
+    runs = [read_incrementing(spark, path, "c_custkey", schema, after=a, upto=b) for a, b in ((None, half), (half, None))]
+    return readers.customer_keyed(fx.customers(spark, d, src=runs[0].unionByName(runs[1])))
+
+
+def _orders_by_level_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Orders of the first half of the events at the customers' first level, later ones at their newest."""
+    events = fx.table(spark, d, "events")
+    half = fx.half_of_events(events)
+    first = enrich.orders_by_level(fx.orders(spark, d, src=events.where(F.col("event_id") < half)), fx.customers(spark, d))
+    later = enrich.orders_by_level(fx.orders(spark, d, src=events.where(F.col("event_id") >= half)), fx.customer_changes(spark, d))
+    return first.unionByName(later)
+
+
+def _details_rejections(spark: SparkSession, d: str) -> DataFrame:
+    orders = fx.raw_orders(spark, d)
+    rejected = checks.created(orders).where(~checks.order_is_valid()).select("id", "customerId")
+    return reports.with_rejections(checks.details_check(orders), rejected)
+
+
 def _submit(spark: SparkSession, d: str) -> DataFrame:
     return reports.submit(spark, fx.orders(spark, d))
 
@@ -221,6 +245,9 @@ QUERIES: dict[str, Query] = {
     "product_by_count_lines": lambda s, d: reports.top_terms(fx.line_orders(s, d)),
     "search_documents": lambda s, d: reports.search_documents(fx.orders(s, d)),
     "customers_incremental": _customers_incremental,
+    "customers_incremental_source": _customers_incremental_source,
+    "details_rejections": _details_rejections,
+    "orders_by_level_versions": _orders_by_level_versions,
     "customers_delimited": _customers_delimited,
     "topic_sample": lambda s, d: reports.sample(fx.orders(s, d)),
     "submit_orders": _submit,

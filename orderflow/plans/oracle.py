@@ -374,6 +374,10 @@ FROM ord o JOIN pay p ON o.id = p.orderId
 JOIN cust c ON o.customerId = c.id"""
     q["orders_by_level"] = f"""WITH {ORD}, {CUST}
 SELECT o.id, o.customerId, c.level AS customerLevel FROM ord o JOIN cust c ON o.customerId = c.id"""
+    q["orders_by_level_versions"] = f"""WITH {ORD}, {CUST},
+half AS (SELECT (max(event_id) + 1) // 2 AS h FROM events)
+SELECT o.id, o.customerId, CASE WHEN o.seq >= h AND c.id % 3 = 0 THEN 'platinum' ELSE c.level END AS customerLevel
+FROM ord o JOIN cust c ON o.customerId = c.id, half"""
     q["level_routing_counts"] = f"""WITH {ORD}, {CUST}
 SELECT c.level AS customerLevel, COUNT(*) AS orders
 FROM ord o JOIN cust c ON o.customerId = c.id GROUP BY c.level"""
@@ -401,6 +405,11 @@ ORDER BY doc_count DESC, product LIMIT {S.TOP_PRODUCTS}"""
 SELECT id, customerId, state, product, quantity, CAST(trunc(price) AS INTEGER) AS price FROM ord"""
     q["customers_incremental"] = f"""WITH {CUST}
 SELECT id AS key, id, firstName, lastName, email, address, level FROM cust"""
+    q["customers_incremental_source"] = q["customers_incremental"]
+    q["details_rejections"] = f"""WITH {ORD}, {RAW}, v AS ({RAW_DETAILS})
+SELECT v.orderId, v.checkType, v.validationResult,
+  CASE WHEN v.validationResult = 'FAIL' THEN CAST(raw.customerId AS VARCHAR) END AS rejectedCustomer
+FROM v JOIN raw ON raw.id = v.orderId"""
     q["customers_delimited"] = f"""WITH {CUST}
 SELECT id, firstName, lastName, email, address, level FROM cust"""
     q["topic_sample"] = f"""WITH {ORD}

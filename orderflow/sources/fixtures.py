@@ -87,6 +87,11 @@ def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.unionByName(again)
 
 
+def half_of_events(events: DataFrame) -> int:
+    """The event id from which the later half of the events begins."""
+    return ((events.agg(F.max("event_id")).first()[0] or 0) + 1) // 2
+
+
 def payments(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
     """Payments from -120 s to +120 s around their order, so about half miss its window."""
     e = src if src is not None else table(spark, sf_dir, "events")
@@ -100,9 +105,9 @@ def payments(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) ->
     )
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
     """Customers, numbered from 1: orders of customer 0 find none, so inner and left joins differ."""
-    c = table(spark, sf_dir, "customer")
+    c = src if src is not None else table(spark, sf_dir, "customer")
     seg = F.col("c_mktsegment")
     level = (F.when(seg == "AUTOMOBILE", "platinum")
              .when(seg == "BUILDING", "gold")

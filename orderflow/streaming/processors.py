@@ -14,6 +14,8 @@ millisecond.
 * :class:`VerdictSessions` -- verdicts of an order in sessions: one value state
   ``session``; in event order an order has one open session at most.
   Emits either every update (as the reference does) or the closed sessions.
+* :class:`SessionChangelog` -- not in event order: session totals after every row as it
+  arrives, with deletions of the sessions that a row merges.
 * :class:`OrderRequests` -- lookups that wait: value state ``version`` (the
   order's newest), map state ``pending``; a request is answered at once, late, or not before
   its deadline.
@@ -24,6 +26,7 @@ The states can be read from a checkpoint by their names, see :func:`state_table`
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Context, Decimal
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -31,7 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from orderflow import schemas as S
-from orderflow.functions.expressions import interval_micros, micros
+from orderflow.functions.expressions import amount_text, interval_micros, micros, odd_amounts, order_value
+
+# Sums of money: wide enough to stay exact, NaN and infinities as in double arithmetic.
+MONEY = Context(prec=60, traps=[])
 
 
 class InOrder(StatefulProcessor):
@@ -188,6 +194,73 @@ def verdict_sessions(validations: DataFrame, gap: str = S.VALIDATION_SESSION_GAP
                       F.timestamp_micros("reach").alias("reach_ts"))
 
 
+# ---- session totals as a changelog ------------------------------------------------------
+
+class SessionChangelog(StatefulProcessor):
+    """Session totals of a key after every row, in the order of arrival, with retractions.
+
+    A row extends the open sessions within the gap of it, or bridges several.
+    What they were is deleted -- a session is known by its start and end -- and
+    the session that takes their place is written; ``version`` counts the key's
+    changes.  State: map ``sessions`` of the open ones and the counter ``changes``.
+    """
+
+    def __init__(self, gap_us: int):
+        self.gap_us = gap_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sessions = handle.getMapState("sessions", "start bigint", "stop bigint, orders bigint, total string")
+        self.changes = handle.getValueState("changes", "n bigint")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        held = self.changes.get()
+        version = held[0] if held else 0
+        for row in rows:
+            start, stop, orders, total = row.at, row.at, 1, Decimal(row.value)
+            near = [(k[0], *v) for k, v in self.sessions.iterator() if k[0] - self.gap_us <= row.at <= v[0] + self.gap_us]
+            for a, b, n, t in sorted(near):
+                start, stop, orders, total = min(start, a), max(stop, b), orders + n, MONEY.add(total, Decimal(t))
+                self.sessions.removeKey((a,))
+            for a, b, _, _ in near:
+                if (a, b) != (start, stop):   # else the new value replaces it under the same name
+                    version += 1
+                    yield Row(start=a, stop=b, orders=None, total=None, version=version, customerId=key[0])
+            version += 1
+            self.sessions.updateValue((start,), (stop, orders, str(total)))
+            self.handle.registerTimer((stop + self.gap_us) // 1000 + 1)
+            yield Row(start=start, stop=stop, orders=orders, total=str(total), version=version, customerId=key[0])
+        self.changes.update((version,))
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        """Sessions that no row can reach any more leave the state."""
+        ms = expiredTimerInfo.getExpiryTimeInMs()
+        gone = [k[0] for k, v in self.sessions.iterator() if (v[0] + self.gap_us) // 1000 + 1 <= ms]
+        for start in gone:
+            self.sessions.removeKey((start,))
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def session_changelog(orders: DataFrame, gap: str = S.FRAUD_SESSION_GAP) -> DataFrame:
+    """customerId, session_start, session_end, orders, total (null: deleted), version; ``orders`` has a watermark.
+
+    Folding it -- the newest version of each (customer, start, end), without the deleted -- gives the
+    table of sessions, whatever the order in which the rows came.
+    """
+    odd = odd_amounts()
+    o = orders.where(F.col("state") == "CREATED").select(
+        "customerId", "ts", micros("ts").alias("at"), amount_text(order_value(), *odd.values()).alias("value"))
+    out = o.groupBy("customerId").transformWithState(
+        SessionChangelog(interval_micros(gap)), "start bigint, stop bigint, orders bigint, total string, version bigint, "
+        "customerId bigint", "append", "eventTime")
+    return out.select("customerId", F.timestamp_micros("start").alias("session_start"),
+                      F.timestamp_micros("stop").alias("session_end"), "orders",
+                      F.col("total").cast("double").alias("total"), "version")
+
+
 # ---- waiting lookups --------------------------------------------------------------------
 
 VERSION, REQUEST = 0, 1

@@ -31,8 +31,11 @@ from orderflow.functions.joins import replicated, within
 from orderflow.operators import checks, enrich, reports
 from orderflow.session import scratch_path
 from orderflow.sinks import files as sinks
+from orderflow.sinks import transaction
 from orderflow.sources import fixtures as fx
-from orderflow.sources.readers import stream_table
+from orderflow.sources.incrementing import largest_id, read_incrementing
+from orderflow.sources.readers import customer_keyed, stream_table
+from orderflow.sources.versions import VersionedTable, joined_batches
 from orderflow.streaming import processors, stateful
 
 FILES_PER_TRIGGER = 64  # data files a micro-batch takes at most: it bounds what a key buffers
@@ -206,17 +209,9 @@ def stream_verdict_updates(spark: SparkSession, d: str, out_path: str | None = N
 def stream_orders_failed(spark: SparkSession, d: str,
                          window: str = S.VALIDATION_JOIN_WINDOW) -> DataFrame:
     v = (fx.validations(spark, d, src=table_stream(spark, d, "events"))
-         .where(F.col("validationResult") == "FAIL").withWatermark("ts", "10 minutes").alias("v"))
-    o = basket_stream(spark, d).withWatermark("ts", "10 minutes").alias("o")
-    cond = (F.col("v.orderId") == F.col("o.id")) & within(F.col("o.ts"), F.col("v.ts"), window)
-    j = v.join(o, cond, "inner").select(
-        F.col("o.id").alias("id"), "o.customerId", F.lit("FAILED").alias("state"), "o.product",
-        "o.quantity", "o.price", F.col("o.ts").alias("ts"))  # one event-time column
-    # FAIL verdicts of one order lie within the join window of it, so a
-    # dedupe horizon of twice the window covers every duplicate
-    j = j.dropDuplicatesWithinWatermark(["id"])
-    out = run_available_now(j, "s-failed")
-    return spark.read.parquet(out).select(*verdict_order_cols())
+         .where(F.col("validationResult") == "FAIL").withWatermark("ts", "10 minutes"))
+    j = failed_orders(v, basket_stream(spark, d).withWatermark("ts", "10 minutes"), window)
+    return spark.read.parquet(run_available_now(j, "s-failed")).select(*verdict_order_cols())
 
 
 def verdict_order_cols() -> list[str]:
@@ -313,25 +308,41 @@ SESSION_SCHEMA = ("orderId string, session_start timestamp, session_end timestam
                   "reach_ts timestamp")
 
 
-def validated_stream(spark: SparkSession, updates_path: str, orders: DataFrame, name: str,
-                     n_rules: int = S.NUMBER_OF_RULES, lateness: str = "1 hour",
-                     window: str = S.VALIDATION_JOIN_WINDOW) -> DataFrame:
+def validated_orders(updates: DataFrame, orders: DataFrame, n_rules: int = S.NUMBER_OF_RULES,
+                     lateness: str = "1 hour", window: str = S.VALIDATION_JOIN_WINDOW) -> DataFrame:
     """Verdict updates with enough PASSes ⋈ created orders, stream with stream; one row per order and session.
 
-    The updates are read from the sink of the session query.  A session is
-    as long as its verdicts keep coming; each update from the one that reaches
-    ``n_rules`` on meets the orders within ``window`` of it, so the join's
-    state spans two windows however long the session is.  What an order
-    meets in one session has the order's time, for which duplicates are kept.
+    A session is as long as its verdicts keep coming; each update from the one
+    that reaches ``n_rules`` on meets the orders within ``window`` of it, so
+    the join's state spans two windows however long the session is.  What an
+    order meets in one session has the order's time, for which duplicates are kept.
     """
-    u = (spark.readStream.schema(SESSION_SCHEMA).parquet(updates_path)
-         .where(F.col("passes") >= n_rules).withWatermark("session_end", lateness).alias("u"))
+    u = updates.where(F.col("passes") >= n_rules).withWatermark("session_end", lateness).alias("u")
     o = orders.where(F.col("state") == "CREATED").withWatermark("ts", lateness).alias("o")
     cond = (F.col("u.orderId") == F.col("o.id")) & within(F.col("o.ts"), F.col("u.session_end"), window)
     j = u.join(o, cond, "inner").select("o.id", "o.customerId", F.lit("VALIDATED").alias("state"), "o.product",
                                         "o.quantity", "o.price", "u.session_start", F.col("o.ts").alias("ts"), "o.seq")
-    j = j.dropDuplicatesWithinWatermark(["id", "session_start", "seq"])
-    return spark.read.parquet(run_available_now(j, name)).drop("ts", "seq")
+    return j.dropDuplicatesWithinWatermark(["id", "session_start", "seq"])
+
+
+def failed_orders(fails: DataFrame, orders: DataFrame, window: str = S.VALIDATION_JOIN_WINDOW) -> DataFrame:
+    """FAIL verdicts ⋈ created orders (both with a watermark) within the window; one row per order id.
+
+    FAIL verdicts of one order lie within the join window of it, so the watermark's delay must cover twice the window.
+    """
+    v, o = fails.alias("v"), orders.where(F.col("state") == "CREATED").alias("o")
+    cond = (F.col("v.orderId") == F.col("o.id")) & within(F.col("o.ts"), F.col("v.ts"), window)
+    j = v.join(o, cond, "inner").select(
+        F.col("o.id").alias("id"), "o.customerId", F.lit("FAILED").alias("state"), "o.product",
+        "o.quantity", "o.price", F.col("o.ts").alias("ts"), "o.seq")  # one event-time column
+    return j.dropDuplicatesWithinWatermark(["id"])
+
+
+def validated_stream(spark: SparkSession, updates_path: str, orders: DataFrame, name: str,
+                     n_rules: int = S.NUMBER_OF_RULES) -> DataFrame:
+    """:func:`validated_orders` over the sink of the session query, run to its end."""
+    updates = spark.readStream.schema(SESSION_SCHEMA).parquet(updates_path)
+    return spark.read.parquet(run_available_now(validated_orders(updates, orders, n_rules), name)).drop("ts", "seq")
 
 
 def stream_orders_validated(spark: SparkSession, d: str, n_rules: int = S.NUMBER_OF_RULES) -> DataFrame:
@@ -393,6 +404,66 @@ def stream_fraud_orders_sql(window: str) -> Callable[[SparkSession, str], DataFr
     return q
 
 
+def stream_fraud_session_changelog(spark: SparkSession, d: str) -> DataFrame:
+    """Session totals after every order with retractions, folded to the table of sessions."""
+    o = fx.orders(spark, d, src=table_stream(spark, d, "events")).withWatermark("ts", S.FRAUD_SESSION_GAP)
+    log = spark.read.parquet(run_available_now(processors.session_changelog(o), "s-session-changelog"))
+    return reports.latest(log, ["customerId", "session_start", "session_end"], seq="version", value="orders").drop("version")
+
+
+def stream_orders_by_level_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Orders ⋈ customers while the customers change: the first half of the events meets the customers as first
+    written; then each third customer becomes platinum, which only the later half sees."""
+    source, path = scratch_path(spark, "s-events"), scratch_path(spark, "s-orders-by-level")
+    events = fx.table(spark, d, "events")
+    half = fx.half_of_events(events)
+    for part in (F.col("event_id") < half, F.col("event_id") >= half):
+        events.where(part).coalesce(1).write.mode("append").parquet(source)
+    table = VersionedTable(spark, scratch_path(spark, "s-customer-versions"))
+    table.publish(fx.customers(spark, d))
+    write = joined_batches(table, enrich.orders_by_level, path)
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        write(rows, batch_id)
+        if table.version() == 1:
+            table.publish(reports.keyed_table(fx.customer_changes(spark, d), "id"))
+
+    s = stream_table(spark, events.schema, source, "*.parquet", max_files_per_trigger=1)
+    run_available_now(fx.orders(spark, d, src=s), "s-orders-by-level-versions", foreach=batch)
+    return sinks.read_idempotent(spark, path)
+
+
+def stream_customers_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The customers as a stream of the incrementing source: a first run up to half the ids, a second one
+    that goes on from the checkpoint."""
+    path, schema = f"{d.rstrip('/')}/customer.parquet", fx.table(spark, d, "customer").schema
+    sink, ck = scratch_path(spark, "s-customers"), scratch_path(spark, "s-customers-checkpoint")
+    for upto in (largest_id(path, "c_custkey") // 2, None):
+        rows = read_incrementing(spark, path, "c_custkey", schema, upto=upto, stream=True)
+        run_available_now(rows, "s-customers", path=sink, checkpoint=ck)
+    return customer_keyed(fx.customers(spark, d, src=spark.read.parquet(sink)))
+
+
+def stream_details_atomic(spark: SparkSession, d: str) -> DataFrame:
+    """Orders consumed, judged and produced as one transaction: the verdicts, the rejected orders and the input
+    position of a micro-batch appear together; each verdict with the customer of its rejected order."""
+    root = scratch_path(spark, "s-details-atomic")
+
+    def outputs(batch: DataFrame) -> dict[str, DataFrame]:
+        orders = fx.raw_orders(spark, d, src=batch)
+        rejected = checks.created(orders).where(~checks.order_is_valid()).select("id", "customerId")
+        return {"verdicts": checks.details_check(orders), "rejected": rejected}
+
+    def position(batch: DataFrame) -> dict:
+        return {"event_id": batch.agg(F.max("event_id")).first()[0]}
+
+    run_available_now(table_stream(spark, d, "events"), "s-details-atomic",
+                      foreach=transaction.atomic_batches(spark, root, outputs, position))
+    ledger = transaction.Ledger(spark, root)
+    rejected = ledger.read("rejected", "id string, customerId long")
+    return reports.with_rejections(ledger.read("verdicts", S.ORDER_VALIDATION), rejected)
+
+
 def stream_reserved_stock_state(spark: SparkSession, d: str) -> DataFrame:
     """Reserved stock per product read back from the reservation query's state store."""
     ck = scratch_path(spark, "s-reserve-state-checkpoint")
@@ -414,6 +485,10 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_level_routing_counts": stream_level_routing_counts,
     "stream_inventory_check_asof": stream_inventory_check_asof,
     "stream_reserved_asof_state": stream_reserved_asof_state,
+    "stream_customers_incremental": stream_customers_incremental,
+    "stream_fraud_session_changelog": stream_fraud_session_changelog,
+    "stream_orders_by_level_versions": stream_orders_by_level_versions,
+    "stream_details_atomic": stream_details_atomic,
     "stream_verdict_updates": stream_verdict_updates,
     "stream_order_requests": stream_order_requests,
     "stream_fraud_orders_tumbling": stream_fraud_orders_tumbling(S.FRAUD_TUMBLING_WINDOW, fx.burst_orders),
@@ -430,12 +505,15 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def _order_outcomes(spark: SparkSession, d: str) -> DataFrame:
-    from orderflow.streaming.dataflow import stream_order_outcomes
-    return stream_order_outcomes(spark, d)
+def _dataflow(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        from orderflow.streaming import dataflow
+        return getattr(dataflow, name)(spark, d)
+    return q
 
 
-STREAM_QUERIES["stream_order_outcomes"] = _order_outcomes
+STREAM_QUERIES["stream_order_outcomes"] = _dataflow("stream_order_outcomes")
+STREAM_QUERIES["stream_order_outcomes_concurrent"] = _dataflow("stream_order_outcomes_concurrent")
 
 
 def with_state_partitions(fn: Callable[[SparkSession, str], DataFrame], n: int
@@ -488,4 +566,9 @@ ORACLE_OF = {
     "stream_fraud_orders_sql_1d": "fraud_orders_tumbling_1d",
     "stream_reserved_stock_state": "reserved_stock_state",
     "stream_order_outcomes": "order_outcomes",
+    "stream_order_outcomes_concurrent": "order_outcomes",
+    "stream_customers_incremental": "customers_incremental",
+    "stream_fraud_session_changelog": "fraud_session_summary",
+    "stream_orders_by_level_versions": "orders_by_level_versions",
+    "stream_details_atomic": "details_rejections",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import at
 from orderflow import schemas as S
-from orderflow.operators import inventory, reports, verdicts
+from orderflow.operators import checks, inventory, reports, verdicts
 from orderflow.session import scratch_path
 from orderflow.streaming import processors, twins
 from orderflow.streaming.twins import EndOfInput, drop_sentinel, run_available_now
@@ -127,3 +127,50 @@ def test_state_is_dropped_once_the_watermark_has_passed(spark):
     run_available_now(processors.verdict_sessions(s), "t-keep", checkpoint=ck)
     held = processors.state_table(spark, ck, "session").count() + processors.state_table(spark, ck, "waiting").count()
     assert 0 < held < 120  # of 200 orders; the rest has left the state
+
+
+def test_changelog_with_retractions_folds_to_the_sessions(spark):
+    rnd = random.Random(9)
+    rows = [(f"o{i}", i % 3, "CREATED", "JUMPERS", 1 + i % 4, 2.5, at(rnd.randint(0, 60_000)), i) for i in range(150)]
+    # one customer whose two sessions are bridged by the last row to come
+    rows += [("x", 9, "CREATED", "JUMPERS", 1, 1.0, at(0), 200), ("y", 9, "CREATED", "JUMPERS", 1, 2.0, at(5000), 201)]
+    orders = spark.createDataFrame(rows, S.ORDER)
+    bridge = spark.createDataFrame([("z", 9, "CREATED", "JUMPERS", 1, 4.0, at(2500), 202)], S.ORDER)
+    d = scratch_path(spark, "changelog")
+    for part in (orders.where("seq % 2 = 0"), orders.where("seq % 2 = 1"), bridge):
+        part.orderBy(F.rand(3)).coalesce(1).write.mode("append").parquet(d)
+    s = spark.readStream.schema(S.ORDER).option("maxFilesPerTrigger", 1).parquet(d).withWatermark("ts", "1 day")
+    log = spark.read.parquet(run_available_now(processors.session_changelog(s), "t-changelog"))
+    key = ["customerId", "session_start", "session_end"]
+    got = reports.latest(log, key, seq="version", value="orders")
+    every = orders.unionByName(bridge)
+    exp = checks.fraud_session_totals(every).groupBy("customerId", "session_start").agg(
+        F.max("ts").alias("session_end"), F.count(F.lit(1)).alias("orders"), F.sum("order_value").alias("total"))
+    cols = [*key, "orders", "total"]
+    assert _rows(got.select(*cols)) == _rows(exp.select(*cols))
+    nine = [(r.orders, r.total) for r in got.where("customerId = 9").collect()]
+    assert nine == [(3, 7.0)]
+    deleted = log.where("customerId = 9 AND orders IS NULL").count()
+    assert deleted == 2   # both sessions that the last row merged
+
+
+def test_a_customer_updated_between_two_batches_shows_in_later_rows_only(spark):
+    from orderflow.sinks import files as sinks
+    from orderflow.sources.versions import VersionedTable, joined_batches
+    table = VersionedTable(spark, scratch_path(spark, "versions"))
+    path = scratch_path(spark, "versions-out")
+    write = joined_batches(table, lambda o, c: o.join(c, "customerId"), path)
+
+    def customers(level):
+        return spark.createDataFrame([(1, level), (2, "gold")], "customerId long, level string")
+
+    def batch(*ids):
+        return spark.createDataFrame([(i, 1 + i % 2) for i in ids], "id long, customerId long")
+
+    assert table.publish(customers("silver")) == 1
+    write(batch(2, 3), 0)
+    assert table.publish(customers("platinum")) == 2
+    write(batch(4, 5), 1)
+    write(batch(2, 3), 0)   # replayed: keeps what it met
+    got = {r.id: r.level for r in sinks.read_idempotent(spark, path).collect()}
+    assert got == {2: "silver", 3: "gold", 4: "platinum", 5: "gold"}
