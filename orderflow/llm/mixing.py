@@ -22,8 +22,9 @@ sources meet by an equality on cells of the unit interval, not by a range
 join.
 
 Defined cases: null text has size 0; a document of size 0 is never taken;
-repeated rows are documents of their own; input columns beside id, text and
-source are not read.
+repeated rows are documents of their own, a null source is a source and a null
+id an id; an empty table, or one without words, gives rows that take nothing;
+input columns beside id, text and source, whatever their names, are not read.
 """
 
 from __future__ import annotations

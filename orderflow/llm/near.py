@@ -36,7 +36,9 @@ shared folder.
 Defined cases: null text is empty; rows with a null id are returned with a
 null component and are kept (they cannot be named by a link); a document is an
 (id, text hash) pair, so rows with equal id and text are one document, rows with
-equal id and different texts are several.
+equal id and different texts are several; texts of any length enter with all
+their shingles; an empty table gives no rows; other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations

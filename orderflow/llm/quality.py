@@ -27,8 +27,9 @@ Documents that fail the base rule (fewer than 50 words, or over half of the
 words in repeated windows) are rejected and do not enter the sketches.
 
 Defined cases: null text counts as empty; null lang or source is a group of
-its own; repeated rows are judged each; columns of the input that bear the
-name of an output column are replaced by it.
+its own; repeated rows are judged each; a text of any length is counted whole;
+an empty table gives no rows; columns of the input that bear the name of an
+output column are replaced by it.
 """
 
 from __future__ import annotations

@@ -25,6 +25,11 @@ the token before it; states are made on first use and shared by all pieces
 
 Piece counts are kept per distinct piece of a block.  Special-token strings
 inside a text count one token each and separate what stands around them.
+
+Defined cases: null text is empty and has no bytes and tokens; repeated rows are
+counted each, a null id is kept; a text of any length is read whole; an
+empty table gives no rows; only the id and the text are read, so other columns
+may have any names.
 """
 
 from __future__ import annotations

@@ -7,8 +7,9 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from conftest import SF001
 from edge import SCHEMA, clash, edge_rows, edge_table, prose
-from orderflow.llm import orcfiles, packing, transducer, words
+from orderflow.llm import catalog, orcfiles, packing, transducer, words
 from orderflow.llm.catalog import tokenizer_file
 from orderflow.llm.tokens import Encoder
 from orderflow.session import scratch_path
@@ -194,3 +195,50 @@ def test_partitions_exchange_until_the_bound(spark):
     one_round = packing.pack(df, rounds=1).select("sequence_id").distinct().count()
     used = got.select("sequence_id").distinct().count()
     assert got.count() == 12_000 and bound <= used <= one_round and used <= bound * 1.002
+
+
+def _library(name, texts, end=None):
+    whole = Tokenizer.from_file(tokenizer_file(name))
+    return [e.ids + ([] if end is None else [end])
+            for e in whole.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def _crc(ids):
+    return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def test_registered_queries_equal_the_library_on_the_whole_table(spark):
+    rows = [(r.doc_id, r.text) for r in catalog.documents(spark, SF001).select("doc_id", "text").collect()]
+    ids = dict(zip([i for i, _ in rows], _library("byte_bpe_50k.json", [t for _, t in rows])))
+    got = catalog.QUERIES["op2_transducer_token_counts"](spark, SF001).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in got) == sorted(
+        (i, len((t or "").encode()), len(ids[i]), len(ids[i]) > 1024) for i, t in rows)
+
+    pieces, fill = {}, {}
+    for r in catalog.QUERIES["op3_best_fit_packing"](spark, SF001).collect():
+        assert r.ids_crc32 == _crc((ids[r.doc_id] + [0])[r.start:r.start + r.length])
+        pieces.setdefault(r.doc_id, []).append((r.piece, r.start, r.length))
+        fill.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for i, parts in pieces.items():
+        parts.sort()
+        assert [p[0] for p in parts] == list(range(len(parts))) and sum(p[2] for p in parts) == len(ids[i]) + 1
+        assert all(p[2] == 2048 for p in parts[1:])
+    assert set(pieces) == set(ids)
+    for parts in fill.values():
+        parts.sort()
+        assert all(o == sum(n for _, n in parts[:k]) for k, (o, _) in enumerate(parts)) and sum(n for _, n in parts) <= 2048
+
+    words = dict(zip([i for i, _ in rows], _library("word_bpe_49k.json", [t for _, t in rows], end=1)))
+    at, exp = 0, []
+    for i in sorted(words):
+        exp.append((i, at, len(words[i]), _crc(words[i])))
+        at += len(words[i])
+    got = catalog.QUERIES["op7_orc_token_ids"](spark, SF001).collect()
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got) == exp
+
+
+def test_a_text_longer_than_a_block_is_counted_whole(spark):
+    long = " ".join(f"word{i % 977} it's 12,5" for i in range(260_000))  # over 4 MB
+    df = spark.createDataFrame([(1, long), (2, "short")], "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in transducer.token_counts(df, tokenizer_file("byte_bpe_50k.json")).collect()}
+    assert got == {i: len(x) for i, x in zip((1, 2), _library("byte_bpe_50k.json", [long, "short"]))}
