@@ -12,6 +12,12 @@ written as Parquet to the shared folder and read again by the next:
 5. packing: the documents become pieces of 2048-token sequences.
 
 All stages but the last return the columns of ``documents``.
+
+Defined cases, for every stage: null texts are empty (and are rejected by the
+first), null ids, languages and sources are values of their own, rows alike in
+every column are judged each and all but one go as near-duplicates; a text of any length is
+worked on whole; an empty table passes through empty; further columns of the
+input are carried along, whatever their names.
 """
 
 from __future__ import annotations

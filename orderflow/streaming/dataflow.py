@@ -169,7 +169,8 @@ def stream_order_outcomes_concurrent(spark: SparkSession, d: str, trigger: dict
             out = s if out is None else out.unionByName(s)
         return out
 
-    created = checks.created(stock_end.follow(orders.stream(), "orders").withWatermark("ts", S.ORDER_LATENESS))
+    # the CREATED filter stands before the control records, which have no state
+    created = stock_end.follow(checks.created(orders.stream()), "orders").withWatermark("ts", S.ORDER_LATENESS)
     changes = fx.inventory_changes(spark, d, src=table_stream(spark, d, "events", stock_end)) \
         .withWatermark("ts", S.ORDER_LATENESS)
     reserved = processors.reserve_in_order(drop_sentinel(created), drop_sentinel(changes))

@@ -39,7 +39,7 @@ from orderflow.sources.versions import VersionedTable, joined_batches
 from orderflow.streaming import processors, stateful
 
 FILES_PER_TRIGGER = 64  # data files a micro-batch takes at most: it bounds what a key buffers
-TWIN_STATE_PARTITIONS = 8  # state partitions of the registered twins (finite inputs, fresh checkpoints)
+TWIN_STATE_PARTITIONS = 4  # state partitions of the registered twins (finite inputs, fresh checkpoints)
 CONTROL = "__control"  # mark of the control records
 SENTINEL_FILES = 3
 SENTINEL_US = 9_000_000_000_000_000  # far-future event time of the control record
