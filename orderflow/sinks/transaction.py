@@ -65,11 +65,12 @@ class Ledger:
     def has(self, batch: int) -> bool:
         return self.fs.exists(self._path(f"manifests/{batch}.json"))
 
-    def publish(self, batch: int, outputs: dict[str, str], position: dict) -> None:
+    def publish(self, batch: int, outputs: dict[str, str], position: dict, supersede: bool = False) -> None:
+        """Make a batch's outputs visible; ``supersede``: instead of all before it."""
         entry = {"batch": batch, "position": position, "outputs": outputs}
         before = self._names()
-        merge = len(before) % MERGE_EVERY == MERGE_EVERY - 1
-        body = {"whole": merge or not before, "entries": [*(self.entries() if merge else []), entry]}
+        merge = len(before) % MERGE_EVERY == MERGE_EVERY - 1 and not supersede
+        body = {"whole": merge or supersede or not before, "entries": [*(self.entries() if merge else []), entry]}
         staged = self._path(f"staged/{uuid.uuid4().hex}.json")
         stream = self.fs.create(staged, False)
         try:

@@ -32,6 +32,7 @@ from orderflow.operators import checks, enrich, reports
 from orderflow.session import scratch_path
 from orderflow.sinks import files as sinks
 from orderflow.sinks import transaction
+from orderflow.sinks.view import CompactedView
 from orderflow.sources import fixtures as fx
 from orderflow.sources.incrementing import largest_id, read_incrementing
 from orderflow.sources.readers import customer_keyed, stream_table
@@ -290,13 +291,11 @@ def stream_fraud_orders_tumbling(window: str, adapter=fx.orders, lateness: str =
 
 
 def stream_orders_latest(spark: SparkSession, d: str) -> DataFrame:
-    """The latest view as a stream: each micro-batch writes the keys it changed (update mode, a replayed
-    batch replaces its own rows), the view is the newest row per key of what was written."""
+    """The latest view as a stream: each micro-batch adds its changes to a compacted view."""
     s = fx.order_states(spark, d, src=table_stream(spark, d, "orders"))
-    path = scratch_path(spark, "s-orders-latest")
-    run_available_now(reports.latest(s, "id"), "s-orders-latest", mode="update",
-                      foreach=sinks.idempotent_batches(path))
-    return reports.latest(sinks.read_idempotent(spark, path), "id").select("id", "customerId", "state", "ts")
+    view = CompactedView(spark, scratch_path(spark, "s-orders-latest"), "id", s.schema)
+    run_available_now(s, "s-orders-latest", foreach=view.apply)
+    return view.current().select("id", "customerId", "state", "ts")
 
 
 def stream_topic_sample(spark: SparkSession, d: str) -> DataFrame:
