@@ -107,8 +107,8 @@ def edited(text: Column, next_text: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), (n - half).cast("int")), F.substring(next_text, F.lit(1), half))
 
 
-def fingerprints(texts: DataFrame, keys: list[str], lex: DataFrame) -> DataFrame:
-    """keys (which tell the texts apart) and the fingerprint of the column ``text``."""
+def fingerprints(texts: DataFrame, keys: list[str], lex: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """keys (which tell the texts apart), ``keep`` and the fingerprint of the column ``text``."""
     # the empty term marks every text, so one without lexicon terms has its row, too
     marked = lex.unionByName(lex.sparkSession.range(1).select(F.xxhash64(F.lit("")).alias("term"), F.lit(-1).alias("subset")))
     if lex.count() <= BROADCAST_TERMS * 2:  # a term is in one or two subsets
@@ -116,24 +116,29 @@ def fingerprints(texts: DataFrame, keys: list[str], lex: DataFrame) -> DataFrame
     every = F.array_sort(F.array_remove(terms(F.col("text")), ""))
     alone = F.when(F.size(every) > 0, F.concat(F.lit("="), F.hex(F.xxhash64(every)))).otherwise(
         F.concat(F.lit("~"), F.hex(F.xxhash64("text"))))
-    words = texts.select(*keys, "text", alone.alias("alone")).select(
-        *keys, "alone", F.explode(F.array_union(terms(F.col("text")), F.array(F.lit("")))).alias("w"))
-    hits = words.withColumn("term", F.xxhash64("w")).drop("w").join(marked, "term")
+    # what else is known of the text goes with its mark only, so the rows that are sorted stay narrow
+    about = F.named_struct(*[x for c in keep or [] for x in (F.lit(c), F.col(c))], F.lit("alone"), alone).alias("about")
+    words = texts.select(*keys, "text", about).select(
+        *keys, "about", F.posexplode(F.array_union(F.array(F.lit("")), terms(F.col("text")))).alias("at", "w"))
+    words = words.select(*keys, F.when(F.col("at") == 0, F.col("about")).alias("about"), F.xxhash64("w").alias("term"))
+    hits = words.join(marked, "term")
     # a text's terms by subset and term in one sorted array; a mark opens every subset (and one closes the last),
     # so the terms of subset k stand between the marks of k and k + 1
     n = len(RATES)
     marks = F.array(*[F.struct(F.lit(k).alias("subset"), F.lit(LEAST).cast("bigint").alias("term")) for k in range(n + 1)])
-    held = hits.groupBy(*keys, "alone").agg(F.collect_list(F.struct("subset", "term")).alias("t"))
-    held = held.select(*keys, "alone", F.array_sort(F.concat("t", marks)).alias("t"))
-    held = held.select(*keys, "alone", F.col("t.subset").alias("s"), F.col("t.term").alias("t"))
-    held = held.select(*keys, "alone", "t", F.array(*[F.array_position("s", F.lit(k)) for k in range(n + 1)]).alias("p"))
+    held = hits.groupBy(*keys).agg(F.collect_list(F.struct("subset", "term")).alias("t"),
+                                   F.first("about", ignorenulls=True).alias("about"))
+    held = held.select(*keys, "about", F.array_sort(F.concat("t", marks)).alias("t"))
+    held = held.select(*keys, "about", F.col("t.subset").alias("s"), F.col("t.term").alias("t"))
+    held = held.select(*keys, "about", "t", F.array(*[F.array_position("s", F.lit(k)) for k in range(n + 1)]).alias("p"))
 
     def signature(k: int) -> str:
         own = f"xxhash64({k}, slice(t, CAST(p[{k}] AS INT) + 1, CAST(p[{k + 1}] - p[{k}] AS INT) - 1))"
         return (f"CASE WHEN p[{k + 1}] - p[{k}] > 1 THEN lpad(hex(shiftrightunsigned({own}, 32)), 8, '0') ELSE '-' END")
 
     whole = ", ".join(signature(k) for k in range(n))
-    return held.select(*keys, F.expr(f"CASE WHEN p[{n}] - p[0] = {n} THEN alone ELSE concat_ws('.', {whole}) END")
+    return held.select(*keys, *[F.col(f"about.{c}").alias(c) for c in keep or []],
+                       F.expr(f"CASE WHEN p[{n}] - p[0] = {n} THEN about.alone ELSE concat_ws('.', {whole}) END")
                        .alias("fingerprint"))
 
 
@@ -156,8 +161,8 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
                                    F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("x"))
     d = d.select("bucket", "nth", "doc_id", "n_chars", "edited_sha256", "x.which", "x.text")
     # the terms of a text stay where its bucket is: no shuffle between explode and gathering
-    keys = ["bucket", "nth", "which", "doc_id", "n_chars", "edited_sha256"]
-    f = materialize(fingerprints(d, keys, lex).drop("bucket"), "imatch-prints")
+    f = fingerprints(d, ["bucket", "nth", "which"], lex, ["doc_id", "n_chars", "edited_sha256"])
+    f = materialize(f.drop("bucket"), "imatch-prints")
     own = f.where("which = 0").drop("which")
     other = f.where("which = 1").select("nth", F.col("fingerprint").alias("edited_fingerprint"))
     after = own.select(F.expr(f"pmod(nth - 1, {max(1, n)})").alias("nth"), F.col("fingerprint").alias("next_print"))
