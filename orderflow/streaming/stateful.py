@@ -21,15 +21,18 @@ the micro-batch size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from decimal import Context, Decimal
+from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from orderflow import schemas as S
 from orderflow.functions.expressions import (
@@ -52,32 +55,51 @@ FRAUD_OUT = T.StructType([
 ])
 
 
+RESERVE_BUCKETS = 1024   # groups of keys that share a state key; part of a checkpoint's layout
+
 # Sums of money: wide enough to stay exact, NaN and infinities as in double arithmetic.
 _MONEY = Context(prec=60, traps=[])
 
 
+class OpenSessions:
+    """The open sessions of a key, (start, stop, value) by start; apart by more than the gap, so by stop as well."""
+
+    def __init__(self, sessions=()):
+        rows = sorted(sessions, key=lambda s: s[0])
+        self.starts, self.stops, self.values = ([r[i] for r in rows] for i in range(3))
+
+    def __iter__(self):
+        return zip(self.starts, self.stops, self.values)
+
+    def near(self, at: int, gap: int) -> list[tuple]:
+        """The sessions within ``gap`` of ``at``, found by bisection."""
+        i, j = bisect_left(self.stops, at - gap), bisect_right(self.starts, at + gap)
+        return [(self.starts[k], self.stops[k], self.values[k]) for k in range(i, j)]
+
+    def put(self, near: list[tuple], start: int, stop: int, value) -> None:
+        """A session in the place of those of ``near``, which it covers."""
+        i = bisect_left(self.starts, near[0][0] if near else start)
+        j = i + len(near)
+        self.starts[i:j], self.stops[i:j], self.values[i:j] = [start], [stop], [value]
+
+
 def _fraud_fn(gap_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        open_ = OpenSessions()
         if state.exists:
-            starts, ends, totals = (list(x) for x in state.get)
-            totals = [Decimal(x) for x in totals]
-        else:
-            starts, ends, totals = [], [], []
+            starts, ends, totals = state.get
+            open_ = OpenSessions(zip(starts, ends, map(Decimal, totals)))
         frames = [p for p in pdfs if len(p)]
         if frames:
-            pdf = pd.concat(frames).sort_values(["__t", "seq"], kind="stable")
+            pdf = frames[0] if len(frames) == 1 else pd.concat(frames)
+            pdf = pdf.sort_values(["__t", "seq"], kind="stable")
             out_start, out_total = [], []
             for t, v in zip(pdf["__t"].tolist(), pdf["order_value"].tolist()):
-                hit = [i for i in range(len(starts))
-                       if starts[i] - gap_us <= t <= ends[i] + gap_us]
+                near = open_.near(t, gap_us)
                 s, e, tot = t, t, Decimal(v)
-                for i in hit:
-                    s, e, tot = min(s, starts[i]), max(e, ends[i]), _MONEY.add(tot, totals[i])
-                for i in reversed(hit):
-                    del starts[i], ends[i], totals[i]
-                starts.append(s)
-                ends.append(e)
-                totals.append(tot)
+                for a, b, x in near:
+                    s, e, tot = min(s, a), max(e, b), _MONEY.add(tot, x)
+                open_.put(near, s, e, tot)
                 out_start.append(s)
                 out_total.append(str(tot))
             yield pd.DataFrame({
@@ -86,11 +108,10 @@ def _fraud_fn(gap_us: int):
                 "session_start_us": np.asarray(out_start, dtype=np.int64),
                 "order_value": pdf["order_value"].to_numpy(), "total": out_total})
         wm = state.getCurrentWatermarkMs() * 1000
-        keep = [i for i in range(len(starts)) if ends[i] + gap_us >= wm]
+        keep = [x for x in open_ if x[1] + gap_us >= wm]
         if keep:
-            state.update(([starts[i] for i in keep], [ends[i] for i in keep], [str(totals[i]) for i in keep]))
-            state.setTimeoutTimestamp(max((min(ends[i] for i in keep) + gap_us) // 1000 + 1,
-                                          state.getCurrentWatermarkMs() + 1))
+            state.update(([x[0] for x in keep], [x[1] for x in keep], [str(x[2]) for x in keep]))
+            state.setTimeoutTimestamp(max((keep[0][1] + gap_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         else:
             state.remove()
     return fn
@@ -125,43 +146,53 @@ def fraud_verdicts(totals: DataFrame, limit: float = S.FRAUD_LIMIT) -> DataFrame
                     (F.col("ts") + F.expr("INTERVAL '2' SECOND")).alias("ts"), (F.col("seq") * 3 + 1).alias("seq"))
 
 
-RESERVE_STATE = T.StructType([T.StructField("reserved", T.LongType())])
+class _Reserve(StatefulProcessor):
+    """Orders with their stock, by bucket of keys; map state ``reserved`` by key, read and written once a micro-batch."""
 
+    def __init__(self, key: str, kind: str, ints: list[str], columns: list[str]):
+        self.key, self.kind, self.ints, self.columns = key, kind, ints, columns
 
-def _reserve_fn(out_cols: list[str]):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        reserved = int(state.get[0]) if state.exists else 0
-        frames = [p for p in pdfs if len(p)]
-        if not frames:
-            return
-        pdf = pd.concat(frames).sort_values(["__t", "seq"], kind="stable")
-        q = pdf["quantity"].fillna(0).to_numpy(dtype=np.int64)
-        s = pdf["stock"].to_numpy(dtype=np.int64)
-        verdict = np.empty(len(pdf), dtype=object)
-        res = np.empty(len(pdf), dtype=np.int64)
-        for i in range(len(pdf)):
-            if s[i] - reserved - q[i] >= 0:
-                reserved += int(q[i])
-                verdict[i] = "PASS"
-            else:
-                verdict[i] = "FAIL"
-            res[i] = reserved
-        state.update((reserved,))
-        out = pdf[out_cols].copy()
-        out["validationResult"] = verdict
-        out["reserved"] = res
-        yield out
-    return fn
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.reserved = handle.getMapState("reserved", f"{self.key} {self.kind}", "reserved bigint")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat([p.astype({c: "Int64" for c in self.ints}) for p in rows], ignore_index=True)
+        of, keys = pd.factorize(pdf[self.key], use_na_sentinel=False)
+        pdf = pdf.assign(__k=of).sort_values(["__k", "at_us", "seq"], kind="stable")   # nulls go last
+        verdict, held, last, reserved = [], [], None, 0
+        stock = pdf["stock"].astype(object).where(pdf["stock"].notna(), None).tolist()
+        for k, q, s in zip(pdf["__k"].tolist(), pdf["quantity"].fillna(0).tolist(), stock):
+            if k != last:
+                if last is not None:
+                    self.reserved.updateValue(names, (reserved,))
+                last, names = k, (None if pd.isna(keys[k]) else keys[k],)
+                before = self.reserved.getValue(names)
+                reserved = before[0] if before else 0
+            ok = s is not None and s - reserved - q >= 0
+            reserved += q if ok else 0
+            verdict.append("PASS" if ok else "FAIL")
+            held.append(reserved)
+        self.reserved.updateValue(names, (reserved,))
+        yield pdf[self.columns].assign(validationResult=verdict, reserved=np.asarray(held, dtype=np.int64))
+
+    def close(self) -> None:
+        pass
 
 
 def reserve_stock(rows: DataFrame, key: str = "product") -> DataFrame:
-    """Streaming greedy reservation over orders already joined with their stock."""
-    cols = [c for c in rows.columns]
-    r = rows.withColumn("__t", micros("ts"))
+    """Streaming greedy reservation over orders already joined with their stock.
+
+    Keys share ``RESERVE_BUCKETS`` state keys: what Spark does for a group costs far more than the few
+    rows of a key.
+    """
+    cols, kinds = list(rows.columns), dict(rows.dtypes)
+    r = rows.withColumn("at_us", micros("ts")).withColumn(
+        "state_bucket", F.pmod(F.xxhash64(key), F.lit(RESERVE_BUCKETS)).cast("int"))
+    ints = [c for c, t in r.dtypes if t in ("int", "bigint") and c != "state_bucket"]
     out_schema = T.StructType([rows.schema[c] for c in cols] + [
         T.StructField("validationResult", T.StringType()), T.StructField("reserved", T.LongType())])
-    return r.groupBy(key).applyInPandasWithState(
-        _reserve_fn(cols), out_schema, RESERVE_STATE, "append", GroupStateTimeout.NoTimeout)
+    return r.groupBy("state_bucket").transformWithStateInPandas(
+        _Reserve(key, kinds[key], ints, cols), out_schema, "append", "none")
 
 
 EVOLVING_STATE = T.StructType([T.StructField("reserved", T.LongType()), T.StructField("stock", T.LongType())])
