@@ -1,23 +1,24 @@
 """Keyed processors on named state: rows of a key applied strictly in event time.
 
 :class:`InOrder` is the common part.  Rows of a key reach a stream in any
-order; a row waits in a map state under its millisecond and a timer hands it on
+order; a row waits in a map state under its slot of time and a timer hands it on
 once the watermark has passed it, so no earlier row can still come.  What a
 processor decides therefore does not depend on how rows were spread over
 micro-batches, only on the watermark's lateness, and it equals the batch
-operator's result.  Every row is read from and written to the state on its own:
-nothing of a micro-batch is gathered, and a key's memory is the rows of one
-millisecond.
-
-* :class:`Reservation` -- orders against a stock that changes: value states
-  ``reserved`` and ``stock``.
-* :class:`VerdictSessions` -- verdicts of an order in sessions: one value state
-  ``session``; in event order an order has one open session at most.
+operator's result.  Keys share ``KEY_BUCKETS`` state keys and their rows wait by slots of
+time (a day, ten minutes for products), so that the state is read and written once a slot and not
+once a row.  Nothing of a micro-batch is gathered beyond ``HELD_ROWS`` rows, and the
+memory is a bucket's rows of one slot.
+
+* :class:`Reservation` -- orders against a stock that changes: map states
+  ``reserved`` and ``stock`` by product.
+* :class:`VerdictSessions` -- verdicts of an order in sessions: map state
+  ``session`` by order; in event order an order has one open session at most.
   Emits either every update (as the reference does) or the closed sessions.
 * :class:`SessionChangelog` -- not in event order: session totals after every row as it
   arrives, with deletions of the sessions that a row merges.
-* :class:`OrderRequests` -- lookups that wait: value state ``version`` (the
-  order's newest), map state ``pending``; a request is answered at once, late, or not before
+* :class:`OrderRequests` -- lookups that wait: map states ``version`` (the
+  order's newest) and ``pending``; a request is answered at once, late, or not before
   its deadline.
 
 The states can be read from a checkpoint by their names, see :func:`state_table`.
@@ -25,6 +26,8 @@ The states can be read from a checkpoint by their names, see :func:`state_table`
 
 from __future__ import annotations
 
+import pickle
+from collections import defaultdict, namedtuple
 from collections.abc import Iterator
 from decimal import Context, Decimal
 from typing import Any
@@ -35,52 +38,145 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from orderflow import schemas as S
 from orderflow.functions.expressions import amount_text, interval_micros, micros, odd_amounts, order_value
+from orderflow.streaming.stateful import OpenSessions
 
 # Sums of money: wide enough to stay exact, NaN and infinities as in double arithmetic.
 MONEY = Context(prec=60, traps=[])
 
+HELD_ROWS = 100_000   # rows of a bucket gathered before they go to the state
+KEY_BUCKETS = 256     # groups of keys that share a state key; part of a checkpoint's layout
+PART_ROWS = 4096      # rows of a slot beyond which they make a part that is not rewritten
+
+
+class Entries:
+    """A map state's entries by key: read when they are asked for, or all at once, and written back once."""
+
+    def __init__(self, state: Any, whole: bool = False):
+        self.state, self.whole = state, whole
+        self.was = {tuple(k): tuple(v) for k, v in state.iterator()} if whole else {}
+        self.now = dict(self.was)
+
+    def get(self, key: tuple) -> tuple | None:
+        if key not in self.now and not self.whole:
+            value = self.state.getValue(key)
+            self.was[key] = self.now[key] = tuple(value) if value else None
+        return self.now.get(key)
+
+    def put(self, key: tuple, value: tuple | None) -> None:
+        self.now[key] = value
+
+    def items(self) -> list[tuple]:
+        return [(k, v) for k, v in self.now.items() if v is not None]
+
+    def store(self) -> None:
+        for key, value in self.now.items():
+            if value is None:
+                if self.was.get(key) is not None:
+                    self.state.removeKey(key)
+            elif value != self.was.get(key):
+                self.state.updateValue(key, value)
+
 
 class InOrder(StatefulProcessor):
-    """Buffers rows until the watermark has passed them, then applies them by (time, kind, seq)."""
+    """Buffers rows until the watermark has passed them, then applies them by (time, kind, seq).
+
+    The state's key is a bucket of keys: a state call, and the record batch that Spark makes of
+    each group, cost far more than a row.  Rows wait by slot of ``slot_us``: map ``waiting`` holds a
+    slot's newest rows, its earliest millisecond and the number of its full parts, map ``parts`` those.
+    """
 
+    #: column of the key that the rows of a bucket are told apart by, as DDL
+    key: str = ""
     #: columns of an input row behind ``at`` (microseconds), ``kind`` and ``seq``, as DDL
     fields: str = ""
+    #: width of a slot; the memory is a bucket's rows of one
+    slot_us: int = 86_400_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        row = f"at: bigint, kind: int, seq: bigint, {self.fields}"
-        self.names = [x.split(":")[0].strip() for x in row.split(", ")]
-        self.waiting = handle.getMapState("waiting", "ms bigint", f"rows array<struct<{row}>>")
+        self.names = ["at", "kind", "seq", self.key.split()[0], *[x.split()[0] for x in self.fields.split(", ")]]
+        self.Input = namedtuple("Input", self.names)
+        self.waiting = handle.getMapState("waiting", "slot bigint", "first bigint, parts int, rows binary")
+        self.parts = handle.getMapState("parts", "slot bigint, part int", "rows binary")
 
     def wake(self, at_us: int) -> None:
         """Have the key looked at once no row up to ``at_us`` can come any more."""
         self.handle.registerTimer(at_us // 1000 + 1)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        columns = None
+        slots, n = {}, 0
         for row in rows:
-            ms = (row.at // 1000,)
-            held = self.waiting.getValue(ms)
-            self.waiting.updateValue(ms, ([*(tuple(x) for x in (held[0] if held else [])),
-                                           tuple(row[c] for c in self.names)],))
-            if not held:
-                self.wake(row.at)
+            if columns is None:
+                columns = [row.__fields__.index(c) for c in self.names]
+            values = tuple([row[i] for i in columns])
+            slots.setdefault(values[0] // self.slot_us, []).append(values)
+            n += 1
+            if n == HELD_ROWS:
+                self._hold(slots)
+                slots, n = {}, 0
+        self._hold(slots)
         return iter(())
 
+    def _hold(self, slots: dict[int, list[tuple]]) -> None:
+        for slot, rows in slots.items():
+            first = min(r[0] for r in rows) // 1000
+            held = self.waiting.getValue((slot,))
+            before, parts = (held[0], held[1]) if held else (None, 0)
+            if before is None or first < before:
+                self.handle.registerTimer(first + 1)
+            else:
+                first = before
+            if held and held[2]:
+                rows = pickle.loads(held[2]) + rows
+            packed = pickle.dumps(rows)
+            if len(rows) > PART_ROWS:
+                self.parts.updateValue((slot, parts), (packed,))
+                packed, parts = b"", parts + 1
+            self.waiting.updateValue((slot,), (first, parts, packed))
+
+    def _take(self, slot: int, before_ms: int) -> list[tuple]:
+        """The slot's rows of milliseconds before ``before_ms``, in event order; the others wait on."""
+        held = self.waiting.getValue((slot,))
+        if not held or held[0] >= before_ms:
+            return []
+        rows = []
+        for part in range(held[1]):
+            rows += pickle.loads(self.parts.getValue((slot, part))[0])
+            self.parts.removeKey((slot, part))
+        rows += pickle.loads(held[2]) if held[2] else []
+        self.waiting.removeKey((slot,))
+        later = [r for r in rows if r[0] // 1000 >= before_ms]
+        if later:
+            rows = [r for r in rows if r[0] // 1000 < before_ms]
+            self._hold({slot: later})
+        # a null seq goes first
+        rows.sort(key=lambda x: (x[0], x[1], x[2] is not None, x[2] or 0))
+        return rows
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         ms = expiredTimerInfo.getExpiryTimeInMs() - 1
-        held = self.waiting.getValue((ms,))
-        if held:
-            self.waiting.removeKey((ms,))
-            # a null seq goes first
-            for row in sorted((tuple(x) for x in held[0]), key=lambda x: (*x[:2], x[2] is not None, x[2] or 0)):
-                yield from self.apply(key[0], Row(*self.names)(*row))
-        yield from self.passed(key[0], ms * 1000 + 999)
-
-    def apply(self, key: Any, row: Row) -> Iterator[Row]:
+        now = max(timerValues.getCurrentWatermarkInMs(), ms + 1)
+        slot = ms * 1000 // self.slot_us
+        rows = self._take(slot, now)
+        self.load()
+        for row in rows:
+            yield from self.apply(row[3], self.Input._make(row))
+        # the next slot's rows have a timer of their own, which comes later
+        yield from self.passed(min(now * 1000, (slot + 1) * self.slot_us) - 1)
+        self.store()
+
+    def load(self) -> None:
+        """Read the bucket's state, once for all the rows that are due."""
+
+    def store(self) -> None:
+        """Write what has changed of it."""
+
+    def apply(self, key: Any, row: Any) -> Iterator[Row]:
         """The next row in event order."""
         raise NotImplementedError
 
-    def passed(self, key: Any, at_us: int) -> Iterator[Row]:
+    def passed(self, at_us: int) -> Iterator[Row]:
         """No row up to ``at_us`` can come any more."""
         return iter(())
 
@@ -88,8 +184,11 @@ class InOrder(StatefulProcessor):
         pass
 
 
-def _in_order(df: DataFrame, key: str, processor: StatefulProcessor, out: str) -> DataFrame:
-    return df.groupBy(key).transformWithState(processor, out, "append", "eventTime")
+def _in_order(df: DataFrame, key: str, processor: InOrder, out: str) -> DataFrame:
+    """The rows by bucket of ``key``, which the processor then tells apart."""
+    processor.key = f"{key} {dict(df.dtypes)[key]}"
+    bucket = F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int").alias("bucket")
+    return df.select(bucket, "*").groupBy("bucket").transformWithState(processor, out, "append", "eventTime")
 
 
 # ---- reservation ------------------------------------------------------------------------
@@ -98,28 +197,36 @@ ORDER, CHANGE = 1, 0   # at equal times a stock row comes before the orders that
 
 
 class Reservation(InOrder):
-    fields = "id: string, quantity: int, stock: int"
+    fields = "id string, quantity int, stock int"
+    slot_us = 600_000_000   # few products, each with many orders
+    Output = Row("id", "product", "quantity", "stock", "at", "seq", "validationResult", "reserved")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.reserved = handle.getValueState("reserved", "units bigint")
-        self.stock = handle.getValueState("stock", "units int")
+        self.reserved_map = handle.getMapState("reserved", self.key, "units bigint")
+        self.stock_map = handle.getMapState("stock", self.key, "units int")
+
+    def load(self) -> None:
+        self.reserved, self.stock = Entries(self.reserved_map), Entries(self.stock_map)
+
+    def store(self) -> None:
+        self.reserved.store()
+        self.stock.store()
 
-    def apply(self, key: Any, row: Row) -> Iterator[Row]:
+    def apply(self, key: Any, row: Any) -> Iterator[Row]:
         if row.kind == CHANGE:
-            self.stock.update((row.stock,))
+            self.stock.put((key,), (row.stock,))
             return
-        stock = self.stock.get()
+        stock = self.stock.get((key,))
         if stock is None:
             return                            # no stock known yet: no verdict
-        held = self.reserved.get()
+        held = self.reserved.get((key,))
         reserved, asked = held[0] if held else 0, row.quantity or 0
         ok = stock[0] is not None and stock[0] - reserved - asked >= 0
         if ok and asked or not held:
             reserved += asked if ok else 0
-            self.reserved.update((reserved,))
-        yield Row(id=row.id, product=key, quantity=row.quantity, stock=stock[0], at=row.at, seq=row.seq,
-                  validationResult="PASS" if ok else "FAIL", reserved=reserved)
+            self.reserved.put((key,), (reserved,))
+        yield self.Output(row.id, key, row.quantity, stock[0], row.at, row.seq, "PASS" if ok else "FAIL", reserved)
 
 
 def reserve_in_order(orders: DataFrame, changes: DataFrame, key: str = "product") -> DataFrame:
@@ -139,7 +246,8 @@ def reserve_in_order(orders: DataFrame, changes: DataFrame, key: str = "product"
 # ---- verdict sessions -------------------------------------------------------------------
 
 class VerdictSessions(InOrder):
-    fields = "passed: boolean"
+    fields = "passed boolean"
+    Output = Row("orderId", "start", "stop", "verdicts", "passes", "reach")
 
     def __init__(self, gap_us: int, n_rules: int, updates: bool):
         self.gap_us, self.n_rules, self.updates = gap_us, n_rules, updates
@@ -147,35 +255,38 @@ class VerdictSessions(InOrder):
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         # start, end, verdicts, passes, time of the n-th PASS
-        self.session = handle.getValueState(
-            "session", "start bigint, stop bigint, verdicts bigint, passes bigint, reach bigint")
+        self.session_map = handle.getMapState(
+            "session", self.key, "start bigint, stop bigint, verdicts bigint, passes bigint, reach bigint")
 
-    def _row(self, key: Any, s: tuple) -> Row:
-        return Row(orderId=key, start=s[0], stop=s[1], verdicts=s[2], passes=s[3], reach=s[4])
+    def load(self) -> None:
+        self.sessions = Entries(self.session_map, whole=True)
 
-    def apply(self, key: Any, row: Row) -> Iterator[Row]:
-        open_ = self.session.get()
-        s = tuple(open_) if open_ else None
+    def store(self) -> None:
+        self.sessions.store()
+        if self.sessions.now != self.sessions.was and (open_ := self.sessions.items()):
+            self.wake(min(s[1] for _, s in open_) + self.gap_us)
+
+    def apply(self, key: Any, row: Any) -> Iterator[Row]:
+        s = self.sessions.get((key,))
         if s is not None and row.at - s[1] > self.gap_us:
             if not self.updates:
-                yield self._row(key, s)
+                yield self.Output(key, *s)
             s = None
         start, _, verdicts, passes, reach = s or (row.at, row.at, 0, 0, None)
         passes += bool(row.passed)
         if reach is None and row.passed and passes >= self.n_rules:
             reach = row.at
         s = (start, row.at, verdicts + 1, passes, reach)
-        self.session.update(s)
-        self.wake(row.at + self.gap_us)
+        self.sessions.put((key,), s)
         if self.updates:
-            yield self._row(key, s)
+            yield self.Output(key, *s)
 
-    def passed(self, key: Any, at_us: int) -> Iterator[Row]:
-        open_ = self.session.get()
-        if open_ and open_[1] + self.gap_us <= at_us:
-            if not self.updates:
-                yield self._row(key, tuple(open_))
-            self.session.clear()
+    def passed(self, at_us: int) -> Iterator[Row]:
+        for (key,), s in self.sessions.items():
+            if s[1] + self.gap_us <= at_us:
+                if not self.updates:
+                    yield self.Output(key, *s)
+                self.sessions.put((key,), None)
 
 
 def verdict_sessions(validations: DataFrame, gap: str = S.VALIDATION_SESSION_GAP, n_rules: int = S.NUMBER_OF_RULES,
@@ -205,6 +316,8 @@ class SessionChangelog(StatefulProcessor):
     changes.  State: map ``sessions`` of the open ones and the counter ``changes``.
     """
 
+    Output = Row("start", "stop", "orders", "total", "version", "customerId")
+
     def __init__(self, gap_us: int):
         self.gap_us = gap_us
 
@@ -216,28 +329,46 @@ class SessionChangelog(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         held = self.changes.get()
         version = held[0] if held else 0
+        before = {k[0]: (v[0], v[1], Decimal(v[2])) for k, v in self.sessions.iterator()}
+        sessions = OpenSessions((a, b, (n, t)) for a, (b, n, t) in before.items())
         for row in rows:
+            near = sessions.near(row.at, self.gap_us)
             start, stop, orders, total = row.at, row.at, 1, Decimal(row.value)
-            near = [(k[0], *v) for k, v in self.sessions.iterator() if k[0] - self.gap_us <= row.at <= v[0] + self.gap_us]
-            for a, b, n, t in sorted(near):
-                start, stop, orders, total = min(start, a), max(stop, b), orders + n, MONEY.add(total, Decimal(t))
-                self.sessions.removeKey((a,))
-            for a, b, _, _ in near:
+            for a, b, (n, t) in near:
+                start, stop, orders, total = min(start, a), max(stop, b), orders + n, MONEY.add(total, t)
+            sessions.put(near, start, stop, (orders, total))
+            for a, b, _ in near:
                 if (a, b) != (start, stop):   # else the new value replaces it under the same name
                     version += 1
-                    yield Row(start=a, stop=b, orders=None, total=None, version=version, customerId=key[0])
+                    yield self.Output(a, b, None, None, version, key[0])
             version += 1
-            self.sessions.updateValue((start,), (stop, orders, str(total)))
-            self.handle.registerTimer((stop + self.gap_us) // 1000 + 1)
-            yield Row(start=start, stop=stop, orders=orders, total=str(total), version=version, customerId=key[0])
+            yield self.Output(start, stop, orders, str(total), version, key[0])
+        after = {a: (b, n, t) for a, b, (n, t) in sessions}
+        for start in before.keys() - after.keys():
+            self.sessions.removeKey((start,))
+        for start, (stop, orders, total) in after.items():
+            if before.get(start) != (stop, orders, total):
+                self.sessions.updateValue((start,), (stop, orders, str(total)))
         self.changes.update((version,))
+        self._wake(after, before)
+
+    def _wake(self, after: dict[int, tuple], before: dict[int, tuple]) -> None:
+        """One timer a key, at the end of the session that ends first."""
+        first, known = (min((v[0] for v in x.values()), default=None) for x in (after, before))
+        if first is not None and first != known:
+            self.handle.registerTimer((first + self.gap_us) // 1000 + 1)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         """Sessions that no row can reach any more leave the state."""
-        ms = expiredTimerInfo.getExpiryTimeInMs()
-        gone = [k[0] for k, v in self.sessions.iterator() if (v[0] + self.gap_us) // 1000 + 1 <= ms]
-        for start in gone:
-            self.sessions.removeKey((start,))
+        ms = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        held = {k[0]: (v[0],) for k, v in self.sessions.iterator()}
+        gone = {start for start, v in held.items() if (v[0] + self.gap_us) // 1000 + 1 <= ms}
+        if len(gone) == len(held):
+            self.sessions.clear()
+        else:
+            for start in gone:
+                self.sessions.removeKey((start,))
+        self._wake({start: v for start, v in held.items() if start not in gone}, held if not gone else {})
         return iter(())
 
     def close(self) -> None:
@@ -268,43 +399,63 @@ TERMINAL = ("VALIDATED", "FAILED")
 
 
 class OrderRequests(InOrder):
-    fields = "state: string, customerId: bigint, request: string, terminal: boolean, wait_us: bigint"
+    fields = "state string, customerId bigint, request string, terminal boolean, wait_us bigint"
+    Output = Row("request", "id", "asked", "outcome", "at", "state", "customerId")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.version = handle.getValueState("version", "state string, customerId bigint")
-        self.pending = handle.getMapState("pending", "request string, asked bigint", "terminal boolean, until bigint")
-
-    @staticmethod
-    def _answer(key: Any, request: str, asked: int, outcome: str, at: int, version: Any = None) -> Row:
-        return Row(request=request, id=key, asked=asked, outcome=outcome, at=at,
-                   state=version[0] if version else None, customerId=version[1] if version else None)
-
-    def _timed_out(self, key: Any, before_us: int) -> Iterator[Row]:
-        """Requests whose deadline lies before ``before_us``."""
-        for (request, asked), (_, until) in [(tuple(k), tuple(v)) for k, v in self.pending.iterator()]:
-            if until < before_us:
-                self.pending.removeKey((request, asked))
-                yield self._answer(key, request, asked, "TIMEOUT", until)
-
-    def apply(self, key: Any, row: Row) -> Iterator[Row]:
+        self.version_map = handle.getMapState("version", self.key, "state string, customerId bigint")
+        self.pending_map = handle.getMapState(
+            "pending", f"{self.key}, request string, asked bigint", "terminal boolean, until bigint")
+
+    def load(self) -> None:
+        self.versions, self.pending = Entries(self.version_map), Entries(self.pending_map, whole=True)
+        self.asked = defaultdict(list)    # the waiting requests by order
+        for wait in self.pending.now:
+            self.asked[wait[0]].append(wait)
+
+    def store(self) -> None:
+        self.versions.store()
+        self.pending.store()
+        if self.pending.now != self.pending.was and (waits := self.pending.items()):
+            self.wake(min(until for _, (_, until) in waits))
+
+    @classmethod
+    def _answer(cls, key: Any, request: str, asked: int, outcome: str, at: int, version: Any = None) -> Row:
+        return cls.Output(request, key, asked, outcome, at, *(tuple(version) if version else (None, None)))
+
+    def _timed_out(self, waits: list[tuple], before_us: int) -> Iterator[Row]:
+        """Those of the requests whose deadline lies before ``before_us``."""
+        for wait in waits:
+            held = self.pending.get(wait)
+            if held and held[1] < before_us:
+                self.pending.put(wait, None)
+                yield self._answer(*wait, "TIMEOUT", held[1])
+
+    def apply(self, key: Any, row: Any) -> Iterator[Row]:
         if row.kind == REQUEST:
-            version = self.version.get()
+            version = self.versions.get((key,))
             if version and (not row.terminal or version[0] in TERMINAL):
                 yield self._answer(key, row.request, row.at, "ANSWERED", row.at, version)
             else:
-                self.pending.updateValue((row.request, row.at), (row.terminal, row.at + row.wait_us))
-                self.wake(row.at + row.wait_us)
+                wait = (key, row.request, row.at)
+                self.pending.put(wait, (row.terminal, row.at + row.wait_us))
+                self.asked[key].append(wait)
             return
-        yield from self._timed_out(key, row.at)
-        self.version.update((row.state, row.customerId))
-        for (request, asked), (terminal, _) in [(tuple(k), tuple(v)) for k, v in self.pending.iterator()]:
-            if not terminal or row.state in TERMINAL:
-                self.pending.removeKey((request, asked))
-                yield self._answer(key, request, asked, "LATE", row.at, (row.state, row.customerId))
-
-    def passed(self, key: Any, at_us: int) -> Iterator[Row]:
-        yield from self._timed_out(key, at_us + 1)
+        waits = self.asked.pop(key, [])
+        yield from self._timed_out(waits, row.at)
+        version = (row.state, row.customerId)
+        self.versions.put((key,), version)
+        for wait in dict.fromkeys(waits):
+            held = self.pending.get(wait)
+            if held and (not held[0] or row.state in TERMINAL):
+                self.pending.put(wait, None)
+                yield self._answer(*wait, "LATE", row.at, version)
+            elif held:
+                self.asked[key].append(wait)
+
+    def passed(self, at_us: int) -> Iterator[Row]:
+        yield from self._timed_out([wait for wait, _ in self.pending.items()], at_us + 1)
 
 
 def order_requests(requests: DataFrame, versions: DataFrame) -> DataFrame:
