@@ -2,11 +2,12 @@ import math
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 from conftest import SF001
 from edge import SCHEMA, WORD, clash, edge_rows, edge_table
-from orderflow.llm import catalog, lmscore, sql
+from orderflow.llm import catalog, lmscore, sql, words
 from tools.check_oracle import digest
 
 
@@ -74,3 +75,22 @@ def test_query_equals_brute_force(spark):
     exp = sorted(_brute(texts, 3))
     assert [n for n, _ in got] == [n for n, _ in exp]
     assert all(abs(a - b) < 2e-6 for (_, a), (_, b) in zip(got, exp))
+
+
+def test_keys_travel_as_steps(spark):
+    text = " ".join(f"w{i * 7919 % 30_011}" for i in range(60_000))
+    blocks = lmscore.blocks_of(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    for ranges in (1, 64):
+        asked = lmscore.requests(blocks, 2, ranges).collect()
+        row = blocks.first()
+        g = lmscore.Grams(row.texts, np.array(row.offs), 2)
+        whole = 0
+        for r in asked:
+            k, at = divmod(r.part, ranges)
+            u = np.unique(g.key[k][g.whole[k]])
+            low, high = (at << 64) // ranges, ((at + 1) << 64) // ranges - 1
+            u = u[(u >= np.uint64(low)) & (u <= np.uint64(high))]
+            steps = words.unpack(bytes(r["keys"]), np.uint64)
+            assert (np.cumsum(steps, dtype=np.uint64) + np.uint64(low) == u).all()
+            whole += len(words.pack(u))
+        assert sum(len(r["keys"]) for r in asked) < 0.98 * whole
