@@ -212,7 +212,6 @@ class Merger:
                     self.token.append(-1)
                 node = nxt
             self.token[node] = t
-        self.viable: dict[tuple[int, int], bool] = {}
         self.start: dict = {}
         self.reset()
 
@@ -259,24 +258,6 @@ class Merger:
             got = self.pair[(s, t)] = not self._crossed(s, t)
         return got
 
-    def _open(self, node: int, s: int) -> bool:
-        """Some longer token below ``node`` may follow ``s``."""
-        got = self.viable.get((node, s))
-        if got is None:
-            if len(self.viable) > 4 * STATES:
-                self.viable.clear()
-            got, todo, seen = False, list(self.child[node].values()), 0
-            while todo and not got:
-                seen += 1
-                if seen > 32:  # too many to ask: keep it open, which is always right
-                    got = True
-                    break
-                k = todo.pop()
-                got = self.token[k] >= 0 and self._follows(s, self.token[k])
-                todo.extend(self.child[k].values())
-            self.viable[(node, s)] = got
-        return got
-
     def _extend(self, state: dict, b: int) -> tuple[dict, int]:
         under_way, last, emitted = [], -1, 0
         for node, before, rel in state[-1]:
@@ -286,7 +267,8 @@ class Merger:
             t = self.token[nxt]
             if t >= 0 and last < 0 and self._follows(before, t):
                 last, emitted = t, rel + 1
-            if self.child[nxt] and self._open(nxt, before):
+            # whether any longer token may follow is asked where one ends: asking here costs more than the states it saves
+            if self.child[nxt]:
                 under_way.append((nxt, before, rel))
         entries = tuple((node, before, rel - emitted) for node, before, rel in under_way) + ((0, last, 0),)
         nxt = self.states.get(entries)

@@ -242,3 +242,17 @@ def test_a_text_longer_than_a_block_is_counted_whole(spark):
     df = spark.createDataFrame([(1, long), (2, "short")], "doc_id long, text string")
     got = {r.doc_id: r.n_tokens for r in transducer.token_counts(df, tokenizer_file("byte_bpe_50k.json")).collect()}
     assert got == {i: len(x) for i, x in zip((1, 2), _library("byte_bpe_50k.json", [long, "short"]))}
+
+
+def test_a_step_of_the_merger_asks_only_where_a_token_ends(monkeypatch):
+    """Making a state asks once for each token that could end there, not for the tokens that might go on."""
+    path = tokenizer_file("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(path)
+    merger = transducer.Counter(path, np.zeros(0x110000, dtype=np.uint8)).merger
+    asked, steps = [], []
+    follows, extend = merger._follows, merger._extend
+    monkeypatch.setattr(merger, "_follows", lambda s, t: asked.append(1) or follows(s, t))
+    monkeypatch.setattr(merger, "_extend", lambda state, b: steps.append(len(state[-1])) or extend(state, b))
+    pieces = [r.encode() for r in ("internationalisation", "xqzvk", "aaaaaaaaaaaaaaaa", "Donaudampfschifffahrt", "Größenänderung")]
+    assert [merger.count(p) for p in pieces] == [len(whole.encode(p.decode()).ids) for p in pieces]
+    assert len(asked) <= sum(steps)
