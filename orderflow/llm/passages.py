@@ -110,10 +110,9 @@ def _first(row: np.ndarray, digest: np.ndarray) -> np.ndarray:
     return out
 
 
-def _text_hash(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    raw = data.tobytes()
-    return np.array([xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())],
-                    dtype=np.uint64).view(np.int64)
+def _text_hash(text: Column) -> Column:
+    """Tells the texts of one id apart (null: empty)."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def unit_rows(docs: DataFrame) -> DataFrame:
@@ -134,10 +133,10 @@ def unit_rows(docs: DataFrame) -> DataFrame:
             row = u.row[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(digest[:, 0]), pa.array(digest[:, 1]), rb.column(0).take(pa.array(row)),
-                 pa.array(_text_hash(data, offs)[row]), pa.array((at - u.of_row[row]).astype(np.int32)), pa.array(kind)],
+                 rb.column(2).take(pa.array(row)), pa.array((at - u.of_row[row]).astype(np.int32)), pa.array(kind)],
                 names=["h1", "h2", "doc_id", "text_hash", "unit", "kind"])
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "text", _text_hash(F.col("text")).alias("text_hash")).mapInArrow(
         run, "h1 long, h2 long, doc_id long, text_hash long, unit int, kind byte")
 
 
@@ -215,13 +214,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        F.col(f"`{id_col}`").cast("bigint").alias("id"),
                        F.col(f"`{text_col}`").cast("string").alias(text_at))
 
-    # the hash of a text is taken by the same code as in the units, so both sides agree on it
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb, data, offs in wd.blocks(batches, text_at):
-            yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(_text_hash(data, offs))],
-                                             names=[*rb.schema.names, "hash"])
-
-    held = held.mapInArrow(hashed, T.StructType([*held.schema.fields, T.StructField("hash", T.LongType())]))
+    # no Python here: with a broadcast of ``found`` it would run beside ``strip``, two workers to a task
+    held = held.withColumn("hash", _text_hash(F.col(text_at)))
     f = found.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("h"), "units")
     both = held.join(f, F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h")), "left").select(
         *others, text_at, "units")

@@ -61,3 +61,10 @@ def test_a_text_longer_than_a_block(spark):
     got = {r.doc_id: r.text for r in op.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == rows[0][1] and got[3] == "more"
     assert "line 77 of" not in got[2] and got[2].count("\n") == 249_998
+
+
+def test_a_task_holds_one_python_worker(spark):
+    # workers outlive their stage: two to a task are twice the memory for all that follows
+    df = spark.createDataFrame([(1, "one line\nanother line"), (2, "one line\nmine")], "doc_id long, text string")
+    plan = op.remove_repeats(df)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("MapInArrow") == 1
