@@ -42,7 +42,7 @@ from orderflow.llm import words as wd
 from orderflow.llm.tokens import encoder
 from orderflow.session import materialize
 
-CAPACITY, END_ID, PART_ROWS = 2048, 0, 4096
+CAPACITY, END_ID, PART_ROWS, BLOCK_BYTES = 2048, 0, 4096, 2 << 20
 # a sequence's number: round, partition, number in the partition
 SEQ_BITS, PART_BITS = 20, 34
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -53,7 +53,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     """doc_id, piece, start, length, ids_crc32 of every piece; ``ids`` adds the token ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for rb, data, offs in wd.blocks(batches, "text"):
+        for rb, data, offs in wd.blocks(batches, "text", BLOCK_BYTES):
             flat, at = enc.encode(data, offs)
             row, piece, start, length, crc, lists = [], [], [], [], [], []
             for r, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):

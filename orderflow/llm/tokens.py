@@ -2,12 +2,13 @@
 
 The ids are those of the ``tokenizers`` library without added special tokens.
 A text is cut where no token can cross -- before the white space that follows
-a word -- into chunks; each *distinct* chunk of a block is encoded once (and
-remembered by the worker up to ``CACHE`` chunks), and the ids of the texts are
-put together with numpy.  Chunks of plain characters are split by the
-tokenizer's own pattern and go straight to the library's model; every other
-chunk (special-token strings, characters whose class or case could differ
-between Unicode versions, unusual spaces) is encoded whole by the library.
+a word -- into chunks; each *distinct* chunk of a block is encoded once, and the
+ids of the texts are put together with numpy.  A worker remembers chunks and ids
+in Arrow and numpy arrays up to ``CACHE_BYTES``, then those of the last block only.
+Chunks of plain characters are split by the tokenizer's own pattern and go
+straight to the library's model; every other chunk (special-token strings,
+characters whose class or case could differ between Unicode versions, unusual
+spaces) is encoded whole by the library.
 Tokenizers whose normaliser or pattern is not one of the two known shapes
 are always encoded whole, document by document.
 """
@@ -19,11 +20,13 @@ import os
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 from orderflow.llm import words as wd
 
-CACHE = 1_000_000
+CACHE_BYTES, PARTS = 8 << 20, 100_000
 # Characters whose class, case and composition are the same everywhere:
 # printable ASCII, the five ASCII spaces, and U+00A1..U+024F.
 _PLAIN = regex.compile("[\\t-\\r\\x20-\\x7e¡-ɏ]*")
@@ -59,7 +62,9 @@ class Encoder:
         self.letters = {b: c for b, c in enumerate(byte_letters())}
         self.special = [x["content"] for x in spec.get("added_tokens", [])]
         self.model = self.whole.model
-        self.cache: dict[bytes, bytes] = {}
+        # the chunks encoded so far; chunk i has the ids at[i] to at[i + 1]
+        self.known = pa.array([], pa.large_binary())
+        self.ids, self.at = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
         self.parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
@@ -85,7 +90,7 @@ class Encoder:
         for part in self.pattern.findall(text):
             got = parts.get(part)
             if got is None:
-                if len(parts) >= CACHE // 4:
+                if len(parts) >= PARTS:
                     parts.clear()
                 got = parts[part] = self._part(part)
             out.append(got)
@@ -105,31 +110,44 @@ class Encoder:
         mark[offs] = True
         return np.flatnonzero(mark)
 
+    def _places(self, distinct: pa.Array) -> np.ndarray:
+        """Where each of the block's chunks is among those known; new ones are encoded."""
+        place = pc.index_in(distinct, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            if self.known.nbytes + self.ids.nbytes > CACHE_BYTES:
+                old = np.flatnonzero(place >= 0)
+                self.ids, self.at = _gather(self.ids, self.at, place[old])
+                self.known = distinct.take(pa.array(old))
+                place[old] = np.arange(len(old))
+            chunks = distinct.take(pa.array(new))
+            packed = [self._chunk(c) for c in wd.byte_list(chunks)]
+            place[new] = len(self.known) + np.arange(len(new))
+            size = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
+            self.known = pa.concat_arrays([self.known, chunks])
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(size)])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(packed), dtype=np.uint32)])
+        return place
+
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, first id of each row and the end)."""
         at = self.cuts(data, offs)
         if len(at) < 2:
             return np.zeros(0, dtype=np.uint32), np.zeros(len(offs), dtype=np.int64)
         codes, distinct = wd.encode(wd.as_binary(data, at))
-        cache, packed = self.cache, []
-        for chunk in distinct.to_pylist():
-            got = cache.get(chunk)
-            if got is None:
-                if len(cache) >= CACHE:
-                    cache.clear()
-                got = cache[chunk] = self._chunk(chunk)
-            packed.append(got)
-        ids = np.frombuffer(b"".join(packed), dtype=np.uint32)
-        size = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
-        first = np.cumsum(size) - size
-        n = size[codes]
-        end = np.cumsum(n)
-        out = ids[np.repeat(first[codes] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+        place = self._places(distinct)[codes]
+        out, before = _gather(self.ids, self.at, place)
         # rows end at chunk ends
-        before = np.concatenate([[0], end])
         return out, before[np.searchsorted(at, offs)]
 
 
+def _gather(ids: np.ndarray, at: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of the chunks at these places, first id of each and the end)."""
+    size = at[place + 1] - at[place]
+    end = np.concatenate([[0], np.cumsum(size)])
+    return ids[np.repeat(at[place] - end[:-1], size) + np.arange(end[-1])], end
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from tokenizers import Tokenizer
 
 from conftest import SF001
 from edge import SCHEMA, clash, edge_rows, edge_table, prose
-from orderflow.llm import catalog, orcfiles, packing, transducer, words
+from orderflow.llm import catalog, orcfiles, packing, tokens, transducer, words
 from orderflow.llm.catalog import tokenizer_file
 from orderflow.llm.tokens import Encoder
 from orderflow.session import scratch_path
@@ -256,3 +257,52 @@ def test_a_step_of_the_merger_asks_only_where_a_token_ends(monkeypatch):
     pieces = [r.encode() for r in ("internationalisation", "xqzvk", "aaaaaaaaaaaaaaaa", "Donaudampfschifffahrt", "Größenänderung")]
     assert [merger.count(p) for p in pieces] == [len(whole.encode(p.decode()).ids) for p in pieces]
     assert len(asked) <= sum(steps)
+
+
+def test_what_an_encoder_remembers_is_small_and_right():
+    enc = Encoder(tokenizer_file("byte_bpe_50k.json"))
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    texts = [" ".join("".join(w) for w in letters[rng.integers(0, 26, (20_000, 8))]) for _ in range(15)]
+    texts = [*texts, texts[0], texts[14]]
+    held = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        start = tracemalloc.get_traced_memory()[0]
+        got = []
+        for t in texts:
+            data = np.frombuffer(t.encode(), dtype=np.uint8)
+            got.append(zlib.crc32(enc.encode(data, np.array([0, len(data)]))[0].tobytes()))
+        del data
+        held += start - tracemalloc.get_traced_memory()[0] - pa.total_allocated_bytes()
+    finally:
+        tracemalloc.stop()
+    assert -held < 24 << 20  # 300,000 chunks: 54 MB as entries of a dict
+    for t, crc in zip(texts[-3:], got[-3:]):
+        ids = enc.whole.encode(t, add_special_tokens=False).ids
+        assert zlib.crc32(np.array(ids, dtype=np.uint32).tobytes()) == crc
+
+
+def test_chunks_forgotten_and_met_again(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 100)
+    enc = Encoder(tokenizer_file("byte_bpe_50k.json"))
+    texts = ["one two three", "", "four two", "<|endoftext|> one", "five " * 40 + "six", "one two four, six", "four two"]
+    for t in texts:
+        data = np.frombuffer(t.encode(), dtype=np.uint8)
+        ids, first = enc.encode(data, np.array([0, len(data)]))
+        assert ids.tolist() == enc.whole.encode(t, add_special_tokens=False).ids and first.tolist() == [0, len(ids)]
+    assert len(enc.known) < 10  # not all that were met
+
+
+def test_a_task_gives_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(words, "release", lambda: calls.append(1))
+    rb = pa.RecordBatch.from_arrays([pa.array(["ab c", None, "d"])], names=["text"])
+    assert sum(len(o) - 1 for _, _, o in words.blocks(iter([rb, rb]))) == 6 and calls == [1]
+
+
+def test_batches_follow_bytes(spark):
+    # 40 rows of 1 MB: not one batch of 10,000 rows
+    df = spark.range(40, numPartitions=1).selectExpr("id", "repeat('x', 1000000) AS text")
+    sizes = df.mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"n": [rb.num_rows]}) for rb in it), "n long").collect()
+    assert sum(r.n for r in sizes) == 40 and max(r.n for r in sizes) <= 10
