@@ -94,3 +94,21 @@ def test_keys_travel_as_steps(spark):
             assert (np.cumsum(steps, dtype=np.uint64) + np.uint64(low) == u).all()
             whole += len(words.pack(u))
         assert sum(len(r["keys"]) for r in asked) < 0.98 * whole
+
+
+def test_the_exchange_of_one_order_is_gone_before_the_next(spark, monkeypatch):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    seen, keep = [], lmscore.materialize
+
+    def watched(df, name):
+        before = shuffles()
+        out = keep(df, name)
+        seen.append((name, shuffles() - before))
+        return out
+
+    monkeypatch.setattr(lmscore, "materialize", watched)
+    lmscore.score_documents(edge_table(spark))
+    assert seen == [("lm-blocks", set()), *((f"lm-answers-{k}", set()) for k in (1, 2, 3))]
